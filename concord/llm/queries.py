@@ -48,6 +48,12 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import near_duplicate_classes
+
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
