@@ -30,6 +30,23 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def _span_columns(found: DataFrame, counted: list[str]) -> DataFrame:
+    """The digest columns of spans that are ordered by start, then kind."""
+
+    def text(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in counted]
+    return found.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import find_secrets
+
+    return _span_columns(find_secrets(table(spark, sf_dir, "documents")), ["assign", "access", "hex"])
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import bpe_digests
 
