@@ -23,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding_dedup import embedding_classes
+
+    return embedding_classes(table(spark, sf_dir, "embeddings"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
