@@ -23,6 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import fit_language_model, held_out, identify_languages
+
+    docs = table(spark, sf_dir, "documents")
+    out = identify_languages(docs.select("doc_id", "text"), fit_language_model(docs), keep=["doc_id"])
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_personal_data
+
+    return _span_columns(find_personal_data(table(spark, sf_dir, "documents")), ["email", "ip", "card", "phone"])
+
+
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .embedding_dedup import embedding_classes
 
