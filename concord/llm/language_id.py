@@ -243,9 +243,8 @@ def identify_languages(docs: DataFrame, net: Network | None, text: str = "text",
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, StringType, StructType
 
-    base = docs.select(*[c for c in keep or docs.columns if c not in ("lang_pred", "score")])
-    if text not in base.columns:
-        base = base.withColumn(text, docs[text])
+    wanted = [c for c in keep or docs.columns if c not in ("lang_pred", "score")]
+    base = docs.select(*wanted, *([] if text in wanted else [text]))
     shown = [f for f in base.schema.fields if keep is None or f.name in keep]
     schema = StructType([*shown]).add("lang_pred", StringType(), False).add("score", DoubleType(), False)
     arrow = to_arrow_schema(schema)
