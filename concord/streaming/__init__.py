@@ -1,0 +1,3 @@
+"""Streams.  No operator of the library needs state of its own: all row-level
+operators (normalisation, predicates, state machines, tension without ranks)
+work on streaming frames as they are."""
