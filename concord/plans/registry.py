@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import tension_queries
+from . import measurement_queries, quality_queries, tension_queries
 
-_MODULES = (tension_queries,)
+_MODULES = (tension_queries, measurement_queries, quality_queries)
 
 
 def queries() -> dict:

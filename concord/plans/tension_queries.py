@@ -221,7 +221,8 @@ def _fit(t: Tables):
 
 
 def center_fit(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(_fit(Tables(spark, d))[1])
+    fit = _fit(Tables(spark, d))[1]
+    return rounded(fit.withColumn("xb", F.coalesce("xb", F.lit(-1))).withColumn("yb", F.coalesce("yb", F.lit(-1))))
 
 
 def center_apply(spark: SparkSession, d: str) -> DataFrame:
@@ -239,7 +240,7 @@ _CENTER = f"""WITH s AS (SELECT *, CASE WHEN custkey % 5 < 3 THEN 'development'
   db AS (SELECT delta_b, {_bin_sql('month', 'xe')} AS xb, {_bin_sql('price', 'ye')} AS yb FROM dev, e WHERE delta_b IS NOT NULL),
   fit AS (SELECT 'cell' AS level, xb, yb, count(*) AS n, quantile_cont(delta_b, 0.5) AS value FROM db WHERE xb IS NOT NULL AND yb IS NOT NULL GROUP BY xb, yb
     UNION ALL SELECT 'x', xb, NULL, count(*), quantile_cont(delta_b, 0.5) FROM db WHERE xb IS NOT NULL GROUP BY xb UNION ALL SELECT 'global', NULL, NULL, count(*), quantile_cont(delta_b, 0.5) FROM db)""".replace("WITH s", ", s", 1)
-SQL["center_fit"] = tension_sql(_CENTER + " SELECT level, xb, yb, n, round(value, 6) + 0.0::DOUBLE AS value FROM fit")
+SQL["center_fit"] = tension_sql(_CENTER + " SELECT level, coalesce(xb, -1) AS xb, coalesce(yb, -1) AS yb, n, round(value, 6) + 0.0::DOUBLE AS value FROM fit")
 SQL["center_apply"] = tension_sql(_CENTER + f""", b AS (SELECT s.*, {_bin_sql('month', 'xe')} AS xb, {_bin_sql('price', 'ye')} AS yb FROM s, e),
   j AS (SELECT b.id, delta_b, b.xb IS NOT NULL AND b.yb IS NOT NULL AS hull, c.value AS cv, l.value AS lv, g.value AS gv FROM b LEFT JOIN fit c ON c.level = 'cell' AND c.xb = b.xb AND c.yb = b.yb AND c.n >= {SUPPORT}
     LEFT JOIN fit l ON l.level = 'x' AND l.xb = b.xb AND l.n >= {SUPPORT} LEFT JOIN fit g ON g.level = 'global')
