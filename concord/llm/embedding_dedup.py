@@ -97,11 +97,25 @@ def linked(m: np.ndarray, near: np.ndarray, own: np.ndarray, within: bool, first
     return link
 
 
-def fit_pivots(vectors: DataFrame, n: int, pivots: int | None) -> np.ndarray:
-    """The pivots: the `n`-dependent number of vectors (1024 at most) with the least hash of their id."""
+def fit_pivots(vectors: DataFrame, n: int, pivots: int | None, apart: float = 0.6) -> np.ndarray:
+    """The pivots: as many as the root of `n` says (1024 at most), no two with a cosine of `apart` or more.
+
+    Taken in turn from a sample of four times as many, those of the least hash
+    of their id.  Without this distance a dense group would hold many pivots,
+    whose order says nothing.  If the sample has too few, directions drawn from
+    a fixed seed fill up.
+    """
     want = pivots or min(MOST_PIVOTS, max(FEWEST_PIVOTS, isqrt(n)))
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(want).select("v").toArrow()
-    return unit_rows(matrix(rows.column("v").combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.float64())))[0]) if rows.num_rows else np.zeros((0, 1))
+    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(4 * want).select("v").toArrow()
+    if not rows.num_rows:
+        return np.zeros((0, 1))
+    sample = unit_rows(matrix(rows.column("v").combine_chunks())[0])
+    drawn = unit_rows(np.random.default_rng(7).normal(size=(want, sample.shape[1])))
+    out = np.zeros((0, sample.shape[1]))
+    for v in (*sample, *drawn):
+        if len(out) < want and (out @ v < apart).all():
+            out = np.vstack([out, v])
+    return out
 
 
 def embedding_classes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = 0.93, k: int = 6, pivots: int | None = None, block: int = 256) -> DataFrame:
