@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import map_text, strings, values
+from .common import map_text, pieces, strings, values
 
 #: The byte-level pre-tokenizer's word pattern.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -188,20 +188,16 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", into: str =
 
     A column of that name is replaced; all other columns stay as they are.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import ArrayType, IntegerType, StructType
 
     base = docs.drop(into)
     schema = StructType([*base.schema.fields]).add(into, ArrayType(IntegerType()), False)
-    arrow = to_arrow_schema(schema)
 
     def run(batches):
-        from .common import pieces
-
         for batch in pieces(batches, text):
             ids, _ = load(vocabulary).encode_all(strings(batch, text))
             flat = [np.array(x.split(","), dtype=np.int32) if x else np.empty(0, np.int32) for x in ids]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(flat, type=pa.list_(pa.int32()))], schema=arrow)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(flat, type=pa.list_(pa.int32()))], names=[*batch.schema.names, into])
 
     return base.mapInArrow(run, schema)
 

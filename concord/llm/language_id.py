@@ -240,14 +240,12 @@ def identify_languages(docs: DataFrame, net: Network | None, text: str = "text",
     `und` with score 0 for null texts, texts without a letter, and where there
     is no model.  Columns named lang_pred or score are replaced.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, StringType, StructType
 
     wanted = [c for c in keep or docs.columns if c not in ("lang_pred", "score")]
     base = docs.select(*wanted, *([] if text in wanted else [text]))
     shown = [f for f in base.schema.fields if keep is None or f.name in keep]
     schema = StructType([*shown]).add("lang_pred", StringType(), False).add("score", DoubleType(), False)
-    arrow = to_arrow_schema(schema)
 
     def run(batches):
         for piece in pieces(batches, text, 2 << 20):
@@ -261,6 +259,6 @@ def identify_languages(docs: DataFrame, net: Network | None, text: str = "text",
                 pred[some] = np.array(net.labels, dtype=object)[best]
                 score[some] = np.clip(p[np.arange(len(some)), best], 0, 1)
             cols = [values(piece, f.name) for f in shown]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(score)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(score)], names=schema.names)
 
     return base.mapInArrow(run, schema)

@@ -80,7 +80,8 @@ def recurring_lines(docs: DataFrame, min_docs: int = 10, leading: int = 3, segme
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", into: str = "text", min_docs: int = 10, leading: int = 3, segments: int = 4, min_tokens: int = 5, keep_first: bool = True) -> DataFrame:
-    """The table with recurring lines dropped from its texts, and columns n_lines, n_dropped before what was there.
+    """The table with recurring lines dropped from its texts, and columns n_lines, n_dropped before what was there
+    (columns of these names are replaced).
 
     A null text stays null and has no lines; an empty text is one empty line.
     Rows that share an id are treated as one document each, but what recurs in
@@ -88,6 +89,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", int
     short lines (under `min_tokens` tokens) stay.  Ids are whole numbers; rows
     with a null id are left as they are.
     """
+    docs = docs.drop("n_lines", "n_dropped")
     plain = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).filter("doc_id is not null")
     drop = recurring_lines(plain, min_docs, leading, segments, min_tokens, keep_first).withColumnRenamed("doc_id", "__doc").withColumnRenamed("lines", "__drop")
     rows = docs.join(drop, docs[doc_id].cast("long") == F.col("__doc"), "left")

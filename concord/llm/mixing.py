@@ -98,7 +98,7 @@ def mixed_documents(docs: DataFrame, ramps=RAMPS, doc_id: str = "doc_id", **name
     Rows of one doc_id that occurs several times get the turns of all of them
     once each: they are numbered within the id first.
     """
-    nth = Window.partitionBy(doc_id).orderBy(*[c for c in docs.columns if c != doc_id])
+    nth = Window.partitionBy(doc_id).orderBy(*[names.get(c, c) for c in ("source", "text")])
     plan = plan_mix(docs, ramps=ramps, doc_id=doc_id, **names).filter("repeats > 0")
     same = Window.partitionBy("doc_id").orderBy("source", "size", "prefix")
     turns = plan.withColumn("__nth", F.row_number().over(same)).withColumn("__turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("repeats") - 1)))
