@@ -32,8 +32,9 @@ def reconcile(source: DataFrame, target: DataFrame, key: str, columns: Sequence[
     with its index).
     """
     kinds = {f.name: f.dataType for f in source.schema.fields}
-    often = source.select(key, F.lit(1).alias("s"), F.lit(0).alias("t")).unionByName(target.select(key, F.lit(0).alias("s"), F.lit(1).alias("t"))).groupBy(key).agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
-    whole = F.when(F.col("t") == 0, "absent_in_target").when(F.col("s") == 0, "absent_in_source").when((F.col("s") > 1) | (F.col("t") > 1), "multiplicity")
+    often = source.select(key, F.lit(1).alias("__s"), F.lit(0).alias("__t")).unionByName(target.select(key, F.lit(0).alias("__s"), F.lit(1).alias("__t"))).groupBy(key).agg(F.sum("__s").alias("__in_s"), F.sum("__t").alias("__in_t"))
+    in_s, in_t = F.col("__in_s"), F.col("__in_t")
+    whole = F.when(in_t == 0, "absent_in_target").when(in_s == 0, "absent_in_source").when((in_s > 1) | (in_t > 1), "multiplicity")
     none = F.lit(None).cast("int")
     rows = often.withColumn("kind", whole).filter("kind is not null").select(key, F.lit(None).cast("string").alias("column"), none.alias("index"), "kind")
     both = _beside(source, target, key, columns).filter("in_s and in_t")
@@ -50,7 +51,7 @@ def reconcile(source: DataFrame, target: DataFrame, key: str, columns: Sequence[
 def multiset_difference(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: distinct tuples, equal ones, tuples and rows in excess on either side.  For tables without a key; one shuffle."""
     signed = source.select(*columns, F.lit(1).alias("__s"), F.lit(0).alias("__t")).unionByName(target.select(*columns, F.lit(0).alias("__s"), F.lit(1).alias("__t")))
-    n = signed.groupBy(*columns).agg(F.sum("__s").alias("s"), F.sum("__t").alias("t"))
+    n = signed.groupBy(*columns).agg(F.sum("__s").alias("__in_s"), F.sum("__t").alias("__in_t")).select(F.col("__in_s").alias("s"), F.col("__in_t").alias("t"))
     more, fewer = F.col("s") > F.col("t"), F.col("s") < F.col("t")
     return n.agg(F.count(F.lit(1)).alias("n_tuples"), F.count_if(F.col("s") == F.col("t")).alias("n_equal"), F.count_if(more).alias("n_more_in_source"), F.count_if(fewer).alias("n_more_in_target"), F.coalesce(F.sum(F.when(more, F.col("s") - F.col("t"))), F.lit(0)).alias("rows_more_in_source"), F.coalesce(F.sum(F.when(fewer, F.col("t") - F.col("s"))), F.lit(0)).alias("rows_more_in_target"))
 

@@ -124,5 +124,5 @@ def scored(df: DataFrame, name: str, a: str, low: str, high: str, b: str, err: s
     state = F.when(usable, "point_valid").when(ok & in_scale, "zero_combined_scale").when(F.col(f"{name}_scale_state") == "approximation_out_of_domain", "approximation_out_of_domain").otherwise("unsupported_scale")
     return df.withColumns({
         f"delta_{name}": delta, f"residual_{name}": delta - expected, f"sigma_a_{name}": F.when(ok & in_scale, s_a), f"sigma_b_{name}": s_b,
-        f"score_{name}": F.when(usable, (delta - expected) / combined), f"score_{name}_state": state,
+        f"score_{name}": F.when(usable, F.try_divide(delta - expected, combined)), f"score_{name}_state": state,
     })

@@ -32,8 +32,8 @@ def deltas(pair: Pair) -> dict[str, Column]:
     b, err = F.col(pair.b), F.col(pair.b_err)
     delta = F.when(b > 0, F.col(pair.log_a) - F.log10(b))
     s_a = (F.col(pair.high) - F.col(pair.low)) / 2
-    s_b = F.when(err > 0, err / (b * LN10))
-    t = delta / F.sqrt(s_a * s_a + s_b * s_b + F.lit(pair.floor * pair.floor))
+    s_b = F.when((err > 0) & (b > 0), F.try_divide(err, b * LN10))
+    t = F.try_divide(delta, F.sqrt(s_a * s_a + s_b * s_b + F.lit(pair.floor * pair.floor)))
     return {f"delta_{pair.name}": delta, f"sigma_a_{pair.name}": s_a, f"sigma_b_{pair.name}": s_b, f"t_{pair.name}": t}
 
 
