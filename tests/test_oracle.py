@@ -15,7 +15,7 @@ FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def cell(x):
     if x is None or x is pd.NA or (isinstance(x, float) and math.isnan(x)):
         return "null"
-    if isinstance(x, bool) or type(x).__name__ == "bool_":
+    if type(x).__name__ in ("bool", "bool_"):
         return str(bool(x))
     return repr(round(float(x), 6) + 0.0) if isinstance(x, int | float) or hasattr(x, "dtype") else str(x)
 
