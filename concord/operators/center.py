@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import holds
+from .ranks import exact_percentiles
 
 MAD_TO_SIGMA = 1.4826
 
@@ -24,9 +25,11 @@ class Edges:
 
 def quantile_edges(df: DataFrame, x: str, y: str, bins: tuple[int, int]) -> Edges:
     """Exact quantile edges of both covariates; equal edges are merged."""
-    shares = [[i / n for i in range(n + 1)] for n in bins]
-    row = df.agg(*[F.percentile(c, F.array(*map(F.lit, s))) for c, s in zip((x, y), shares, strict=True)]).first()
-    return Edges(*[tuple(sorted(set(v or ()))) for v in row])
+    found = []
+    for c, n in zip((x, y), bins, strict=True):
+        row = exact_percentiles(df, F.col(c), {f"q{i}": i / n for i in range(n + 1)}).first()
+        found.append(tuple(sorted({v for v in row if v is not None})))
+    return Edges(*found)
 
 
 def bin_no(c: Column, edges: Sequence[float]) -> Column:
@@ -40,12 +43,15 @@ def bin_no(c: Column, edges: Sequence[float]) -> Column:
 def fit_center(df: DataFrame, delta: str, x: str, y: str, edges: Edges) -> DataFrame:
     """level (cell, x, global), xb, yb, n, value: medians of delta by cell, by x bin, and over all."""
     rows = df.select(delta, bin_no(F.col(x), edges.x).alias("xb"), bin_no(F.col(y), edges.y).alias("yb")).filter(F.col(delta).isNotNull())
-    stats = [F.count(F.lit(1)).alias("n"), F.percentile(delta, F.lit(0.5)).alias("value")]
-    none = F.lit(None).cast("int")
-    cell = rows.filter("xb is not null and yb is not null").groupBy("xb", "yb").agg(*stats).select(F.lit("cell").alias("level"), "xb", "yb", "n", "value")
-    by_x = rows.filter("xb is not null").groupBy("xb").agg(*stats).select(F.lit("x").alias("level"), "xb", none.alias("yb"), "n", "value")
-    total = rows.agg(*stats).select(F.lit("global").alias("level"), none.alias("xb"), none.alias("yb"), "n", "value")
-    return cell.unionByName(by_x).unionByName(total)
+    none, cell, line = F.lit(None).cast("int"), F.col("xb").isNotNull() & F.col("yb").isNotNull(), F.col("xb").isNotNull()
+    level = lambda name, xb, yb: F.struct(F.lit(name).alias("level"), xb.alias("xb"), yb.alias("yb"))
+    levels = F.array_compact(F.array(F.when(cell, level("cell", F.col("xb"), F.col("yb"))), F.when(line, level("x", F.col("xb"), none)), level("global", none, none)))
+    long = rows.select(F.col(delta).alias("d"), F.inline(levels))
+    by = ["level", "xb", "yb"]
+    n = long.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    m = exact_percentiles(long, F.col("d"), {"value": 0.5}, by).select(*[F.col(c).alias(f"__{c}") for c in by], "value")
+    same = F.col("level") == F.col("__level")
+    return n.join(m, same & F.col("xb").eqNullSafe(F.col("__xb")) & F.col("yb").eqNullSafe(F.col("__yb"))).select(*by, "n", "value")
 
 
 def apply_center(df: DataFrame, fit: DataFrame, x: str, y: str, edges: Edges, support: int = 200) -> DataFrame:
@@ -73,8 +79,9 @@ def spread_by_floor(df: DataFrame, residual: str, sigma_a: str, sigma_b: str, ca
     rows = df.filter(F.col(residual).isNotNull() & F.col(sigma_a).isNotNull() & F.col(sigma_b).isNotNull())
     rows = rows.select(residual, sigma_a, sigma_b, F.explode(F.array(*map(F.lit, candidates))).alias("floor"))
     rows = rows.select("floor", F.try_divide(F.col(residual), F.sqrt(F.col(sigma_a) ** 2 + F.col(sigma_b) ** 2 + F.col("floor") ** 2)).alias("v"))
-    middle = rows.groupBy("floor").agg(F.percentile("v", F.lit(0.5)).alias("m"))
-    return rows.join(F.broadcast(middle), "floor").groupBy("floor").agg((F.percentile(F.abs(F.col("v") - F.col("m")), F.lit(0.5)) * MAD_TO_SIGMA).alias("spread"))
+    middle = exact_percentiles(rows, F.col("v"), {"m": 0.5}, ["floor"])
+    away = exact_percentiles(rows.join(F.broadcast(middle), "floor"), F.abs(F.col("v") - F.col("m")), {"mad": 0.5}, ["floor"])
+    return away.select("floor", (F.col("mad") * MAD_TO_SIGMA).alias("spread"))
 
 
 def fit_floor(df: DataFrame, residual: str, sigma_a: str, sigma_b: str, low: float = 0.0, high: float = 2.0, steps: int = 16, rounds: int = 5) -> float:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import holds
+from .ranks import exact_percentiles
 
 
 class Violation(RuntimeError):
@@ -48,14 +49,15 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def range_checks(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:
-    """column, lo, hi, mean, median, n_outside, status (PASS, FAIL, NO_DATA), from one aggregate."""
+    """column, lo, hi, mean, median, n_outside, status (PASS, FAIL, NO_DATA)."""
     parts = []
     for c, (low, high) in bounds.items():
         v = F.col(c).cast("double")
         outside = F.count_if(holds(~v.between(low, high)))
         status = F.when(F.count(v) == 0, "NO_DATA").when(outside == 0, "PASS").otherwise("FAIL")
-        parts.append(F.struct(F.lit(c).alias("column"), F.min(v).alias("lo"), F.max(v).alias("hi"), F.avg(v).alias("mean"), F.percentile(v, F.lit(0.5)).alias("median"), outside.alias("n_outside"), status.alias("status")))
-    return df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
+        parts.append(F.struct(F.lit(c).alias("column"), F.min(v).alias("lo"), F.max(v).alias("hi"), F.avg(v).alias("mean"), outside.alias("n_outside"), status.alias("status")))
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in bounds])))
+    return df.agg(F.array(*parts).alias("p")).select(F.inline("p")).join(exact_percentiles(long, F.col("v"), {"median": 0.5}, ["column"]), "column", "left")
 
 
 def expectations(metrics: DataFrame, expected: DataFrame, warn: float = 0.05) -> DataFrame:
@@ -75,5 +77,5 @@ def resolve(rows: DataFrame, lookup: DataFrame, key: str, columns: Sequence[str]
 
 def separation_stats(df: DataFrame, sep: Column) -> DataFrame:
     """One row: n, min, median, p90, p99, max of the values given."""
-    marks = {"lo": 0.0, "median": 0.5, "p90": 0.9, "p99": 0.99, "hi": 1.0}
-    return df.agg(F.count(sep).alias("n"), *[F.percentile(sep, F.lit(p)).alias(n) for n, p in marks.items()])
+    marks = exact_percentiles(df, sep, {"lo": 0.0, "median": 0.5, "p90": 0.9, "p99": 0.99, "hi": 1.0}).withColumn("__k", F.lit(1))
+    return df.agg(F.count(sep).alias("n")).withColumn("__k", F.lit(1)).join(marks, "__k").drop("__k")

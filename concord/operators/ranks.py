@@ -2,10 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _range_of(df: DataFrame, value: str, n: int) -> tuple[Column, int]:
+    """Number of the range, of about `n` with as many rows each, that holds the value; and how many there are.  Nulls come last."""
+    bounds = sorted(set(df.select(F.col(value).cast("double").alias(value)).approxQuantile(value, [i / n for i in range(1, n)], 0.01))) if n > 1 else []
+    bounds = [b for b in bounds if b == b]
+    part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(value))) if bounds else F.lit(0)
+    return F.when(F.col(value).isNull(), len(bounds) + 1).otherwise(part), len(bounds) + 1
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def exact_percentiles(df: DataFrame, value: Column, shares: Mapping[str, float], by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """Exact, interpolated percentiles (nulls left out), one column per name of `shares`, of the table or of each group.
+
+    The built-in percentile holds all distinct values of a group in one task.
+    Here distinct values are counted, cut into ranges, and numbered through by
+    the ranges' totals, so that only the values at the wanted positions are
+    brought together.  Groups without values are absent; without `by` there is
+    one row in any case.
+    """
+    rows = df.select(*by, value.cast("double").alias("__v")).filter("__v is not null")
+    counts = rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    part, _ = _range_of(rows, "__v", ranges or _partitions(df))
+    counts = counts.withColumn("__part", part)
+    before = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy(*by, "__part").agg(F.sum("__c").alias("__t"))
+    totals = totals.withColumns({"__before": F.coalesce(F.sum("__t").over(before), F.lit(0)), "__all": F.sum("__t").over(Window.partitionBy(*by))}).select(*[F.col(b).alias(f"__by_{b}") for b in by], F.col("__part").alias("__p"), "__before", "__all")
+    same = F.col("__part") == F.col("__p")
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"__by_{b}"))
+    inside = Window.partitionBy(*by, "__part").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.join(totals, same).withColumn("__lo", F.col("__before") + F.coalesce(F.sum("__c").over(inside), F.lit(0)))
+    at, found = {n: (F.col("__all") - 1) * F.lit(float(p)) for n, p in shares.items()}, []
+    covers = lambda k: (F.col("__lo") <= k) & (k < F.col("__lo") + F.col("__c"))
+    for n, pos in at.items():
+        k = F.floor(pos)
+        found += [F.max(F.when(covers(k), F.col("__v"))).alias(f"__l_{n}"), F.max(F.when(covers(k + 1), F.col("__v"))).alias(f"__h_{n}"), F.max(pos - k).alias(f"__f_{n}")]
+    picked = placed.groupBy(*by).agg(*found)
+    blend = lambda n: F.when(F.col(f"__f_{n}") > 0, F.col(f"__l_{n}") + F.col(f"__f_{n}") * (F.col(f"__h_{n}") - F.col(f"__l_{n}"))).otherwise(F.col(f"__l_{n}"))
+    return picked.select(*by, *[blend(n).alias(n) for n in shares])
+
+
 def percent_rank(df: DataFrame, value: str, into: str, ranges: int | None = None) -> DataFrame:
     """Add `into`: the share of rows that rank below the row's value (nulls rank last), as PERCENT_RANK over the whole table.
 
@@ -13,15 +58,9 @@ def percent_rank(df: DataFrame, value: str, into: str, ranges: int | None = None
     equal size, summed up over the ranges (one row each) and inside them, and
     joined back.  An unpartitioned window would gather the table in one task.
     """
-    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
-    bounds = sorted(set(df.select(F.col(value).cast("double").alias(value)).approxQuantile(value, [i / n for i in range(1, n)], 0.01))) if n > 1 else []
-    bounds = [b for b in bounds if b == b]
-    part = F.lit(0)
-    if bounds:
-        part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(value)))
-    # nulls come after every range
-    counts = counts.withColumn("__part", F.when(F.col(value).isNull(), len(bounds) + 1).otherwise(part))
+    part, _ = _range_of(df, value, ranges or _partitions(df))
+    counts = counts.withColumn("__part", part)
     totals = counts.groupBy("__part").agg(F.sum("__n").alias("__t"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()

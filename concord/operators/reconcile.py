@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import finite, holds
+from .ranks import exact_percentiles
 
 
 def same(a: Column, b: Column, kind: T.DataType | None = None) -> Column:
@@ -85,11 +86,10 @@ def value_drift(source: DataFrame, target: DataFrame, key: str, column: str, gro
     delta = F.col("b") - F.col("a")
     relative = delta if logarithmic else F.try_divide(delta, F.abs("a"))
     x = x.filter(valid).select(group, delta.alias("d"), relative.alias("r"))
-    marks = (1, 16, 50, 84, 99)
-    return x.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n_valid"), F.count_if(F.col("d") == 0).alias("n_exact"), F.avg((F.col("d") == 0).cast("double")).alias("match"), *[F.percentile("d", F.lit(m / 100)).alias(f"d_p{m}") for m in marks],
-        F.percentile("r", F.lit(0.5)).alias("r_median"), F.max(F.abs("r")).alias("r_max"), *[F.avg((F.abs("r") > t).cast("double")).alias(f"above_{i}") for i, t in enumerate(limits)],
-    )
+    marks = exact_percentiles(x, F.col("d"), {f"d_p{m}": m / 100 for m in (1, 16, 50, 84, 99)}, [group])
+    middle = exact_percentiles(x, F.col("r"), {"r_median": 0.5}, [group])
+    counts = x.groupBy(group).agg(F.count(F.lit(1)).alias("n_valid"), F.count_if(F.col("d") == 0).alias("n_exact"), F.avg((F.col("d") == 0).cast("double")).alias("match"), F.max(F.abs("r")).alias("r_max"), *[F.avg((F.abs("r") > t).cast("double")).alias(f"above_{i}") for i, t in enumerate(limits)])
+    return counts.join(marks, group, "left").join(middle, group, "left")
 
 
 def id_space(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import LN10, every, guarded_ratio, holds
+from .ranks import exact_percentiles, top
 
 
 @dataclass(frozen=True)
@@ -69,10 +70,10 @@ def pull_stats(df: DataFrame, columns: Sequence[str], limits: Sequence[float] =
     """
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("scalar"), F.col(c).alias("v")) for c in columns]))).filter("v is not null")
     tails = [F.avg(F.when(F.abs("v") > x, 1.0).otherwise(0.0)).alias(f"frac_gt_{x:g}") for x in limits]
-    first = long.groupBy("scalar").agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.percentile("v", F.lit(0.5)).alias("median"), F.stddev_samp("v").alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi"), *tails)
+    first = long.groupBy("scalar").agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("sd"), F.min("v").alias("lo"), F.max("v").alias("hi"), *tails)
     centred = guarded_ratio(F.col("v") - F.col("mean"), F.col("sd"))
     moments = long.join(F.broadcast(first.select("scalar", "mean", "sd")), "scalar").groupBy("scalar").agg(F.avg(F.pow(centred, F.lit(3.0))).alias("skewness"), (F.avg(F.pow(centred, F.lit(4.0))) - 3).alias("kurtosis"))
-    return first.join(moments, "scalar")
+    return first.join(moments, "scalar").join(exact_percentiles(long, F.col("v"), {"median": 0.5}, ["scalar"]), "scalar")
 
 
 def correlations(df: DataFrame, pairs: Mapping[str, tuple[Column, Column]]) -> DataFrame:
@@ -83,16 +84,17 @@ def correlations(df: DataFrame, pairs: Mapping[str, tuple[Column, Column]]) -> D
 def abs_percentiles(df: DataFrame, column: str, shares: Sequence[float] = (0.5, 0.9, 0.95, 0.99), limits: Sequence[float] = (0.1, 0.3)) -> DataFrame:
     """One row: exact percentiles and maximum of |column|, and count and percentage above each limit."""
     a = F.abs(F.col(column))
-    out = [F.percentile(a, F.lit(p)).alias(f"p{round(p * 100)}") for p in shares]
     above = [x for i, t in enumerate(limits) for x in (F.count_if(a > t).alias(f"n_gt_{i}"), (F.avg(F.when(a > t, 1.0).when(a.isNotNull(), 0.0)) * 100).alias(f"pct_gt_{i}"))]
-    return df.agg(F.count(column).alias("n"), *out, F.max(a).alias("max_abs"), *above)
+    counts = df.agg(F.count(column).alias("n"), F.max(a).alias("max_abs"), *above).withColumn("__k", F.lit(1))
+    marks = exact_percentiles(df, a, {f"p{round(p * 100)}": p for p in shares}).withColumn("__k", F.lit(1))
+    return counts.join(marks, "__k").drop("__k")
 
 
 def boolean_grid(df: DataFrame, x: str, y: str, value: Column) -> DataFrame:
     """The four cells of two booleans, empty ones included: count, percentage of all rows, median of `value`."""
     spark = df.sparkSession
     grid = spark.createDataFrame([(a, b) for a in (True, False) for b in (True, False)], f"{x} boolean, {y} boolean")
-    cells = df.groupBy(x, y).agg(F.count(F.lit(1)).alias("n"), F.percentile(value, F.lit(0.5)).alias("median"))
+    cells = df.groupBy(x, y).agg(F.count(F.lit(1)).alias("n")).join(exact_percentiles(df, value, {"median": 0.5}, [x, y]), [x, y], "left")
     total = df.agg(F.count(F.lit(1)).alias("total")).withColumn("__k", F.lit(1))
     out = F.broadcast(grid).join(cells, [x, y], "left").withColumn("__k", F.lit(1)).join(F.broadcast(total), "__k")
     n = F.coalesce("n", F.lit(0))
@@ -101,8 +103,6 @@ def boolean_grid(df: DataFrame, x: str, y: str, value: Column) -> DataFrame:
 
 def not_shared(df: DataFrame, a: str, b: str, key: str, k: int) -> DataFrame:
     """Keys among the top k of |a| that are not among the top k of |b|."""
-    from .ranks import top
-
     first = top(df.filter(F.col(a).isNotNull()).select(key, a), F.abs(a), key, k)
     second = top(df.filter(F.col(b).isNotNull()).select(key, b), F.abs(b), key, k)
     return first.join(second, key, "left_anti")
