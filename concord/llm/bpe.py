@@ -24,7 +24,7 @@ from .common import map_text, pieces, strings, values
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NONE = np.iinfo(np.int32).max
 #: Words kept encoded between batches of one worker; the store is emptied when full.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 
 
 def byte_symbols() -> list[str]:

@@ -132,7 +132,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", pa
 
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
         heads = [f.split(" ")[0] for f in schema.split(", ")]
-        for piece in pieces(batches, "text", 2 << 20):
+        for piece in pieces(batches, "text", 1 << 20):
             ids, texts, extra = piece.column(0).to_pylist(), piece.column(1).to_pylist(), piece.column(3).to_pylist()
             if held:
                 ids, texts, extra = [held[0], *ids], [held[1], *texts], [held[2], *extra]

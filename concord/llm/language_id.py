@@ -248,7 +248,7 @@ def identify_languages(docs: DataFrame, net: Network | None, text: str = "text",
     schema = StructType([*shown]).add("lang_pred", StringType(), False).add("score", DoubleType(), False)
 
     def run(batches):
-        for piece in pieces(batches, text, 2 << 20):
+        for piece in pieces(batches, text, 1 << 20):
             texts = [t or "" for t in values(piece, text).to_pylist()]
             ok = np.array([any(map(str.isalpha, t)) for t in texts])
             pred, score = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))

@@ -116,7 +116,7 @@ def describe(docs: DataFrame, k: int, b: int, r: int) -> DataFrame:
     """doc_id, words, k1, k2 (key of the word sequence), bands of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text", 2 << 20):
+        for piece in pieces(batches, "text", 1 << 20):
             words, count = word_hashes([t.encode() for t in strings(piece)])
             n = len(count)
             nth = np.arange(len(words)) - np.repeat(np.cumsum(count) - count, count)
@@ -205,7 +205,7 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", doc_id: str = "d
     sets = rows.join(member, rows["doc_id"] == member["rep"]).select("rep", "near", "blocks", "own", "text")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text", 2 << 20):
+        for piece in pieces(batches, "text", 1 << 20):
             words, count = word_hashes([t.encode() for t in strings(piece)])
             doc, h, _ = shingle_sets(words, count, k)
             parts = np.split(h.view(np.int64), np.cumsum(np.bincount(doc, minlength=len(count)))[:-1])

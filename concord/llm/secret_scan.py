@@ -207,7 +207,7 @@ def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", ru
 
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    return map_text(rows, run, f"doc_id {kind}, spans array<struct<kind:string,start:int,stop:int,base:boolean>>", limit=1 << 20)
+    return map_text(rows, run, f"doc_id {kind}, spans array<struct<kind:string,start:int,stop:int,base:boolean>>")
 
 
 def span_digest(spans: list[tuple[int, int, int]], kinds: list[str]) -> str:
