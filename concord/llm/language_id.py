@@ -45,8 +45,12 @@ def new_network(labels: list[str], hidden: int, seed: int) -> Network:
     return Network(labels, [draw(2, 256, hidden, scale=0.3) for _ in range(3)], [draw(2, hidden, hidden, scale=hidden**-0.5) for _ in range(3)], np.zeros((2, 1, hidden), np.float32), draw(2, hidden, len(labels), scale=0.3), np.zeros(len(labels), np.float32))
 
 
-def forward(net: Network, windows: np.ndarray, keep: bool = False):
-    """Logits (T x B x C) at every position of `windows` (T x B bytes), and what training needs of each step."""
+def forward(net: Network, windows: np.ndarray, keep: bool = False, length: np.ndarray | None = None):
+    """Logits (T x B x C) at every position of `windows` (T x B bytes), and what training needs of each step.
+
+    With `length`, windows end earlier: the backward direction begins there, so
+    that what fills a window up says nothing.
+    """
     t_max, n = windows.shape
     h_size = net.recur[0].shape[1]
     read = windows.astype(np.intp)
@@ -55,7 +59,7 @@ def forward(net: Network, windows: np.ndarray, keep: bool = False):
     logits[:] = net.bias
     x, reset, update, inner = (np.empty((2, n, h_size), np.float32) for _ in range(4))
     y = np.empty((2, n, len(net.labels)), np.float32)
-    tape = []
+    tape, least = [], t_max if length is None else int(length.min())
     for t in range(t_max):
         back = t_max - 1 - t
         if keep:
@@ -80,6 +84,8 @@ def forward(net: Network, windows: np.ndarray, keep: bool = False):
         new = state - c
         new *= update
         new += c
+        if length is not None and back >= least:
+            new[1, back >= length] = 0
         if keep:
             tape.append((state, reset, update, inner, s, c, new))
         state = new
@@ -183,7 +189,7 @@ def label_texts(net: Network, texts: list[bytes], window: int = 240, halo: int =
         # shorter windows are filled up with blanks, after their end
         bytes_ = np.where(np.arange(t_max)[:, None] < length[o][None, :], flat[np.minimum(at, len(flat) - 1)], 32)
         core = (np.arange(t_max)[:, None] >= lead[o]) & (np.arange(t_max)[:, None] < (length[o] - tail[o]))
-        p = probabilities(forward(net, bytes_)[0], core)
+        p = probabilities(forward(net, bytes_, length=length[o])[0], core)
         np.add.at(total, owner[o], p.sum(axis=0))
     return total / np.maximum(size, 1)[:, None]
 
@@ -257,7 +263,7 @@ def identify_languages(docs: DataFrame, net: Network | None, text: str = "text",
                 p = label_texts(net, [texts[i].encode() for i in some])
                 best = p.argmax(axis=1)
                 pred[some] = np.array(net.labels, dtype=object)[best]
-                score[some] = np.clip(p[np.arange(len(some)), best], 0, 1)
+                score[some] = np.round(np.clip(p[np.arange(len(some)), best], 0, 1), 6)
             cols = [values(piece, f.name) for f in shown]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(score)], names=schema.names)
 

@@ -232,6 +232,14 @@ def test_windows_cover_every_position():
     assert language_id.label_texts(net, [text, b"", b"xy"], window=100, halo=30)[0] == pytest.approx(whole, abs=5e-3)
 
 
+def test_predictions_do_not_depend_on_neighbours():
+    net = language_id.new_network(["a", "b"], 4, 3)
+    rnd = random.Random(2)
+    texts = [bytes(rnd.randrange(97, 123) for _ in range(n)) for n in (3, 700, 41, 240, 250, 1)]
+    together = language_id.label_texts(net, texts)
+    assert all(language_id.label_texts(net, [t])[0] == pytest.approx(p, abs=1e-6) for t, p in zip(texts, together, strict=True))
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
