@@ -199,3 +199,13 @@ def embedding_classes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str
     out = rows.withColumn("k2", F.when(F.col("ok"), F.col("k2"))).join(of_rep, ["k1", "k2"], "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias("vec_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
+
+
+#: What the index has to find, in DuckDB, by comparing all pairs.
+EMBEDDINGS_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+c AS (SELECT vec_id AS id, vec_id AS reached FROM embeddings UNION SELECT c.id, l.b FROM c JOIN l ON l.a = c.reached),
+m AS (SELECT id, min(reached) AS component_id FROM c GROUP BY id), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN m ON id = vec_id LEFT JOIN n ON a = vec_id
+"""

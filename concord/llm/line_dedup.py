@@ -99,3 +99,18 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", int
     counts = [F.coalesce(F.size(all_lines), F.lit(0)).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_dropped")]
     rest = [kept.alias(into) if c == into else rows[c] for c in docs.columns]
     return rows.select(*counts, *rest, *([] if into in docs.columns else [kept.alias(into)]))
+
+
+#: The same in DuckDB for the default parameters, with templates as text in place of hashes.  White space and digits are taken as ASCII.
+LINES_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
+t AS (SELECT doc_id, line, list_transform(list_filter(string_split_regex(x, '\s+'), lambda w: w <> ''), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS w FROM l),
+u AS (SELECT *, len(w) AS n, least(3, len(w) - 1) AS lead, ceil((len(w) - least(3, len(w) - 1)) / 4.0)::BIGINT AS size FROM t WHERE len(w) >= 5),
+v AS (SELECT *, unnest(range(lead, n, size)) AS s FROM u WHERE size * 4 <= n),
+p AS (SELECT doc_id, line, n || ' ' || array_to_string(w, ' ') AS k FROM u
+  UNION ALL SELECT doc_id, line, n || ' ' || s || ' ' || array_to_string(list_concat(w[1:s], ['<*>'], w[s + size + 1:]), ' ') FROM v),
+c AS (SELECT k, min(doc_id) AS first FROM p GROUP BY k HAVING count(DISTINCT doc_id) >= 10),
+g AS (SELECT DISTINCT doc_id, line FROM p JOIN c USING (k) WHERE doc_id <> first),
+r AS (SELECT l.doc_id, count(*) AS n_lines, count(g.line) AS n_dropped, string_agg(x, chr(10) ORDER BY l.line) FILTER (g.line IS NULL) AS kept FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.line = l.line GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(kept, '')) AS text_sha256 FROM documents d LEFT JOIN r USING (doc_id)
+"""

@@ -262,3 +262,18 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **pa
     classes = near_duplicate_classes(docs, text, doc_id, **parameters)
     gone = cut(classes.filter("not kept").select(F.col("doc_id").alias("__gone")))
     return docs.join(gone, docs[doc_id].cast("long") == F.col("__gone"), "left_anti")
+
+
+#: What the bands have to find, in DuckDB, from all pairs of documents that share a shingle (equal word sequences once).
+CLASSES_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\r\f\v]+'), lambda w: w <> '') AS w FROM documents),
+e AS (SELECT w, min(doc_id) AS rep FROM d WHERE len(w) > 0 GROUP BY w),
+s AS (SELECT DISTINCT rep, array_to_string(w[i:i + 4], ' ') AS h FROM (SELECT rep, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM e)),
+n AS (SELECT rep, count(*) AS n FROM s GROUP BY rep),
+x AS (SELECT a.rep AS a, b.rep AS b, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.rep < b.rep GROUP BY a.rep, b.rep),
+k AS (SELECT a, b FROM x JOIN n p ON p.rep = a JOIN n q ON q.rep = b WHERE c >= 0.8 * (p.n + q.n - c)),
+l AS (SELECT a, b FROM k UNION ALL SELECT b, a FROM k),
+r AS (SELECT rep AS id, rep AS reached FROM e UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.reached),
+m AS (SELECT id, min(reached) AS class FROM r GROUP BY id)
+SELECT doc_id, len(d.w)::BIGINT AS words, coalesce(class, doc_id) AS class_id, doc_id = coalesce(class, doc_id) AS kept FROM d LEFT JOIN e ON e.w = d.w LEFT JOIN m ON m.id = e.rep
+"""

@@ -106,6 +106,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
+    from .embedding_dedup import EMBEDDINGS_SQL
+    from .line_dedup import LINES_SQL
+    from .minhash import CLASSES_SQL
     from .mixing import MIX_SQL
 
-    return {"op10_mixing": MIX_SQL}
+    return {"op3_embeddings": EMBEDDINGS_SQL, "op4_line_dedup": LINES_SQL, "op9_minhash": CLASSES_SQL, "op10_mixing": MIX_SQL}
