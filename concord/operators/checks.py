@@ -62,7 +62,7 @@ def range_checks(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> Da
 
 def expectations(metrics: DataFrame, expected: DataFrame, warn: float = 0.05) -> DataFrame:
     """name, prior, observed, status: PASS if equal, WARN within the share `warn`, else FAIL; INFO without a prior, MISSING without an observation."""
-    x = metrics.join(F.broadcast(expected), "name", "full_outer")
+    x = metrics.join(expected, "name", "full_outer")
     close = F.abs(F.col("observed") - F.col("prior")) <= warn * F.abs("prior")
     status = F.when(F.col("observed").isNull(), "MISSING").when(F.col("prior").isNull(), "INFO").when(F.col("observed") == F.col("prior"), "PASS").when(close, "WARN").otherwise("FAIL")
     return x.select("name", "prior", "observed", status.alias("status"))

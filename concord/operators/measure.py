@@ -184,7 +184,7 @@ def source_summary(cat: DataFrame, meas: DataFrame, unique: DataFrame, p: Policy
 
 def with_split(summary: DataFrame, splits: DataFrame, unassigned: str = "unassigned") -> DataFrame:
     """Gate eligibility by the split of the tile; a missing or unknown tile is unassigned and says so among the reasons."""
-    out = summary.join(F.broadcast(splits.select("tile", "split")), "tile", "left").withColumn("split", F.coalesce("split", F.lit(unassigned)))
+    out = summary.join(splits.select("tile", "split"), "tile", "left").withColumn("split", F.coalesce("split", F.lit(unassigned)))
     ok = F.col("split") != unassigned
     reasons_ = F.when(ok, F.col("exclusion")).otherwise(F.array_sort(F.array_union("exclusion", F.array(F.lit("split_unassigned")))))
     return out.withColumns({"eligible_primary": F.col("basis_primary") & ok, "eligible_validation": F.col("basis_validation") & ok, "exclusion": reasons_})
@@ -320,7 +320,7 @@ def coverage_states(summary: DataFrame) -> DataFrame:
 def coverage_by(df: DataFrame, domain: DataFrame, key: str, flag: str) -> DataFrame:
     """Every value of the domain with its rows and the true, false and missing counts of a boolean; other values count as (other)."""
     known = domain.select(key).distinct().withColumn("__d", F.lit(True))
-    rows = df.join(F.broadcast(known), key, "left").withColumn(key, F.when(holds(F.col("__d")), F.col(key)).otherwise("(other)"))
+    rows = df.join(known, key, "left").withColumn(key, F.when(holds(F.col("__d")), F.col(key)).otherwise("(other)"))
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count_if(holds(F.col(flag))).alias("n_true"), F.count_if(holds(~F.col(flag))).alias("n_false"), F.count_if(F.col(flag).isNull()).alias("n_missing"))
     grid = known.select(key).unionByName(df.sparkSession.createDataFrame([("(other)",)], f"{key} string"))
     out = grid.join(counts, key, "left")

@@ -57,7 +57,7 @@ class Tables:
         """Sources: tile, class, magnitudes and a place on the sky."""
         i = F.col("c_custkey")
         mag = F.col("c_acctbal") / 300
-        c = self.customer.join(F.broadcast(self.nation.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        c = self.customer.join(self.nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         return c.select(
             i.alias("id"), F.when(i % 101 == 0, None).otherwise(F.col("n_name")).alias("tile"), F.when(i % 103 == 0, None).when(i % 107 == 0, 7).otherwise(i % 3).alias("class"),
             F.when(i % 89 == 0, None).when(i % 83 == 0, F.lit(math.nan)).otherwise(mag).alias("mag"), (mag + (i % 7) / 10).alias("mag2"),
