@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import holds
+from .checkpoints import cut
 from .ranks import exact_percentiles
 
 MAD_TO_SIGMA = 1.4826
@@ -77,6 +78,7 @@ def apply_center(df: DataFrame, fit: DataFrame, x: str, y: str, edges: Edges, su
 def spread_by_floor(df: DataFrame, residual: str, sigma_a: str, sigma_b: str, candidates: Sequence[float]) -> DataFrame:
     """floor, spread: 1.4826 MAD of residual / sqrt(sigmas^2 + floor^2) for every candidate floor, all in one pass of rows."""
     rows = df.filter(F.col(residual).isNotNull() & F.col(sigma_a).isNotNull() & F.col(sigma_b).isNotNull())
+    rows = cut(rows.select(residual, sigma_a, sigma_b))
     rows = rows.select(residual, sigma_a, sigma_b, F.explode(F.array(*map(F.lit, candidates))).alias("floor"))
     rows = rows.select("floor", F.try_divide(F.col(residual), F.sqrt(F.col(sigma_a) ** 2 + F.col(sigma_b) ** 2 + F.col("floor") ** 2)).alias("v"))
     middle = exact_percentiles(rows, F.col("v"), {"m": 0.5}, ["floor"])

@@ -7,13 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .checkpoints import cut
 
-def _range_of(df: DataFrame, value: str, n: int) -> tuple[Column, int]:
-    """Number of the range, of about `n` with as many rows each, that holds the value; and how many there are.  Nulls come last."""
-    bounds = sorted(set(df.select(F.col(value).cast("double").alias(value)).approxQuantile(value, [i / n for i in range(1, n)], 0.01))) if n > 1 else []
+
+def _range_of(counts: DataFrame, value: str, n: int) -> Column:
+    """Number of the range, of about `n` with as many distinct values each, that holds the value.  Nulls come last."""
+    bounds = sorted(set(counts.select(F.col(value).cast("double").alias(value)).approxQuantile(value, [i / n for i in range(1, n)], 0.01))) if n > 1 else []
     bounds = [b for b in bounds if b == b]
     part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(value))) if bounds else F.lit(0)
-    return F.when(F.col(value).isNull(), len(bounds) + 1).otherwise(part), len(bounds) + 1
+    return F.when(F.col(value).isNull(), len(bounds) + 1).otherwise(part)
 
 
 def _partitions(df: DataFrame) -> int:
@@ -24,14 +26,15 @@ def exact_percentiles(df: DataFrame, value: Column, shares: Mapping[str, float],
     """Exact, interpolated percentiles (nulls left out), one column per name of `shares`, of the table or of each group.
 
     The built-in percentile holds all distinct values of a group in one task.
-    Here distinct values are counted, cut into ranges, and numbered through by
+    Here distinct values are counted (and the counts written to the checkpoint
+    folder, as they serve several steps), cut into ranges, and numbered through by
     the ranges' totals, so that only the values at the wanted positions are
     brought together.  Groups without values are absent; without `by` there is
     one row in any case.
     """
     rows = df.select(*by, value.cast("double").alias("__v")).filter("__v is not null")
-    counts = rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    part, _ = _range_of(rows, "__v", ranges or _partitions(df))
+    counts = cut(rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c")))
+    part = _range_of(counts, "__v", ranges or _partitions(df))
     counts = counts.withColumn("__part", part)
     before = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     totals = counts.groupBy(*by, "__part").agg(F.sum("__c").alias("__t"))
@@ -58,8 +61,8 @@ def percent_rank(df: DataFrame, value: str, into: str, ranges: int | None = None
     equal size, summed up over the ranges (one row each) and inside them, and
     joined back.  An unpartitioned window would gather the table in one task.
     """
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
-    part, _ = _range_of(df, value, ranges or _partitions(df))
+    counts = cut(df.groupBy(value).agg(F.count(F.lit(1)).alias("__n")))
+    part = _range_of(counts, value, ranges or _partitions(df))
     counts = counts.withColumn("__part", part)
     totals = counts.groupBy("__part").agg(F.sum("__n").alias("__t"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

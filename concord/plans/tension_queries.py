@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import holds, r6
 from ..operators import center, states
 from ..operators import tension as T
+from ..operators.checkpoints import cut
 from ..operators.ranks import percent_rank
 from .views import Tables, with_views
 
@@ -214,7 +215,7 @@ def _development(t: Tables) -> DataFrame:
 
 
 def _fit(t: Tables):
-    rows = _development(t)
+    rows = cut(_development(t).select("id", "split", "month", "price", "delta_b"))  # fitted on, and scored, several times
     dev = rows.filter(center.is_development(F.col("split")))
     edges = center.quantile_edges(dev, "month", "price", (6, 5))
     return rows, center.fit_center(dev, "delta_b", "month", "price", edges), edges
