@@ -79,3 +79,22 @@ def separation_stats(df: DataFrame, sep: Column) -> DataFrame:
     """One row: n, min, median, p90, p99, max of the values given."""
     marks = exact_percentiles(df, sep, {"lo": 0.0, "median": 0.5, "p90": 0.9, "p99": 0.99, "hi": 1.0}).withColumn("__k", F.lit(1))
     return df.agg(F.count(sep).alias("n")).withColumn("__k", F.lit(1)).join(marks, "__k").drop("__k")
+
+
+def quality_suite(tables: Mapping[str, DataFrame], keys: Mapping[str, str], links: Sequence[tuple[str, str, str, str]], bounds: Mapping[str, Mapping[str, tuple[float, float]]], null_limit: float = 0.0) -> DataFrame:
+    """section, name, observed, status: keys, links between tables, ranges and null shares of a catalogue in one frame.
+
+    A link is (table, column, parent table, parent column); its rows must all have a parent.
+    """
+    from .profile import null_counts
+
+    parts = []
+    for t, k in keys.items():
+        parts.append(key_unique(tables[t], k).select(F.lit("key").alias("section"), F.lit(f"{t}.{k}").alias("name"), (F.col("n_rows") - F.col("n_keys")).cast("double").alias("observed"), F.when(F.col("is_unique"), "PASS").otherwise("FAIL").alias("status")))
+    for t, c, parent, pc in links:
+        n = tables[t].filter(F.col(c).isNotNull()).join(tables[parent].select(F.col(pc).alias(c)), c, "left_anti").agg(F.count(F.lit(1)).cast("double").alias("observed"))
+        parts.append(n.select(F.lit("link").alias("section"), F.lit(f"{t}.{c}").alias("name"), "observed", F.when(F.col("observed") == 0, "PASS").otherwise("FAIL").alias("status")))
+    for t, limits in bounds.items():
+        parts.append(range_checks(tables[t], limits).select(F.lit("range").alias("section"), F.concat(F.lit(f"{t}."), "column").alias("name"), F.col("n_outside").cast("double").alias("observed"), "status"))
+        parts.append(null_counts(tables[t], [*limits]).select(F.lit("null").alias("section"), F.concat(F.lit(f"{t}."), "column").alias("name"), F.col("share").alias("observed"), F.when(F.col("share") <= null_limit, "PASS").otherwise("WARN").alias("status")))
+    return reduce(DataFrame.unionByName, parts)

@@ -132,3 +132,27 @@ def manifest_diff(declared: DataFrame, observed: DataFrame) -> DataFrame:
     here, there = F.col("n").isNotNull(), F.col("o").isNotNull()
     found = F.array_compact(F.array(F.when(here & ~there, "missing"), F.when(there & ~here, "extra"), F.when(here & there & (F.col("b1") != F.col("b2")), "size_differs"), F.when(here & there & (F.col("h1") != F.col("h2")), "hash_differs"), F.when(F.col("n") > 1, "duplicate_declared")))
     return x.select("path", F.explode(found).alias("diagnostic"))
+
+
+def sampled_reconciliation(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], n: int, seed: str) -> DataFrame:
+    """The ledger of a keyed comparison on the source's n rows of the least seeded hash, and on what the target has for them."""
+    from .splits import ranked_sample
+
+    keys = ranked_sample(source.select(key), key, n, seed).select(key)
+    return reconcile(source.join(keys, key, "left_semi"), target.join(keys, key, "left_semi"), key, columns)
+
+
+def ledger_totals(ledger: DataFrame) -> DataFrame:
+    """kind, column, n of a ledger."""
+    return ledger.groupBy("kind", F.coalesce("column", F.lit("-")).alias("column")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fidelity(standalone: DataFrame, combined: DataFrame, key: str, n: int, seed: str) -> DataFrame:
+    """check, column, n_failed: is a standalone table what a combined one holds of it?  First its structure, then the values of a shared sample."""
+    from .splits import ranked_sample
+
+    schema = schema_diff(schema_frame(standalone), schema_frame(combined)).filter(F.col("status").isin("removed", "type_changed")).select(F.lit("structure").alias("check"), "column", F.lit(1).cast("long").alias("n_failed"))
+    shared = [c for c in standalone.columns if c in combined.columns and c != key]
+    keys = ranked_sample(standalone.select(key), key, n, seed).select(key)
+    values = column_equality(standalone.join(keys, key, "left_semi"), combined.join(keys, key, "left_semi"), key, shared)
+    return schema.unionByName(values.select(F.lit("values").alias("check"), "column", (F.col("n_common") - F.col("n_equal")).alias("n_failed")).filter("n_failed > 0"))

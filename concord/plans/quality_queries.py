@@ -296,6 +296,46 @@ def histogram(spark: SparkSession, d: str) -> DataFrame:
 
 SQL["histogram"] = with_views("SELECT floor(z / 0.1::DOUBLE)::BIGINT AS bin, count(*) AS n, round(floor(z / 0.1::DOUBLE) * 0.1, 6) + 0.0::DOUBLE AS low FROM meas WHERE isfinite(z) GROUP BY ALL", "meas")
 
+def fidelity(spark: SparkSession, d: str) -> DataFrame:
+    """Orders against its later version: structure, then the values of a shared sample."""
+    t = Tables(spark, d)
+    return R.fidelity(t.orders.withColumn("o_extra", F.lit(1)), t.orders_v2(), "o_orderkey", 1000, "seed-2")
+
+
+SQL["fidelity"] = with_views("WITH k AS (SELECT o_orderkey FROM orders ORDER BY sha256('seed-2|' || o_orderkey::VARCHAR), o_orderkey LIMIT 1000), n AS (SELECT count(*) AS n FROM k JOIN orders x USING (o_orderkey) JOIN orders_v2 y USING (o_orderkey) WHERE x.o_totalprice <> y.o_totalprice) SELECT 'structure' AS \"check\", 'o_extra' AS \"column\", 1::BIGINT AS n_failed UNION ALL SELECT 'values', 'o_totalprice', n FROM n WHERE n > 0", "orders_v2")
+
+
+def reconcile_sampled(spark: SparkSession, d: str) -> DataFrame:
+    t = Tables(spark, d)
+    return R.ledger_totals(R.sampled_reconciliation(t.orders, t.orders_v2(), "o_orderkey", _COMPARED, 2000, "seed-3"))
+
+
+SQL["reconcile_sampled"] = with_views("WITH k AS (SELECT o_orderkey FROM orders ORDER BY sha256('seed-3|' || o_orderkey::VARCHAR), o_orderkey LIMIT 2000), a AS (SELECT o_orderkey, count(*) AS n FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM k) GROUP BY 1), b AS (SELECT o_orderkey, count(*) AS n FROM orders_v2 WHERE o_orderkey IN (SELECT o_orderkey FROM k) GROUP BY 1), l AS (SELECT CASE WHEN b.n IS NULL THEN 'absent_in_target' WHEN a.n > 1 OR b.n > 1 THEN 'multiplicity' END AS kind, '-' AS c FROM a LEFT JOIN b USING (o_orderkey) " + "".join(f" UNION ALL SELECT 'mismatch', '{c}' FROM k JOIN orders x USING (o_orderkey) JOIN orders_v2 y USING (o_orderkey) WHERE x.{c} IS DISTINCT FROM y.{c}" for c in _COMPARED) + ") SELECT kind, c AS \"column\", count(*) AS n FROM l WHERE kind IS NOT NULL GROUP BY kind, c", "orders_v2")
+
+
+def quality_suite(spark: SparkSession, d: str) -> DataFrame:
+    t = Tables(spark, d)
+    tables = {n: getattr(t, n) for n in ("customer", "orders", "nation")} | {"lineitem": t.lineitem.withColumn("l_tax", F.when(F.col("l_orderkey") % 9 != 0, F.col("l_tax")))}
+    return rounded(C.quality_suite(tables, {"orders": "o_orderkey", "lineitem": "l_orderkey"}, [("orders", "o_custkey", "customer", "c_custkey"), ("customer", "c_nationkey", "nation", "n_nationkey")], {"lineitem": {"l_tax": (0, 0.05), "l_quantity": (1, 50)}}))
+
+
+SQL["quality_suite"] = """WITH l AS (SELECT CASE WHEN l_orderkey % 9 <> 0 THEN l_tax END AS l_tax, l_quantity, l_orderkey FROM lineitem), x AS (SELECT 'key' AS section, 'orders.o_orderkey' AS name, (count(*) - count(DISTINCT o_orderkey))::DOUBLE AS observed, 'FAIL' AS bad FROM orders
+  UNION ALL SELECT 'key', 'lineitem.l_orderkey', count(*) - count(DISTINCT l_orderkey), 'FAIL' FROM l UNION ALL SELECT 'link', 'orders.o_custkey', count(*), 'FAIL' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+  UNION ALL SELECT 'link', 'customer.c_nationkey', count(*), 'FAIL' FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation) UNION ALL SELECT 'range', 'lineitem.l_tax', count(*) FILTER (l_tax < 0 OR l_tax > 0.05), 'FAIL' FROM l
+  UNION ALL SELECT 'range', 'lineitem.l_quantity', count(*) FILTER (l_quantity < 1 OR l_quantity > 50), 'FAIL' FROM l UNION ALL SELECT 'null', 'lineitem.l_tax', avg((l_tax IS NULL)::INT), 'WARN' FROM l UNION ALL SELECT 'null', 'lineitem.l_quantity', avg((l_quantity IS NULL)::INT), 'WARN' FROM l)
+  SELECT section, name, round(observed, 6) AS observed, CASE WHEN observed = 0 THEN 'PASS' ELSE bad END AS status FROM x"""
+
+
+def head_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Profile of the first thousand events, with their values where they are few."""
+    e = Tables(spark, d).events.withColumn("user_group", (F.col("user_id") % 4).cast("double"))
+    out = P.head_profile(e, "event_id", 1000, ["value", "user_group"])
+    return rounded(out.select("column", "n_rows", "n_null", "n_valid", "lo", "hi", "n_distinct", F.coalesce(F.array_join("values", ","), F.lit("-")).alias("few")))
+
+
+SQL["head_profile"] = "WITH h AS (SELECT value, (user_id % 4)::DOUBLE AS user_group FROM events WHERE event_id < 1000) SELECT 'value' AS \"column\", count(*) AS n_rows, count(*) FILTER (value IS NULL) AS n_null, count(value) AS n_valid, round(min(value), 6) AS lo, round(max(value), 6) AS hi, count(DISTINCT value) AS n_distinct, '-' AS few FROM h UNION ALL SELECT 'user_group', count(*), count(*) FILTER (user_group IS NULL), count(user_group), min(user_group), max(user_group), count(DISTINCT user_group), string_agg(DISTINCT user_group::DECIMAL(10, 1)::VARCHAR, ',' ORDER BY user_group::DECIMAL(10, 1)::VARCHAR) FROM h"
+
+
 # ---- sky ---------------------------------------------------------------------
 _HAV = "degrees(2 * asin(least(1.0, sqrt(power(sin((radians({d2}) - radians({d1})) / 2), 2) + cos(radians({d1})) * cos(radians({d2})) * power(sin((radians({r2}) - radians({r1})) / 2), 2))))) * 3600"
 
@@ -383,4 +423,4 @@ def knn(spark: SparkSession, d: str) -> DataFrame:
     return rounded(O.nearest_in_features(Tables(spark, d).embeddings, "vec_id", "embedding"))
 
 
-QUERIES = {f.__name__.removesuffix("_query"): f for f in (sentinel_null, guarded_ratio_query, null_counts, candidate_sentinels, profile_numeric, profile_text, profile_array, array_shape, col_select, reconcile_unique, reconcile_multiset, table_equality, value_drift, pair_compare, id_space, agreement, schema_diff, manifest_diff, orphans, key_unique, row_counts, range_checks, expectations, environment, ordinal_check, ordinal_join, histogram, sky_sep, nearest, content_digest, snapshot_digest, canonical_json, provenance, roadmap_scores, iforest, knn)}
+QUERIES = {f.__name__.removesuffix("_query"): f for f in (sentinel_null, guarded_ratio_query, null_counts, candidate_sentinels, profile_numeric, profile_text, profile_array, array_shape, col_select, reconcile_unique, reconcile_multiset, table_equality, value_drift, pair_compare, id_space, agreement, schema_diff, manifest_diff, orphans, key_unique, row_counts, range_checks, expectations, environment, ordinal_check, ordinal_join, histogram, fidelity, reconcile_sampled, quality_suite, head_profile, sky_sep, nearest, content_digest, snapshot_digest, canonical_json, provenance, roadmap_scores, iforest, knn)}
