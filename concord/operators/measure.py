@@ -1,4 +1,7 @@
-"""Repeat measurements of entities: quality predicates, preferred rows, conflicts, summaries."""
+"""Repeat measurements of entities: quality predicates, preferred rows, conflicts, summaries.
+
+Fixed values: the names of states and reasons.
+"""
 
 from __future__ import annotations
 
@@ -56,8 +59,8 @@ def block_reasons(p: Policy = POLICY) -> Column:
     conf = F.col("conf")
     invalid = ~in_domain(conf, *p.domain)
     return failed({
-        "not_secure_z": ~valid_z(), "not_secure_flag": ~holds(F.col("flag").isin(*p.secure_flags)), "not_secure_confidence_invalid": invalid,
-        "not_secure_confidence_low": ~invalid & ~holds(conf.between(p.secure_from, p.secure_to)), "not_secure_mapping": holds(~consistent(p)),
+        "preferred_z_not_numeric_valid": ~valid_z(), "preferred_flag_not_in_secure_domain": ~holds(F.col("flag").isin(*p.secure_flags)), "preferred_confidence_out_of_domain": invalid,
+        "preferred_confidence_below_95": ~invalid & ~holds(conf.between(p.secure_from, p.secure_to)), "preferred_flag_confidence_mapping_inconsistent": holds(~consistent(p)),
     })
 
 
@@ -68,7 +71,7 @@ def association(meas: DataFrame, cat: DataFrame, p: Policy = POLICY) -> DataFram
     key = F.when(F.col("ent").isNull() | (F.col("ent") == p.no_entity), -1 - F.abs("id")).otherwise(F.col("ent"))
     out = meas.withColumn("__key", key).join(known, F.col("__key") == F.col("__known"), "left")
     none = F.col("ent").isNull() | (F.col("ent") == p.no_entity)
-    status = F.when(none, "no_association").when(F.col("__known").isNotNull(), "associated").otherwise("unresolved_identifier")
+    status = F.when(none, "no_association_sentinel").when(F.col("__known").isNotNull(), "associated").otherwise("unresolved_identifier")
     return out.withColumn("association", status).withColumn("resolved", F.when(~none, F.col("__known"))).drop("__key", "__known")
 
 
@@ -167,12 +170,12 @@ def source_summary(cat: DataFrame, meas: DataFrame, unique: DataFrame, p: Policy
     out = out.withColumns({"z": F.col("p_z"), "flag": F.col("p_flag"), "conf": F.col("p_conf")})
     has = F.col("p_id").isNotNull()
     out = out.withColumns({"p_secure": has & secure(p), "blocks": F.when(has, block_reasons(p)), "label": class_label(F.col("class"), p), "broad": F.col("n_broad") > 0, "is_qso": holds(F.col("class") == p.qso)}).drop("z", "flag", "conf")
-    corroboration = F.when(F.col("n_secure") == 0, "not_assessable").when(F.col("n_secure") == 1, "singly_reported").when(F.col("secure_conflict"), "conflicting").otherwise("multiply_reported")
+    corroboration = F.when(F.col("n_secure") == 0, "not_assessable").when(F.col("n_secure") == 1, "singly_supported").when(F.col("secure_conflict"), "conflicting").otherwise("multiply_supported")
     basis = has & F.col("p_secure") & ~F.col("unique_conflict") & ~F.col("secure_conflict")
     own = reasons({
-        "no_association": (F.col("n_all") == 0) & (F.col("n_unique") == 0), "population_a_no_unique": (F.col("n_all") > 0) & (F.col("n_unique") == 0), "no_numeric_valid_unique": ~has & (F.col("n_unique") > 0),
-        "unique_numeric_conflict": F.col("unique_conflict"), "secure_all_conflict": F.col("secure_conflict"), "type_stellar": F.col("label") == "star", "type_unknown": F.col("label").startswith("unknown"),
-        "broad_line_present": F.col("broad"), "no_broad_line_or_qso": ~F.col("broad") & ~F.col("is_qso"),
+        "no_association": (F.col("n_all") == 0) & (F.col("n_unique") == 0), "population_a_no_unique_entries": (F.col("n_all") > 0) & (F.col("n_unique") == 0), "no_numeric_valid_unique_candidate": ~has & (F.col("n_unique") > 0),
+        "unique_numeric_conflict": F.col("unique_conflict"), "secure_all_conflict": F.col("secure_conflict"), "photometric_type_stellar": F.col("label") == "star", "photometric_type_unknown_or_missing": F.col("label").startswith("unknown"),
+        "broad_line_evidence_present": F.col("broad"), "no_broad_line_or_photometric_qso_evidence": ~F.col("broad") & ~F.col("is_qso"),
     })
     blocked = F.when(has & ~F.col("p_secure"), F.col("blocks")).otherwise(F.array().cast("array<string>"))
     return out.withColumns({
@@ -308,9 +311,9 @@ def coverage_states(summary: DataFrame) -> DataFrame:
     states = summary.groupBy(state.alias("name")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("state").alias("kind"), "name", "n")
     has, bad_flag = F.col("p_id").isNotNull() & ~F.col("p_secure"), ~holds(F.col("p_flag").isin(3, 4, 13, 14))
     found = failed({
-        "no_association": (F.col("n_unique") == 0) & (F.col("n_all") == 0), "population_a_no_unique": F.col("population_a"), "no_numeric_valid_unique": (F.col("n_unique") > 0) & F.col("p_id").isNull(),
-        "not_secure_flag": has & bad_flag, "not_secure_confidence_low": has & ~bad_flag & ~in_domain(F.col("p_conf"), 95, 100), "unique_numeric_conflict": F.col("unique_conflict"), "secure_all_conflict": F.col("secure_conflict"),
-        "type_stellar": F.col("label") == "star", "type_unknown": F.col("label").startswith("unknown"), "broad_line_present": F.col("broad"), "no_broad_line_or_qso": ~F.col("broad") & ~F.col("is_qso"),
+        "no_association": (F.col("n_unique") == 0) & (F.col("n_all") == 0), "population_a_no_unique_entries": F.col("population_a"), "no_numeric_valid_unique_candidate": (F.col("n_unique") > 0) & F.col("p_id").isNull(),
+        "preferred_flag_not_in_secure_domain": has & bad_flag, "preferred_confidence_below_95": has & ~bad_flag & ~in_domain(F.col("p_conf"), 95, 100), "unique_numeric_conflict": F.col("unique_conflict"), "secure_all_conflict": F.col("secure_conflict"),
+        "photometric_type_stellar": F.col("label") == "star", "photometric_type_unknown_or_missing": F.col("label").startswith("unknown"), "broad_line_evidence_present": F.col("broad"), "no_broad_line_or_photometric_qso_evidence": ~F.col("broad") & ~F.col("is_qso"),
     })
     why = summary.select(F.explode(found).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n")).select(F.lit("reason").alias("kind"), "name", "n")
     broken = summary.agg(F.count_if(F.col("eligible_primary") & F.col("eligible_validation")).alias("n")).select(F.lit("violation").alias("kind"), F.lit("both_eligible").alias("name"), "n")

@@ -1,4 +1,7 @@
-"""Ordered state machines over rule texts, and the second version of the tension outputs."""
+"""Ordered state machines over rule texts, and the second version of the tension outputs.
+
+Fixed values: the names of states and reasons, and the domains in the rules.
+"""
 
 from __future__ import annotations
 

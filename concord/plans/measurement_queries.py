@@ -39,12 +39,12 @@ def measurement_audit(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL["measurement_audit"] = measurement_sql("""SELECT id, ent AS native_ent, flag AS native_flag, conf AS native_conf, prio AS native_prio,
-  CASE WHEN ent = -999 THEN 'no_association' WHEN known THEN 'associated' ELSE 'unresolved_identifier' END AS association, CASE WHEN ent <> -999 AND known THEN ent END AS resolved, prio = 1 AS is_unique_member, valid AS valid_z,
+  CASE WHEN ent = -999 THEN 'no_association_sentinel' WHEN known THEN 'associated' ELSE 'unresolved_identifier' END AS association, CASE WHEN ent <> -999 AND known THEN ent END AS resolved, prio = 1 AS is_unique_member, valid AS valid_z,
   CASE WHEN z IS NULL THEN 'z_missing' WHEN NOT isfinite(z) THEN 'z_non_finite' WHEN z <= 0 THEN 'z_non_positive' END AS z_reason,
   CASE WHEN flag IS NULL THEN 'flag_missing' WHEN flag IN (0, 10) THEN 'non_measured' WHEN flag IN (1, 2, 3, 4, 9, 11, 12, 13, 14, 19) THEN 'recognized_measured' ELSE 'unrecognized' END AS flag_category,
   coalesce(conf BETWEEN 0 AND 100, false) AS conf_in_domain, CASE WHEN want IS NOT NULL THEN conf IS NOT DISTINCT FROM want END AS mapping_consistent, sec AS secure, round(z, 6) + 0.0::DOUBLE AS native_z,
-  concat_ws(',', CASE WHEN NOT valid THEN 'not_secure_z' END, CASE WHEN NOT coalesce(flag IN (3, 4, 13, 14), false) THEN 'not_secure_flag' END, CASE WHEN NOT coalesce(conf BETWEEN 0 AND 100, false) THEN 'not_secure_confidence_invalid' END,
-    CASE WHEN conf BETWEEN 0 AND 100 AND NOT conf BETWEEN 95 AND 100 THEN 'not_secure_confidence_low' END, CASE WHEN want IS NOT NULL AND conf IS DISTINCT FROM want THEN 'not_secure_mapping' END) AS block_reasons FROM mm""")
+  concat_ws(',', CASE WHEN NOT valid THEN 'preferred_z_not_numeric_valid' END, CASE WHEN NOT coalesce(flag IN (3, 4, 13, 14), false) THEN 'preferred_flag_not_in_secure_domain' END, CASE WHEN NOT coalesce(conf BETWEEN 0 AND 100, false) THEN 'preferred_confidence_out_of_domain' END,
+    CASE WHEN conf BETWEEN 0 AND 100 AND NOT conf BETWEEN 95 AND 100 THEN 'preferred_confidence_below_95' END, CASE WHEN want IS NOT NULL AND conf IS DISTINCT FROM want THEN 'preferred_flag_confidence_mapping_inconsistent' END) AS block_reasons FROM mm""")
 
 
 def association(spark: SparkSession, d: str) -> DataFrame:
@@ -52,7 +52,7 @@ def association(spark: SparkSession, d: str) -> DataFrame:
     return M.association(t.meas(), t.cat()).groupBy("association").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("ent").alias("n_entities"), F.count("resolved").alias("n_resolved"))
 
 
-SQL["association"] = measurement_sql("SELECT CASE WHEN ent = -999 THEN 'no_association' WHEN known THEN 'associated' ELSE 'unresolved_identifier' END AS association, count(*) AS n, count(DISTINCT ent) AS n_entities, count(*) FILTER (ent <> -999 AND known) AS n_resolved FROM mm GROUP BY 1")
+SQL["association"] = measurement_sql("SELECT CASE WHEN ent = -999 THEN 'no_association_sentinel' WHEN known THEN 'associated' ELSE 'unresolved_identifier' END AS association, count(*) AS n, count(DISTINCT ent) AS n_entities, count(*) FILTER (ent <> -999 AND known) AS n_resolved FROM mm GROUP BY 1")
 
 
 def preferred(spark: SparkSession, d: str) -> DataFrame:
@@ -119,17 +119,17 @@ _SUMMARY_SQL = f"""WITH pa AS ({_pairs('am')}), ca AS (SELECT ent, bool_or(both_
    coalesce(n_broad, 0) > 0 AS broad, coalesce(class = 2, false) AS is_qso, coalesce(split, 'unassigned') AS split
    FROM cat LEFT JOIN ga ON ga.ent = cat.id LEFT JOIN gu ON gu.ent = cat.id LEFT JOIN pr ON pr.ent = cat.id LEFT JOIN ca ON ca.ent = cat.id LEFT JOIN cu ON cu.ent = cat.id LEFT JOIN sp ON sp.tile = cat.tile),
  k AS (SELECT *, coalesce({_SECURE.replace('z)', 'p_z)').replace('z >', 'p_z >').replace('flag', 'p_flag').replace('conf', 'p_conf')}, false) AS p_secure, n_all > 0 AND n_unique = 0 AS population_a, n_unique > 1 AS population_b,
-   CASE WHEN n_secure = 0 THEN 'not_assessable' WHEN n_secure = 1 THEN 'singly_reported' WHEN secure_conflict THEN 'conflicting' ELSE 'multiply_reported' END AS corroboration,
+   CASE WHEN n_secure = 0 THEN 'not_assessable' WHEN n_secure = 1 THEN 'singly_supported' WHEN secure_conflict THEN 'conflicting' ELSE 'multiply_supported' END AS corroboration,
    {_WANT.replace('flag', 'p_flag')} AS p_want FROM j),
  s AS (SELECT *, p_secure AND NOT unique_conflict AND NOT secure_conflict AND split <> 'unassigned' AND label = 'galaxy' AND NOT broad AS eligible_primary,
    p_secure AND NOT unique_conflict AND NOT secure_conflict AND split <> 'unassigned' AND label IN ('galaxy', 'qso') AND (broad OR is_qso) AS eligible_validation,
    p_id IS NOT NULL AND NOT p_secure AS blocked FROM k)""".replace("WITH pa", ", pa", 1)
 SQL["source_summary"] = measurement_sql(_SUMMARY_SQL + f""" SELECT {', '.join('round(p_z, 6) + 0.0::DOUBLE AS p_z' if c == 'p_z' else c for c in SUMMARY)}, tied_ids, broad_ids,
- array_to_string(list_sort(list_filter([CASE WHEN n_all = 0 AND n_unique = 0 THEN 'no_association' END, CASE WHEN population_a THEN 'population_a_no_unique' END, CASE WHEN p_id IS NULL AND n_unique > 0 THEN 'no_numeric_valid_unique' END,
-  CASE WHEN blocked AND NOT coalesce(p_flag IN (3, 4, 13, 14), false) THEN 'not_secure_flag' END, CASE WHEN blocked AND NOT coalesce(p_conf BETWEEN 0 AND 100, false) THEN 'not_secure_confidence_invalid' END,
-  CASE WHEN blocked AND p_conf BETWEEN 0 AND 100 AND NOT p_conf BETWEEN 95 AND 100 THEN 'not_secure_confidence_low' END, CASE WHEN blocked AND p_want IS NOT NULL AND p_conf IS DISTINCT FROM p_want THEN 'not_secure_mapping' END,
-  CASE WHEN unique_conflict THEN 'unique_numeric_conflict' END, CASE WHEN secure_conflict THEN 'secure_all_conflict' END, CASE WHEN label = 'star' THEN 'type_stellar' END, CASE WHEN label LIKE 'unknown%' THEN 'type_unknown' END,
-  CASE WHEN broad THEN 'broad_line_present' END, CASE WHEN NOT broad AND NOT is_qso THEN 'no_broad_line_or_qso' END, CASE WHEN split = 'unassigned' THEN 'split_unassigned' END], lambda x: x IS NOT NULL)), ',') AS exclusion FROM s""")
+ array_to_string(list_sort(list_filter([CASE WHEN n_all = 0 AND n_unique = 0 THEN 'no_association' END, CASE WHEN population_a THEN 'population_a_no_unique_entries' END, CASE WHEN p_id IS NULL AND n_unique > 0 THEN 'no_numeric_valid_unique_candidate' END,
+  CASE WHEN blocked AND NOT coalesce(p_flag IN (3, 4, 13, 14), false) THEN 'preferred_flag_not_in_secure_domain' END, CASE WHEN blocked AND NOT coalesce(p_conf BETWEEN 0 AND 100, false) THEN 'preferred_confidence_out_of_domain' END,
+  CASE WHEN blocked AND p_conf BETWEEN 0 AND 100 AND NOT p_conf BETWEEN 95 AND 100 THEN 'preferred_confidence_below_95' END, CASE WHEN blocked AND p_want IS NOT NULL AND p_conf IS DISTINCT FROM p_want THEN 'preferred_flag_confidence_mapping_inconsistent' END,
+  CASE WHEN unique_conflict THEN 'unique_numeric_conflict' END, CASE WHEN secure_conflict THEN 'secure_all_conflict' END, CASE WHEN label = 'star' THEN 'photometric_type_stellar' END, CASE WHEN label LIKE 'unknown%' THEN 'photometric_type_unknown_or_missing' END,
+  CASE WHEN broad THEN 'broad_line_evidence_present' END, CASE WHEN NOT broad AND NOT is_qso THEN 'no_broad_line_or_photometric_qso_evidence' END, CASE WHEN split = 'unassigned' THEN 'split_unassigned' END], lambda x: x IS NOT NULL)), ',') AS exclusion FROM s""")
 
 
 def group_rules(spark: SparkSession, d: str) -> DataFrame:
@@ -205,9 +205,9 @@ def coverage_states(spark: SparkSession, d: str) -> DataFrame:
 
 
 _WHY = {
-    "no_association": "n_all = 0 AND n_unique = 0", "population_a_no_unique": "population_a", "no_numeric_valid_unique": "n_unique > 0 AND p_id IS NULL", "not_secure_flag": "blocked AND NOT coalesce(p_flag IN (3, 4, 13, 14), false)",
-    "not_secure_confidence_low": "blocked AND coalesce(p_flag IN (3, 4, 13, 14), false) AND NOT coalesce(p_conf BETWEEN 95 AND 100, false)", "unique_numeric_conflict": "unique_conflict", "secure_all_conflict": "secure_conflict",
-    "type_stellar": "label = 'star'", "type_unknown": "label LIKE 'unknown%'", "broad_line_present": "broad", "no_broad_line_or_qso": "NOT broad AND NOT is_qso",
+    "no_association": "n_all = 0 AND n_unique = 0", "population_a_no_unique_entries": "population_a", "no_numeric_valid_unique_candidate": "n_unique > 0 AND p_id IS NULL", "preferred_flag_not_in_secure_domain": "blocked AND NOT coalesce(p_flag IN (3, 4, 13, 14), false)",
+    "preferred_confidence_below_95": "blocked AND coalesce(p_flag IN (3, 4, 13, 14), false) AND NOT coalesce(p_conf BETWEEN 95 AND 100, false)", "unique_numeric_conflict": "unique_conflict", "secure_all_conflict": "secure_conflict",
+    "photometric_type_stellar": "label = 'star'", "photometric_type_unknown_or_missing": "label LIKE 'unknown%'", "broad_line_evidence_present": "broad", "no_broad_line_or_photometric_qso_evidence": "NOT broad AND NOT is_qso",
 }
 SQL["coverage_states"] = measurement_sql(_SUMMARY_SQL + " SELECT 'state' AS kind, CASE WHEN eligible_primary THEN 'primary_galaxy' WHEN eligible_validation THEN 'separate_validation' WHEN unique_conflict OR secure_conflict THEN 'conflict_vetoed' WHEN NOT p_secure THEN 'no_secure_preferred' ELSE 'classification_routed_out' END AS name, count(*) AS n FROM s GROUP BY 2 UNION ALL "
   + " UNION ALL ".join(f"SELECT 'reason', '{n}', count(*) FROM s WHERE {c} HAVING count(*) > 0" for n, c in _WHY.items()) + " UNION ALL SELECT 'violation', 'both_eligible', count(*) FILTER (eligible_primary AND eligible_validation) FROM s")

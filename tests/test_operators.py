@@ -162,7 +162,7 @@ def test_secure_needs_everything(spark):
     rows = [(1, 1, 1.0, 3, 95, 1), (2, 1, 1.0, 13, 95, 1), (3, 1, 1.0, 4, 95, 1), (4, 1, None, 3, 95, 1), (5, 1, 1.0, 9, 85, 1), (6, 1, 1.0, None, None, 1)]
     df = measurements(spark, rows).select("id", measure.secure().alias("s"), measure.block_reasons().alias("b")).orderBy("id").collect()
     assert [r["s"] for r in df] == [True, True, False, False, False, False]
-    assert [r["b"] for r in df] == [[], [], ["not_secure_mapping"], ["not_secure_z"], ["not_secure_flag", "not_secure_confidence_low"], ["not_secure_flag", "not_secure_confidence_invalid"]]
+    assert [r["b"] for r in df] == [[], [], ["preferred_flag_confidence_mapping_inconsistent"], ["preferred_z_not_numeric_valid"], ["preferred_flag_not_in_secure_domain", "preferred_confidence_below_95"], ["preferred_flag_not_in_secure_domain", "preferred_confidence_out_of_domain"]]
 
 
 def test_preferred_and_its_ties(spark):
@@ -194,9 +194,9 @@ def test_every_entity_has_a_summary(spark):
     split = splits.hash_split(cat.select("tile"), "tile", "s", 0, 0)
     out = {r["ent"]: r for r in measure.with_split(measure.source_summary(cat, meas, meas.filter("prio = 1")), split).collect()}
     assert set(out) == {1, 2, 3}
-    assert out[1]["eligible_primary"] and not out[1]["eligible_validation"] and out[1]["corroboration"] == "multiply_reported"
+    assert out[1]["eligible_primary"] and not out[1]["eligible_validation"] and out[1]["corroboration"] == "multiply_supported"
     assert out[2]["basis_validation"] and not out[2]["eligible_validation"] and "split_unassigned" in out[2]["exclusion"]
-    assert out[3]["exclusion"] == ["no_association", "no_broad_line_or_qso", "type_unknown"] and out[3]["n_all"] == 0
+    assert out[3]["exclusion"] == ["no_association", "no_broad_line_or_photometric_qso_evidence", "photometric_type_unknown_or_missing"] and out[3]["n_all"] == 0
 
 
 # ---- splits ------------------------------------------------------------------
