@@ -264,10 +264,10 @@ def confusion(spark: SparkSession, d: str) -> DataFrame:
     """Do measurements of high confidence (claim) reach the entities that secure measurements reach (truth)?"""
     t = Tables(spark, d)
     rows = M.in_catalog(t.meas(), t.cat())
-    return M.confusion(t.cat().select(F.col("id").alias("ent")), rows.filter(M.secure()), t.meas().filter("conf >= 95 and id % 3 = 0"), "ent")
+    return M.confusion(t.cat().select(F.col("id").alias("ent")), rows.filter(M.secure()), t.meas().filter("conf >= 95 and z > 1"), "ent")
 
 
-SQL["confusion"] = measurement_sql(""", x AS (SELECT id IN (SELECT ent FROM am WHERE sec) AS t, id IN (SELECT ent FROM meas WHERE conf >= 95 AND id % 3 = 0) AS c FROM cat),
+SQL["confusion"] = measurement_sql(""", x AS (SELECT id IN (SELECT ent FROM am WHERE sec) AS t, id IN (SELECT ent FROM meas WHERE conf >= 95 AND z > 1) AS c FROM cat),
  n AS (SELECT count(*) FILTER (t AND c) AS tp, count(*) FILTER (NOT t AND c) AS fp, count(*) FILTER (t AND NOT c) AS fn, count(*) FILTER (NOT t AND NOT c) AS tn FROM x) SELECT *, round(tp::DOUBLE / nullif(tp + fp, 0), 6) AS precision, round(tp::DOUBLE / nullif(tp + fn, 0), 6) AS recall FROM n""")
 
 

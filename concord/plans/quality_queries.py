@@ -185,20 +185,23 @@ SQL["agreement"] = with_views("WITH x AS (SELECT p.o_orderkey AS a, r.o_orderkey
 
 
 def schema_diff(spark: SparkSession, d: str) -> DataFrame:
+    """Columns that changed between two versions, with the values that each held."""
     t = Tables(spark, d)
     old = R.schema_frame(t.orders)
     new = R.schema_frame(t.orders_v2().drop("o_orderpriority").withColumn("o_custkey", F.col("o_custkey").cast("int")).withColumn("o_note", F.lit("-")))
-    return R.schema_diff(old, new).select("column", "status", F.coalesce("old_type", F.lit("-")).alias("old_type"), F.coalesce("new_type", F.lit("-")).alias("new_type"))
+    held = t.orders.agg(F.array(*[F.struct(F.lit(c).alias("column"), F.count(c).alias("n_values")) for c in t.orders.columns]).alias("p")).select(F.inline("p"))
+    out = R.schema_diff(old, new).join(held, "column", "left")
+    return out.select("column", "status", F.coalesce("old_type", F.lit("-")).alias("old_type"), F.coalesce("new_type", F.lit("-")).alias("new_type"), F.coalesce("n_values", F.lit(0)).alias("n_values"))
 
 
-SQL["schema_diff"] = "SELECT * FROM (VALUES ('o_orderkey', 'unchanged', 'bigint', 'bigint'), ('o_custkey', 'type_changed', 'bigint', 'int'), ('o_orderstatus', 'unchanged', 'string', 'string'), ('o_totalprice', 'unchanged', 'double', 'double'), ('o_orderdate', 'unchanged', 'timestamp_ntz', 'timestamp_ntz'), ('o_orderpriority', 'removed', 'string', '-'), ('o_note', 'added', '-', 'string')) t(\"column\", status, old_type, new_type)"
+SQL["schema_diff"] = "SELECT t.*, CASE WHEN old_type = '-' THEN 0 ELSE (SELECT count(*) FROM orders) END AS n_values FROM (VALUES ('o_orderkey', 'unchanged', 'bigint', 'bigint'), ('o_custkey', 'type_changed', 'bigint', 'int'), ('o_orderstatus', 'unchanged', 'string', 'string'), ('o_totalprice', 'unchanged', 'double', 'double'), ('o_orderdate', 'unchanged', 'timestamp_ntz', 'timestamp_ntz'), ('o_orderpriority', 'removed', 'string', '-'), ('o_note', 'added', '-', 'string')) t(\"column\", status, old_type, new_type)"
 
 
 def manifest_diff(spark: SparkSession, d: str) -> DataFrame:
-    """The files of two tables as they lie there, against a declaration with one file changed, one missing and one twice."""
+    """All files of the tables as they lie there, against a declaration with one file changed, one missing and one twice."""
     from ..sources.files import inventory
 
-    seen = inventory(spark, f"{d}/{{nation,region}}.parquet")
+    seen = inventory(spark, d, "*.parquet")
     name = F.col("path")
     declared = seen.withColumn("sha256", F.when(name == "nation.parquet", F.lit("0")).otherwise(F.col("sha256")))
     declared = declared.unionByName(declared.filter(name == "region.parquet")).unionByName(declared.filter(name == "region.parquet").withColumn("path", F.lit("gone.parquet")))
@@ -212,10 +215,11 @@ SQL["manifest_diff"] = "SELECT * FROM (VALUES ('nation.parquet', 'hash_differs')
 
 def orphans(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    return C.orphans(t.orders, t.lineitem.filter("l_orderkey % 5 <> 0").unionByName(t.lineitem.filter("l_orderkey < 100").withColumn("l_orderkey", F.col("l_orderkey") + 900_000_000)), "o_orderkey", "l_orderkey")
+    stray = t.lineitem.withColumn("l_orderkey", F.when(F.col("l_quantity") == 50, F.col("l_orderkey") + 900_000_000).otherwise(F.col("l_orderkey")))
+    return C.orphans(t.orders, stray, "o_orderkey", "l_orderkey")
 
 
-SQL["orphans"] = "WITH l AS (SELECT l_orderkey FROM lineitem WHERE l_orderkey % 5 <> 0 UNION ALL SELECT l_orderkey + 900000000 FROM lineitem WHERE l_orderkey < 100) SELECT 'left' AS direction, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM l) UNION ALL SELECT 'right', count(*), count(DISTINCT l_orderkey) FROM l WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)"
+SQL["orphans"] = "WITH l AS (SELECT CASE WHEN l_quantity = 50 THEN l_orderkey + 900000000 ELSE l_orderkey END AS l_orderkey FROM lineitem) SELECT 'left' AS direction, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM l) UNION ALL SELECT 'right', count(*), count(DISTINCT l_orderkey) FROM l WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)"
 
 
 def key_unique(spark: SparkSession, d: str) -> DataFrame:
@@ -343,7 +347,7 @@ _HAV = "degrees(2 * asin(least(1.0, sqrt(power(sin((radians({d2}) - radians({d1}
 def sky_sep(spark: SparkSession, d: str) -> DataFrame:
     """Separations of linked pairs, checked by a second formula."""
     t = Tables(spark, d)
-    links = t.cat().select(F.col("id"), "ra", "dec", (F.col("id") % 120).alias("t_id")).filter("id % 4 <> 0")
+    links = t.cat().select(F.col("id"), "ra", "dec", (F.col("id") % 120).alias("t_id"))
     pairs = links.join(t.sky_targets(), "t_id").filter(sky.valid_coordinates(F.col("t_ra"), F.col("t_dec")))
     sep, other = separation_arcsec(F.col("ra"), F.col("dec"), F.col("t_ra"), F.col("t_dec")), separation_by_cosines(F.col("ra"), F.col("dec"), F.col("t_ra"), F.col("t_dec"))
     x = pairs.select(sep.alias("sep"), other.alias("other"))
@@ -351,7 +355,7 @@ def sky_sep(spark: SparkSession, d: str) -> DataFrame:
     return rounded(C.separation_stats(x, F.col("sep")).withColumn("k", F.lit(1)).join(checked, "k").drop("k"))
 
 
-SQL["sky_sep"] = with_views(f"WITH p AS (SELECT {_HAV.format(r1='ra', d1='dec', r2='t_ra', d2='t_dec')} AS sep FROM cat JOIN sky_targets ON t_id = id % 120 WHERE id % 4 <> 0 AND t_dec > -900) SELECT count(*) AS n, round(min(sep), 6) AS lo, round(quantile_cont(sep, 0.5), 6) AS median, round(quantile_cont(sep, 0.9), 6) AS p90, round(quantile_cont(sep, 0.99), 6) AS p99, round(max(sep), 6) AS hi, 0::BIGINT AS n_formulas_differ FROM p", "cat", "sky_targets")
+SQL["sky_sep"] = with_views(f"WITH p AS (SELECT {_HAV.format(r1='ra', d1='dec', r2='t_ra', d2='t_dec')} AS sep FROM cat JOIN sky_targets ON t_id = id % 120 WHERE t_dec > -900) SELECT count(*) AS n, round(min(sep), 6) AS lo, round(quantile_cont(sep, 0.5), 6) AS median, round(quantile_cont(sep, 0.9), 6) AS p90, round(quantile_cont(sep, 0.99), 6) AS p99, round(max(sep), 6) AS hi, 0::BIGINT AS n_formulas_differ FROM p", "cat", "sky_targets")
 
 
 def _nearest(t: Tables) -> DataFrame:
@@ -383,11 +387,11 @@ def snapshot_digest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def canonical_json(spark: SparkSession, d: str) -> DataFrame:
-    n = Tables(spark, d).nation.withColumn("n_note", F.when(F.col("n_nationkey") % 2 == 0, F.lit("even")))
-    return n.select("n_nationkey", D.canonical_json(n).alias("line")).repartitionByRange("n_nationkey").sortWithinPartitions("n_nationkey")
+    c = Tables(spark, d).customer.select("c_custkey", "c_name", "c_acctbal", F.when(F.col("c_acctbal") < 0, F.lit("owes")).alias("c_note"))
+    return c.select("c_custkey", D.canonical_json(c).alias("line")).repartitionByRange("c_custkey").sortWithinPartitions("c_custkey")
 
 
-SQL["canonical_json"] = "SELECT n_nationkey, '{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || ',\"n_note\":' || CASE WHEN n_nationkey % 2 = 0 THEN '\"even\"' ELSE 'null' END || ',\"n_regionkey\":' || n_regionkey || '}' AS line FROM nation"
+SQL["canonical_json"] = "SELECT c_custkey, '{\"c_acctbal\":' || c_acctbal || ',\"c_custkey\":' || c_custkey || ',\"c_name\":\"' || c_name || '\",\"c_note\":' || CASE WHEN c_acctbal < 0 THEN '\"owes\"' ELSE 'null' END || '}' AS line FROM customer"
 
 
 def provenance(spark: SparkSession, d: str) -> DataFrame:

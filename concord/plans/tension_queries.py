@@ -262,16 +262,18 @@ SQL["sigma_sys"] = tension_sql(f""", r AS (SELECT f.floor, delta_b / sqrt(sigma_
 
 
 def fit_guard(spark: SparkSession, d: str) -> DataFrame:
+    """A fit asked for by priority: rows of the other splits among the training rows, orders of status P given twice or in two splits."""
     o = Tables(spark, d).orders
-    i = F.col("o_orderkey")
-    rows = o.select((i % 7).alias("request"), i.alias("id"), F.when(i % 11 == 0, "validation").when(i % 13 == 0, "holdout").otherwise("development").alias("split"))
-    training = rows.filter("id % 3 = 0 or split = 'development'").select("request", "id").unionByName(rows.filter("id % 500 = 0").select("request", "id"))
-    splits = rows.unionByName(rows.filter("id % 700 = 0").withColumn("split", F.lit("other")))
+    split = F.when(F.col("o_orderstatus") == "O", "development").when(F.col("o_totalprice") < 50_000, "validation").when(F.col("o_totalprice") > 400_000, "holdout").otherwise("development")
+    rows = o.select(F.col("o_orderpriority").alias("request"), F.col("o_orderkey").alias("id"), split.alias("split"), "o_orderstatus", "o_totalprice")
+    twice = rows.filter((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") < 20_000))
+    training = rows.filter("split = 'development' or o_totalprice < 30000").select("request", "id").unionByName(twice.select("request", "id"))
+    splits = rows.select("request", "id", "split").unionByName(rows.filter((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 420_000)).select("request", "id", F.lit("other").alias("split")))
     return center.refused_fits(training, splits)
 
 
-SQL["fit_guard"] = """WITH r AS (SELECT o_orderkey % 7 AS request, o_orderkey AS id, CASE WHEN o_orderkey % 11 = 0 THEN 'validation' WHEN o_orderkey % 13 = 0 THEN 'holdout' ELSE 'development' END AS split FROM orders),
-  tr AS (SELECT request, id FROM r WHERE id % 3 = 0 OR split = 'development' UNION ALL SELECT request, id FROM r WHERE id % 500 = 0), sp AS (SELECT * FROM r UNION ALL SELECT request, id, 'other' FROM r WHERE id % 700 = 0)
+SQL["fit_guard"] = """WITH r AS (SELECT o_orderpriority AS request, o_orderkey AS id, CASE WHEN o_orderstatus = 'O' THEN 'development' WHEN o_totalprice < 50000 THEN 'validation' WHEN o_totalprice > 400000 THEN 'holdout' ELSE 'development' END AS split, o_orderstatus AS st, o_totalprice AS p FROM orders),
+  tr AS (SELECT request, id FROM r WHERE split = 'development' OR p < 30000 UNION ALL SELECT request, id FROM r WHERE st = 'P' AND p < 20000), sp AS (SELECT request, id, split FROM r UNION ALL SELECT request, id, 'other' FROM r WHERE st = 'P' AND p > 420000)
   SELECT DISTINCT request, id, 'held_out_row' AS reason FROM tr WHERE (request, id) IN (SELECT request, id FROM sp WHERE split IN ('validation', 'holdout'))
   UNION ALL SELECT request, id, 'in_two_partitions' FROM sp GROUP BY request, id HAVING count(DISTINCT split) > 1 UNION ALL SELECT request, id, 'duplicate_training_row' FROM tr GROUP BY request, id HAVING count(*) > 1"""
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def inventory(spark: SparkSession, path: str) -> DataFrame:
-    """path (last part), folder, bytes, sha256, modified of the files that the path or pattern names.  A file may have 2 GB at most."""
-    rows = spark.read.format("binaryFile").load(path)
-    return rows.select(F.element_at(F.split("path", "/"), -1).alias("path"), F.regexp_replace("path", "/[^/]*$", "").alias("folder"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.col("modificationTime").alias("modified"))
+def inventory(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """path (below the folder), bytes, sha256, modified of the files below the folder whose name fits the pattern.  A file may have 2 GB at most."""
+    base = folder.rstrip("/").rsplit("/", 1)[-1]
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
+    below = F.element_at(F.split("path", F.lit(f"/\\Q{base}\\E/"), 2), -1)
+    return rows.select(below.alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), F.col("modificationTime").alias("modified"))

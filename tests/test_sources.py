@@ -69,7 +69,7 @@ def test_binary_tables(spark, tmp_path):
 
 def test_inventory(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(b"abc")
-    r = files.inventory(spark, f"{tmp_path}/*.txt").first()
+    r = files.inventory(spark, str(tmp_path), "*.txt").first()
     assert (r["path"], r["bytes"], r["sha256"][:8]) == ("a.txt", 3, "ba7816bf")
 
 
