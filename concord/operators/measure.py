@@ -90,7 +90,7 @@ def audit(meas: DataFrame, cat: DataFrame, p: Policy = POLICY) -> DataFrame:
 # ---- one entity --------------------------------------------------------------
 def in_catalog(meas: DataFrame, cat: DataFrame, p: Policy = POLICY) -> DataFrame:
     """The measurements of known entities, those only."""
-    return meas.filter(F.col("ent").isNotNull() & (F.col("ent") != p.no_entity)).join(cat.select(F.col("id").alias("ent")).distinct(), "ent", "left_semi")
+    return meas.filter(F.col("ent").isNotNull() & (F.col("ent") != p.no_entity)).join(cat.select(F.col("id").alias("ent")), "ent", "left_semi")
 
 
 def preferred(unique: DataFrame, p: Policy = POLICY) -> DataFrame:
@@ -109,20 +109,27 @@ def preferred(unique: DataFrame, p: Policy = POLICY) -> DataFrame:
     return won.join(ties, "ent").withColumn("tied", F.size("tied_ids") > 1)
 
 
+def _extremes(p: Policy) -> list[Column]:
+    z, s = F.when(valid_z(), F.col("z")), secure(p)
+    zs, zn = F.when(s, z), F.when(~s, z)
+    return [F.count(z).alias("n_valid"), F.count(zs).alias("n_secure"), F.min(z).alias("lo"), F.max(z).alias("hi"), F.min(zs).alias("slo"), F.max(zs).alias("shi"), F.min(zn).alias("nlo"), F.max(zn).alias("nhi")]
+
+
+def _conflict_flags(t: float) -> list[Column]:
+    span = F.coalesce(F.col("hi") - F.col("lo"), F.lit(0.0))
+    other = F.greatest(F.col("nhi") - F.col("lo"), F.col("hi") - F.col("nlo")) > t
+    return [span.alias("span"), (span > t).alias("any_conflict"), holds(F.col("shi") - F.col("slo") > t).alias("secure_conflict"), holds(other).alias("other_conflict")]
+
+
 def conflicts(meas: DataFrame, p: Policy = POLICY, threshold: float | None = None) -> DataFrame:
-    """ent, n_valid, span, any_conflict, secure_conflict, other_conflict by extremes alone.
+    """ent, n_valid, n_secure, span, any_conflict, secure_conflict, other_conflict by extremes alone.
 
     Some pair differs by more than t exactly if max - min does.  Some pair that
     is not secure on both sides does exactly if the not-secure extremes differ
     from the overall ones by more than t.
     """
     t = p.conflict if threshold is None else threshold
-    z, s = F.when(valid_z(), F.col("z")), secure(p)
-    zs, zn = F.when(s, z), F.when(~s, z)
-    out = meas.groupBy("ent").agg(F.count(z).alias("n_valid"), F.count(zs).alias("n_secure"), F.min(z).alias("lo"), F.max(z).alias("hi"), F.min(zs).alias("slo"), F.max(zs).alias("shi"), F.min(zn).alias("nlo"), F.max(zn).alias("nhi"))
-    span = F.coalesce(F.col("hi") - F.col("lo"), F.lit(0.0))
-    other = F.greatest(F.col("nhi") - F.col("lo"), F.col("hi") - F.col("nlo")) > t
-    return out.select("ent", "n_valid", "n_secure", span.alias("span"), (span > t).alias("any_conflict"), holds(F.col("shi") - F.col("slo") > t).alias("secure_conflict"), holds(other).alias("other_conflict"))
+    return meas.groupBy("ent").agg(*_extremes(p)).select("ent", "n_valid", "n_secure", *_conflict_flags(t))
 
 
 def witnesses(meas: DataFrame, p: Policy = POLICY, both_secure: bool | None = None) -> DataFrame:
@@ -154,13 +161,12 @@ def source_summary(cat: DataFrame, meas: DataFrame, unique: DataFrame, p: Policy
     """
     every, few = in_catalog(meas, cat, p), in_catalog(unique, cat, p)
     broad = valid_z() & holds(F.col("flag").isin(*p.broad_flags))
-    per_all = every.groupBy("ent").agg(F.count(F.lit(1)).alias("n_all"), F.count_if(valid_z()).alias("n_valid_all"), F.count_if(secure(p)).alias("n_secure"), F.count_if(broad).alias("n_broad"), F.array_sort(F.collect_list(F.when(broad, F.col("id")))).alias("broad_ids"))
-    all_conflict = conflicts(every, p).select("ent", "secure_conflict", F.col("other_conflict").alias("other_disagreement"))
-    per_unique = few.groupBy("ent").agg(F.count(F.lit(1)).alias("n_unique"))
-    unique_conflict = conflicts(few, p).select("ent", F.col("any_conflict").alias("unique_conflict"))
-    best = preferred(few, p)
+    counted = every.groupBy("ent").agg(F.count(F.lit(1)).alias("n_all"), F.count_if(broad).alias("n_broad"), F.array_sort(F.collect_list(F.when(broad, F.col("id")))).alias("broad_ids"), *_extremes(p))
+    per_all = counted.select("ent", "n_all", "n_broad", "broad_ids", F.col("n_valid").alias("n_valid_all"), "n_secure", *_conflict_flags(p.conflict)).drop("span", "any_conflict").withColumnRenamed("other_conflict", "other_disagreement")
+    unique_counts = few.groupBy("ent").agg(F.count(F.lit(1)).alias("n_unique"), *_extremes(p))
+    per_unique = unique_counts.select("ent", "n_unique", *_conflict_flags(p.conflict)).select("ent", "n_unique", F.col("any_conflict").alias("unique_conflict"))
     out = cat.withColumnRenamed("id", "ent")
-    for part in (per_all, all_conflict, per_unique, unique_conflict, best):
+    for part in (per_all, per_unique, preferred(few, p)):
         out = out.join(part, "ent", "left")
     for c in ("n_all", "n_valid_all", "n_secure", "n_broad", "n_unique"):
         out = out.withColumn(c, F.coalesce(c, F.lit(0)))
