@@ -49,20 +49,23 @@ def templates(line: str, leading: int, segments: int, min_tokens: int) -> list[i
 
 
 def line_templates(docs: DataFrame, leading: int, segments: int, min_tokens: int) -> DataFrame:
-    """doc_id, line (number from 0), template, of every line of every text."""
+    """doc_id, line (number from 0), template, first (of the text's lines at this template) of every line of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            ids, lines, keys = [], [], []
+            ids, lines, keys, first = [], [], [], []
             for doc, text in zip(values(piece, "doc_id").to_pylist(), strings(piece), strict=True):
+                seen: set[int] = set()
                 for no, line in enumerate(text.split("\n")):
                     found = templates(line, leading, segments, min_tokens)
                     ids += [doc] * len(found)
                     lines += [no] * len(found)
                     keys += found
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64())], names=["doc_id", "line", "template"])
+                    first += [k not in seen for k in found]
+                    seen.update(found)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64()), pa.array(first, pa.bool_())], names=["doc_id", "line", "template", "first"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line int, template long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line int, template long, first boolean")
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = 10, leading: int = 3, segments: int = 4, min_tokens: int = 5, keep_first: bool = True) -> DataFrame:
@@ -71,11 +74,11 @@ def recurring_lines(docs: DataFrame, min_docs: int = 10, leading: int = 3, segme
     With `keep_first` a line stays in the document of the least id among those of its template.
     """
     rows = cut(line_templates(docs, leading, segments, min_tokens))
-    once = rows.select("template", "doc_id").distinct()
-    counted = once.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")).filter(F.col("n") >= min_docs).select(fresh_key("template"), "first")
+    # a text's lines come from one task, which knows the first of them at a template: documents are counted without a distinct
+    counted = rows.groupBy("template").agg(F.count_if("first").alias("n"), F.min("doc_id").alias("least")).filter(F.col("n") >= min_docs).select(fresh_key("template"), "least")
     hit = rows.join(counted, "template")
     if keep_first:
-        hit = hit.filter("doc_id != first")
+        hit = hit.filter("doc_id != least")
     return hit.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
@@ -84,8 +87,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", int
     (columns of these names are replaced).
 
     A null text stays null and has no lines; an empty text is one empty line.
-    Rows that share an id are treated as one document each, but what recurs in
-    one of them is dropped from all of them at the same line number.  Blank and
+    Rows that share an id count as a document each; what recurs in one of them
+    is dropped from all of them at the same line number.  Blank and
     short lines (under `min_tokens` tokens) stay.  Ids are whole numbers; rows
     with a null id are left as they are.
     """
