@@ -28,8 +28,9 @@ def _numeric(value: Column) -> list[Column]:
 
 def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: rows, nulls, NaN, other values (infinities included), finite range, three most frequent values.  -0.0 counts as 0.0."""
+    # one wide aggregate for the counts; only the value frequencies need a row for each value
+    stats = df.agg(F.array(*[F.struct(F.lit(c).alias("column"), *_numeric(F.col(c).cast("double"))) for c in columns]).alias("p")).select(F.inline("p"))
     long = _long(df, columns, "double")
-    stats = long.groupBy("column").agg(*_numeric(F.col("value")))
     top = _top(long.filter(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("value", F.col("value") + 0.0), ["column"])
     return stats.join(top, "column", "left")
 
