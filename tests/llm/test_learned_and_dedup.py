@@ -246,7 +246,7 @@ def test_pipeline(spark, tmp_path):
     rnd = random.Random(21)
     langs = language_rows(120)
     rows = [(i, f"{t}\n{' '.join(words(rnd, 12))}", lang, f"s{i % 3}", len(t)) for i, t, lang in langs]
-    rows += [(500 + k, rows[0][1], "xx", "s0", 3) for k in range(5)] + [(600, "12345 678", "yy", "s1", 9), (601, None, "yy", "s1", None), (602, "", None, None, 0)]
+    rows += [(500 + k, rows[0][1], "xx", "s0", 3) for k in range(5)] + [(600, "12345 678", "yy", "s1", 9), (601, None, "yy", "s1", None), (602, "", None, None, 0), (None, rows[3][1] + " and some more of it here", "xx", None, 5)]
     folder = str(tmp_path)
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
     docs, sizes = spark.read.parquet(f"{folder}/documents.parquet"), []
@@ -258,6 +258,7 @@ def test_pipeline(spark, tmp_path):
         docs = spark.read.parquet(f"{folder}/{k}")
         sizes.append({r["doc_id"] for r in docs.select("doc_id").collect()})
     assert sizes[0] == {r[0] for r in rows} - {600, 601, 602}
+    assert None in sizes[3]
     assert sizes[2] == sizes[1] - {500, 501, 502, 503, 504}
     assert sizes[4] == sizes[3] <= sizes[2]
     again = Counter((r["doc_id"], tuple(r["token_ids"])) for r in corpus_pipeline.run(spark, folder).collect())
