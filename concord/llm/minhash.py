@@ -7,10 +7,12 @@ later than the last of its components was reached (early termination).  The
 share of equal components estimates the probability Jaccard similarity.
 
 Documents of equal words form one class first, and the rest works on one
-document of each.  Those that share a band are candidates; connected candidates
-are brought together in blocks, once each, and all their pairs are verified
-on whole shingle sets.  Links inside a block are returned as a spanning forest,
-so no group's pairs are ever listed.
+document of each.  Those that share a band are candidates.  Connected candidates
+are verified on whole shingle sets: first each against the least of them, and
+then those that do not link with it against all, in blocks.  What links with
+the least one is in its class, and pairs among these can change nothing; so a
+group of near copies of any size is not compared with itself.  Links inside a
+block are returned as a spanning forest, so no group's pairs are ever listed.
 """
 
 from __future__ import annotations
@@ -197,23 +199,33 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", doc_id: str = "d
     least = banded.groupBy("band").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(fresh_key("band"), "least")
     beside = banded.join(least, "band").filter("rep != least").select("rep", "least")
     near = cut(connected_components(beside, "rep", "least", "rep", "near"))
-    # blocks: each document goes once to every pair of blocks that holds its own
-    sized = near.join(reps.select("rep", "words"), "rep")
-    blocks = sized.groupBy("near").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("words") / block_words)).cast("int").alias("blocks")).select(fresh_key("near"), "blocks")
-    member = near.join(blocks, "near").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     n = shuffle_partitions(spark)
-    sets = rows.join(member, rows["doc_id"] == member["rep"]).select("rep", "near", "blocks", "own", "text")
+    candidates = rows.join(near, rows["doc_id"] == near["rep"]).select("rep", "near", "text")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", 1 << 20):
             words, count = word_hashes([t.encode() for t in strings(piece)])
             doc, h, _ = shingle_sets(words, count, k)
             parts = np.split(h.view(np.int64), np.cumsum(np.bincount(doc, minlength=len(count)))[:-1])
-            yield pa.RecordBatch.from_arrays([*piece.columns[:4], pa.array(parts, pa.list_(pa.int64()))], names=["rep", "near", "blocks", "own", "sets"])
-
-    placed = sets.mapInArrow(shingled, "rep long, near long, blocks int, own int, sets array<long>")
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+            yield pa.RecordBatch.from_arrays([*piece.columns[:2], pa.array(parts, pa.list_(pa.int64()))], names=["rep", "near", "sets"])
+
+    sets = cut(candidates.mapInArrow(shingled, "rep long, near long, sets array<long>"))
+    # first against the least document of the candidates: what links with it is one core, within which nothing is left to compare
+    leader = sets.filter("rep = near").select(fresh_key("near"), F.col("sets").alias("lead"))
+    shared = F.size(F.array_intersect("sets", "lead"))
+    core = (F.col("rep") == F.col("near")) | (shared >= threshold * (F.size("sets") + F.size("lead") - shared) - 1e-9)
+    judged = cut(sets.join(leader, "near").select("rep", "near", "sets", core.alias("core")))
+    # then the others against all, in blocks: a core document goes to the blocks of the others, another one to all blocks
+    n_core, n_rest = F.count_if("core"), F.count_if(~F.col("core"))
+    words = lambda c: F.sum(F.when(c, F.size("sets")).otherwise(0))
+    counts = judged.groupBy("near").agg(
+        F.greatest(F.ceil(n_core / block), F.ceil(words(F.col("core")) / block_words)).cast("int").alias("cores"),
+        F.greatest(F.ceil(n_rest / block), F.ceil(words(~F.col("core")) / block_words)).cast("int").alias("rests"),
+    ).filter("rests > 0").select(fresh_key("near"), "cores", "rests")
+    h, blocks = F.xxhash64("rep"), F.col("cores") + F.col("rests")
+    placed = judged.join(counts, "near").withColumn("own", F.when(F.col("core"), F.pmod(h, F.col("cores"))).otherwise(F.col("cores") + F.pmod(h, F.col("rests"))).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.when(F.col("core"), F.col("cores")).otherwise(F.lit(0)), blocks - 1)))
+    placed = placed.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).withColumn("blocks", blocks)
     part = F.pmod(F.xxhash64("near") % F.lit(n) + F.col("i") * F.col("blocks") + F.col("j"), F.lit(n)).cast("int")
     placed = placed.select("near", "i", "j", "own", "rep", "sets").repartitionById(n, part).sortWithinPartitions("near", "i", "j")
 
@@ -248,7 +260,8 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", doc_id: str = "d
                 out = []
         yield pa.RecordBatch.from_arrays([pa.array([p[s] for p in out], pa.int64()) for s in (0, 1)], names=["a", "b"])
 
-    found = placed.mapInArrow(links, "a long, b long")
+    star = judged.filter("core and rep != near").select(F.col("rep").alias("a"), F.col("near").alias("b"))
+    found = placed.mapInArrow(links, "a long, b long").unionByName(star)
     classes = connected_components(found, "a", "b", "c_rep", "class")
     exact = reps.select(fresh_key("k1"), "k2", "rep")
     out = seen.select("doc_id", "words", "k1", "k2").join(exact.withColumn("some", F.lit(True)), ["k1", "k2"], "left")
