@@ -72,22 +72,37 @@ def likeness(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _placed(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
     """doc_id, text in `n` ranges of ids, each range ending with the first document of the next (`extra` > 0)."""
     share = [i / n for i in range(1, n)]
-    # bounds are ids that occur: the first document of each range is known to have the bound as its id
+    # quantiles are doubles, which leave gaps between ids above 2^53: they only cut the ids, and the least id of each cut is its bound
     found = docs.select("doc_id", F.lit(1)).approxQuantile("doc_id", share, 1 / (8 * n)) if share else []
-    bounds = np.unique(np.array(found, dtype=np.int64))
-    least = docs.agg(F.min("doc_id"), F.count(F.when(F.col("doc_id").isNull(), 1))).first()
-    first, nulls = least[0], least[1] > 0
-    bounds = bounds[bounds > (first if first is not None else 0)] if not nulls else bounds
+    cuts = np.unique(np.array([min(int(x), (1 << 63) - 1) for x in found], dtype=np.int64))
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            known = ids.drop_null().to_numpy()
+            at = np.searchsorted(cuts, known, side="right")
+            low = np.full(len(cuts) + 1, (1 << 63) - 1, dtype=np.int64)
+            np.minimum.at(low, at, known)
+            used = np.unique(at)
+            parts, ends = used.tolist(), low[used].tolist()
+            if ids.null_count:
+                parts, ends = [*parts, -1], [*ends, 0]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(ends, pa.int64())], names=["part", "least"])
+
+    lows = {r["part"]: r["least"] for r in docs.select("doc_id").mapInArrow(least, "part int, least long").groupBy("part").agg(F.min("least").alias("least")).collect()}
+    nulls = lows.pop(-1, None) is not None
+    first = min(lows.values(), default=0)
+    # bounds are ids that occur: the first document of each range is known to have the bound as its id
+    bounds = np.array(sorted(x for x in lows.values() if nulls or x > first), dtype=np.int64)
     last = len(bounds)
 
     @F.pandas_udf("array<struct<part:int,extra:int>>")
-    def parts(ids):
-        known = ids.fillna(0).to_numpy().astype(np.int64)
-        missing = ids.isna().to_numpy()
+    def parts(known, missing):
+        known, missing = known.to_numpy(), missing.to_numpy()
         part = np.where(missing, 0, np.searchsorted(bounds, known, side="right"))
         at_bound = ~missing & (part > 0)
         at_bound[at_bound] = bounds[part[at_bound] - 1] == known[at_bound]
-        is_first = missing if nulls else ~missing & (known == (first or 0))
+        is_first = missing if nulls else ~missing & (known == first)
         rows = []
         for p, b, f in zip(part.tolist(), at_bound.tolist(), is_first.tolist(), strict=True):
             row = [{"part": p, "extra": 0}]
@@ -98,7 +113,7 @@ def _placed(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
             rows.append(row)
         return __import__("pandas").Series(rows)
 
-    rows = docs.withColumn("at", F.explode(parts("doc_id"))).select("doc_id", "text", "at.part", "at.extra")
+    rows = docs.withColumn("at", F.explode(parts(F.coalesce("doc_id", F.lit(0).cast("long")), F.col("doc_id").isNull()))).select("doc_id", "text", "at.part", "at.extra")
     return rows.repartitionById(last + 1, F.col("part")).sortWithinPartitions("part", "extra", "doc_id", "text"), last
 
 

@@ -169,6 +169,21 @@ def test_fingerprints_of_repeated_and_missing_ids(spark):
     assert fingerprint.fingerprints(docs, partitions=3).count() == 5
 
 
+@pytest.mark.parametrize("missing", [0, 3])
+def test_fingerprints_of_large_ids(spark, missing):
+    rnd, base = random.Random(11), 1 << 60
+    ids = rnd.sample(range(base, base + 5000), 300) + [(1 << 63) - 1, -(1 << 63), 0]
+    texts = {i: f"{i} " + " ".join(str(rnd.randrange(1000)) for _ in range(20)) for i in ids}
+    rows = [*texts.items(), *[(None, f"none {k} " * 9) for k in range(missing)]]
+    rnd.shuffle(rows)
+    got = fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), partitions=8).collect()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    follows = {r: order[(k + 1) % len(order)][1] for k, r in enumerate(order)}
+    edited = lambda t, f: t[: len(t) - len(t) // 4] + f[: len(t) // 4]
+    want = sorted((str(i), hashlib.sha256(edited(t, follows[i, t]).encode()).hexdigest()) for i, t in rows)
+    assert sorted((str(r["doc_id"]), r["edited_sha256"]) for r in got) == want
+
+
 def test_fingerprint_likeness_orders_edits():
     rnd = random.Random(4)
     words = ["".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randrange(2, 9))) for _ in range(3000)]
