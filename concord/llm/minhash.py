@@ -271,10 +271,23 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", doc_id: str = "d
 
 
 def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **parameters) -> DataFrame:
-    """The documents without those that have an earlier near duplicate: one of each class stays.  Null ids stay."""
-    classes = near_duplicate_classes(docs, text, doc_id, **parameters)
-    gone = cut(classes.filter("not kept").select(F.col("doc_id").alias("__gone")))
-    return docs.join(gone, docs[doc_id].cast("long") == F.col("__gone"), "left_anti")
+    """The documents without those that have an earlier near duplicate: one of each class stays.  Null ids stay.
+
+    Different texts of one id are documents of their own, the one of the least digest first.
+    """
+    number, digest = docs[doc_id].cast("long"), F.md5(F.coalesce(docs[text], F.lit("")))
+    texts = docs.select(number.alias("__id"), digest.alias("__digest")).filter("__id is not null")
+    if texts.groupBy("__id").agg((F.min("__digest") != F.max("__digest")).alias("several")).filter("several").isEmpty():
+        classes = near_duplicate_classes(docs, text, doc_id, **parameters)
+        gone = cut(classes.filter("not kept").select(F.col("doc_id").alias("__gone")))
+        return docs.join(gone, number == F.col("__gone"), "left_anti")
+    # numbers in the order of the ids, one for each text of an id
+    order = texts.distinct().repartitionByRange(shuffle_partitions(docs.sparkSession), "__id", "__digest").sortWithinPartitions("__id", "__digest")
+    order = cut(order.withColumn("__no", F.monotonically_increasing_id()))
+    rows = docs.join(order, (number == F.col("__id")) & (digest == F.col("__digest"))).select("__no", docs[text].alias("__text"))
+    classes = near_duplicate_classes(rows, "__text", "__no", **parameters)
+    gone = cut(classes.filter("not kept").select("doc_id").distinct().join(order, F.col("doc_id") == F.col("__no")).select("__id", "__digest"))
+    return docs.join(gone, (number == F.col("__id")) & (digest == F.col("__digest")), "left_anti")
 
 
 #: What the bands have to find, in DuckDB, from all pairs of documents that share a shingle (equal word sequences once).

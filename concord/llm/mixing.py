@@ -11,6 +11,8 @@ position; the table is range-sorted by position.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,8 +51,8 @@ def training_position(share, start: list[float], end: list[float], kind):
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), out))
 
 
-def plan_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", most: float = 3.0, ramps=RAMPS) -> DataFrame:
-    """doc_id, size, source_size, target, taken, repeats, source, prefix, passes, kind of every row.
+def plan_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", most: float = 3.0, ramps=RAMPS, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, size, source_size, target, taken, repeats, source, prefix, wanted, kind, and the columns `carry`, of every row.
 
     `taken` counts the words that the mix takes, repeats counted: whole passes
     over the source, and in the last, partial pass the documents in hash order;
@@ -58,7 +60,7 @@ def plan_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     number of whole texts (the last one counts from half of it on).  Null text
     has size 0; a null source is a source of its own; empty sources get 0.
     """
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[source].cast("string").alias("src"), F.coalesce(F.regexp_count(docs[text], F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    rows = docs.select(docs[doc_id].alias("doc_id"), docs[source].cast("string").alias("src"), F.coalesce(F.regexp_count(docs[text], F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *carry)
     rows = cut(rows.withColumn("hash", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).withColumn("part", F.substring("hash", 1, 3)))
     # the running sum over a source, in two levels: over its 4096 hash parts, and inside each part
     parts = rows.groupBy("src", "part").agg(F.sum("size").alias("words"))
@@ -67,7 +69,7 @@ def plan_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     parts = parts.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0))).alias("p").join(targets.alias("t"), F.col("p.src").eqNullSafe(F.col("t.src")))
     parts = parts.select(F.coalesce("p.src", F.lit("")).alias("key"), F.col("p.src").isNull().alias("none"), F.col("p.part").alias("part"), "before", "source_size", "target", "rank")
     keyed = rows.withColumn("key", F.coalesce("src", F.lit(""))).withColumn("none", F.col("src").isNull())
-    inside = Window.partitionBy("key", "none", "part").orderBy("hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("key", "none", "part").orderBy("hash", "doc_id", "size", *carry).rowsBetween(Window.unboundedPreceding, -1)
     out = keyed.join(parts, ["key", "none", "part"]).withColumn("prefix", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     wanted = F.round("target").cast("long")
     passes = F.when(F.col("source_size") > 0, F.floor(wanted / F.col("source_size"))).otherwise(F.lit(0))
@@ -76,7 +78,7 @@ def plan_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     out = out.withColumn("more", F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("prefix"))))
     taken = (F.col("size") * F.col("passes") + F.col("more")).cast("long")
     repeats = (F.col("passes") + F.when((F.col("more") > 0) & (F.col("more") * 2 >= F.col("size")), 1).otherwise(0)).cast("long")
-    return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"), repeats.alias("repeats"), F.col("src").alias("source"), "prefix", "wanted", F.pmod(F.col("rank") - 1, F.lit(len(ramps))).alias("kind"))
+    return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"), repeats.alias("repeats"), F.col("src").alias("source"), "prefix", "wanted", F.pmod(F.col("rank") - 1, F.lit(len(ramps))).alias("kind"), *carry)
 
 
 def _position(plan: DataFrame, turn, ramps=RAMPS):
@@ -95,16 +97,17 @@ def mix(docs: DataFrame, ramps=RAMPS, **names) -> DataFrame:
 def mixed_documents(docs: DataFrame, ramps=RAMPS, doc_id: str = "doc_id", **names) -> DataFrame:
     """The documents as the mix wants them: each repeated `repeats` times, range-sorted by training position.
 
-    Rows of one doc_id that occurs several times get the turns of all of them
-    once each: they are numbered within the id first.
+    Ids may be missing or occur several times: a row is known by its id, source
+    and text, and rows that agree in these by their number among them.
     """
-    nth = Window.partitionBy(doc_id).orderBy(*[names.get(c, c) for c in ("source", "text")])
-    plan = plan_mix(docs, ramps=ramps, doc_id=doc_id, **names).filter("repeats > 0")
-    same = Window.partitionBy("doc_id").orderBy("source", "size", "prefix")
-    turns = plan.withColumn("__nth", F.row_number().over(same)).withColumn("__turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("repeats") - 1)))
-    turns = turns.select(F.col("doc_id").alias("__id"), "__nth", _position(plan, F.col("__turn"), ramps).alias("__at"))
-    numbered = docs.withColumn("__no", F.row_number().over(nth))
-    out = numbered.join(turns, numbered[doc_id].eqNullSafe(turns["__id"]) & (F.col("__no") == F.col("__nth")))
+    text, source = (docs[names.get(c, c)] for c in ("text", "source"))
+    row = F.md5(F.to_json(F.struct(docs[doc_id].cast("string").alias("i"), source.cast("string").alias("s"), F.md5(text).alias("t"))))
+    keyed = docs.withColumn("__row", row)
+    keyed = keyed.withColumn("__no", F.row_number().over(Window.partitionBy("__row").orderBy("__row")))
+    plan = plan_mix(keyed, ramps=ramps, doc_id=doc_id, carry=("__row", "__no"), **names).filter("repeats > 0")
+    turns = plan.withColumn("__turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("repeats") - 1)))
+    turns = turns.select(F.col("__row").alias("__of"), F.col("__no").alias("__nth"), _position(plan, F.col("__turn"), ramps).alias("__at"))
+    out = keyed.join(turns, (F.col("__row") == F.col("__of")) & (F.col("__no") == F.col("__nth")))
     return out.repartitionByRange("__at", doc_id).sortWithinPartitions("__at", doc_id).select(*docs.columns)
 
 

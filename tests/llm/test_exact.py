@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -236,3 +237,20 @@ def test_mixing_targets_and_words(spark):
     mixed = mixing.mixed_documents(docs).collect()
     assert {i: n for i, n in repeats.items() if n} == {i: sum(r["doc_id"] == i for r in mixed) for i in {r["doc_id"] for r in mixed}}
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_mixed_rows_of_one_id_keep_their_turns(spark):
+    rnd = random.Random(8)
+    rows = [(rnd.choice([None, 5, 6, k]), " ".join(f"w{rnd.randrange(50)}" for _ in range(rnd.randrange(1, 60))), rnd.choice(["a", "b", "c", None])) for k in range(120)]
+    rows += [(7, "the same text", "a")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    key = lambda r: (str(r["doc_id"]), str(r["source"]), len(r["text"].split()))
+    want = Counter()
+    for r in mixing.mix(docs).collect():
+        want[str(r["doc_id"])] += r["repeats"]
+    planned = Counter()
+    for r in mixing.plan_mix(docs).collect():
+        planned[str(r["doc_id"]), str(r["source"]), r["size"]] += r["repeats"]
+    got = mixing.mixed_documents(docs).collect()
+    assert Counter(map(key, got)) == +planned
+    assert Counter(str(r["doc_id"]) for r in got) == +want

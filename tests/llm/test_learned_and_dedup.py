@@ -87,6 +87,15 @@ def test_near_duplicates_equal_brute_force(spark):
     assert minhash.near_duplicate_classes(docs.limit(0)).count() == 0
 
 
+def test_near_dedup_keeps_other_texts_of_an_id(spark):
+    rnd = random.Random(31)
+    a, b, c, d = (" ".join(f"{x}{rnd.randrange(10**6)}" for _ in range(80)) for x in "abcd")
+    rows = [(3, a), (5, a), (5, b), (6, c), (6, f"{b} more"), (None, a), (7, d), (7, d), (8, None), (8, f"{d} end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(map(tuple, minhash.near_dedup(docs).collect()))
+    assert got == Counter(r for r in rows if r not in [(5, a), (6, f"{b} more"), (8, f"{d} end")])
+
+
 def test_probminhash_estimates_weighted_similarity():
     rnd = np.random.default_rng(3)
     ids = rnd.integers(0, 1 << 62, 60).astype(np.uint64)
