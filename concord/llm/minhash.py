@@ -1,10 +1,12 @@
 """Near-duplicate documents by ProbMinHash signatures, banding and exact verification.
 
-Word shingles weigh 1 + ln(count).  Each sends exponential arrivals, at a rate
+Word shingles weigh 1 + ln(count), and in a second signature of texts that
+repeat some, 1 each.  Each sends exponential arrivals, at a rate
 equal to its weight, to random components of the signature; a component keeps
 the shingle that arrives first.  A document stops once its next arrivals come
 later than the last of its components was reached (early termination).  The
-share of equal components estimates the probability Jaccard similarity.
+share of equal components estimates the probability Jaccard similarity; with
+weights of 1 that is the Jaccard similarity of the sets, on which links are set.
 
 Documents of equal words form one class first, and the rest works on one
 document of each.  Those that share a band are candidates.  Connected candidates
@@ -129,8 +131,12 @@ def describe(docs: DataFrame, k: int, b: int, r: int) -> DataFrame:
                 run_sum = np.r_[U(0), np.cumsum(words * _powers(base, top)[nth], dtype=U)]
                 keys.append(scramble(run_sum[ends[1:]] - run_sum[ends[:-1]] + count.astype(U)).view(np.int64))
             doc, shingle, times = shingle_sets(words, count, k)
-            sig = signatures(doc, shingle, 1 + np.log(times), n, b * r)
-            rows = [x if c else None for x, c in zip(bands(sig, b, r), count.tolist(), strict=True)]
+            rows = [x if c else None for x, c in zip(bands(signatures(doc, shingle, np.ones(len(doc)), n, b * r), b, r), count.tolist(), strict=True)]
+            again = np.unique(doc[times > 1])  # in all other texts the weights are equal, and the signatures too
+            own = np.isin(doc, again)
+            weighted = bands(signatures(np.searchsorted(again, doc[own]), shingle[own], 1 + np.log(times[own]), len(again), b * r), b, r)
+            for i, x in zip(again.tolist(), weighted, strict=True):
+                rows[i] = np.unique(np.r_[rows[i], x])
             yield pa.RecordBatch.from_arrays([values(piece, "doc_id"), pa.array(count, pa.int64()), pa.array(keys[0]), pa.array(keys[1]), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "words", "k1", "k2", "bands"])
 
     return docs.mapInArrow(run, "doc_id long, words long, k1 long, k2 long, bands array<long>")
@@ -184,8 +190,8 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", doc_id: str = "d
     A class holds the documents that links reach from each other; a link is a
     Jaccard similarity of `threshold` or more of the sets of `k`-word shingles
     (fewer words: the whole text is one shingle).  Candidates share one of `b`
-    bands of `r` signature components; with 24 x 7, a pair at 0.8 is one with
-    probability 0.996.  Nothing is capped.  Texts that are null or without
+    bands of `r` signature components, of the sets or of the weighted shingles;
+    with 24 x 7, a pair at 0.8 is one with probability 0.996 by the sets alone.  Nothing is capped.  Texts that are null or without
     words are alone in their class.  Ids are whole numbers; rows that share an
     id count as one document and get the same class; null ids are left out.
     """

@@ -87,6 +87,20 @@ def test_near_duplicates_equal_brute_force(spark):
     assert minhash.near_duplicate_classes(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_with_repeated_passages(spark):
+    rnd, texts = random.Random(41), []
+    for times in (20, 100, 1000):
+        for _ in range(12):
+            w = [f"v{rnd.randrange(10**7)}" for _ in range(204)]
+            texts += [" ".join(w), " ".join(w[:100] + w[60:100] * times + w[100:])]
+    sets = [shingles(t) for t in texts]
+    links = [(i, j) for i, j in combinations(range(len(texts)), 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(links) == len(texts) // 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicate_classes(docs).collect()}
+    assert got == closure(range(len(texts)), links)
+
+
 def test_near_dedup_keeps_other_texts_of_an_id(spark):
     rnd = random.Random(31)
     a, b, c, d = (" ".join(f"{x}{rnd.randrange(10**6)}" for _ in range(80)) for x in "abcd")
