@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.functions import columns as K
-from concord.operators import center, checks, digest, measure, normalise, profile, ranks, reconcile, sky, splits, states, tension
+from concord.operators import center, checks, digest, measure, normalise, outliers, profile, ranks, reconcile, sky, splits, states, tension
 
 NAN, INF = math.nan, math.inf
 
@@ -316,3 +316,17 @@ def test_nearest_equals_brute_force_everywhere(spark):
         best = min((sep((ra, dec), (t[1], t[2])), t[0]) for t in targets if t[0] < 900)
         assert got[i][1] == pytest.approx(best[0], abs=1e-5)
     assert got[200][0] == 500
+
+
+def test_nearest_in_features_equals_brute_force(spark):
+    rnd = random.Random(17)
+    unit = lambda v: [x / math.sqrt(sum(y * y for y in v)) for x in v]
+    vectors = [unit([rnd.gauss(0, 1) for _ in range(32)]) for _ in range(150)]
+    vectors += [vectors[0]] * 40 + [[0.0] * 32]
+    df = spark.createDataFrame([*((i * 7, v) for i, v in enumerate(vectors)), (None, vectors[1]), (9999, None)], "id long, v array<float>").repartition(3)
+    held = {r["id"]: r["v"] for r in df.collect() if r["id"] is not None and r["v"] is not None}
+    want = {(i, n + 1): j for i, v in held.items() for n, (_, j) in enumerate(sorted((sum((x - y) ** 2 for x, y in zip(v, w, strict=True)), j) for j, w in held.items() if j != i)[:5])}
+    for block in (8192, 60):
+        got = outliers.nearest_in_features(df, "id", "v", block=block).collect()
+        assert {(r["id"], r["rank"]): r["neighbour"] for r in got} == want
+        assert all(r["distance"] == pytest.approx(math.dist(held[r["id"]], held[r["neighbour"]]), abs=1e-9) for r in got)
