@@ -11,6 +11,7 @@ redactions.  Spans of the exact base rules are always kept.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -60,7 +61,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, stop, number of the kind), ordered."""
     out = [(a, z, 0) for a, z in base_emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m[0].split("."))):
             out.append((m.start(), m.end(), 1))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 14 and 14 <= len(d := only_digits(m[0])) <= 19 and luhn(d):
@@ -73,39 +74,51 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 # ---- candidates --------------------------------------------------------------
-_NUMBER = re.compile(r"[(+]?[0-9](?:[0-9]|[ ./()-]{1,2}(?=[0-9(])){6,40}")
+# Runs of any length are taken whole, and each is tried at its beginning only.
+_NUMBER = re.compile(r"[(+]?[0-9](?:[0-9]|[ ./()-]{1,2}(?=[0-9(])){6,}+")
 _GROUP_GAP = re.compile(r"[^0-9]{2,}")
-_NAME, _HOST, _TOP = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}", r"[A-Za-z0-9-]{1,63}", r"[A-Za-z0-9-]{2,24}"
+_NAME, _HOST, _TOP = r"(?<![A-Za-z0-9._%+-])[._%+-]*+(?P<name>[A-Za-z0-9][A-Za-z0-9._%+-]*+", r"[A-Za-z0-9-]++", r"[A-Za-z0-9-]{2,}+"
 _IN_AT, _IN_DOT = r" ?[\[({] ?(?:at|AT) ?[\])}] ?", r" ?[\[({] ?(?:dot|DOT) ?[\])}] ?"
 _SPELLED = re.compile(
-    rf"{_NAME}(?:{_IN_AT}{_HOST}(?:(?:\.|{_IN_DOT}| (?:dot|DOT) ){_TOP}){{1,3}}"  # name [at] host [dot] com
-    rf"| (?:at|AT) {_HOST}(?: (?:dot|DOT) {_TOP}){{1,3}}"  # name at host dot com
-    rf"| ?@ ?{_HOST}(?:(?:\.| \. |{_IN_DOT}| (?:dot|DOT) ){_TOP}){{1,3}})"  # name @ host . com
+    rf"{_NAME}(?:{_IN_AT}{_HOST}(?:(?:\.|{_IN_DOT}| (?:dot|DOT) ){_TOP})++"  # name [at] host [dot] com
+    rf"| (?:at|AT) {_HOST}(?: (?:dot|DOT) {_TOP})++"  # name at host dot com
+    rf"| ?@ ?{_HOST}(?:(?:\.| \. |{_IN_DOT}| (?:dot|DOT) ){_TOP})++))"  # name @ host . com
 )
 _SPELLED_HINT = re.compile(rf"@|{_IN_AT}| (?:at|AT) {_HOST} (?:dot|DOT) ")
 _COLONS = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:{1,2}){2,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
+#: Fixed value: no kind of number has more digits.
+MOST_DIGITS = 19
+
+
+def number_parts(text: str, a: int, z: int) -> list[tuple[int, int, int]]:
+    """(start, stop, digits) of a run of numbers and of what its gaps cut off at either end, up to MOST_DIGITS digits."""
+    inner = text[a:z]
+    n = len(only_digits(inner))
+    found = {(a, z, n)}
+    if text[a] in "(+":
+        found.add((a + 1, z, n))
+    before, at = 0, a
+    for gap in _GROUP_GAP.finditer(text, a, z):
+        before += len(only_digits(text[at : gap.start()]))
+        at = gap.end()
+        found.add((a, gap.start(), before))
+        found.add((gap.end(), z, n - before))
+    return sorted(x for x in found if x[2] <= MOST_DIGITS)
 
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """Proposed (start, stop, kind), overlapping and of every kind that the format could be."""
     out = []
     for m in _NUMBER.finditer(text):
-        a, z = m.span()
-        pieces_ = {(a, z)}
-        if text[a] in "(+":
-            pieces_.add((a + 1, z))
-        for gap in _GROUP_GAP.finditer(text, a, z):
-            pieces_ |= {(a, gap.start()), (gap.end(), z)}
-        for s, e in sorted(pieces_):
-            n = sum(c.isdigit() for c in text[s:e])
-            if 12 <= n <= 19:
+        for s, e, n in number_parts(text, *m.span()):
+            if n >= 12:
                 out.append((s, e, 2))
             if 7 <= n <= 15:
                 out.append((s, e, 3))
             if n <= 12 and text.count(".", s, e) >= 3:
                 out.append((s, e, 1))
     if _SPELLED_HINT.search(text):
-        out += [(m.start(), m.end(), 0) for m in _SPELLED.finditer(text)]
+        out += [(*m.span("name"), 0) for m in _SPELLED.finditer(text)]
     if text.count(":") > 2:
         out += [(m.start(), m.end(), 1) for m in _COLONS.finditer(text)]
     return out
@@ -284,14 +297,39 @@ def fit(n: int = 6000, precision: float = 0.995, seed: int = 11) -> Judge:
     return Judge(tuple(trees), tuple(least))
 
 
+class Covered:
+    """Stretches of a text; those that touch or overlap are one."""
+
+    def __init__(self, spans=()):
+        self.starts: list[int] = []
+        self.stops: list[int] = []
+        for a, z in sorted(spans):
+            if self.stops and a < self.stops[-1]:
+                self.stops[-1] = max(self.stops[-1], z)
+            else:
+                self.starts.append(a)
+                self.stops.append(z)
+
+    def meets(self, a: int, z: int) -> bool:
+        i = bisect_right(self.stops, a)
+        return i < len(self.starts) and self.starts[i] < z
+
+    def add(self, a: int, z: int) -> None:
+        """A stretch that meets no other."""
+        i = bisect_right(self.starts, a)
+        self.starts.insert(i, a)
+        self.stops.insert(i, z)
+
+
 def judged(texts: list[str], judge: Judge) -> list[list[tuple[int, int, int, bool, float]]]:
     """(start, stop, kind, base, score) of the spans of every text: base spans, and added ones that overlap no other."""
     out, rows, where = [], [[] for _ in KINDS], [[] for _ in KINDS]
     for i, text in enumerate(texts):
         base = base_spans(text)
         out.append([(a, z, k, True, 1.0) for a, z, k in base])
+        kept = Covered((a, z) for a, z, _ in base)
         for s in candidates(text):
-            if not any(a < s[1] and s[0] < z for a, z, _ in base):
+            if not kept.meets(s[0], s[1]):
                 rows[s[2]].append(features(text, s))
                 where[s[2]].append((i, s))
     chosen: dict[int, list[tuple[float, tuple[int, int, int]]]] = {}
@@ -301,10 +339,10 @@ def judged(texts: list[str], judge: Judge) -> list[list[tuple[int, int, int, boo
                 if v >= judge.least[k]:
                     chosen.setdefault(i, []).append((v, s))
     for i, found in chosen.items():
-        taken: list[tuple[int, int]] = []
+        taken = Covered()
         for v, (a, z, k) in sorted(found, key=lambda f: (-f[0], f[1])):
-            if not any(b < z and a < e for b, e in taken):
-                taken.append((a, z))
+            if not taken.meets(a, z):
+                taken.add(a, z)
                 out[i].append((a, z, k, False, float(1 / (1 + np.exp(-v)))))
         out[i].sort(key=lambda s: (s[0], s[2]))
     return out
@@ -313,8 +351,10 @@ def judged(texts: list[str], judge: Judge) -> list[list[tuple[int, int, int, boo
 def find_personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", judge: Judge | None = None) -> DataFrame:
     """doc_id, spans (array of kind, start, stop in code points, base, score) of every text, ordered by start, then kind.
 
-    Null and empty texts have no spans.  Repeated ids give repeated rows; other
-    columns are ignored.
+    Null and empty texts have no spans, texts of any length are read whole, in
+    time that grows in proportion.  Repeated and null ids give a row each; an
+    empty table gives an empty table; other columns are ignored, whatever their
+    names.
     """
     model = judge or fit()
 

@@ -1,11 +1,10 @@
 """Secret scanning through a trigram inverted index.
 
 Each rule's regular expression is turned into a Boolean query over trigrams
-that every match must contain (in lower case).  The texts of a batch are cut
-into blocks, and an inverted index maps every trigram that some query asks for
-to the blocks it begins in.  Queries are answered by intersecting and uniting
-postings; the rules then verify the texts of the candidate blocks only.  Rules
-that have no mandatory trigram scan every text.
+that every match must contain (in lower case).  An inverted index over the texts of a
+batch maps every trigram that some query asks for to the texts that hold it.
+Queries are answered by intersecting and uniting postings; the rules then verify
+the candidate texts only.  Rules that have no mandatory trigram scan every text.
 """
 
 from __future__ import annotations
@@ -49,7 +48,7 @@ RULES = (
     Rule("cloud_key", r"\bAIza[A-Za-z0-9_-]{35}"),
     Rule("payment", r"\b[sr]k_live_[A-Za-z0-9]{16,}"),
     Rule("web_token", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
-    Rule("url_login", r"://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
+    Rule("url_login", r"://[^\s/:@]++:[^\s/:@]{3,}+@"),
 )
 
 
@@ -197,8 +196,9 @@ def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", ru
     """doc_id, spans (array of kind, start, stop in code points, base) of every text.
 
     Matches of one rule do not overlap, those of different rules may.  Null and
-    empty texts have no spans.  Repeated ids give repeated rows; other columns
-    are ignored.
+    empty texts have no spans, texts of any length are read whole.  Repeated and
+    null ids give a row each; an empty table gives an empty table; other columns
+    are ignored, whatever their names.
     """
 
     def run(batch: pa.RecordBatch) -> dict:
