@@ -8,8 +8,18 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write `df` now and go on from the files.  spark.checkpoint.dir holds; without it (tests) a folder of this machine is set."""
+    """Write `df` now and go on from the files.
+
+    spark.checkpoint.dir holds.  Where it is unset, a temporary folder serves on
+    one machine (tests); on a cluster, whose executors would not see it, this raises.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoints-"))
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if sc.master != "local" and not sc.master.startswith("local["):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="spark-checkpoints-")
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

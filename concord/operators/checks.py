@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -81,20 +82,116 @@ def separation_stats(df: DataFrame, sep: Column) -> DataFrame:
     return df.agg(F.count(sep).alias("n")).withColumn("__k", F.lit(1)).join(marks, "__k").drop("__k")
 
 
-def quality_suite(tables: Mapping[str, DataFrame], keys: Mapping[str, str], links: Sequence[tuple[str, str, str, str]], bounds: Mapping[str, Mapping[str, tuple[float, float]]], null_limit: float = 0.0) -> DataFrame:
-    """section, name, observed, status: keys, links between tables, ranges and null shares of a catalogue in one frame.
+def row_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """rule, n_rows, n_failed, status of conditions across columns, from one aggregate; null is a failure."""
+    parts = [F.struct(F.lit(n).alias("rule"), F.count(F.lit(1)).alias("n_rows"), F.count_if(~holds(c)).alias("n_failed")) for n, c in rules.items()]
+    return df.agg(F.array(*parts).alias("p")).select(F.inline("p")).withColumn("status", F.when(F.col("n_rows") == 0, "NO_DATA").when(F.col("n_failed") == 0, "PASS").otherwise("FAIL"))
 
-    A link is (table, column, parent table, parent column); its rows must all have a parent.
+
+def sums_to(columns: Sequence[str], total: float, tolerance: float = 1e-6) -> Column:
+    """Do the columns (class probabilities, shares) sum to `total`?"""
+    return F.abs(reduce(Column.__add__, [F.col(c) for c in columns]) - total) <= tolerance
+
+
+def linkage_evidence(carriers: DataFrame, targets: DataFrame, carrier: str, link: str, target: str, sep: Column, other: Column, tolerance: float = 0.01) -> DataFrame:
+    """metric, value: how the links from `carriers` (columns `carrier`, `link`) to `targets` (column `target`) stand.
+
+    Counts of carriers, linked ones, links that resolve and that do not, targets
+    used, used by several carriers, and unused; of links whose two ids are the
+    same number, and carriers whose id names some target (the id spaces must be
+    kept apart); and of resolved pairs that have a separation, and where a
+    second formula (`other`) departs from it by more than the tolerance.
+    """
+    named = carriers.groupBy(F.col(link).alias("__t")).agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.col(carrier) == F.col(link)).alias("__same"))
+    ids = targets.select(F.col(target).alias("__t")).distinct().withColumn("__here", F.lit(True))
+    x = named.filter("__t is not null").join(ids, "__t", "full_outer")
+    used, here = F.col("__n").isNotNull(), F.col("__here").isNotNull()
+    n = F.coalesce("__n", F.lit(0))
+    counts = x.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("linked"), F.coalesce(F.sum(F.when(here, n)), F.lit(0)).alias("resolved"), F.coalesce(F.sum(F.when(~here, n)), F.lit(0)).alias("unresolved"), F.count_if(used & here).alias("targets_used"),
+        F.count_if(here & (n > 1)).alias("targets_shared"), F.count_if(~used).alias("targets_unused"), F.coalesce(F.sum("__same"), F.lit(0)).alias("same_number"),
+    )
+    total = carriers.agg(F.count(F.lit(1)).alias("carriers"))
+    clash = carriers.select(F.col(carrier).alias("__t")).join(ids, "__t", "left_semi").agg(F.count(F.lit(1)).alias("ids_in_both_spaces"))
+    pairs = carriers.join(targets, carriers[link] == targets[target]).select(sep.alias("__s"), other.alias("__o"))
+    geometry = pairs.agg(F.count("__s").alias("separations"), F.count_if(holds(F.abs(F.col("__s") - F.col("__o")) > tolerance)).alias("formulas_differ"))
+    rows = [part.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("long").alias("value")) for c in part.columns]))) for part in (total, counts, clash, geometry)]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def surroundings(entities: DataFrame, cell: str, around: DataFrame, key: str, members: DataFrame, group: str, value: str) -> DataFrame:
+    """Entities with density (rows of `around` in their cell), n_groups (distinct groups they are members of) and best (largest member value).
+
+    `members` has the entities' key.  Both tables are aggregated before they are joined; entities without any get 0 and null.
+    """
+    density = around.groupBy(cell).agg(F.count(F.lit(1)).alias("density"))
+    groups = members.groupBy(key).agg(F.count_distinct(group).alias("n_groups"), F.max(value).alias("best"))
+    out = entities.join(density, cell, "left").join(groups, key, "left")
+    return out.withColumns({"density": F.coalesce("density", F.lit(0)), "n_groups": F.coalesce("n_groups", F.lit(0))})
+
+
+@dataclass(frozen=True)
+class Expected:
+    """What a table of a catalogue must be like; every part may be left out.
+
+    rows, columns: counts.  key: the unique column.  links: (column, parent
+    table, parent column).  bounds: allowed ranges.  nulls: columns and the
+    largest share of nulls.  sentinels: values that must be gone.  units: ranges
+    for a column's median, which tell a logarithmic column from a linear one.
+    rules: conditions on rows.  groups: columns whose distribution is listed.
+    coverage: conditions and the range of the share of rows that must meet them.
+    differences: (column, column) and the largest median of their difference.
     """
-    from .profile import null_counts
 
+    rows: int | None = None
+    columns: int | None = None
+    key: str | None = None
+    links: Sequence[tuple[str, str, str]] = ()
+    bounds: Mapping[str, tuple[float, float]] = field(default_factory=dict)
+    nulls: Mapping[str, float] = field(default_factory=dict)
+    sentinels: Mapping[str, Sequence[float]] = field(default_factory=dict)
+    units: Mapping[str, tuple[float, float]] = field(default_factory=dict)
+    rules: Mapping[str, Column] = field(default_factory=dict)
+    groups: Sequence[str] = ()
+    coverage: Mapping[str, tuple[Column, float, float]] = field(default_factory=dict)
+    differences: Mapping[tuple[str, str], float] = field(default_factory=dict)
+
+
+def quality_suite(tables: Mapping[str, DataFrame], expected: Mapping[str, Expected]) -> DataFrame:
+    """section, name, observed, status (PASS, WARN, FAIL, INFO) of a whole catalogue in one frame.
+
+    Sections: rows, columns, range, null, sentinel, rule, coverage (these from
+    one aggregate over each table), key, link, unit, distribution, difference.
+    """
     parts = []
-    for t, k in keys.items():
-        parts.append(key_unique(tables[t], k).select(F.lit("key").alias("section"), F.lit(f"{t}.{k}").alias("name"), (F.col("n_rows") - F.col("n_keys")).cast("double").alias("observed"), F.when(F.col("is_unique"), "PASS").otherwise("FAIL").alias("status")))
-    for t, c, parent, pc in links:
-        n = tables[t].filter(F.col(c).isNotNull()).join(tables[parent].select(F.col(pc).alias(c)), c, "left_anti").agg(F.count(F.lit(1)).cast("double").alias("observed"))
-        parts.append(n.select(F.lit("link").alias("section"), F.lit(f"{t}.{c}").alias("name"), "observed", F.when(F.col("observed") == 0, "PASS").otherwise("FAIL").alias("status")))
-    for t, limits in bounds.items():
-        parts.append(range_checks(tables[t], limits).select(F.lit("range").alias("section"), F.concat(F.lit(f"{t}."), "column").alias("name"), F.col("n_outside").cast("double").alias("observed"), "status"))
-        parts.append(null_counts(tables[t], [*limits]).select(F.lit("null").alias("section"), F.concat(F.lit(f"{t}."), "column").alias("name"), F.col("share").alias("observed"), F.when(F.col("share") <= null_limit, "PASS").otherwise("WARN").alias("status")))
+    for t, e in expected.items():
+        df, checks = tables[t], []
+        if e.columns is not None:
+            checks.append(("columns", t, F.lit(float(len(df.columns))), F.lit("PASS" if len(df.columns) == e.columns else "FAIL")))
+        n = F.count(F.lit(1)).cast("double")
+        checks.append(("rows", t, n, F.lit("INFO") if e.rows is None else F.when(n == e.rows, "PASS").otherwise("FAIL")))
+        failing = [("range", f"{t}.{c}", F.count_if(holds(~F.col(c).cast("double").between(*b)))) for c, b in e.bounds.items()]
+        failing += [("sentinel", f"{t}.{c}", F.count_if(F.col(c).isin(*v))) for c, v in e.sentinels.items()]
+        failing += [("rule", f"{t}.{name}", F.count_if(~holds(c))) for name, c in e.rules.items()]
+        checks += [(s, name, k.cast("double"), F.when(k == 0, "PASS").otherwise("FAIL")) for s, name, k in failing]
+        share = lambda c: F.coalesce(F.avg(holds(c).cast("double")), F.lit(0.0))
+        checks += [("null", f"{t}.{c}", share(F.col(c).isNull()), F.when(share(F.col(c).isNull()) <= most, "PASS").otherwise("WARN")) for c, most in e.nulls.items()]
+        checks += [("coverage", f"{t}.{name}", share(c), F.when(share(c).between(low, high), "PASS").otherwise("WARN")) for name, (c, low, high) in e.coverage.items()]
+        parts.append(df.agg(F.array(*[F.struct(F.lit(s).alias("section"), F.lit(name).alias("name"), v.alias("observed"), status.alias("status")) for s, name, v, status in checks]).alias("p")).select(F.inline("p")))
+        one = lambda frame, section, name, observed, status: frame.select(F.lit(section).alias("section"), name.alias("name"), observed.cast("double").alias("observed"), status.alias("status"))
+        if e.key:
+            parts.append(one(key_unique(df, e.key), "key", F.lit(f"{t}.{e.key}"), F.col("n_rows") - F.col("n_keys"), F.when(F.col("is_unique"), "PASS").otherwise("FAIL")))
+        for c, parent, pc in e.links:
+            lost = df.filter(F.col(c).isNotNull()).join(tables[parent].select(F.col(pc).alias(c)), c, "left_anti").agg(F.count(F.lit(1)).alias("n"))
+            parts.append(one(lost, "link", F.lit(f"{t}.{c}"), F.col("n"), F.when(F.col("n") == 0, "PASS").otherwise("FAIL")))
+        for c in e.groups:
+            counts = df.groupBy(F.coalesce(F.col(c).cast("string"), F.lit("-")).alias("g")).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(one(counts, "distribution", F.concat(F.lit(f"{t}.{c}="), "g"), F.col("n"), F.lit("INFO")))
+        medians = [("unit", c, F.col(c).cast("double"), low, high, "FAIL") for c, (low, high) in e.units.items()]
+        medians += [("difference", f"{a}-{b}", F.abs(F.col(a) - F.col(b)), 0.0, most, "WARN") for (a, b), most in e.differences.items()]
+        if medians:
+            rows = df.select(F.inline(F.array(*[F.struct(F.lit(f"{s}:{name}").alias("m"), v.alias("v")) for s, name, v, *_ in medians])))
+            middle = exact_percentiles(rows, F.col("v"), {"median": 0.5}, ["m"])
+            for s, name, _, low, high, bad in medians:
+                parts.append(one(middle.filter(F.col("m") == f"{s}:{name}"), s, F.lit(f"{t}.{name}"), F.col("median"), F.when(F.col("median").between(low, high), "PASS").otherwise(bad)))
     return reduce(DataFrame.unionByName, parts)

@@ -205,15 +205,17 @@ RULES = {"finite_gt_-90": lambda z: finite(z) & (z > -90), "positive": lambda z:
 
 def group_rules(unique: DataFrame, tolerance: float = 0.005) -> DataFrame:
     """rule, label, n: agreement of the entities with several unique measurements, under each rule of what is usable."""
-    rows = unique.withColumn("__n", F.lit(1))
-    parts = []
+    # counted by confidence first: an entity's rows are never gathered
+    first, second = [F.count(F.lit(1)).alias("__n")], [F.sum("__n").alias("n")]
+    level = F.coalesce(F.when(F.col("conf") != 0, F.col("conf")), F.lit(-1))
     for rule, usable in RULES.items():
         z = F.when(holds(usable(F.col("z"))), F.col("z"))
-        top = F.max(F.when(z.isNotNull(), F.coalesce(F.when(F.col("conf") != 0, F.col("conf")), F.lit(-1))))
-        parts += [F.count(z).alias(f"u_{rule}"), (F.max(z) - F.min(z)).alias(f"s_{rule}"), top.alias(f"t_{rule}"), F.collect_list(F.when(z.isNotNull(), F.coalesce("conf", F.lit(-1000)))).alias(f"c_{rule}")]
-    groups = rows.groupBy("ent").agg(F.count("__n").alias("n"), *parts).filter("n > 1")
+        first += [F.count(z).alias(f"u_{rule}"), F.min(z).alias(f"lo_{rule}"), F.max(z).alias(f"hi_{rule}")]
+        at = F.struct(level.alias("conf"), F.when(level.eqNullSafe(F.col("conf")), F.col(f"u_{rule}")).otherwise(F.lit(0)).alias("n"))
+        second += [F.sum(f"u_{rule}").alias(f"u_{rule}"), (F.max(f"hi_{rule}") - F.min(f"lo_{rule}")).alias(f"s_{rule}"), F.max(F.when(F.col(f"u_{rule}") > 0, at)).alias(f"t_{rule}")]
+    groups = unique.groupBy("ent", "conf").agg(*first).groupBy("ent").agg(*second).filter("n > 1")
     label = lambda r: F.when(F.col(f"u_{r}") == 0, "zero_usable").when(F.col(f"u_{r}") == 1, "one_usable").when(F.col(f"s_{r}") <= tolerance, "agreeing").otherwise("disagreeing")
-    tied = lambda r: (label(r) == "disagreeing") & (F.size(F.filter(F.col(f"c_{r}"), lambda c: c == F.col(f"t_{r}"))) >= 2)
+    tied = lambda r: (label(r) == "disagreeing") & (F.col(f"t_{r}.n") >= 2)
     long = groups.select("ent", F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), label(r).alias("label")) for r in RULES])))
     either = groups.filter(tied("finite_gt_-90") | tied("positive")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("either").alias("rule"), F.lit("disagreeing_tied_top").alias("label"), "n")
     return long.groupBy("rule", "label").agg(F.count(F.lit(1)).alias("n")).unionByName(either)

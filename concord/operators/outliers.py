@@ -24,6 +24,21 @@ def axis_ranks(df: DataFrame, axes: Sequence[str], high: float = 0.9, least: int
     return out.withColumn("magnitude", F.sqrt(total)).withColumn("n_high", n_high).withColumn("consensus", F.col("n_high") >= least)
 
 
+def offset_axis(value: str, groups: Sequence[str], into: str, df: DataFrame) -> DataFrame:
+    """Add `into`: how far the value lies from its group's mean, in units of the mean distance over all groups (0 in a group of one)."""
+    middle = df.groupBy(*groups).agg(F.avg(value).alias("__mean"))
+    out = df.join(middle, list(groups), "left").withColumn("__off", F.abs(F.col(value) - F.col("__mean")))
+    scale = out.agg(F.avg("__off").alias("__scale")).withColumn("__k", F.lit(1))
+    return out.withColumn("__k", F.lit(1)).join(scale, "__k").withColumn(into, F.try_divide("__off", "__scale")).drop("__k", "__mean", "__off", "__scale")
+
+
+def extreme_axis(value: str, groups: Sequence[str], into: str, df: DataFrame) -> DataFrame:
+    """Add `into`: 1 at the least and the largest value of the row's group, 0 in the middle between them; null in a group of one value."""
+    span = df.groupBy(*groups).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+    at = F.try_divide(F.col(value) - F.col("__lo"), F.col("__hi") - F.col("__lo"))
+    return df.join(span, list(groups), "left").withColumn(into, F.abs(2 * at - 1)).drop("__lo", "__hi")
+
+
 def isolation_scores(df: DataFrame, key: str, features: str, trees: int = 32, sample: int = 256, seed: int = 7) -> DataFrame:
     """key, score in (0, 1) of an isolation forest: the larger, the easier a row is set apart.
 

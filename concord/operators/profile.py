@@ -36,9 +36,13 @@ def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def profile_array(df: DataFrame, column: str) -> DataFrame:
-    """One row per index of the array column; null arrays count nowhere."""
+    """One row per index of the array column, as profile_numeric has it for a column; a null array is a null at every index (n_absent of them)."""
     long = df.select(F.posexplode(column).alias("index", "value")).withColumn("value", F.col("value").cast("double"))
-    return long.groupBy("index").agg(*_numeric(F.col("value")))
+    stats = long.groupBy("index").agg(*_numeric(F.col("value"))).withColumn("__k", F.lit(1))
+    absent = df.agg(F.count_if(F.col(column).isNull()).alias("n_absent")).withColumn("__k", F.lit(1))
+    stats = stats.join(absent, "__k").drop("__k").withColumns({c: F.col(c) + F.col("n_absent") for c in ("n_rows", "n_null")})
+    top = _top(long.filter(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("value", F.col("value") + 0.0), ["index"])
+    return stats.join(top, "index", "left")
 
 
 def profile_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:

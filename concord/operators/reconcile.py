@@ -13,9 +13,9 @@ from .ranks import exact_percentiles
 
 
 def same(a: Column, b: Column, kind: T.DataType | None = None) -> Column:
-    """Equal, null and NaN included; doubles bit by bit, so that 0.0 and -0.0 differ."""
+    """Equal, null and NaN included; 0.0 and -0.0 differ."""
     if isinstance(kind, T.DoubleType | T.FloatType):
-        return a.eqNullSafe(b) & a.cast("string").eqNullSafe(b.cast("string"))
+        return a.eqNullSafe(b) & F.when(holds(a == 0), a.cast("string") == b.cast("string")).otherwise(F.lit(True))
     return a.eqNullSafe(b)
 
 
@@ -25,28 +25,79 @@ def _beside(source: DataFrame, target: DataFrame, key: str, columns: Sequence[st
     return s.join(t, key, "full_outer").withColumns({"in_s": F.col("in_s").isNotNull(), "in_t": F.col("in_t").isNotNull()})
 
 
-def reconcile(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+def reconcile(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], declared: Mapping[str, str] | None = None) -> DataFrame:
     """key, column, index, kind of everything that differs: the ledger of a keyed comparison.
 
     Kinds: absent_in_target, absent_in_source, multiplicity (the key occurs
-    several times on a side), mismatch (of a column; of an array's element,
-    with its index).
+    several times on a side), mismatch (of a column, with no index: also of an
+    array that is null on one side or has another length; of an element of
+    arrays of one length, with its index).  With `declared` types, the source's
+    values are first cast to them exactly; those that do not fit are of kind
+    cast, and are not compared.
     """
-    kinds = {f.name: f.dataType for f in source.schema.fields}
     often = source.select(key, F.lit(1).alias("__s"), F.lit(0).alias("__t")).unionByName(target.select(key, F.lit(0).alias("__s"), F.lit(1).alias("__t"))).groupBy(key).agg(F.sum("__s").alias("__in_s"), F.sum("__t").alias("__in_t"))
     in_s, in_t = F.col("__in_s"), F.col("__in_t")
     whole = F.when(in_t == 0, "absent_in_target").when(in_s == 0, "absent_in_source").when((in_s > 1) | (in_t > 1), "multiplicity")
     none = F.lit(None).cast("int")
     rows = often.withColumn("kind", whole).filter("kind is not null").select(key, F.lit(None).cast("string").alias("column"), none.alias("index"), "kind")
-    both = _beside(source, target, key, columns).filter("in_s and in_t")
-    scalars = [c for c in columns if not isinstance(kinds[c], T.ArrayType)]
-    found = F.array_compact(F.array(*[F.when(~same(F.col(f"s_{c}"), F.col(f"t_{c}"), kinds[c]), F.lit(c)) for c in scalars])) if scalars else F.array().cast("array<string>")
-    out = rows.unionByName(both.select(key, F.explode(found).alias("column")).select(key, "column", none.alias("index"), F.lit("mismatch").alias("kind")))
-    for c in (c for c in columns if c not in scalars):
-        pairs = F.arrays_zip(F.col(f"s_{c}").alias("a"), F.col(f"t_{c}").alias("b"))
-        each = both.select(key, F.posexplode(pairs).alias("index", "p")).filter(~same(F.col("p.a"), F.col("p.b"), kinds[c].elementType))
-        out = out.unionByName(each.select(key, F.lit(c).alias("column"), "index", F.lit("mismatch").alias("kind")))
-    return out
+    casts = {c: exact_cast(F.col(c), source.schema[c].dataType, t) for c, t in (declared or {}).items() if c in columns}
+    typed = source.withColumns({f"__fault_{c}": fault for c, (_, fault) in casts.items()}).withColumns({c: value for c, (value, _) in casts.items()}) if casts else source
+    kinds = {f.name: f.dataType for f in typed.schema.fields}
+    s = typed.select(key, *[F.col(c).alias(f"s_{c}") for c in columns], *[f"__fault_{c}" for c in casts])
+    t = target.select(key, *[F.col(c).alias(f"t_{c}") for c in columns])
+    found = [F.array(F.struct(F.lit(c).alias("column"), none.alias("index"), F.when(F.col(f"__fault_{c}"), "cast").alias("kind"))) for c in casts]
+    for c in columns:
+        hit = _cell_differences(c, F.col(f"s_{c}"), F.col(f"t_{c}"), kinds[c])
+        found.append(F.when(~F.col(f"__fault_{c}"), hit) if c in casts else hit)
+    all_found = F.flatten(F.array_compact(F.array(*found))) if found else F.array().cast("array<struct<column:string,index:int,kind:string>>")
+    cells = s.join(t, key).select(key, F.inline(all_found)).filter("kind is not null")
+    return rows.unionByName(cells.select(key, "column", "index", "kind"))
+
+
+def _cell_differences(name: str, a: Column, b: Column, kind: T.DataType) -> Column:
+    """Array of (column, index, kind) of a cell of the source and one of the target; kind is null where they are equal."""
+    row = lambda index, differs: F.struct(F.lit(name).alias("column"), index.cast("int").alias("index"), F.when(differs, "mismatch").alias("kind"))
+    if not isinstance(kind, T.ArrayType):
+        return F.array(row(F.lit(None), ~same(a, b, kind)))
+    whole = (a.isNull() != b.isNull()) | (F.size(a) != F.size(b))
+    elements = F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda e, i: row(i, ~same(e["a"], e["b"], kind.elementType)))
+    return F.when(holds(whole), F.array(row(F.lit(None), F.lit(True)))).otherwise(F.filter(elements, lambda e: e["kind"].isNotNull()))
+
+
+#: The ranges of the integer types.
+INTEGERS = {"smallint": (-(2**15), 2**15 - 1), "integer": (-(2**31), 2**31 - 1), "bigint": (-(2**63), 2**63 - 1)}
+
+
+def exact_cast(c: Column, kind: T.DataType, target: str, size: int | None = None) -> tuple[Column, Column]:
+    """(value in the declared type, does it fail to fit?) of a source column of the given type.
+
+    Declared types: smallint, integer, bigint, boolean, text, real, double
+    precision, and arrays of these (`real[]`; with `size`, of that length).
+    Integers must come from whole numbers and lie in the range, floating-point
+    ones from numbers; NaN counts as null.  A source type that can't be meant
+    raises at once.
+    """
+    if target.endswith("[]"):
+        if not isinstance(kind, T.ArrayType):
+            raise TypeError(f"{kind.simpleString()} is no {target}")
+        one = lambda e: exact_cast(e, kind.elementType, target[:-2])
+        fault = F.exists(c, lambda e: one(e)[1])
+        return F.transform(c, lambda e: one(e)[0]), holds(fault | (F.size(c) != size) if size is not None else fault)
+    if target in INTEGERS:
+        if not isinstance(kind, T.IntegralType):
+            raise TypeError(f"{kind.simpleString()} is no {target}")
+        low, high = INTEGERS[target]
+        inside = c.cast("long").between(F.lit(low), F.lit(high))
+        return F.when(inside, c.cast({"smallint": "short", "integer": "int", "bigint": "long"}[target])), holds(~inside)
+    fits = {"boolean": T.BooleanType, "text": T.StringType | T.BinaryType, "real": T.NumericType, "double precision": T.NumericType}
+    if target not in fits or not isinstance(kind, fits[target]):
+        raise TypeError(f"{kind.simpleString()} is no {target}")
+    if target == "text":
+        return (F.decode(c, "UTF-8") if isinstance(kind, T.BinaryType) else c), F.lit(False)
+    if target == "boolean":
+        return c, F.lit(False)
+    number = F.when(F.isnan(c.cast("double")), None).otherwise(c)
+    return number.cast("float" if target == "real" else "double"), F.lit(False)
 
 
 def multiset_difference(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -125,12 +176,37 @@ def schema_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return a.join(b, "column", "full_outer").select("column", status.alias("status"), "old_type", "new_type")
 
 
+def conformance(df: DataFrame, contract: DataFrame) -> DataFrame:
+    """column, diagnostic of everything in which a table departs from its contract (position, column, type, array_length).
+
+    Diagnostics: missing, unexpected, type_differs, moved, and wrong_length with
+    the number of arrays (n) that are not as long as the contract says.
+    """
+    seen = schema_frame(df)
+    x = seen.select("column", F.col("position").alias("p1"), F.col("type").alias("t1")).join(contract.select("column", F.col("position").alias("p2"), F.col("type").alias("t2")), "column", "full_outer")
+    found = F.array_compact(F.array(F.when(F.col("p1").isNull(), "missing"), F.when(F.col("p2").isNull(), "unexpected"), F.when(F.col("t1") != F.col("t2"), "type_differs"), F.when(F.col("p1") != F.col("p2"), "moved")))
+    out = x.select("column", F.explode(found).alias("diagnostic")).withColumn("n", F.lit(1).cast("long"))
+    arrays = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    if arrays:
+        # lengths are counted, so that a table is read once whatever its contract says
+        sizes = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.size(c).alias("size"), F.col(c).isNull().alias("none")) for c in arrays]))).filter("not none").groupBy("column", "size").agg(F.count(F.lit(1)).alias("n"))
+        wrong = sizes.join(contract.filter("array_length is not null").select("column", "array_length"), "column").filter("size != array_length")
+        out = out.unionByName(wrong.groupBy("column").agg(F.sum("n").alias("n")).select("column", F.lit("wrong_length").alias("diagnostic"), "n"))
+    return out
+
+
 def manifest_diff(declared: DataFrame, observed: DataFrame) -> DataFrame:
-    """path, diagnostic: missing, extra, size_differs, hash_differs, duplicate_declared of two frames (path, bytes, sha256)."""
-    d = declared.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("bytes").alias("b1"), F.min("sha256").alias("h1"))
-    x = d.join(observed.select("path", F.col("bytes").alias("b2"), F.col("sha256").alias("h2"), F.lit(1).alias("o")), "path", "full_outer")
+    """path, diagnostic: missing, extra, size_differs, hash_differs, time_differs, duplicate_declared of two frames (path, bytes, sha256, modified).
+
+    Times are compared to the second; without the column `modified` on both sides they are not.
+    """
+    timed = "modified" in declared.columns and "modified" in observed.columns
+    when = F.date_trunc("second", F.col("modified")) if timed else F.lit(None).cast("timestamp")
+    d = declared.withColumn("__t", when).groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("bytes").alias("b1"), F.min("sha256").alias("h1"), F.min("__t").alias("t1"))
+    x = d.join(observed.select("path", F.col("bytes").alias("b2"), F.col("sha256").alias("h2"), when.alias("t2"), F.lit(1).alias("o")), "path", "full_outer")
     here, there = F.col("n").isNotNull(), F.col("o").isNotNull()
-    found = F.array_compact(F.array(F.when(here & ~there, "missing"), F.when(there & ~here, "extra"), F.when(here & there & (F.col("b1") != F.col("b2")), "size_differs"), F.when(here & there & (F.col("h1") != F.col("h2")), "hash_differs"), F.when(F.col("n") > 1, "duplicate_declared")))
+    differs = lambda c, name: F.when(here & there & (F.col(f"{c}1") != F.col(f"{c}2")), name)
+    found = F.array_compact(F.array(F.when(here & ~there, "missing"), F.when(there & ~here, "extra"), differs("b", "size_differs"), differs("h", "hash_differs"), differs("t", "time_differs"), F.when(F.col("n") > 1, "duplicate_declared")))
     return x.select("path", F.explode(found).alias("diagnostic"))
 
 

@@ -53,7 +53,10 @@ def nearest(entries: DataFrame, targets: DataFrame, step: float = 0.05, growth:
         n = _columns_of(F.col("band"), step)
         near = near.withColumn("cell", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.pmod(_cell(F.col("e_ra"), n) + d, n)))))
         if last:
-            placed, near = goal.withColumns({"band": F.lit(0), "cell": F.lit(0)}), open_.withColumns({"band": F.lit(0), "cell": F.lit(0)})
+            # entries with nothing within some sixty degrees: dealt out over all tasks, and the targets to each of them
+            parts = int(goal.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            placed = goal.withColumn("band", F.lit(0)).withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+            near = open_.withColumns({"band": F.lit(0), "cell": F.pmod(F.xxhash64("e_id"), F.lit(parts)).cast("int")})
         pairs = near.join(placed, ["band", "cell"]).withColumn("sep", separation_arcsec(F.col("e_ra"), F.col("e_dec"), F.col("t_ra"), F.col("t_dec")))
         best = pairs.groupBy("e_id").agg(F.min(F.struct("sep", "t_id")).alias("m")).select("e_id", "m.t_id", "m.sep")
         if not last:

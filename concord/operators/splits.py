@@ -19,6 +19,8 @@ def hash_split(domain: DataFrame, key: str, salt: str, holdout: int, validation:
     """
     rows = domain.select(key).filter(F.col(key).isNotNull()).distinct().withColumn("digest", digest(salt, F.col(key)))
     n = F.row_number().over(Window.orderBy("digest", key))
+    enough = F.count(F.lit(1)).over(Window.partitionBy()) >= holdout + validation
+    n = F.when(enough, n).otherwise(F.raise_error(F.lit(f"fewer than {holdout + validation} units to split")).cast("int"))
     split = F.when(n <= holdout, "holdout").when(n <= holdout + validation, "validation").otherwise("development")
     return rows.withColumn("split", split)
 

@@ -87,11 +87,16 @@ SQL["profile_text"] = " UNION ALL ".join(f"""SELECT s.*, t.* FROM (SELECT '{c}'
 
 
 def profile_array(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(P.profile_array(Tables(spark, d).embeddings, "embedding"))
+    """Profiles of the components: large ones count as 1, the others are rounded; some vectors are missing whole."""
+    coarse = F.transform("embedding", lambda y: F.when(y.cast("double") > 0.05, 1.0).otherwise(F.round(y.cast("double"), 2)))
+    return rounded(P.profile_array(Tables(spark, d).embeddings.select(F.when(F.col("vec_id") % 40 != 3, coarse).alias("e")), "e"))
 
 
-SQL["profile_array"] = """SELECT i::INT AS index, count(*) AS n_rows, count(*) FILTER (v IS NULL) AS n_null, count(*) FILTER (isnan(v)) AS n_nan, count(*) FILTER (v IS NOT NULL AND NOT isnan(v)) AS n_valid, round(min(v), 6) + 0.0::DOUBLE AS lo, round(max(v), 6) + 0.0::DOUBLE AS hi
-  FROM (SELECT unnest(range(len(embedding))) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings) GROUP BY i"""
+_TOPS = ", ".join(f"max(CASE WHEN rn = {i} THEN v END) AS top_{i}, max(CASE WHEN rn = {i} THEN n END) AS n_{i}" for i in (1, 2, 3))
+SQL["profile_array"] = f"""WITH x AS (SELECT CASE WHEN vec_id % 40 <> 3 THEN list_transform(embedding, lambda y: CASE WHEN y::DOUBLE > 0.05 THEN 1 ELSE round(y::DOUBLE, 2) END) END AS e FROM embeddings), l AS (SELECT unnest(range(len(e))) AS i, unnest(e)::DOUBLE + 0.0 AS v FROM x), z AS (SELECT count(*) FILTER (e IS NULL) AS n_absent FROM x),
+  t AS (SELECT i, {_TOPS} FROM (SELECT i, v, count(*) AS n, row_number() OVER (PARTITION BY i ORDER BY count(*) DESC, v) AS rn FROM l GROUP BY i, v) GROUP BY i)
+  SELECT l.i::INT AS index, count(*) + any_value(n_absent) AS n_rows, count(*) FILTER (v IS NULL) + any_value(n_absent) AS n_null, count(*) FILTER (isnan(v)) AS n_nan, count(*) FILTER (v IS NOT NULL AND NOT isnan(v)) AS n_valid, round(min(v), 6) + 0.0::DOUBLE AS lo, round(max(v), 6) + 0.0::DOUBLE AS hi, any_value(n_absent) AS n_absent,
+  {', '.join(f'any_value(top_{i}) AS top_{i}, any_value(n_{i}) AS n_{i}' for i in (1, 2, 3))} FROM l JOIN t USING (i), z GROUP BY l.i"""
 
 
 def array_shape(spark: SparkSession, d: str) -> DataFrame:
@@ -198,17 +203,21 @@ SQL["schema_diff"] = "SELECT t.*, CASE WHEN old_type = '-' THEN 0 ELSE (SELECT c
 
 
 def manifest_diff(spark: SparkSession, d: str) -> DataFrame:
-    """All files of the tables as they lie there, against a declaration with one file changed, one missing and one twice."""
+    """All files of the tables as they lie there, against a declaration that is wrong in every way: a hash, a size, a time, one file twice, one that is gone, one left out."""
     from ..sources.files import inventory
 
     seen = inventory(spark, d, "*.parquet")
     name = F.col("path")
-    declared = seen.withColumn("sha256", F.when(name == "nation.parquet", F.lit("0")).otherwise(F.col("sha256")))
-    declared = declared.unionByName(declared.filter(name == "region.parquet")).unionByName(declared.filter(name == "region.parquet").withColumn("path", F.lit("gone.parquet")))
-    return R.manifest_diff(declared, seen)
+    declared = seen.withColumns({
+        "sha256": F.when(name == "nation.parquet", F.lit("0")).otherwise(F.col("sha256")),
+        "bytes": F.when(name == "orders.parquet", F.col("bytes") + 1).otherwise(F.col("bytes")),
+        "modified": F.when(name == "part.parquet", F.col("modified") - F.expr("INTERVAL 2 SECONDS")).otherwise(F.col("modified")),
+    }).filter(name != "supplier.parquet")
+    again = declared.filter(name == "region.parquet")
+    return R.manifest_diff(declared.unionByName(again).unionByName(again.withColumn("path", F.lit("gone.parquet"))), seen)
 
 
-SQL["manifest_diff"] = "SELECT * FROM (VALUES ('nation.parquet', 'hash_differs'), ('region.parquet', 'duplicate_declared'), ('gone.parquet', 'missing')) t(path, diagnostic)"
+SQL["manifest_diff"] = "SELECT * FROM (VALUES ('nation.parquet', 'hash_differs'), ('orders.parquet', 'size_differs'), ('part.parquet', 'time_differs'), ('supplier.parquet', 'extra'), ('region.parquet', 'duplicate_declared'), ('gone.parquet', 'missing')) t(path, diagnostic)"
 
 # ---- checks ------------------------------------------------------------------
 
@@ -261,9 +270,9 @@ SQL["expectations"] = "WITH m AS (" + " UNION ALL ".join(f"SELECT '{n}' AS name,
 def environment(spark: SparkSession, d: str) -> DataFrame:
     """Entities with the density around them (suppliers of the nation) and their memberships (orders by status)."""
     t = Tables(spark, d)
-    density = t.supplier.groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(F.count(F.lit(1)).alias("density"))
-    groups = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count_distinct("o_orderstatus").alias("n_groups"), F.max("o_totalprice").alias("best"))
-    return t.customer.join(density, "c_nationkey", "left").join(groups, "c_custkey", "left").select("c_custkey", F.coalesce("density", F.lit(0)).alias("density"), F.coalesce("n_groups", F.lit(0)).alias("n_groups"), r6(F.col("best")).alias("best"))
+    around = t.supplier.withColumnRenamed("s_nationkey", "c_nationkey")
+    out = C.surroundings(t.customer, "c_nationkey", around, "c_custkey", t.orders.withColumnRenamed("o_custkey", "c_custkey"), "o_orderstatus", "o_totalprice")
+    return out.select("c_custkey", "density", "n_groups", r6(F.col("best")).alias("best"))
 
 
 SQL["environment"] = "SELECT c_custkey, coalesce(d, 0) AS density, coalesce(g, 0) AS n_groups, round(best, 6) AS best FROM customer LEFT JOIN (SELECT s_nationkey, count(*) AS d FROM supplier GROUP BY 1) ON s_nationkey = c_nationkey LEFT JOIN (SELECT o_custkey, count(DISTINCT o_orderstatus) AS g, max(o_totalprice) AS best FROM orders GROUP BY 1) ON o_custkey = c_custkey"
@@ -319,15 +328,31 @@ SQL["reconcile_sampled"] = with_views("WITH k AS (SELECT o_orderkey FROM orders
 
 def quality_suite(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    tables = {n: getattr(t, n) for n in ("customer", "orders", "nation")} | {"lineitem": t.lineitem.withColumn("l_tax", F.when(F.col("l_orderkey") % 9 != 0, F.col("l_tax")))}
-    return rounded(C.quality_suite(tables, {"orders": "o_orderkey", "lineitem": "l_orderkey"}, [("orders", "o_custkey", "customer", "c_custkey"), ("customer", "c_nationkey", "nation", "n_nationkey")], {"lineitem": {"l_tax": (0, 0.05), "l_quantity": (1, 50)}}))
-
-
-SQL["quality_suite"] = """WITH l AS (SELECT CASE WHEN l_orderkey % 9 <> 0 THEN l_tax END AS l_tax, l_quantity, l_orderkey FROM lineitem), x AS (SELECT 'key' AS section, 'orders.o_orderkey' AS name, (count(*) - count(DISTINCT o_orderkey))::DOUBLE AS observed, 'FAIL' AS bad FROM orders
-  UNION ALL SELECT 'key', 'lineitem.l_orderkey', count(*) - count(DISTINCT l_orderkey), 'FAIL' FROM l UNION ALL SELECT 'link', 'orders.o_custkey', count(*), 'FAIL' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
-  UNION ALL SELECT 'link', 'customer.c_nationkey', count(*), 'FAIL' FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation) UNION ALL SELECT 'range', 'lineitem.l_tax', count(*) FILTER (l_tax < 0 OR l_tax > 0.05), 'FAIL' FROM l
-  UNION ALL SELECT 'range', 'lineitem.l_quantity', count(*) FILTER (l_quantity < 1 OR l_quantity > 50), 'FAIL' FROM l UNION ALL SELECT 'null', 'lineitem.l_tax', avg((l_tax IS NULL)::INT), 'WARN' FROM l UNION ALL SELECT 'null', 'lineitem.l_quantity', avg((l_quantity IS NULL)::INT), 'WARN' FROM l)
-  SELECT section, name, round(observed, 6) AS observed, CASE WHEN observed = 0 THEN 'PASS' ELSE bad END AS status FROM x"""
+    tables = {n: getattr(t, n) for n in ("customer", "orders", "nation", "region")}
+    tables |= {"lineitem": t.lineitem.withColumn("l_tax", F.when(F.col("l_orderkey") % 9 != 0, F.col("l_tax"))), "dirty": t.dirty(), "est_a": t.est_a(), "cat": t.cat()}
+    return rounded(C.quality_suite(tables, {
+        "region": C.Expected(rows=6, columns=2), "nation": C.Expected(rows=25, columns=4, key="n_nationkey"),
+        "orders": C.Expected(columns=6, key="o_orderkey", links=[("o_custkey", "customer", "c_custkey")], groups=["o_orderstatus"], units={"o_totalprice": (2.0, 7.0)}, rules={"dated": F.col("o_orderdate").isNotNull()}),
+        "customer": C.Expected(links=[("c_nationkey", "nation", "n_nationkey")]),
+        "lineitem": C.Expected(key="l_orderkey", bounds={"l_tax": (0, 0.05), "l_quantity": (1, 50)}, nulls={"l_tax": 0.0, "l_quantity": 0.0}, rules={"tax_below_discount": F.col("l_tax") <= F.col("l_discount")}, differences={("l_tax", "l_discount"): 0.01}, coverage={"returned": (F.col("l_returnflag") == "R", 0.2, 0.5)}),
+        "dirty": C.Expected(sentinels={"x": [-999.0, -99.9], "code": [-998]}), "est_a": C.Expected(units={"log_a": (2.0, 7.0)}, differences={("l68", "u68"): 0.5}),
+        "cat": C.Expected(bounds={"ra": (150, 151), "dec": (2, 2.5)}, coverage={"class": (F.col("class").isNotNull(), 0.999, 1.0)}, groups=["class"]),
+    }))
+
+
+SQL["quality_suite"] = with_views("""WITH l AS (SELECT * REPLACE (CASE WHEN l_orderkey % 9 <> 0 THEN l_tax END AS l_tax) FROM lineitem), x AS (
+  SELECT 'rows' AS section, 'region' AS name, count(*)::DOUBLE AS observed, CASE WHEN count(*) = 6 THEN 'PASS' ELSE 'FAIL' END AS status FROM region UNION ALL SELECT 'rows', 'nation', count(*), CASE WHEN count(*) = 25 THEN 'PASS' ELSE 'FAIL' END FROM nation
+  UNION ALL SELECT 'columns', * FROM (VALUES ('region', 2.0, 'PASS'), ('nation', 3.0, 'FAIL'), ('orders', 6.0, 'PASS')) v """ + "".join(f" UNION ALL SELECT 'rows', '{n}', count(*), 'INFO' FROM {f}" for n, f in (("orders", "orders"), ("customer", "customer"), ("lineitem", "l"), ("dirty", "dirty"), ("est_a", "est_a"), ("cat", "cat")))
+  + "".join(f" UNION ALL SELECT 'key', '{n}.{c}', count(*) - count(DISTINCT {c}), CASE WHEN count(*) = count(DISTINCT {c}) THEN 'PASS' ELSE 'FAIL' END FROM {n}" for n, c in (("nation", "n_nationkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey")))
+  + "".join(f" UNION ALL SELECT '{s}', '{n}', count(*) FILTER ({bad}), CASE WHEN count(*) FILTER ({bad}) = 0 THEN 'PASS' ELSE 'FAIL' END FROM {f}" for s, n, bad, f in (
+    ("link", "orders.o_custkey", "o_custkey NOT IN (SELECT c_custkey FROM customer)", "orders"), ("link", "customer.c_nationkey", "c_nationkey NOT IN (SELECT n_nationkey FROM nation)", "customer"), ("range", "lineitem.l_tax", "l_tax < 0 OR l_tax > 0.05", "l"), ("range", "lineitem.l_quantity", "l_quantity < 1 OR l_quantity > 50", "l"),
+    ("range", "cat.ra", "ra < 150 OR ra > 151", "cat"), ("range", "cat.dec", "dec < 2 OR dec > 2.5", "cat"), ("sentinel", "dirty.x", "x IN (-999.0, -99.9)", "dirty"), ("sentinel", "dirty.code", "code = -998", "dirty"), ("rule", "orders.dated", "o_orderdate IS NULL", "orders"), ("rule", "lineitem.tax_below_discount", "NOT coalesce(l_tax <= l_discount, false)", "l")))
+  + "".join(f" UNION ALL SELECT '{s}', '{n}', avg(({c})::INT), CASE WHEN avg(({c})::INT) BETWEEN {lo} AND {hi} THEN 'PASS' ELSE 'WARN' END FROM {f}" for s, n, c, lo, hi, f in (
+    ("null", "lineitem.l_tax", "l_tax IS NULL", 0, 0, "l"), ("null", "lineitem.l_quantity", "l_quantity IS NULL", 0, 0, "l"), ("coverage", "lineitem.returned", "l_returnflag = 'R'", 0.2, 0.5, "l"), ("coverage", "cat.class", "class IS NOT NULL", 0.999, 1, "cat")))
+  + "".join(f" UNION ALL SELECT '{s}', '{n}', quantile_cont({v}, 0.5), CASE WHEN quantile_cont({v}, 0.5) BETWEEN {lo} AND {hi} THEN 'PASS' ELSE '{bad}' END FROM {f}" for s, n, v, lo, hi, bad, f in (
+    ("unit", "orders.o_totalprice", "o_totalprice", 2, 7, "FAIL", "orders"), ("unit", "est_a.log_a", "log_a", 2, 7, "FAIL", "est_a"), ("difference", "lineitem.l_tax-l_discount", "abs(l_tax - l_discount)", 0, 0.01, "WARN", "l"), ("difference", "est_a.l68-u68", "abs(l68 - u68)", 0, 0.5, "WARN", "est_a")))
+  + """ UNION ALL SELECT 'distribution', 'orders.o_orderstatus=' || o_orderstatus, count(*), 'INFO' FROM orders GROUP BY o_orderstatus UNION ALL SELECT 'distribution', 'cat.class=' || coalesce(class::VARCHAR, '-'), count(*), 'INFO' FROM cat GROUP BY class)
+  SELECT section, name, round(observed, 6) AS observed, status FROM x""", "dirty", "est_a", "cat")
 
 
 def head_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -378,7 +403,17 @@ SQL["nearest"] = with_views(f"""WITH e AS (SELECT t_id AS e_id, t_ra AS e_ra, t_
 
 
 def content_digest(spark: SparkSession, d: str) -> DataFrame:
-    return D.content_digest(Tables(spark, d).orders)
+    return D.content_digest(Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
+
+
+def digest_sql(rows: str) -> str:
+    """The digest of `rows`, a query for the column j: the canonical JSON of each row."""
+    return f"""WITH h AS (SELECT sha256(j) AS h FROM ({rows})), x AS (SELECT h, ('0x' || h[1:15])::BIGINT AS x FROM h), a AS (SELECT h[1:6] AS p, sha256(string_agg(h, chr(10) ORDER BY h)) AS d FROM h GROUP BY ALL), b AS (SELECT p[1:3] AS p, sha256(string_agg(d, chr(10) ORDER BY p)) AS d FROM a GROUP BY ALL)
+  SELECT (SELECT count(*) FROM h) AS n_rows, (SELECT sum(x)::VARCHAR FROM x) AS hash_sum, (SELECT bit_xor(x) FROM x) AS hash_xor, (SELECT sha256(string_agg(d, chr(10) ORDER BY p)) FROM b) AS sha256"""
+
+
+_ORDER_JSON = """'{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority || '","o_orderstatus":"' || o_orderstatus || '"}'"""
+SQL["content_digest"] = digest_sql(f"SELECT {_ORDER_JSON} AS j FROM orders")
 
 
 def snapshot_digest(spark: SparkSession, d: str) -> DataFrame:
@@ -386,6 +421,9 @@ def snapshot_digest(spark: SparkSession, d: str) -> DataFrame:
     return D.content_digest(Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_orderstatus"), seed="snapshot-1|")
 
 
+SQL["snapshot_digest"] = digest_sql("""SELECT 'snapshot-1|{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}' AS j FROM orders""")
+
+
 def canonical_json(spark: SparkSession, d: str) -> DataFrame:
     c = Tables(spark, d).customer.select("c_custkey", "c_name", "c_acctbal", F.when(F.col("c_acctbal") < 0, F.lit("owes")).alias("c_note"))
     return c.select("c_custkey", D.canonical_json(c).alias("line")).repartitionByRange("c_custkey").sortWithinPartitions("c_custkey")
@@ -396,7 +434,12 @@ SQL["canonical_json"] = "SELECT c_custkey, '{\"c_acctbal\":' || c_acctbal || ',\
 
 def provenance(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    return D.provenance({n: getattr(t, n) for n in ("nation", "customer", "orders")}, "testdata", "1")
+    tables = {"nation": t.nation, "region": t.region, "orders": t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")}
+    rows = D.provenance(tables, "testdata", "1")
+    return rows.select("table", "source", "version", "n_rows", "sha256", F.col("loaded_at").isNotNull().alias("dated"))
+
+
+SQL["provenance"] = "SELECT 'nation' AS \"table\", 'testdata' AS source, '1' AS version, n_rows, sha256, true AS dated FROM (" + digest_sql("""SELECT '{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}' AS j FROM nation""") + ") UNION ALL SELECT 'region', 'testdata', '1', n_rows, sha256, true FROM (" + digest_sql("""SELECT '{"r_name":"' || r_name || '","r_regionkey":' || r_regionkey || '}' AS j FROM region""") + ") UNION ALL SELECT 'orders', 'testdata', '1', n_rows, sha256, true FROM (" + SQL["content_digest"] + ")"
 
 
 # ---- scores ------------------------------------------------------------------
@@ -427,4 +470,8 @@ def knn(spark: SparkSession, d: str) -> DataFrame:
     return rounded(O.nearest_in_features(Tables(spark, d).embeddings, "vec_id", "embedding"))
 
 
+SQL["knn"] = """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), x AS (SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) AS rank FROM x)
+  SELECT vec_id, neighbour, round(distance, 6) AS distance, rank::INT AS rank FROM r WHERE rank <= 5"""
+
+
 QUERIES = {f.__name__.removesuffix("_query"): f for f in (sentinel_null, guarded_ratio_query, null_counts, candidate_sentinels, profile_numeric, profile_text, profile_array, array_shape, col_select, reconcile_unique, reconcile_multiset, table_equality, value_drift, pair_compare, id_space, agreement, schema_diff, manifest_diff, orphans, key_unique, row_counts, range_checks, expectations, environment, ordinal_check, ordinal_join, histogram, fidelity, reconcile_sampled, quality_suite, head_profile, sky_sep, nearest, content_digest, snapshot_digest, canonical_json, provenance, roadmap_scores, iforest, knn)}

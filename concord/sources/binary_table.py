@@ -4,13 +4,13 @@
     spark.read.format("binary_table").option("layout", "id K, mag E, name 8A, v 3D").option("offset", 2880).load(path)
 
 The file is cut into ranges of rows, each a task of its own; only the wanted
-columns are decoded.  The path must be readable on every executor (a shared
-file system).  Columns: the layout's, and source_row, the row's ordinal.
+columns are decoded.  The path is one of a shared file system, or a URI of a
+store that Arrow opens by its scheme (hdfs, s3, gs, file).  Columns: the
+layout's, and source_row, the row's ordinal.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +41,14 @@ def row_type(layout: list[tuple[str, str]]) -> np.dtype:
     return np.dtype(fields)
 
 
+def opened(path: str):
+    """The file, for reading at any place."""
+    from pyarrow import fs
+
+    store, inside = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    return store.open_input_file(inside)
+
+
 @dataclass
 class Rows(InputPartition):
     start: int
@@ -71,7 +79,8 @@ class BinaryReader(DataSourceReader):
         self.n = int(options["rows"]) if "rows" in options else None
 
     def partitions(self) -> list[InputPartition]:
-        size = (os.path.getsize(self.path) - self.offset) // row_type(self.layout).itemsize
+        with opened(self.path) as f:
+            size = (f.size() - self.offset) // row_type(self.layout).itemsize
         n = size if self.n is None else self.n
         if n > size:
             raise ValueError(f"the file holds {size} rows, not {n}")
@@ -79,9 +88,10 @@ class BinaryReader(DataSourceReader):
 
     def read(self, partition: Rows) -> Iterator[pa.RecordBatch]:
         kind, codes = row_type(self.layout), dict(self.layout)
+        file = opened(self.path)
         for a in range(partition.start, partition.stop, 65536):
             z = min(partition.stop, a + 65536)
-            rows = np.fromfile(self.path, dtype=kind, count=z - a, offset=self.offset + a * kind.itemsize)
+            rows = np.frombuffer(file.read_at((z - a) * kind.itemsize, self.offset + a * kind.itemsize), dtype=kind)
             cols = []
             for name in self.names:
                 if name == "source_row":

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import null_nan
 from ..operators.checks import strict
-from ..operators.digest import canonical_json
+from ..operators.digest import canonical_json, content_digest
 
 
 def read_whitespace(spark: SparkSession, path: str, schema: T.StructType, header: Sequence[str] | None = None, comment: str = "#") -> DataFrame:
@@ -52,6 +52,17 @@ def write_snapshot(df: DataFrame, path: str, key: Sequence[str], null: str = "")
     df.repartitionByRange(*key).sortWithinPartitions(*key).write.option("header", True).option("nullValue", null).option("emptyValue", '""').csv(path)
 
 
+def export_snapshot(df: DataFrame, path: str, key: Sequence[str], columns: Sequence[str], seed: str = "", null: str = "") -> DataFrame:
+    """Write the declared columns as a snapshot, range-sorted by the key; what is returned is its digest (one row: n_rows, hash_sum, hash_xor, sha256).
+
+    The digest is that of the rows: it depends neither on how many files hold
+    them nor on how the writer quotes.
+    """
+    rows = df.select(*columns)
+    write_snapshot(rows, path, key, null)
+    return content_digest(rows, seed)
+
+
 def write_json_lines(df: DataFrame, path: str, key: Sequence[str]) -> None:
     """Canonical JSON lines (sorted keys, no spaces, nulls written), range-sorted by the key."""
     df.repartitionByRange(*key).sortWithinPartitions(*key).select(canonical_json(df).alias("value")).write.text(path)

@@ -330,3 +330,108 @@ def test_nearest_in_features_equals_brute_force(spark):
         got = outliers.nearest_in_features(df, "id", "v", block=block).collect()
         assert {(r["id"], r["rank"]): r["neighbour"] for r in got} == want
         assert all(r["distance"] == pytest.approx(math.dist(held[r["id"]], held[r["neighbour"]]), abs=1e-9) for r in got)
+
+
+# ---- arrays, declared types, contracts ---------------------------------------
+@pytest.mark.parametrize(
+    ("a", "b", "want"),
+    [
+        (None, [1.0], [(None, "mismatch")]), ([1.0], None, [(None, "mismatch")]), ([1.0], [1.0, None], [(None, "mismatch")]), ([1.0, 2.0], [1.0], [(None, "mismatch")]), ([], None, [(None, "mismatch")]),
+        ([1.0, 2.0, 3.0], [1.5, 2.0, 3.5], [(0, "mismatch"), (2, "mismatch")]), ([None, NAN], [NAN, None], [(0, "mismatch"), (1, "mismatch")]), ([0.0], [-0.0], [(0, "mismatch")]),
+        (None, None, []), ([], [], []), ([NAN, None, INF], [NAN, None, INF], []),
+    ],
+)
+def test_arrays_differ_whole_or_by_element(spark, a, b, want):
+    frame = lambda v: spark.createDataFrame([(1, v), (2, [9.0])], "k long, v array<double>")
+    got = reconcile.reconcile(frame(a), frame(b), "k", ["v"]).collect()
+    assert sorted(((r["index"], r["kind"]) for r in got), key=str) == sorted(want, key=str)
+    assert all((r["k"], r["column"]) == (1, "v") for r in got)
+
+
+def test_exact_casts(spark):
+    source = spark.createDataFrame([(1, 5, 1.1, bytearray("é".encode()), [1, 70000]), (2, 40000, NAN, None, [1]), (3, None, -0.0, bytearray(b"x"), None), (4, -32768, 1e300, bytearray(b""), [3, None])], "k int, i long, f double, s binary, v array<long>")
+    target = spark.createDataFrame([(1, 5, 1.1, "é", None), (2, None, None, None, [1]), (3, None, 0.0, "x", None), (4, -32768, INF, "", [3, None])], "k int, i short, f float, s string, v array<int>")
+    declared = {"i": "smallint", "f": "real", "s": "text", "v": "smallint[]"}
+    got = {(r["k"], r["column"], r["index"], r["kind"]) for r in reconcile.reconcile(source, target, "k", list(declared), declared).collect()}
+    assert got == {(2, "i", None, "cast"), (3, "f", None, "mismatch"), (1, "v", None, "cast")}
+    for kind, wrong in ((T.DoubleType(), "integer"), (T.BooleanType(), "real"), (T.LongType(), "text"), (T.StringType(), "boolean"), (T.LongType(), "bigint[]"), (T.LongType(), "uuid")):
+        with pytest.raises(TypeError):
+            reconcile.exact_cast(F.col("x"), kind, wrong)
+    sized = source.select("k", reconcile.exact_cast(F.col("v"), source.schema["v"].dataType, "bigint[]", 2)[1].alias("bad"))
+    assert {r["k"]: r["bad"] for r in sized.collect()} == {1: False, 2: True, 3: False, 4: False}
+
+
+def test_array_profile_counts_absent_arrays_and_top_values(spark):
+    df = spark.createDataFrame([([1.0, NAN],), ([1.0, 2.0],), (None,), ([3.0, None],), ([-0.0, 2.0],)], "v array<double>")
+    first, second = profile.profile_array(df, "v").orderBy("index").collect()
+    assert (first["n_rows"], first["n_null"], first["n_valid"], first["n_absent"], first["top_1"], first["n_1"], first["top_2"], first["n_2"]) == (5, 1, 4, 1, 1.0, 2, 0.0, 1)
+    assert (second["n_rows"], second["n_null"], second["n_nan"], second["top_1"], second["n_1"], second["top_2"]) == (5, 2, 1, 2.0, 2, None)
+    assert profile.profile_array(df.limit(0), "v").count() == 0
+
+
+def test_manifests(spark):
+    import datetime
+
+    at = datetime.datetime(2024, 1, 1, 12, 0, 0, 400000)
+    kind = "path string, bytes long, sha256 string, modified timestamp"
+    seen = [("a", 1, "x", at), ("b", 1, "x", at), ("c", 1, "x", at), ("d", 1, "x", at)]
+    said = [("a", 1, "x", at.replace(microsecond=0)), ("b", 2, "y", at), ("c", 1, "x", at.replace(second=1)), ("e", 1, "x", at), ("e", 1, "x", at)]
+    got = {tuple(r) for r in reconcile.manifest_diff(spark.createDataFrame(said, kind), spark.createDataFrame(seen, kind)).collect()}
+    assert got == {("b", "size_differs"), ("b", "hash_differs"), ("c", "time_differs"), ("d", "extra"), ("e", "missing"), ("e", "duplicate_declared")}
+
+
+def test_conformance(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0], "x"), (2, [1.0], None), (3, None, "y")], "k long, v array<double>, s string")
+    contract = reconcile.schema_frame(df).withColumn("array_length", F.when(F.col("column") == "v", 2))
+    assert {tuple(r) for r in reconcile.conformance(df, contract).collect()} == {("v", "wrong_length", 1)}
+    assert reconcile.conformance(df.filter("k <> 2"), contract).count() == 0
+    got = {tuple(r) for r in reconcile.conformance(df.select("v", F.col("k").cast("int").alias("k")), contract).collect()}
+    assert got == {("v", "wrong_length", 1), ("v", "moved", 1), ("k", "moved", 1), ("k", "type_differs", 1), ("s", "missing", 1)}
+
+
+def test_splits_need_enough_units(spark):
+    tiles = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "tile string")
+    assert splits.hash_split(tiles, "tile", "s", 1, 1).count() == 2
+    with pytest.raises(Exception, match="fewer than 3 units"):
+        splits.hash_split(tiles, "tile", "s", 2, 1).collect()
+    assert [r["k"] for r in splits.modulus_sample(spark.range(-4, 20).withColumnRenamed("id", "k"), "k", 8, 3).orderBy("k").collect()] == [3, 11, 19]
+
+
+def test_group_rules_of_a_hot_entity(spark):
+    rows = [(1, 1.0, 95)] * 50 + [(1, 2.0, 95), (1, 3.0, 0), (1, 4.0, None), (2, 1.0, None), (2, 2.0, 0), (3, 1.0, -1), (3, 2.0, -1), (4, 5.0, 1)]
+    got = {(r["rule"], r["label"]): r["n"] for r in measure.group_rules(spark.createDataFrame(rows, "ent long, z double, conf long")).collect()}
+    assert got == {("finite_gt_-90", "disagreeing"): 3, ("positive", "disagreeing"): 3, ("either", "disagreeing_tied_top"): 2}
+
+
+def test_digest_levels_restated(spark):
+    import hashlib
+
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    df = spark.range(300).select("id", F.col("id").cast("string").alias("s"))
+    level = sorted((h, h) for h in (sha(f'seed{{"id":{i},"s":"{i}"}}') for i in range(300)))
+    for digits in (6, 3, 0):
+        groups = {}
+        for p, d in level:
+            groups.setdefault(p[:digits], []).append(d)
+        level = sorted((p, sha("\n".join(d))) for p, d in groups.items())
+    r = digest.content_digest(df, "seed").first()
+    assert (r["n_rows"], r["sha256"]) == (300, level[0][1])
+
+
+def test_isolation_forest_sets_outliers_apart(spark):
+    rnd = random.Random(23)
+    rows = [(i, [rnd.gauss(0, 1) for _ in range(4)]) for i in range(600)] + [(9000 + i, [8.0 + i, -9.0, 7.0, 10.0 * (-1) ** i]) for i in range(6)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    got = {r["id"]: r["score"] for r in outliers.isolation_scores(df, "id", "v").collect()}
+    assert len(got) == len(rows) and all(0 < s < 1 for s in got.values())
+    assert set(sorted(got, key=got.get)[-6:]) == {9000 + i for i in range(6)}
+    assert {r["id"]: r["score"] for r in outliers.isolation_scores(df.repartition(7), "id", "v").collect()} == pytest.approx(got)
+
+
+def test_bytes_and_codes(spark):
+    df = spark.createDataFrame([(bytearray(b" ab  "), "7", " x ", 1.5)], "b binary, i string, a string, o double")
+    assert df.select(K.ascii_text(F.col("b"))).first()[0] == "ab"
+    out = normalise.cast_by(df, {"i": "J", "a": "4A"})
+    assert out.schema["i"].dataType == T.IntegerType() and tuple(out.first())[1:] == (7, "x", 1.5)
+    with pytest.raises(Exception, match="CAST|OVERFLOW"):
+        normalise.cast_by(spark.createDataFrame([(1 << 40,)], "i long"), {"i": "J"}).collect()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.operators.checks import Violation
-from concord.sources import files, runs, text
+from concord.sources import files, runs, tables, text
 from concord.sources.binary_table import BinaryTable
 
 SCHEMA = T.StructType().add("id", "long").add("x", "double").add("name", "string")
@@ -88,3 +88,39 @@ def test_runs_install_verify_and_go(spark, tmp_path):
         runs.install(spark, folder, "r1", t)
     assert runs.remove(spark, folder, "r1") == 2
     assert runs.installed(spark, folder, "r1") == {} and runs.read_run(spark, folder, "b").count() == 6
+
+
+def test_large_files_are_streamed(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "a.bin").write_bytes(bytes(range(256)) * 400)
+    (tmp_path / "b.bin").write_bytes(b"x")
+    whole = {tuple(r) for r in files.inventory(spark, str(tmp_path), "*.bin").collect()}
+    assert {tuple(r) for r in files.inventory(spark, str(tmp_path), "*.bin", whole=1000).collect()} == whole
+    assert {(r[0], r[2]) for r in whole} == {("a.bin", hashlib.sha256(bytes(range(256)) * 400).hexdigest()), ("b.bin", hashlib.sha256(b"x").hexdigest())}
+
+
+def test_binary_tables_by_uri(spark, tmp_path):
+    (tmp_path / "t.bin").write_bytes(np.arange(10, dtype=">i8").tobytes())
+    spark.dataSource.register(BinaryTable)
+    df = spark.read.format("binary_table").option("layout", "id K").load(f"file://{tmp_path}/t.bin")
+    assert [r["id"] for r in df.orderBy("source_row").collect()] == list(range(10))
+
+
+def test_exported_snapshots(spark, tmp_path):
+    df = spark.createDataFrame([(3, None, "c"), (1, 0.5, "a"), (2, 1.5, "b")], SCHEMA)
+    r = text.export_snapshot(df, str(tmp_path / "s"), ["id"], ["id", "x"], "v1|").first()
+    again = text.export_snapshot(df.repartition(3), str(tmp_path / "s2"), ["id"], ["id", "x"], "v1|").first()
+    assert r == again and r["n_rows"] == 3
+    assert [x["id"] for x in text.read_snapshot(spark, str(tmp_path / "s"), T.StructType(SCHEMA.fields[:2])).collect()] == [1, 2, 3]
+
+
+def test_tables_of_the_catalogue_and_of_a_server(spark, tmp_path):
+    spark.range(5).selectExpr("id", "id * 2 AS x").createOrReplaceTempView("t_view")
+    assert tables.read_table(spark, "t_view", ["x"]).columns == ["x"] and tables.read_table(spark, "t_view").count() == 5
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    spark.range(100).selectExpr("id", "id * 2 AS x").write.format("jdbc").options(url=url, dbtable="t", driver=driver).save()
+    whole = tables.read_server(spark, url, "t", driver=driver)
+    parts = tables.read_server(spark, url, "t", key="ID", bounds=(0, 100), parts=4, driver=driver)
+    assert parts.rdd.getNumPartitions() == 4
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect())) == [(i, 2 * i) for i in range(100)]
