@@ -4,22 +4,28 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` now and go on from the files.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir.
 
-    spark.checkpoint.dir holds.  Where it is unset, a temporary folder serves on
-    one machine (tests); on a cluster, whose executors would not see it, this raises.
+    Where it is unset, a temporary folder serves on one machine (tests); on a
+    cluster, whose executors would not see it, this raises.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if sc.master != "local" and not sc.master.startswith("local["):
-                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-            folder = tempfile.mkdtemp(prefix="spark-checkpoints-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-checkpoints-")
         sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared folder now and go on from the files."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

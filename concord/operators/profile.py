@@ -55,8 +55,11 @@ def profile_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def head_profile(df: DataFrame, ordinal: str, n: int, columns: Sequence[str], few: int = 20) -> DataFrame:
     """Profile of the first n rows by the persisted ordinal, with the distinct values of columns that have at most `few`."""
     head = df.filter(F.col(ordinal) < n)
-    sets = _long(head, columns, "string").groupBy("column").agg(F.count_distinct("value").alias("n_distinct"), F.array_sort(F.collect_set("value")).alias("values"))
-    return profile_numeric(head, columns).join(sets.select("column", "n_distinct", F.when(F.col("n_distinct") <= few, F.col("values")).alias("values")), "column")
+    distinct = _long(head, columns, "string").distinct()
+    counts = distinct.groupBy("column").agg(F.count("value").alias("n_distinct"))
+    # values are gathered of columns only that have few
+    sets = distinct.join(counts.filter(F.col("n_distinct") <= few).select("column"), "column", "left_semi").groupBy("column").agg(F.array_sort(F.collect_set("value")).alias("values"))
+    return profile_numeric(head, columns).join(counts, "column").join(sets, "column", "left")
 
 
 def profile_failures(profile: DataFrame) -> DataFrame:

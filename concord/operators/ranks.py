@@ -10,12 +10,9 @@ from pyspark.sql import functions as F
 from .checkpoints import cut
 
 
-def _range_of(counts: DataFrame, value: str, n: int) -> Column:
-    """Number of the range, of about `n` with as many distinct values each, that holds the value.  Nulls come last."""
-    bounds = sorted(set(counts.select(F.col(value).cast("double").alias(value)).approxQuantile(value, [i / n for i in range(1, n)], 0.01))) if n > 1 else []
-    bounds = [b for b in bounds if b == b]
-    part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(value))) if bounds else F.lit(0)
-    return F.when(F.col(value).isNull(), len(bounds) + 1).otherwise(part)
+def _ranged(counts: DataFrame, value: str, n: int) -> DataFrame:
+    """Add __part: the number of the range, of about `n` of like size, that holds the value; nulls come last."""
+    return cut(counts.repartitionByRange(n, F.col(value).isNull(), value).withColumn("__part", F.spark_partition_id()))
 
 
 def _partitions(df: DataFrame) -> int:
@@ -33,9 +30,7 @@ def exact_percentiles(df: DataFrame, value: Column, shares: Mapping[str, float],
     one row in any case.
     """
     rows = df.select(*by, value.cast("double").alias("__v")).filter("__v is not null")
-    counts = cut(rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c")))
-    part = _range_of(counts, "__v", ranges or _partitions(df))
-    counts = counts.withColumn("__part", part)
+    counts = _ranged(rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c")), "__v", ranges or _partitions(df))
     before = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     totals = counts.groupBy(*by, "__part").agg(F.sum("__c").alias("__t"))
     totals = totals.withColumns({"__before": F.coalesce(F.sum("__t").over(before), F.lit(0)), "__all": F.sum("__t").over(Window.partitionBy(*by))}).select(*[F.col(b).alias(f"__by_{b}") for b in by], F.col("__part").alias("__p"), "__before", "__all")
@@ -61,14 +56,12 @@ def percent_rank(df: DataFrame, value: str, into: str, ranges: int | None = None
     equal size, summed up over the ranges (one row each) and inside them, and
     joined back.  An unpartitioned window would gather the table in one task.
     """
-    counts = cut(df.groupBy(value).agg(F.count(F.lit(1)).alias("__n")))
-    part = _range_of(counts, value, ranges or _partitions(df))
-    counts = counts.withColumn("__part", part)
+    counts = _ranged(df.groupBy(value).agg(F.count(F.lit(1)).alias("__n")), value, ranges or _partitions(df))
     totals = counts.groupBy("__part").agg(F.sum("__n").alias("__t"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
     totals = totals.select("__part", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__before"), F.sum("__t").over(every).alias("__all"))
-    inside = Window.partitionBy("__part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("__part").orderBy(F.col(value).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     ranked = counts.join(totals, "__part").withColumn("__below", F.col("__before") + F.coalesce(F.sum("__n").over(inside), F.lit(0)))
     rank = F.when(F.col("__all") > 1, F.col("__below") / (F.col("__all") - 1)).otherwise(F.lit(0.0))
     found = ranked.select(F.col(value).alias("__v"), rank.alias(into))

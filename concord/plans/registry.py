@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import catalogue_queries, measurement_queries, quality_queries, tension_queries
+from . import catalogue_queries, io_queries, measurement_queries, quality_queries, tension_queries
 
-_MODULES = (tension_queries, measurement_queries, quality_queries, catalogue_queries)
+_MODULES = (tension_queries, measurement_queries, quality_queries, catalogue_queries, io_queries)
 
 
 def queries() -> dict:

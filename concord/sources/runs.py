@@ -76,6 +76,11 @@ def remove(spark: SparkSession, folder: str, run_id: str) -> int:
     return len(names)
 
 
+def register(rows: DataFrame, folder: str) -> None:
+    """Append the provenance of a load, one row for each of its tables and one time for all, in one write."""
+    rows.coalesce(1).write.mode("append").parquet(f"{folder.rstrip('/')}/provenance")
+
+
 def load(df: DataFrame, path: str, schema, mode: str = "errorifexists") -> None:
     """Write a table with the columns of the target schema, in its order.  What exists is not overwritten unless asked."""
     from ..operators.normalise import conform

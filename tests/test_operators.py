@@ -27,6 +27,7 @@ def test_nan_is_no_sentinel(spark):
     assert math.isnan(one(spark, NAN, "double", K.null_sentinels(F.col("x"), [-999.0])))
 
 
+# The reason codes and their boundaries.
 @pytest.mark.parametrize(("value", "want"), [(None, "z_missing"), (NAN, "z_non_finite"), (-INF, "z_non_finite"), (0.0, "z_non_positive"), (-0.0, "z_non_positive"), (-1.0, "z_non_positive"), (1e-9, None)])
 def test_numeric_reasons(spark, value, want):
     assert one(spark, value, "double", K.numeric_reason(F.col("x"))) == want
