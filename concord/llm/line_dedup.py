@@ -7,7 +7,8 @@ a branch that takes any tokens, so a line follows one path as it stands and one
 for every segment left variable.  The end of a path is a template.  Lines that
 differ in one variable stretch meet at the template that leaves it open.
 Counting documents at templates is a plain aggregation, so no group of lines
-has to be brought together.
+has to be brought together.  Templates in many documents recur; of those in a
+few, only long passages do, and only in documents that are no copies.
 """
 
 from __future__ import annotations
@@ -28,77 +29,108 @@ def has_digit(line: str) -> bool:
     return any(c.isdigit() for c in line)
 
 
-def templates(line: str, leading: int, segments: int, min_tokens: int) -> list[int]:
-    """Keys of the templates on the line's paths (signed 64 bits); none for a line of fewer than `min_tokens` tokens."""
+def templates(line: str, leading: int, segments: int, min_tokens: int) -> tuple[int, list[int]]:
+    """(number of tokens, keys of the templates on the line's paths, as signed 64 bits).
+
+    The first key is that of the whole line; a line of fewer than `min_tokens`
+    tokens has no other, and a blank line has none.
+    """
     tokens = line.split()
     n = len(tokens)
-    if n < min_tokens:
-        return []
+    if not n:
+        return 0, []
     if has_digit(line):
         tokens = [FIELD if has_digit(t) else t for t in tokens]
     whole = " ".join(tokens)
     keys = [xxhash.xxh3_64_intdigest(f"{n} {whole}")]
-    lead = min(leading, n - 1)
-    size = -(-(n - lead) // segments)
-    for start in range(lead, n, size):
-        if size * 4 > n:  # a field that is more than a quarter of the line says nothing
-            break
-        rest = [*tokens[:start], FIELD, *tokens[start + size :]]
-        keys.append(xxhash.xxh3_64_intdigest(f"{n} {start} {' '.join(rest)}"))
-    return [k - (1 << 64) if k >= 1 << 63 else k for k in keys]
+    if n >= min_tokens:
+        lead = min(leading, n - 1)
+        size = -(-(n - lead) // segments)
+        for start in range(lead, n, size):
+            rest = [*tokens[:start], FIELD, *tokens[start + size :]]
+            keys.append(xxhash.xxh3_64_intdigest(f"{n} {start} {' '.join(rest)}"))
+    return n, [k - (1 << 64) if k >= 1 << 63 else k for k in keys]
 
 
 def line_templates(docs: DataFrame, leading: int, segments: int, min_tokens: int) -> DataFrame:
-    """doc_id, line (number from 0), template, first (of the text's lines at this template) of every line of every text."""
+    """A row for every template of every line of every text: doc_id, line (number from 0), template, first (of the
+    text's lines at this template), words (of the line, if the template is the whole line; else 0), total (words of the text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            ids, lines, keys, first = [], [], [], []
+            ids, lines, keys, first, words, total = [], [], [], [], [], []
             for doc, text in zip(values(piece, "doc_id").to_pylist(), strings(piece), strict=True):
                 seen: set[int] = set()
+                begun = len(keys)
                 for no, line in enumerate(text.split("\n")):
-                    found = templates(line, leading, segments, min_tokens)
-                    ids += [doc] * len(found)
+                    n, found = templates(line, leading, segments, min_tokens)
                     lines += [no] * len(found)
                     keys += found
                     first += [k not in seen for k in found]
+                    words += [n, *[0] * (len(found) - 1)] if n else []
                     seen.update(found)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64()), pa.array(first, pa.bool_())], names=["doc_id", "line", "template", "first"])
+                ids += [doc] * (len(keys) - begun)
+                total += [sum(words[begun:])] * (len(keys) - begun)
+            cols = [pa.array(ids, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64()), pa.array(first, pa.bool_()), pa.array(words, pa.int32()), pa.array(total, pa.int32())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "line", "template", "first", "words", "total"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line int, template long, first boolean")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line int, template long, first boolean, words int, total int")
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = 10, leading: int = 3, segments: int = 4, min_tokens: int = 5, keep_first: bool = True) -> DataFrame:
-    """doc_id, lines (sorted array of line numbers) of the lines whose template occurs in `min_docs` documents or more.
+def recurring_lines(docs: DataFrame, min_docs: int = 10, leading: int = 3, segments: int = 4, min_tokens: int = 5, keep_first: bool = True, long_words: int = 50, long_docs: int = 2, copied: float = 0.25) -> DataFrame:
+    """doc_id, lines (sorted array of line numbers) of the recurring lines.
 
-    With `keep_first` a line stays in the document of the least id among those of its template.
+    A line recurs if one of its templates occurs in `min_docs` documents or
+    more.  A passage, a line of `long_words` words or more, recurs if its whole
+    line does so in `long_docs` documents or more, unless the document is a
+    copy: if whole lines that other documents have, but fewer than `min_docs`,
+    hold the share `copied` of its words, it is left to the comparison of
+    documents.  With `keep_first` a line stays in the document of the least id
+    among those of its template.
     """
     rows = cut(line_templates(docs, leading, segments, min_tokens))
     # a text's lines come from one task, which knows the first of them at a template: documents are counted without a distinct
-    counted = rows.groupBy("template").agg(F.count_if("first").alias("n"), F.min("doc_id").alias("least")).filter(F.col("n") >= min_docs).select(fresh_key("template"), "least")
+    counted = rows.groupBy("template").agg(F.count_if("first").alias("n"), F.min("doc_id").alias("least"), F.max("words").alias("whole"))
+    counted = counted.filter((F.col("n") >= min_docs) | ((F.col("n") >= long_docs) & (F.col("whole") > 0))).select(fresh_key("template"), "n", "least")
     hit = rows.join(counted, "template")
     if keep_first:
         hit = hit.filter("doc_id != least")
-    return hit.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    often, shared = F.col("n") >= min_docs, (F.col("n") < min_docs) & (F.col("words") > 0)
+    found = hit.groupBy("doc_id").agg(
+        F.collect_set(F.when(often, F.col("line"))).alias("often"),
+        F.collect_set(F.when(shared & (F.col("words") >= long_words), F.col("line"))).alias("passages"),
+        (F.sum(F.when(shared, F.col("words"))) < F.lit(copied) * F.max("total")).alias("own"),
+    )
+    lines = F.array_union("often", F.when(F.col("own"), F.col("passages")).otherwise(F.array().cast("array<int>")))
+    return found.select("doc_id", F.sort_array(lines).alias("lines")).filter(F.size("lines") > 0)
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", into: str = "text", min_docs: int = 10, leading: int = 3, segments: int = 4, min_tokens: int = 5, keep_first: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", into: str = "text", **rules) -> DataFrame:
     """The table with recurring lines dropped from its texts, and columns n_lines, n_dropped before what was there
-    (columns of these names are replaced).
+    (columns of these names are replaced).  `rules`: those of recurring_lines.
 
     A null text stays null and has no lines; an empty text is one empty line.
     Rows that share an id count as a document each; what recurs in one of them
-    is dropped from all of them at the same line number.  Blank and
-    short lines (under `min_tokens` tokens) stay.  Ids are whole numbers; rows
-    with a null id are left as they are.
+    is dropped from all of them at the same line number.  Blank lines stay.
+    Ids are whole numbers; rows with a null id are left as they are.  Texts of
+    any number of lines take time in proportion to it.  An empty table gives an
+    empty table.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    plain = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).filter("doc_id is not null")
-    drop = recurring_lines(plain, min_docs, leading, segments, min_tokens, keep_first).withColumnRenamed("doc_id", "__doc").withColumnRenamed("lines", "__drop")
-    rows = docs.join(drop, docs[doc_id].cast("long") == F.col("__doc"), "left")
+    key = docs[doc_id].cast("long")
+    plain = docs.select(key.alias("doc_id"), docs[text].alias("text")).filter("doc_id is not null")
+    drop = recurring_lines(plain, **rules).withColumnRenamed("doc_id", "__doc").withColumnRenamed("lines", "__drop")
+    # null ids are dealt out by their texts; they match nothing
+    rows = docs.join(drop, (F.coalesce(key, F.xxhash64(docs[text])) == F.col("__doc")) & key.isNotNull(), "left")
     all_lines = F.split(F.col(text), "\n", -1)
     gone = F.coalesce("__drop", F.array().cast("array<int>"))
-    kept = F.when(F.col("__drop").isNull(), F.col(text)).otherwise(F.array_join(F.filter(all_lines, lambda x, i: ~F.array_contains(gone, i)), "\n"))
+
+    def without(lines):
+        staying = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(staying, lambda i: F.get(lines, i)), "\n")
+
+    # the text is split once: inside the lambda its lines are a variable
+    kept = F.when(F.col("__drop").isNull() | F.col(text).isNull(), F.col(text)).otherwise(F.get(F.transform(F.array(all_lines), without), F.lit(0)))
     counts = [F.coalesce(F.size(all_lines), F.lit(0)).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_dropped")]
     rest = [kept.alias(into) if c == into else rows[c] for c in docs.columns]
     return rows.select(*counts, *rest, *([] if into in docs.columns else [kept.alias(into)]))
@@ -108,12 +140,16 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", int
 LINES_SQL = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
 t AS (SELECT doc_id, line, list_transform(list_filter(string_split_regex(x, '\s+'), lambda w: w <> ''), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS w FROM l),
-u AS (SELECT *, len(w) AS n, least(3, len(w) - 1) AS lead, ceil((len(w) - least(3, len(w) - 1)) / 4.0)::BIGINT AS size FROM t WHERE len(w) >= 5),
-v AS (SELECT *, unnest(range(lead, n, size)) AS s FROM u WHERE size * 4 <= n),
-p AS (SELECT doc_id, line, n || ' ' || array_to_string(w, ' ') AS k FROM u
-  UNION ALL SELECT doc_id, line, n || ' ' || s || ' ' || array_to_string(list_concat(w[1:s], ['<*>'], w[s + size + 1:]), ' ') FROM v),
-c AS (SELECT k, min(doc_id) AS first FROM p GROUP BY k HAVING count(DISTINCT doc_id) >= 10),
-g AS (SELECT DISTINCT doc_id, line FROM p JOIN c USING (k) WHERE doc_id <> first),
+u AS (SELECT *, len(w) AS n, least(3, len(w) - 1) AS lead, ceil((len(w) - least(3, len(w) - 1)) / 4.0)::BIGINT AS size FROM t WHERE len(w) > 0),
+v AS (SELECT *, unnest(range(lead, n, size)) AS s FROM u WHERE n >= 5),
+p AS (SELECT doc_id, line, n AS words, n || ' ' || array_to_string(w, ' ') AS k FROM u
+  UNION ALL SELECT doc_id, line, 0, n || ' ' || s || ' ' || array_to_string(list_concat(w[1:s], ['<*>'], w[s + size + 1:]), ' ') FROM v),
+c AS (SELECT k, min(doc_id) AS first, count(DISTINCT doc_id) AS docs FROM p GROUP BY k),
+h AS (SELECT doc_id, line, words, docs FROM p JOIN c USING (k) WHERE doc_id <> first AND (docs >= 10 OR docs >= 2 AND words > 0)),
+y AS (SELECT doc_id, sum(n) AS total FROM u GROUP BY doc_id),
+z AS (SELECT doc_id, sum(words) AS held FROM h WHERE docs < 10 GROUP BY doc_id),
+g AS (SELECT doc_id, line FROM h WHERE docs >= 10
+  UNION SELECT doc_id, line FROM h JOIN y USING (doc_id) JOIN z USING (doc_id) WHERE docs < 10 AND words >= 50 AND held < 0.25 * total),
 r AS (SELECT l.doc_id, count(*) AS n_lines, count(g.line) AS n_dropped, string_agg(x, chr(10) ORDER BY l.line) FILTER (g.line IS NULL) AS kept FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.line = l.line GROUP BY l.doc_id)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(kept, '')) AS text_sha256 FROM documents d LEFT JOIN r USING (doc_id)
 """
