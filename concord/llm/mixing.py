@@ -16,26 +16,42 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, shuffle_partitions
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Relative weight at the start and at the end of training, for the sources of weight 1, 2, 3.
 RAMPS = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
 
 
+def running(rows: DataFrame, order: Sequence[str], sums: dict[str, str]) -> DataFrame:
+    """Add `before_<name>`, the sum over all earlier rows, and `all_<name>`, over all rows, of each of `sums` (name: SQL expression).
+
+    In two levels: inside ranges of the order, and over the ranges, of which
+    there are as many as shuffle partitions.
+    """
+    rows = rows.withColumns({f"__{n}": F.expr(e) for n, e in sums.items()})
+    placed = cut(rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *order).withColumn("__range", F.spark_partition_id()))
+    totals = placed.groupBy(F.col("__range").alias("__r")).agg(*[F.sum(f"__{n}").alias(f"__t_{n}") for n in sums])
+    up, every = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
+    zero = F.lit(0)
+    totals = totals.select("__r", *[x for n in sums for x in (F.coalesce(F.sum(f"__t_{n}").over(up), zero).alias(f"__b_{n}"), F.sum(f"__t_{n}").over(every).alias(f"all_{n}"))])
+    inside = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = placed.join(F.broadcast(totals), F.col("__range") == F.col("__r"))
+    out = out.withColumns({f"before_{n}": F.col(f"__b_{n}") + F.coalesce(F.sum(f"__{n}").over(inside), zero) for n in sums})
+    return out.drop("__range", "__r", *[f"__{n}" for n in sums], *[f"__b_{n}" for n in sums])
+
+
 def source_targets(sizes: DataFrame, most: float = 3.0) -> DataFrame:
-    """src, source_size -> also weight, target.  One row per source; the windows run over sources, not documents."""
-    ranked = sizes.withColumn("rank", F.row_number().over(Window.orderBy(F.col("src").isNull(), "src")))
+    """src, source_size -> also rank, weight, target: one row for each source, of which there may be any number."""
+    ranked = running(sizes.withColumn("none", F.col("src").isNull()), ["none", "src"], {"rank": "1L"}).withColumn("rank", F.col("before_rank") + 1)
     w = F.pmod(F.col("rank") - 1, F.lit(3)) + 1
-    rows = ranked.withColumn("weight", w.cast("double")).withColumn("ceiling", F.col("source_size") * F.lit(float(most)))
-    by = Window.orderBy(F.col("ceiling") / F.col("weight"), "rank").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    left = F.sum("source_size").over(every) - F.coalesce(F.sum("ceiling").over(by), F.lit(0.0))
-    weight_left = F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(by), F.lit(0.0))
+    rows = ranked.select("src", "source_size", "rank", w.cast("double").alias("weight"), (F.col("source_size") * F.lit(float(most))).alias("ceiling"))
     # filled in order of ceiling/weight: a source is at its ceiling if the level that the rest would get reaches it
-    rows = rows.withColumn("level", left / weight_left).withColumn("full", F.col("ceiling") / F.col("weight") <= F.col("level"))
-    level = F.max(F.when(~F.col("full"), F.col("level"))).over(every)
-    return rows.withColumn("target", F.when(F.col("full"), F.col("ceiling")).otherwise(F.col("weight") * level)).select("src", "source_size", "rank", "weight", "target")
+    rows = running(rows.withColumn("share", F.col("ceiling") / F.col("weight")), ["share", "rank"], {"size": "source_size", "ceiling": "ceiling", "weight": "weight"})
+    rows = rows.withColumn("level", (F.col("all_size") - F.col("before_ceiling")) / (F.col("all_weight") - F.col("before_weight"))).withColumn("full", F.col("share") <= F.col("level"))
+    rows = cut(rows.select("src", "source_size", "rank", "weight", "ceiling", "level", "full"))
+    level = rows.agg(F.max(F.when(~F.col("full"), F.col("level")))).first()[0]  # one number
+    return rows.select("src", "source_size", "rank", "weight", F.when(F.col("full"), F.col("ceiling")).otherwise(F.col("weight") * F.lit(level)).alias("target"))
 
 
 def training_position(share, start: list[float], end: list[float], kind):
@@ -58,15 +74,22 @@ def plan_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     over the source, and in the last, partial pass the documents in hash order;
     the one at the end gives only the words still wanted.  `repeats` is the
     number of whole texts (the last one counts from half of it on).  Null text
-    has size 0; a null source is a source of its own; empty sources get 0.
+    has size 0; a null source is a source of its own; empty sources get 0.  The
+    hash is that of the id, and of the text where there is none; rows of one
+    hash go by id, then size, and those that agree in these take any order.
+    Other columns are ignored, whatever their names; an empty table gives an
+    empty table.
     """
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[source].cast("string").alias("src"), F.coalesce(F.regexp_count(docs[text], F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *carry)
-    rows = cut(rows.withColumn("hash", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).withColumn("part", F.substring("hash", 1, 3)))
-    # the running sum over a source, in two levels: over its 4096 hash parts, and inside each part
-    parts = rows.groupBy("src", "part").agg(F.sum("size").alias("words"))
-    targets = source_targets(parts.groupBy("src").agg(F.sum("words").alias("source_size")), most)
-    before = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0))).alias("p").join(targets.alias("t"), F.col("p.src").eqNullSafe(F.col("t.src")))
+    rows = docs.select(docs[doc_id].alias("doc_id"), docs[source].cast("string").alias("src"), F.coalesce(F.regexp_count(docs[text], F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.md5(F.coalesce(docs[doc_id].cast("string"), docs[text], F.lit(""))).alias("hash"), *carry)
+    rows = cut(rows.withColumn("part", F.substring("hash", 1, 5)))
+    # the running sum over a source, in three levels: over 4096 hash parts of it, over 256 of each of these, and inside them
+    parts = rows.groupBy("src", "part").agg(F.sum("size").alias("words")).withColumn("wide", F.substring("part", 1, 3))
+    wide = cut(parts.groupBy("src", "wide").agg(F.sum("words").alias("words")))
+    targets = source_targets(wide.groupBy("src").agg(F.sum("words").alias("source_size")), most)
+    before = lambda window, order: F.coalesce(F.sum("words").over(window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    wide = wide.select(F.col("src").alias("w_src"), F.col("wide").alias("w"), before(Window.partitionBy("src"), "wide").alias("before_wide"))
+    parts = parts.withColumn("before", before(Window.partitionBy("src", "wide"), "part")).join(wide, F.col("src").eqNullSafe(F.col("w_src")) & (F.col("wide") == F.col("w")))
+    parts = parts.select("src", "part", (F.col("before") + F.col("before_wide")).alias("before")).alias("p").join(targets.alias("t"), F.col("p.src").eqNullSafe(F.col("t.src")))
     parts = parts.select(F.coalesce("p.src", F.lit("")).alias("key"), F.col("p.src").isNull().alias("none"), F.col("p.part").alias("part"), "before", "source_size", "target", "rank")
     keyed = rows.withColumn("key", F.coalesce("src", F.lit(""))).withColumn("none", F.col("src").isNull())
     inside = Window.partitionBy("key", "none", "part").orderBy("hash", "doc_id", "size", *carry).rowsBetween(Window.unboundedPreceding, -1)
@@ -113,7 +136,7 @@ def mixed_documents(docs: DataFrame, ramps=RAMPS, doc_id: str = "doc_id", **name
 
 #: The same in DuckDB, for the default names and ramps.
 MIX_SQL = r"""
-WITH d AS (SELECT doc_id, source AS src, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+WITH d AS (SELECT doc_id, source AS src, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, text, '')) AS h FROM documents),
 s AS (SELECT src, sum(size)::BIGINT AS source_size FROM d GROUP BY src),
 r AS (SELECT *, row_number() OVER (ORDER BY src IS NULL, src) AS rank FROM s),
 w AS (SELECT *, ((rank - 1) % 3 + 1)::DOUBLE AS weight, source_size * 3.0::DOUBLE AS ceiling FROM r),
