@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.checkpoints import cut, shared_folder  # noqa: F401  # for the operators of this subpackage
+
 #: Bytes of text that one step of a task works on at a time.
 PIECE_BYTES = 1 << 20
 
@@ -55,19 +56,6 @@ def values(batch: pa.RecordBatch, column: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(column))
 
 
-def shared_checkpoints(spark: SparkSession) -> None:
-    """Make checkpoint() usable: the session's spark.checkpoint.dir holds if there is one, else a folder of this machine (tests)."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoints-"))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder now and continue from those files."""
-    shared_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -9,12 +9,12 @@ share of equal components estimates the probability Jaccard similarity; with
 weights of 1 that is the Jaccard similarity of the sets, on which links are set.
 
 Documents of equal words form one class first, and the rest works on one
-document of each.  Those that share a band are candidates.  Connected candidates
-are verified on whole shingle sets: first each against the least of them, and
-then those that do not link with it against all, in blocks.  What links with
-the least one is in its class, and pairs among these can change nothing; so a
-group of near copies of any size is not compared with itself.  Links inside a
-block are returned as a spanning forest, so no group's pairs are ever listed.
+document of each.  Two that share a band are candidates, and every such pair is
+decided on whole shingle sets: each document against the least one of each of
+its bands first.  Pairs whose ends are then in one class can change nothing, so
+a group of near copies of any size is not compared with itself.  The other pairs
+of a band are compared in blocks of documents; links inside a block are returned
+as a spanning forest, so no group's pairs are ever listed.
 """
 
 from __future__ import annotations
@@ -184,56 +184,72 @@ def verified(sets: list[np.ndarray], side: np.ndarray, within: bool, threshold:
     return _forest(link)
 
 
-def near_duplicate_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, threshold: float = 0.8, b: int = 24, r: int = 7, block: int = 256, block_words: int = 1 << 20) -> DataFrame:
+def near_duplicate_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, threshold: float = 0.8, b: int = 24, r: int = 7, block: int = 128) -> DataFrame:
     """doc_id, words, class_id (least id of the class), kept (doc_id = class_id) of every document.
 
     A class holds the documents that links reach from each other; a link is a
     Jaccard similarity of `threshold` or more of the sets of `k`-word shingles
     (fewer words: the whole text is one shingle).  Candidates share one of `b`
     bands of `r` signature components, of the sets or of the weighted shingles;
-    with 24 x 7, a pair at 0.8 is one with probability 0.996 by the sets alone.  Nothing is capped.  Texts that are null or without
-    words are alone in their class.  Ids are whole numbers; rows that share an
-    id count as one document and get the same class; null ids are left out.
+    with 24 x 7, a pair at 0.8 is one with probability 0.996 by the sets alone.
+    Nothing is capped, and texts of any length are read whole.  Texts that are
+    null or without words are alone in their class.  Ids are whole numbers;
+    rows that share an id count as one document and get the same class; null
+    ids are left out.  An empty table gives an empty table, and other columns
+    of `docs` are ignored, whatever their names.
     """
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).filter("doc_id is not null")
-    spark = docs.sparkSession
+    n = shuffle_partitions(docs.sparkSession)
     seen = cut(describe(rows, k, b, r))
-    same = seen.filter("words > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.min_by("words", "doc_id").alias("words"))
+    same = seen.filter("words > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"))
     reps = cut(same)
-    # candidates: documents of a band stand beside its least
+    # the documents of each band that has several, beside the least of them
     banded = reps.select("rep", F.explode("bands").alias("band"))
     least = banded.groupBy("band").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(fresh_key("band"), "least")
-    beside = banded.join(least, "band").filter("rep != least").select("rep", "least")
-    near = cut(connected_components(beside, "rep", "least", "rep", "near"))
-    n = shuffle_partitions(spark)
-    candidates = rows.join(near, rows["doc_id"] == near["rep"]).select("rep", "near", "text")
+    members = cut(banded.join(least, "band").select("band", "rep", "least"))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        had: set[tuple[int, int]] = set()  # a row that is repeated gives one set
+
+        def fresh(key) -> bool:
+            return not (key in had or had.add(key))
+
         for piece in pieces(batches, "text", 1 << 20):
+            piece = piece.filter(pa.array([fresh(x) for x in zip(values(piece, "rep").to_pylist(), map(hash, strings(piece)), strict=True)], pa.bool_()))
+            if not piece.num_rows:
+                continue
             words, count = word_hashes([t.encode() for t in strings(piece)])
             doc, h, _ = shingle_sets(words, count, k)
             parts = np.split(h.view(np.int64), np.cumsum(np.bincount(doc, minlength=len(count)))[:-1])
-            yield pa.RecordBatch.from_arrays([*piece.columns[:2], pa.array(parts, pa.list_(pa.int64()))], names=["rep", "near", "sets"])
+            yield pa.RecordBatch.from_arrays([values(piece, "rep"), pa.array(parts, pa.list_(pa.int64()))], names=["rep", "sets"])
 
-    sets = cut(candidates.mapInArrow(shingled, "rep long, near long, sets array<long>"))
-    # first against the least document of the candidates: what links with it is one core, within which nothing is left to compare
-    leader = sets.filter("rep = near").select(fresh_key("near"), F.col("sets").alias("lead"))
+    wanted = members.select("rep").distinct().select(fresh_key("rep"))
+    sets = cut(rows.join(wanted, rows["doc_id"] == wanted["rep"]).select("rep", "text").mapInArrow(shingled, "rep long, sets array<long>"))
+    # each document against the least one of each of its bands
+    pairs = members.filter("rep != least").select("rep", "least").distinct()
+    lead = sets.select(fresh_key("rep").alias("least"), F.col("sets").alias("lead"))
     shared = F.size(F.array_intersect("sets", "lead"))
-    core = (F.col("rep") == F.col("near")) | (shared >= threshold * (F.size("sets") + F.size("lead") - shared) - 1e-9)
-    judged = cut(sets.join(leader, "near").select("rep", "near", "sets", core.alias("core")))
-    # then the others against all, in blocks: a core document goes to the blocks of the others, another one to all blocks
+    alike = shared >= threshold * (F.size("sets") + F.size("lead") - shared) - 1e-9
+    judged = cut(pairs.join(sets, "rep").join(lead, "least").select("rep", "least", alike.alias("alike")))
+    linked = judged.filter("alike").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    classes = cut(connected_components(linked, "a", "b", "c_rep", "class"))
+    # what is left: pairs that share a band, neither of them its least, and are in different classes.  A band's core are
+    # those in the class of its least, within which nothing is left to compare; the others go against all, in blocks
+    class_of = classes.select(fresh_key("c_rep"), "class")
+    of_least = class_of.select(F.col("c_rep").alias("least"), F.col("class").alias("least_class"))
+    others = members.filter("rep != least").join(class_of, F.col("rep") == F.col("c_rep"), "left").drop("c_rep").join(of_least, "least", "left")
+    others = others.select("band", "rep", F.coalesce("class", "rep").alias("class"), F.coalesce("least_class", "least").alias("least_class")).withColumn("core", F.col("class") == F.col("least_class"))
     n_core, n_rest = F.count_if("core"), F.count_if(~F.col("core"))
-    words = lambda c: F.sum(F.when(c, F.size("sets")).otherwise(0))
-    counts = judged.groupBy("near").agg(
-        F.greatest(F.ceil(n_core / block), F.ceil(words(F.col("core")) / block_words)).cast("int").alias("cores"),
-        F.greatest(F.ceil(n_rest / block), F.ceil(words(~F.col("core")) / block_words)).cast("int").alias("rests"),
-    ).filter("rests > 0").select(fresh_key("near"), "cores", "rests")
+    blocks_of = lambda c: F.ceil(c / block).cast("int")
+    counts = others.groupBy("band").agg(blocks_of(n_core).alias("cores"), blocks_of(n_rest).alias("rests"), (F.min("class") != F.max("class")).alias("several"))
+    counts = counts.filter("rests > 0 and several").select(fresh_key("band"), "cores", "rests")
     h, blocks = F.xxhash64("rep"), F.col("cores") + F.col("rests")
-    placed = judged.join(counts, "near").withColumn("own", F.when(F.col("core"), F.pmod(h, F.col("cores"))).otherwise(F.col("cores") + F.pmod(h, F.col("rests"))).cast("int"))
+    placed = others.join(counts, "band").withColumn("own", F.when(F.col("core"), F.pmod(h, F.col("cores"))).otherwise(F.col("cores") + F.pmod(h, F.col("rests"))).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.when(F.col("core"), F.col("cores")).otherwise(F.lit(0)), blocks - 1)))
-    placed = placed.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).withColumn("blocks", blocks)
-    part = F.pmod(F.xxhash64("near") % F.lit(n) + F.col("i") * F.col("blocks") + F.col("j"), F.lit(n)).cast("int")
-    placed = placed.select("near", "i", "j", "own", "rep", "sets").repartitionById(n, part).sortWithinPartitions("near", "i", "j")
+    placed = placed.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    placed = placed.join(sets.select(fresh_key("rep"), "sets"), "rep")
+    part = F.pmod(F.xxhash64("band", "i", "j"), F.lit(n)).cast("int")
+    placed = placed.select("band", "i", "j", "own", "rep", "class", "sets").repartitionById(n, part).sortWithinPartitions("band", "i", "j")
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def groups():
@@ -256,7 +272,9 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", doc_id: str = "d
             table = pa.Table.from_batches(held).combine_chunks()
             if table.num_rows < 2:
                 continue
-            rep, own = table.column("rep").to_numpy(), table.column("own").to_numpy()
+            rep, own, group = (table.column(c).to_numpy() for c in ("rep", "own", "class"))
+            if (group == group[0]).all():
+                continue
             lists = table.column("sets").chunk(0)
             offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
             each = [flat[a:z] for a, z in zip(offsets, offsets[1:], strict=False)]
@@ -266,9 +284,9 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", doc_id: str = "d
                 out = []
         yield pa.RecordBatch.from_arrays([pa.array([p[s] for p in out], pa.int64()) for s in (0, 1)], names=["a", "b"])
 
-    star = judged.filter("core and rep != near").select(F.col("rep").alias("a"), F.col("near").alias("b"))
-    found = placed.mapInArrow(links, "a long, b long").unionByName(star)
-    classes = connected_components(found, "a", "b", "c_rep", "class")
+    more = cut(placed.mapInArrow(links, "a long, b long"))
+    if not more.isEmpty():
+        classes = connected_components(more.unionByName(classes.select(F.col("c_rep").alias("a"), F.col("class").alias("b"))), "a", "b", "c_rep", "class")
     exact = reps.select(fresh_key("k1"), "k2", "rep")
     out = seen.select("doc_id", "words", "k1", "k2").join(exact.withColumn("some", F.lit(True)), ["k1", "k2"], "left")
     out = out.withColumn("rep", F.when(F.col("words") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")))
@@ -286,7 +304,8 @@ def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **pa
     if texts.groupBy("__id").agg((F.min("__digest") != F.max("__digest")).alias("several")).filter("several").isEmpty():
         classes = near_duplicate_classes(docs, text, doc_id, **parameters)
         gone = cut(classes.filter("not kept").select(F.col("doc_id").alias("__gone")))
-        return docs.join(gone, number == F.col("__gone"), "left_anti")
+        # null ids are dealt out by their texts; they match nothing
+        return docs.join(gone, (F.coalesce(number, F.xxhash64(docs[text])) == F.col("__gone")) & number.isNotNull(), "left_anti")
     # numbers in the order of the ids, one for each text of an id
     order = texts.distinct().repartitionByRange(shuffle_partitions(docs.sparkSession), "__id", "__digest").sortWithinPartitions("__id", "__digest")
     order = cut(order.withColumn("__no", F.monotonically_increasing_id()))
