@@ -69,52 +69,51 @@ def likeness(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum(0.0, 1.0 - score / UNRELATED)
 
 
-def _placed(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
-    """doc_id, text in `n` ranges of ids, each range ending with the first document of the next (`extra` > 0)."""
+def _placed(docs: DataFrame, n: int) -> DataFrame:
+    """part, extra, doc_id, text: about `n` ranges of the order of documents, each ending with the first of the next (`extra` > 0).
+
+    Documents go by id; those without one come first, by a hash of their text.
+    """
+    found = docs.agg(F.count_if(F.col("doc_id").isNull()).alias("none"), F.count(F.lit(1)).alias("n")).first()
+    none = F.col("doc_id").isNull()
+    keyed = docs.withColumn("k", F.when(none, F.xxhash64("text")).otherwise(F.col("doc_id")) if found["none"] else F.col("doc_id"))
     share = [i / n for i in range(1, n)]
     # quantiles are doubles, which leave gaps between ids above 2^53: they only cut the ids, and the least id of each cut is its bound
-    found = docs.select("doc_id", F.lit(1)).approxQuantile("doc_id", share, 1 / (8 * n)) if share else []
-    cuts = np.unique(np.array([min(int(x), (1 << 63) - 1) for x in found], dtype=np.int64))
+    marks = docs.select("doc_id", F.lit(1)).approxQuantile("doc_id", share, 1 / (8 * n)) if share else []
+    cuts = np.unique(np.array([min(int(x), (1 << 63) - 1) for x in marks], dtype=np.int64))
+    wide = max(1, round(n * found["none"] / max(1, found["n"])))
+    hash_cuts = np.array([-(1 << 63) + (1 << 64) * i // wide for i in range(1, wide)], dtype=np.int64)
+
+    def ranges(missing: np.ndarray, k: np.ndarray) -> np.ndarray:
+        return np.where(missing, np.searchsorted(hash_cuts, k, side="right"), wide + np.searchsorted(cuts, k, side="right"))
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            known = ids.drop_null().to_numpy()
-            at = np.searchsorted(cuts, known, side="right")
-            low = np.full(len(cuts) + 1, (1 << 63) - 1, dtype=np.int64)
-            np.minimum.at(low, at, known)
+            k = batch.column(1).to_numpy()
+            at = ranges(batch.column(0).to_numpy(zero_copy_only=False), k)
+            low = np.full(wide + len(cuts) + 1, (1 << 63) - 1, dtype=np.int64)
+            np.minimum.at(low, at, k)
             used = np.unique(at)
-            parts, ends = used.tolist(), low[used].tolist()
-            if ids.null_count:
-                parts, ends = [*parts, -1], [*ends, 0]
-            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(ends, pa.int64())], names=["part", "least"])
-
-    lows = {r["part"]: r["least"] for r in docs.select("doc_id").mapInArrow(least, "part int, least long").groupBy("part").agg(F.min("least").alias("least")).collect()}
-    nulls = lows.pop(-1, None) is not None
-    first = min(lows.values(), default=0)
-    # bounds are ids that occur: the first document of each range is known to have the bound as its id
-    bounds = np.array(sorted(x for x in lows.values() if nulls or x > first), dtype=np.int64)
-    last = len(bounds)
-
-    @F.pandas_udf("array<struct<part:int,extra:int>>")
-    def parts(known, missing):
-        known, missing = known.to_numpy(), missing.to_numpy()
-        part = np.where(missing, 0, np.searchsorted(bounds, known, side="right"))
-        at_bound = ~missing & (part > 0)
-        at_bound[at_bound] = bounds[part[at_bound] - 1] == known[at_bound]
-        is_first = missing if nulls else ~missing & (known == first)
-        rows = []
-        for p, b, f in zip(part.tolist(), at_bound.tolist(), is_first.tolist(), strict=True):
-            row = [{"part": p, "extra": 0}]
-            if b:
-                row.append({"part": p - 1, "extra": 1})
-            if f:
-                row.append({"part": last, "extra": 2})
-            rows.append(row)
-        return __import__("pandas").Series(rows)
-
-    rows = docs.withColumn("at", F.explode(parts(F.coalesce("doc_id", F.lit(0).cast("long")), F.col("doc_id").isNull()))).select("doc_id", "text", "at.part", "at.extra")
-    return rows.repartitionById(last + 1, F.col("part")).sortWithinPartitions("part", "extra", "doc_id", "text"), last
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(low[used])], names=["part", "least"])
+
+    lows = keyed.select(none.alias("none"), "k").mapInArrow(least, "part int, least long").groupBy("part").agg(F.min("least").alias("least")).orderBy("part").collect()  # a row for each range
+    number = np.zeros(wide + len(cuts) + 1, dtype=np.int64)
+    number[[r["part"] for r in lows]] = np.arange(len(lows))
+    first_of = np.array([r["least"] for r in lows], dtype=np.int64)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text", 1 << 20):
+            k = piece.column(2).to_numpy()
+            part = number[ranges(piece.column(0).is_null().to_numpy(zero_copy_only=False), k)]
+            begins = k == first_of[part]  # the first document of its range, which is the next one of the range before, too
+            row = np.concatenate([np.arange(len(part)), np.flatnonzero(begins)])
+            to = np.concatenate([part, (part[begins] - 1) % len(first_of)])
+            extra = np.repeat([0, 1], [len(part), int(begins.sum())])
+            yield pa.RecordBatch.from_arrays([*piece.take(pa.array(row)).columns, pa.array(to, pa.int32()), pa.array(extra, pa.int32())], names=["doc_id", "text", "k", "part", "extra"])
+
+    rows = keyed.select("doc_id", "text", "k").mapInArrow(dealt, "doc_id long, text string, k long, part int, extra int")
+    placed = rows.repartitionById(max(1, len(lows)), F.col("part")).sortWithinPartitions("part", "extra", "k", "text")
+    return placed.select("doc_id", "text", "part", "extra")
 
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", partitions: int | None = None) -> DataFrame:
@@ -122,12 +121,14 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", pa
 
     The edited text: the last floor(n/4) code points replaced by the first as
     many of the next document by id (of the first, after the last).  A null
-    text counts as empty.  Rows of one id follow each other by text; null ids
-    come first.  Texts without a triplet have the digest of no counts.  The ids
-    must be whole numbers.
+    text counts as empty, and texts of any length are read whole.  Rows of one
+    id follow each other by text, and lie in one task; null ids come first, by a
+    hash of their text.  Texts without a triplet
+    have the digest of no counts.  The ids must be whole numbers.  An empty
+    table gives an empty table; other columns are ignored.
     """
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    placed, _ = _placed(rows, partitions or shuffle_partitions(docs.sparkSession))
+    placed = _placed(rows, partitions or shuffle_partitions(docs.sparkSession))
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
