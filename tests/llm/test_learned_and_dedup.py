@@ -2,11 +2,15 @@
 
 import math
 import random
+import time
 from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from concord.llm import components, embedding_dedup, language_id, line_dedup, minhash
 
@@ -101,6 +105,33 @@ def test_near_duplicates_with_repeated_passages(spark):
     assert got == closure(range(len(texts)), links)
 
 
+def test_near_duplicates_that_do_not_link_with_the_least(spark):
+    rnd, texts = random.Random(43), []
+    for _ in range(6):  # chains: each text is a near copy of the one before, and soon none of the first
+        w = [f"c{rnd.randrange(10**7)}" for _ in range(200)]
+        for _ in range(25):
+            texts.append(" ".join(w))
+            for _ in range(3):
+                w[rnd.randrange(200)] = f"c{rnd.randrange(10**7)}"
+    for _ in range(4):  # the least one is far from all the others, which are near each other
+        w = [f"d{rnd.randrange(10**7)}" for _ in range(160)]
+        texts.append(" ".join(w[:125] + [f"d{rnd.randrange(10**7)}" for _ in range(35)]))
+        for _ in range(40):
+            copy = list(w)
+            copy[rnd.randrange(160)] = "changed"
+            texts.append(" ".join(copy))
+    sets = [shingles(t) for t in texts]
+    links = [(i, j) for i, j in combinations(range(len(texts)), 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    # every row twice, one id with two texts, a null id
+    rows = [*enumerate(texts), *enumerate(texts), (900, texts[0] + " x"), (900, "quite another text of its own that is no copy"), (None, texts[3])]
+    docs = spark.createDataFrame([(*r, 5, "clash") for r in rows], "doc_id long, text string, rep int, band string").repartition(7)
+    want = closure([*range(len(texts)), 900], [*links, (0, 900)])
+    for block in (128, 8):
+        got = minhash.near_duplicate_classes(docs, block=block).collect()
+        assert len(got) == len(rows) - 1
+        assert {r["doc_id"]: r["class_id"] for r in got} == want
+
+
 def test_near_dedup_keeps_other_texts_of_an_id(spark):
     rnd = random.Random(31)
     a, b, c, d = (" ".join(f"{x}{rnd.randrange(10**6)}" for _ in range(80)) for x in "abcd")
@@ -127,16 +158,16 @@ def test_word_hashes_follow_white_space():
     assert h[:3].tolist() == h[-3:].tolist()
 
 
-def plain_lines(texts, min_docs, leading=3, segments=4, min_tokens=5):
+def plain_lines(texts, min_docs, leading=3, segments=4, min_tokens=5, long_words=50, long_docs=2, copied=0.25):
     """Templates as text: which lines go, by document."""
     def paths(line):
         t = ["<*>" if any(c.isdigit() for c in x) else x for x in line.split()]
-        if len(t) < min_tokens:
+        if not t:
             return []
         lead = min(leading, len(t) - 1)
         size = math.ceil((len(t) - lead) / segments)
         out = [(len(t), tuple(t))]
-        if size * 4 <= len(t):
+        if len(t) >= min_tokens:
             out += [(len(t), s, tuple([*t[:s], "<*>", *t[s + size :]])) for s in range(lead, len(t), size)]
         return out
 
@@ -145,12 +176,21 @@ def plain_lines(texts, min_docs, leading=3, segments=4, min_tokens=5):
         for line in (text or "").split("\n"):
             for p in paths(line):
                 seen.setdefault(p, set()).add(i)
-    return {i: {k for k, line in enumerate((text or "").split("\n")) if any(len(seen[p]) >= min_docs and min(seen[p]) != i for p in paths(line))} for i, text in texts.items()}
+    out = {}
+    for i, text in texts.items():
+        lines = (text or "").split("\n")
+        found = {k: [seen[p] if min(seen[p]) != i else set() for p in paths(line)] for k, line in enumerate(lines)}
+        often = {k for k, docs in found.items() if any(len(d) >= min_docs for d in docs)}
+        shared = {k for k, docs in found.items() if docs and long_docs <= len(docs[0]) < min_docs}
+        held, total = sum(len(lines[k].split()) for k in shared), sum(len(x.split()) for x in lines)
+        out[i] = often | ({k for k in shared if len(lines[k].split()) >= long_words} if held < copied * total else set())
+    return out
 
 
 def test_lines_equal_a_plain_restatement(spark):
     rnd = random.Random(11)
     boiler = ["all rights reserved by the owner in 2021 and later", "all rights reserved by the owner in 1999 and later", "please read the terms of use before you go on to read"]
+    passage = " ".join(words(rnd, 55))
     texts = {0: None, 1: "", 2: "short line"}
     for i in range(3, 80):
         lines = [" ".join(words(rnd, rnd.randrange(1, 20))) for _ in range(rnd.randrange(1, 6))]
@@ -158,7 +198,12 @@ def test_lines_equal_a_plain_restatement(spark):
             lines.insert(rnd.randrange(len(lines) + 1), rnd.choice(boiler))
         if i % 4 == 0:
             lines.append(f"hello dear reader your name is {rnd.choice(WORDS)} and here is what we wrote")
+        if i % 5 == 0:
+            lines += ["see below", " ".join(words(rnd, 260))]
+        if i in (7, 19, 31, 45, 60, 61):  # a passage in few documents: it goes where it is a small part, as in 45 and 60
+            lines += [passage, *([" ".join(words(rnd, 300))] if i > 40 else [])]
         texts[i] = "\n".join(lines)
+    texts |= {100: texts[45], 101: texts[60] + "\nand one more line", 102: None, 103: "see below", 104: "\n\n \n"}
     docs = spark.createDataFrame([(i, t, "x", 3) for i, t in texts.items()], "doc_id long, text string, lines string, n_lines int")
     drop = plain_lines(texts, 6)
     assert sum(map(len, drop.values())) > 40
@@ -168,11 +213,35 @@ def test_lines_equal_a_plain_restatement(spark):
         kept = None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in drop[i])
         assert (got[i]["text"], got[i]["n_dropped"]) == (kept, len(drop[i])), i
         assert got[i]["n_lines"] == (0 if t is None else t.count("\n") + 1)
-    # a line stays in the first document that has it
+    # a line stays in the first document that has it, short ones too
     assert sum(boiler[2] in (r["text"] or "") for r in got.values()) == 1
+    assert sum("see below" in (r["text"] or "").split("\n") for r in got.values()) == 1
+    assert passage not in got[45]["text"] and passage not in got[60]["text"] and passage in got[7]["text"]
+    # copies of documents are left to the comparison of documents
+    assert got[101]["text"].count("\n") == texts[101].count("\n") - got[101]["n_dropped"] and len(got[101]["text"]) > 0.8 * len(texts[101])
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_of_null_and_repeated_ids(spark):
+    rows = [(None, "a b c\nx"), (None, "a b c\ny"), (3, "a b c\nz"), (3, "a b c\nq"), (4, "a b c\nr"), (5, "t\na b c")]
+    docs = spark.createDataFrame([(*r, 0, [1]) for r in rows], "doc_id long, text string, n_dropped int, __x array<int>").repartition(3)
+    got = Counter((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs, min_docs=3).collect())
+    assert got == Counter([*rows[:4], (4, "r"), (5, "t")])
+
+
+def test_texts_of_many_lines_take_time_in_proportion(spark):
+    def seconds(n):
+        each = lambda k: "\n".join(f"{chr(97 + i % 23)}{chr(97 + i % 19)}{chr(97 + i % 17)}" if i % 2 else f"own {'o' * k} line {chr(97 + i % 26) * (i % 50)} {chr(97 + i % 25) * (i // 50 % 60)}" for i in range(n))
+        docs = spark.createDataFrame([(k, each(k)) for k in range(11)], "doc_id long, text string").repartition(4)
+        began = time.perf_counter()
+        out = line_dedup.dedup_lines(docs).agg(F.sum("n_dropped"), F.sum(F.length("text"))).first()
+        assert out[0] == 10 * (n // 2) and out[1] > 11 * n
+        return time.perf_counter() - began
+
+    seconds(1000)
+    assert seconds(100_000) < 20
+
+
 def test_embeddings_equal_brute_force(spark):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(250, 32))
@@ -198,6 +267,17 @@ def test_embeddings_equal_brute_force(spark):
     assert embedding_dedup.embedding_classes(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_repeated_and_missing_ids(spark):
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(40, 16))
+    rows = [(i, x.tolist(), 1) for i, x in enumerate(v)] + [(3, v[3].tolist(), 1), (None, v[5].tolist(), 1), (50, (v[7] * 2).tolist(), 1), (51, v[7].tolist(), 2), (52, None, 1), (52, v[9].tolist(), 1)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, list string").repartition(3)
+    got = Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_dedup.embedding_classes(df).collect())
+    assert len(rows) == got.total()
+    assert got[3, 1, 3] == 2 and got[5, 1, 5] == 1 and got[7, 1, 7] == 1 and got[50, 1, 7] == 1 and got[51, 0, 51] == 1 and got[52, 0, 52] == 1 and got[52, 1, 9] == 1 and got[9, 1, 9] == 1
+    assert sum(n for (i, _, _), n in got.items() if i is None) == 1
+
+
 LANGUAGES = {"xx": "ka to ri mo sun tel", "yy": "éa üo ßi çu ñe", "zz": "sch ung keit ver ein"}
 
 
@@ -269,20 +349,62 @@ def test_pipeline(spark, tmp_path):
     rnd = random.Random(21)
     langs = language_rows(120)
     rows = [(i, f"{t}\n{' '.join(words(rnd, 12))}", lang, f"s{i % 3}", len(t)) for i, t, lang in langs]
-    rows += [(500 + k, rows[0][1], "xx", "s0", 3) for k in range(5)] + [(600, "12345 678", "yy", "s1", 9), (601, None, "yy", "s1", None), (602, "", None, None, 0), (None, rows[3][1] + " and some more of it here", "xx", None, 5)]
+    rows = [(i, f"{t}\n{rnd.choice(['the terms of use apply', 'all rights reserved by us in 2020'])}" if i % 5 == 0 else t, *rest) for i, t, *rest in rows]
+    rows += [(500 + k, rows[1][1], "xx", "s0", 3) for k in range(5)]
+    rows += [(700 + k, "\n".join([rows[k][1].split("\n")[0] + " and one", rows[k][1].split("\n")[1]]), rows[k][2], "s1", 7) for k in range(6, 19, 3)] + [(600, "12345 678", "yy", "s1", 9), (601, None, "yy", "s1", None), (602, "", None, None, 0), (None, rows[3][1] + " and some more of it here", "xx", None, 5)]
     folder = str(tmp_path)
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
-    docs, sizes = spark.read.parquet(f"{folder}/documents.parquet"), []
+    docs, sizes, tables = spark.read.parquet(f"{folder}/documents.parquet"), [], []
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        tables.append(docs.collect())
         out = stage(spark, docs, folder)
         if k < len(corpus_pipeline.STAGES) - 1:
             assert out.columns == docs.columns
         out.write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
         sizes.append({r["doc_id"] for r in docs.select("doc_id").collect()})
+    _, told, lined, kept, mixed = tables
+    # line dedup, restated
+    drop = plain_lines({r["doc_id"]: r["text"] for r in told if r["doc_id"] is not None}, 10)
+    want = Counter()
+    for r in told:
+        left = "\n".join(x for k, x in enumerate(r["text"].split("\n")) if k not in drop.get(r["doc_id"], ()))
+        if left.strip() or not drop.get(r["doc_id"]):
+            want[r["doc_id"], left, r["source"], len(left)] += 1
+    assert sum(map(len, drop.values())) >= 12
+    assert Counter((r["doc_id"], r["text"], r["source"], r["n_chars"]) for r in lined) == want
+    # near duplicates, by all pairs
+    sets = {r["doc_id"]: shingles(r["text"]) for r in lined if r["doc_id"] is not None}
+    links = [(i, j) for i, j in combinations(sets, 2) if sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    classes = closure(sets, links)
+    assert len(links) >= 10
+    assert Counter(map(tuple, kept)) == Counter(tuple(r) for r in lined if r["doc_id"] is None or classes[r["doc_id"]] == r["doc_id"])
+    # the mix: whole documents of the input, each source's words near its target, none more than three times
+    words_of = Counter()
+    for r in kept:
+        words_of[r["source"]] += len(r["text"].split())
+    order = sorted(words_of, key=lambda s: (s is None, s or ""))
+    share, left = {s: 1 + i % 3 for i, s in enumerate(order)}, set(words_of)
+    target, rest = {}, sum(words_of.values())
+    while left:
+        over = [s for s in left if rest * share[s] / sum(share[x] for x in left) > 3 * words_of[s]]
+        if not over:
+            target |= {s: rest * share[s] / sum(share[x] for x in left) for s in left}
+            break
+        target |= {s: 3 * words_of[s] for s in over}
+        left, rest = left - set(over), rest - sum(3 * words_of[s] for s in over)
+    taken, times = Counter(), Counter(map(tuple, mixed))
+    for r in mixed:
+        taken[r["source"]] += len(r["text"].split())
+    assert set(times) <= set(map(tuple, kept)) and max(times.values()) <= 3
+    longest = max(len(r["text"].split()) for r in kept)
+    assert all(abs(taken[s] - target[s]) <= longest for s in words_of)
+    # tokens, by the library
+    library = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    assert Counter((r["doc_id"], r["source"], r["n_tokens"], tuple(r["token_ids"])) for r in docs.collect()) == Counter((r["doc_id"], r["source"], len(ids), tuple(ids)) for r in mixed for ids in [library.encode(r["text"] or "", add_special_tokens=False).ids])
     assert sizes[0] == {r[0] for r in rows} - {600, 601, 602}
     assert None in sizes[3]
-    assert sizes[2] == sizes[1] - {500, 501, 502, 503, 504}
+    assert sizes[2] <= sizes[1] - {500, 501, 502, 503, 504}
     assert sizes[4] == sizes[3] <= sizes[2]
     again = Counter((r["doc_id"], tuple(r["token_ids"])) for r in corpus_pipeline.run(spark, folder).collect())
     assert again == Counter((r["doc_id"], tuple(r["token_ids"])) for r in docs.collect())
