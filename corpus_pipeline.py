@@ -8,13 +8,13 @@ the text.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concord.llm.bpe import bpe_encode
+from concord.llm.common import shared_folder
 from concord.llm.language_id import UNKNOWN, fit_language_model, identify_languages
 from concord.llm.line_dedup import dedup_lines
 from concord.llm.minhash import near_dedup
@@ -39,17 +39,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each class of near duplicates; null ids, texts without words and repeated rows stay."""
     return near_dedup(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often, and in the order, that the source weights and the curriculum ask for."""
+    """The documents as often, and in the order, that the source weights and the curriculum ask for.
+
+    A null source is a source of its own; texts without words are not taken; each of several equal rows has its own turns.
+    """
     return mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens, token_ids of every document of the mix."""
+    """doc_id, source, n_tokens, token_ids of every document of the mix, one row for each of its turns (null and empty texts: no tokens)."""
     out = bpe_encode(docs, tokenizer("byte_bpe_50k.json"))
     return out.select("doc_id", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
 
@@ -62,8 +65,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what lies between them is written to the folder in spark.checkpoint.dir."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    folder = f"{base.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
