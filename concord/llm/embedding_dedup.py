@@ -24,9 +24,12 @@ from .common import cut, fresh_key, shuffle_partitions
 from .components import connected_components
 from .minhash import _forest
 
-#: Most pivots, and fewest: as many as the root of the number of distinct vectors, within these bounds.
-MOST_PIVOTS, FEWEST_PIVOTS = 1024, 64
+#: Most pivots, and fewest: as many as the root of the number of distinct vectors, within these bounds.  Beyond a
+#: thousand million vectors, lists grow with the table; the pivots sent to each task stay below 17 MB in 64 dimensions.
+MOST_PIVOTS, FEWEST_PIVOTS = 32768, 64
 _BATCH = 2048
+#: Pivots up to which each takes a column.
+DENSE = 4096
 
 
 def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -82,23 +85,45 @@ def permutations(vectors: DataFrame, pivots: np.ndarray, k: int) -> DataFrame:
     return vectors.mapInArrow(run, f"{schema}, near array<int>")
 
 
-def linked(m: np.ndarray, near: np.ndarray, own: np.ndarray, within: bool, first: int, second: int, n_pivots: int, threshold: float) -> np.ndarray:
-    """Links of one list (or pair of its blocks) that belong to it: `first` < `second` are the pair's smallest shared pivots."""
-    n = len(m)
-    shared = np.zeros((n, n_pivots), dtype=np.float32)
-    np.put_along_axis(shared, near.astype(np.int64), 1, axis=1)
-    below = shared[:, :second]
-    mine = (below @ below.T) == 1  # only `first` is shared below `second`
-    u = unit_rows(m)
-    link = mine & (u @ u.T >= threshold)
-    np.fill_diagonal(link, False)
+def owned(near: np.ndarray, own: np.ndarray, within: bool, first: int, second: int) -> np.ndarray:
+    """Pairs of one list (or of two blocks of it) that belong to it: `first` < `second` are the pair's smallest shared pivots.
+
+    Counts the pivots below `second` that both share.  Where these are many,
+    only those that several of the list's vectors have take a column.
+    """
+    n = len(near)
+    row, at = np.nonzero(near < second)
+    column, width = near[row, at].astype(np.int64), second
+    column[column == first] = second
+    if second > DENSE:
+        seen, column, times = np.unique(np.append(column, second), return_inverse=True, return_counts=True)
+        place = np.cumsum(times > 1) - 1
+        width = int((times[:-1] > 1).sum())
+        column = np.where(times[column] > 1, place[column], width)[:-1]
+    shared = np.zeros((n, width + 1), dtype=np.float32)
+    shared[row, column] = 1
+    shared = shared[:, :width]
+    mine = (shared @ shared.T) == 0  # of the pivots below `second`, only `first` is shared
+    np.fill_diagonal(mine, False)
     if not within:
-        link &= own[:, None] != own
+        mine &= own[:, None] != own
+    return mine
+
+
+def linked(m: np.ndarray, mine: np.ndarray, threshold: float) -> np.ndarray:
+    """Those of the pairs `mine` whose cosine, in double precision, reaches the threshold."""
+    some = np.flatnonzero(mine.any(axis=1))
+    if 2 * len(some) > len(m):
+        u = unit_rows(m)
+        return mine & (u @ u.T >= threshold)
+    u, at = unit_rows(m[some]), np.ix_(some, some)  # the others need no product
+    link = np.zeros(mine.shape, dtype=bool)
+    link[at] = mine[at] & (u @ u.T >= threshold)
     return link
 
 
 def fit_pivots(vectors: DataFrame, n: int, pivots: int | None, apart: float = 0.6) -> np.ndarray:
-    """The pivots: as many as the root of `n` says (1024 at most), no two with a cosine of `apart` or more.
+    """The pivots: as many as the root of `n` says (MOST_PIVOTS at most), no two with a cosine of `apart` or more.
 
     Taken in turn from a sample of four times as many, those of the least hash
     of their id.  Without this distance a dense group would hold many pivots,
@@ -111,11 +136,14 @@ def fit_pivots(vectors: DataFrame, n: int, pivots: int | None, apart: float = 0.
         return np.zeros((0, 1))
     sample = unit_rows(matrix(rows.column("v").combine_chunks())[0])
     drawn = unit_rows(np.random.default_rng(7).normal(size=(want, sample.shape[1])))
-    out = np.zeros((0, sample.shape[1]))
+    out, n_out = np.zeros((want, sample.shape[1])), 0
     for v in (*sample, *drawn):
-        if len(out) < want and (out @ v < apart).all():
-            out = np.vstack([out, v])
-    return out
+        if n_out == want:
+            break
+        if (out[:n_out] @ v < apart).all():
+            out[n_out] = v
+            n_out += 1
+    return out[:n_out]
 
 
 def embedding_classes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = 0.93, k: int = 6, pivots: int | None = None, block: int = 256) -> DataFrame:
@@ -129,7 +157,9 @@ def embedding_classes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str
     non-finite components, and those without a label, link with nothing.
     Vectors of different length are compared as if padded with zeros.  Ids are
     whole numbers; rows that share an id are vectors of their own in counts and
-    share a component.
+    share a component.  A row without an id is a vector too: its component may
+    be null, and it is kept.  An empty table gives an empty table; other columns
+    are ignored.
     """
     spark = vectors.sparkSession
     rows = vectors.select(vectors[vec_id].cast("long").alias("id"), vectors[label].cast("string").alias("label"), vectors[embedding].alias("v"))
@@ -137,16 +167,17 @@ def embedding_classes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str
     alike = rows.filter("ok").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min_by("v", "id").alias("v"), F.min("label").alias("label"))
     reps = cut(alike)
     chosen = fit_pivots(reps.select(F.col("rep").alias("id"), "v"), reps.count(), pivots)
-    n_pivots, n = max(2, len(chosen)), shuffle_partitions(spark)
-    near = permutations(reps.select("rep", "copies", "label", "v"), chosen, k)
-    near = near.withColumn("p", F.explode("near")).withColumn("q", F.explode("near")).filter("p < q")
-    postings = cut(near)
-    lists = postings.groupBy("label", "p", "q").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("size")).filter("size > 1").withColumn("list", F.xxhash64("label", "p", "q")).select("list", "blocks")
-    placed = postings.withColumn("list", F.xxhash64("label", "p", "q")).join(lists.groupBy("list").agg(F.max("blocks").alias("blocks")).select(fresh_key("list"), "blocks"), "list")
+    n = shuffle_partitions(spark)
+    near = cut(permutations(reps.select("rep", "copies", "label", "v"), chosen, k))
+    # lists are dealt out without the vectors, which are fetched last
+    postings = near.select("rep", "label", F.explode("near").alias("p"), "near").select("rep", "label", "p", F.explode("near").alias("q")).filter("p < q").withColumn("list", F.xxhash64("label", "p", "q"))
+    lists = postings.groupBy("list").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select(fresh_key("list"), F.ceil(F.col("size") / block).cast("int").alias("blocks"))
+    placed = postings.join(lists, "list")
     placed = placed.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
     part = F.pmod(F.col("list") % F.lit(n) + F.col("i") * F.col("blocks") + F.col("j"), F.lit(n)).cast("int")
-    placed = placed.select("list", "p", "q", "i", "j", "label", "own", "rep", "copies", "near", "v").repartitionById(n, part).sortWithinPartitions("list", "label", "p", "q", "i", "j")
+    placed = placed.select("list", "p", "q", "i", "j", "own", "rep", part.alias("part")).join(near, "rep")
+    placed = placed.select("list", "p", "q", "i", "j", "label", "own", "rep", "copies", "near", "v", "part").repartitionById(n, F.col("part")).drop("part").sortWithinPartitions("list", "label", "p", "q", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def groups():
@@ -171,10 +202,13 @@ def embedding_classes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str
             t = pa.Table.from_batches(held).combine_chunks()
             if t.num_rows < 2:
                 continue
-            m, _ = matrix(t.column("v").chunk(0))
             near_, _ = matrix(t.column("near").chunk(0))
+            mine = owned(near_, t.column("own").to_numpy(), i == j, p, q)
+            if not mine.any():  # in a dense group, other lists own the pairs
+                continue
+            m, _ = matrix(t.column("v").chunk(0))
             rep, copies = t.column("rep").to_numpy(), t.column("copies").to_numpy()
-            link = linked(m, near_, t.column("own").to_numpy(), i == j, p, q, n_pivots, threshold)
+            link = linked(m, mine, threshold)
             has = np.flatnonzero(link.any(axis=1))
             if len(has):
                 root = np.arange(len(rep))
