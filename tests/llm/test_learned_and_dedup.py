@@ -267,6 +267,26 @@ def test_embeddings_equal_brute_force(spark):
     assert embedding_dedup.embedding_classes(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dense", [4096, 0])
+def test_lists_own_the_pairs_of_their_pivots(monkeypatch, dense):
+    monkeypatch.setattr(embedding_dedup, "DENSE", dense)
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        n, pivots = int(rng.integers(2, 30)), int(rng.integers(8, 30))
+        near = np.array([rng.choice(pivots, 6, replace=False) for _ in range(n)]).astype(float)
+        p, q = sorted(rng.choice(pivots, 2, replace=False))
+        for row in near:  # all vectors of a list have its pivots
+            row[:2] = [p, q]
+        own = rng.integers(0, 2, n)
+        want = [[i != j and own[i] != own[j] and not (set(near[i]) & set(near[j]) & set(range(q))) - {p} for j in range(n)] for i in range(n)]
+        mine = embedding_dedup.owned(near, own, False, p, q)
+        assert mine.tolist() == want
+        m = rng.normal(size=(n, 3))
+        u = m / np.linalg.norm(m, axis=1, keepdims=True)
+        for some in (mine, mine & (np.arange(n) < 3)[:, None] & (np.arange(n) < 3)):
+            assert embedding_dedup.linked(m, some, 0.5).tolist() == (some & (u @ u.T >= 0.5)).tolist()
+
+
 def test_embeddings_of_repeated_and_missing_ids(spark):
     rng = np.random.default_rng(8)
     v = rng.normal(size=(40, 16))
