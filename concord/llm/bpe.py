@@ -63,6 +63,7 @@ class ByteBPE:
         self.splitter = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.as_ids: dict[str, str] = {}
         self.as_text: dict[str, str] = {}
+        self.forget()
 
     def _lookup(self, ids: np.ndarray, word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged id of the pairs that begin at the positions `at` (none: the rank NONE)."""
@@ -117,8 +118,25 @@ class ByteBPE:
         order = np.argsort(word, kind="stable")
         return ids[order], np.r_[0, np.cumsum(np.bincount(word, minlength=len(words)))]
 
+    def forget(self) -> None:
+        """Empty the store of encoded words: the word's number, and the ids of all of them one after another."""
+        self.number: dict[str, int] = {}
+        self.flat, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+
     def learn(self, words: set[str]) -> None:
-        """Encode and decode the words that are not stored yet."""
+        """Encode the words that are not stored yet."""
+        new = [w for w in words if w not in self.number]
+        if len(self.number) + len(new) > CACHE_WORDS:
+            self.forget()
+            new = list(words)
+        for i in range(0, len(new), 50_000):
+            part = new[i : i + 50_000]
+            flat, ends = self.merge_words([w.encode() for w in part])
+            self.number.update(zip(part, range(len(self.number), len(self.number) + len(part)), strict=True))
+            self.flat, self.ends = np.concatenate([self.flat, flat]), np.concatenate([self.ends, ends[1:] + self.ends[-1]])
+
+    def spell(self, words: set[str]) -> None:
+        """Store the words' ids as text and their decoded form."""
         new = [w for w in words if w not in self.as_ids]
         if len(self.as_ids) + len(new) > CACHE_WORDS:
             self.as_ids.clear()
@@ -142,17 +160,32 @@ class ByteBPE:
             out += [part] if part in self.special else self.words.findall(part)
         return out
 
-    def encode_all(self, texts: list[str]) -> tuple[list[str], list[str]]:
+    def spell_all(self, texts: list[str]) -> tuple[list[str], list[str]]:
         """(comma-joined ids, decoded text) of each text."""
         split = [self.split(t) for t in texts]
-        self.learn(set().union(*split) - self.special.keys())
+        self.spell(set().union(*split) - self.special.keys())
         for content, i in self.special.items():
             self.as_ids[content], self.as_text[content] = str(i), content
         return [",".join(map(self.as_ids.__getitem__, w)) for w in split], ["".join(map(self.as_text.__getitem__, w)) for w in split]
 
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where each text's begin (and the last one's end)."""
+        split = [self.split(t) for t in texts]
+        self.learn(set().union(*split) - self.special.keys())
+        of_special = {w: -1 - i for w, i in self.special.items()}
+        number = (self.number | of_special if len(of_special) and any(not of_special.keys().isdisjoint(w) for w in split) else self.number).__getitem__
+        words = np.fromiter((number(w) for text in split for w in text), dtype=np.int64)
+        special = words < 0
+        begin = self.ends[np.where(special, 0, words)]
+        size = np.where(special, 1, self.ends[np.where(special, 0, words) + 1] - begin)
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size - begin, size)
+        out = self.flat[at] if len(self.flat) else np.empty(len(at), np.int32)
+        out[(ends - 1)[special]] = -1 - words[special]
+        return out, np.r_[0, ends][np.r_[0, np.cumsum([len(w) for w in split], dtype=np.int64)]]
+
     def encode(self, text: str) -> list[int]:
-        ids = self.encode_all([text])[0][0]
-        return [int(x) for x in ids.split(",")] if ids else []
+        return self.encode_all([text])[0].tolist()
 
     def decode(self, ids: list[int]) -> str:
         return b"".join([self.bytes[i] for i in ids]).decode("utf-8", "replace")
@@ -171,11 +204,12 @@ def bpe_digests(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: st
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, encoded and decoded again.
 
     A null or empty text has no tokens; its digests are those of the empty
-    string.  Repeated ids give repeated rows, other columns are ignored.
+    string.  Texts of any length are encoded whole.  Repeated and null ids give
+    a row each, an empty table gives an empty table, other columns are ignored.
     """
 
     def run(batch: pa.RecordBatch) -> dict:
-        ids, back = load(vocabulary).encode_all(strings(batch, "text"))
+        ids, back = load(vocabulary).spell_all(strings(batch, "text"))
         return {"doc_id": values(batch, "doc_id"), "n_tokens": [x.count(",") + 1 if x else 0 for x in ids], "ids_sha256": [*map(sha, ids)], "decoded_sha256": [*map(sha, back)]}
 
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -186,7 +220,8 @@ def bpe_digests(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: st
 def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", into: str = "token_ids") -> DataFrame:
     """The table with a further column array<int> `into`: the token ids of each text (null and empty: none).
 
-    A column of that name is replaced; all other columns stay as they are.
+    A column of that name is replaced; all other columns stay as they are, and
+    so do repeated rows.  Texts of any length are encoded whole.
     """
     from pyspark.sql.types import ArrayType, IntegerType, StructType
 
@@ -195,9 +230,9 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", into: str =
 
     def run(batches):
         for batch in pieces(batches, text):
-            ids, _ = load(vocabulary).encode_all(strings(batch, text))
-            flat = [np.array(x.split(","), dtype=np.int32) if x else np.empty(0, np.int32) for x in ids]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(flat, type=pa.list_(pa.int32()))], names=[*batch.schema.names, into])
+            flat, ends = load(vocabulary).encode_all(strings(batch, text))
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, into])
 
     return base.mapInArrow(run, schema)
 
