@@ -101,14 +101,36 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .byte_bpe import ranked_digests
+
+    import public_tokenizers
+
+    return ranked_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .centroids import centroid_clusters
+
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resampling import resampled
+
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
+    from .centroids import clusters_sql
     from .embedding_dedup import EMBEDDINGS_SQL
     from .line_dedup import LINES_SQL
     from .minhash import CLASSES_SQL
     from .mixing import MIX_SQL
+    from .resampling import RESAMPLING_SQL
 
-    return {"op3_embeddings": EMBEDDINGS_SQL, "op4_line_dedup": LINES_SQL, "op9_minhash": CLASSES_SQL, "op10_mixing": MIX_SQL}
+    return {"op3_embeddings": EMBEDDINGS_SQL, "op4_line_dedup": LINES_SQL, "op9_minhash": CLASSES_SQL, "op10_mixing": MIX_SQL, "op12_centroids": clusters_sql(), "op13_resampling": RESAMPLING_SQL}
