@@ -2,54 +2,127 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite, holds, sentinel_shaped
+from .checkpoints import cut
 
 
 def _long(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
     return df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in columns])))
 
 
-def _top(values: DataFrame, by: Sequence[str], k: int = 3) -> DataFrame:
-    """top_1, n_1, ...: the k most frequent values, ties by value; Spark keeps only k candidates of each task before it shuffles."""
-    counts = values.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
+def _best(counts: DataFrame, by: Sequence[str], k: int = 3, keep_sum: bool = False) -> DataFrame:
+    """top_1, n_1, ...: the values of the k largest counts n, ties by value; Spark keeps only k candidates of each task before it shuffles.
+    With `keep_sum` also n_all, the sum of all counts."""
+    pick = lambda rows: rows.groupBy(*by).agg(*[x for i in range(1, k + 1) for x in (F.max(F.when(F.col("rn") == i, F.col("value"))).alias(f"top_{i}"), F.max(F.when(F.col("rn") == i, F.col("n"))).alias(f"n_{i}"))])
     ranked = counts.withColumn("rn", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), F.asc("value")))).filter(F.col("rn") <= k)
-    return ranked.groupBy(*by).agg(*[x for i in range(1, k + 1) for x in (F.max(F.when(F.col("rn") == i, F.col("value"))).alias(f"top_{i}"), F.max(F.when(F.col("rn") == i, F.col("n"))).alias(f"n_{i}"))])
+    return pick(ranked).join(counts.groupBy(*by).agg(F.sum("n").alias("n_all")), [*by]) if keep_sum else pick(ranked)
 
 
-def _numeric(value: Column) -> list[Column]:
+def _top(values: DataFrame, by: Sequence[str], k: int = 3, keep_sum: bool = False) -> DataFrame:
+    return _best(values.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n")), by, k, keep_sum)
+
+
+#: Candidates for the most frequent values that a sketch names, and values that it keeps in sight of each column.
+CANDIDATES, TRACKED = 16, 1000
+#: Columns that one scan profiles: plans and the sketches of a task stay small; each scan reads its own columns.
+BLOCK = 200
+
+
+def _ceiling(n: int, candidates: Sequence[tuple[object, int]]) -> int:
+    """The most rows that a value can have which is no candidate of a sketch over n rows.
+
+    A sketch overstates no count by more than 3.5 n over its table's size, and
+    leaves out what it cannot tell from nothing: at most twice that.
+    """
+    table = 1 << math.ceil(math.log2(TRACKED / 0.75))
+    return max(math.floor(7 * n / table), candidates[-1][1] if len(candidates) == CANDIDATES else 0)
+
+
+def _frequent(df: DataFrame, parts: Mapping[object, tuple[Column, int, Sequence[tuple[object, int]]]], key: str, k: int = 3) -> DataFrame:
+    """key, top_1, n_1, ...: the k most frequent values of every part (its values, how many they are, a sketch's candidates and their counts).
+
+    Only candidates are counted, so that little leaves a task.  They are proven
+    to be the most frequent where the least of the k outnumbers what any other
+    value can have, or where the candidates are all values there are.  Parts of
+    which the sketch cannot promise that, or turns out not to hold it, are
+    counted value by value.
+    """
+    few, other = {}, {}
+    for name, (_, n, candidates) in parts.items():
+        likely = len(candidates) < k or candidates[k - 1][1] > _ceiling(n, candidates)
+        (few if likely else other)[name] = [v for v, _ in candidates] if likely else None
+
+    def counted(chosen: Mapping[object, Sequence | None]) -> DataFrame:
+        kept = lambda name: parts[name][0] if chosen[name] is None else F.when(parts[name][0].isin(*chosen[name]), parts[name][0])
+        rows = df.select(F.inline(F.array(*[F.struct(F.lit(name).alias(key), kept(name).alias("value")) for name in chosen]))).filter("value is not null")
+        return _top(rows, [key], k, keep_sum=True)
+
+    found = cut(counted(few | other))
+    by_name = {r[key]: r for r in found.select(key, "n_all", f"n_{k}").collect()}  # a row for each column
+    open_ = {}
+    for name in few:
+        r, (_, n, candidates) = by_name.get(name), parts[name]
+        if n and not (r and (r["n_all"] == n or (r[f"n_{k}"] or 0) > _ceiling(n, candidates))):
+            open_[name] = None
+    if open_:
+        found = found.filter(~F.col(key).isin(*open_)).unionByName(cut(counted(open_)))
+    return found.drop("n_all")
+
+
+def _numeric(value: Column, present: Column | None = None) -> list[Column]:
     number = F.when(finite(value), value)
-    return [F.count(F.lit(1)).alias("n_rows"), F.count_if(value.isNull()).alias("n_null"), F.count_if(holds(F.isnan(value))).alias("n_nan"), F.count_if(value.isNotNull() & ~F.isnan(value)).alias("n_valid"), (F.min(number) + 0.0).alias("lo"), (F.max(number) + 0.0).alias("hi")]
+    rows, null = (F.count(F.lit(1)), F.count_if(value.isNull())) if present is None else (F.count_if(present), F.count_if(present & value.isNull()))
+    return [rows.alias("n_rows"), null.alias("n_null"), F.count_if(holds(F.isnan(value))).alias("n_nan"), F.count_if(value.isNotNull() & ~F.isnan(value)).alias("n_valid"), (F.min(number) + 0.0).alias("lo"), (F.max(number) + 0.0).alias("hi")]
+
+
+def _profiled(df: DataFrame, columns: Mapping[object, tuple[Column, Column | None]], key: str) -> DataFrame:
+    """One row per part (its value, and whether it is there at all): _numeric of it and its most frequent values, in two scans for each BLOCK of parts."""
+    out, names = None, [*columns]
+    for at in range(0, len(names), BLOCK):
+        part = {n: columns[n] for n in names[at : at + BLOCK]}
+        plain = {n: F.when(~F.isnan(v.cast("double")), v.cast("double") + 0.0) for n, (v, _) in part.items()}
+        sketch = lambda v: F.call_function("approx_top_k", v, F.lit(CANDIDATES), F.lit(TRACKED))
+        stats = [F.struct(F.lit(n).alias(key), *_numeric(v.cast("double"), there), sketch(plain[n]).alias("candidates")) for n, (v, there) in part.items()]
+        # a row for each column
+        seen = cut(df.agg(F.array(*stats).alias("p")).select(F.inline("p")))
+        facts = {r[key]: (r["n_valid"], [(c["item"], c["count"]) for c in r["candidates"] or []]) for r in seen.select(key, "n_valid", "candidates").collect()}
+        top = _frequent(df, {n: (plain[n], *facts[n]) for n in part}, key)
+        rows = seen.drop("candidates").join(F.broadcast(top), key, "left")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column: rows, nulls, NaN, other values (infinities included), finite range, three most frequent values.  -0.0 counts as 0.0."""
-    # one wide aggregate for the counts; only the value frequencies need a row for each value
-    stats = df.agg(F.array(*[F.struct(F.lit(c).alias("column"), *_numeric(F.col(c).cast("double"))) for c in columns]).alias("p")).select(F.inline("p"))
-    long = _long(df, columns, "double")
-    top = _top(long.filter(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("value", F.col("value") + 0.0), ["column"])
-    return stats.join(top, "column", "left")
+    """One row per column: rows, nulls, NaN, other values (infinities included), finite range, three most frequent values.  -0.0 counts as 0.0.
+
+    Columns are profiled in two scans, which run at once: one wide aggregate
+    with a sketch of frequent values, and an exact count of the sketch's
+    candidates; what leaves the tasks does not grow with the rows, but for
+    columns of which no value stands out.
+    """
+    return _profiled(df, {c: (F.col(c), None) for c in columns}, "column")
 
 
 def profile_array(df: DataFrame, column: str) -> DataFrame:
     """One row per index of the array column, as profile_numeric has it for a column; a null array is a null at every index (n_absent of them)."""
-    long = df.select(F.posexplode(column).alias("index", "value")).withColumn("value", F.col("value").cast("double"))
-    stats = long.groupBy("index").agg(*_numeric(F.col("value"))).withColumn("__k", F.lit(1))
-    absent = df.agg(F.count_if(F.col(column).isNull()).alias("n_absent")).withColumn("__k", F.lit(1))
-    stats = stats.join(absent, "__k").drop("__k").withColumns({c: F.col(c) + F.col("n_absent") for c in ("n_rows", "n_null")})
-    top = _top(long.filter(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("value", F.col("value") + 0.0), ["index"])
-    return stats.join(top, "index", "left")
+    a = F.col(column)
+    r = df.agg(F.max(F.size(a)).alias("longest"), F.count_if(a.isNull()).alias("n_absent")).first()
+    found = _profiled(df, {i: (F.get(a, F.lit(i)), a.isNull() | (F.size(a) > i)) for i in range(max(r["longest"] or 0, 1))}, "index")
+    return found.filter(F.lit((r["longest"] or 0) > 0)).withColumn("n_absent", F.lit(r["n_absent"]))
 
 
 def profile_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per text (or boolean) column: rows, nulls, distinct values, lengths, three most frequent values."""
-    long = _long(df, columns, "string")
-    stats = long.groupBy("column").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("value").isNull()).alias("n_null"), F.count_distinct("value").alias("n_distinct"), F.min(F.length("value")).alias("min_length"), F.max(F.length("value")).alias("max_length"))
-    return stats.join(_top(long.filter("value is not null"), ["column"]), "column", "left")
+    # distinct values are counted exactly, and all the rest follows from their counts
+    counts = _long(df, columns, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    stats = counts.groupBy("column").agg(F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"), F.count("value").alias("n_distinct"), F.min(F.length("value")).alias("min_length"), F.max(F.length("value")).alias("max_length"))
+    return stats.join(_best(counts.filter("value is not null"), ["column"]), "column", "left")
 
 
 def head_profile(df: DataFrame, ordinal: str, n: int, columns: Sequence[str], few: int = 20) -> DataFrame:

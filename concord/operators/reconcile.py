@@ -137,8 +137,9 @@ def value_drift(source: DataFrame, target: DataFrame, key: str, column: str, gro
     delta = F.col("b") - F.col("a")
     relative = delta if logarithmic else F.try_divide(delta, F.abs("a"))
     x = x.filter(valid).select(group, delta.alias("d"), relative.alias("r"))
-    marks = exact_percentiles(x, F.col("d"), {f"d_p{m}": m / 100 for m in (1, 16, 50, 84, 99)}, [group])
-    middle = exact_percentiles(x, F.col("r"), {"r_median": 0.5}, [group])
+    both = x.select(group, F.inline(F.array(F.struct(F.lit("d").alias("__of"), F.col("d").alias("__v")), F.struct(F.lit("r").alias("__of"), F.col("r").alias("__v")))))
+    found = exact_percentiles(both, F.col("__v"), {f"d_p{m}": m / 100 for m in (1, 16, 50, 84, 99)}, [group, "__of"])
+    marks, middle = found.filter("__of = 'd'").drop("__of"), found.filter("__of = 'r'").select(group, F.col("d_p50").alias("r_median"))
     counts = x.groupBy(group).agg(F.count(F.lit(1)).alias("n_valid"), F.count_if(F.col("d") == 0).alias("n_exact"), F.avg((F.col("d") == 0).cast("double")).alias("match"), F.max(F.abs("r")).alias("r_max"), *[F.avg((F.abs("r") > t).cast("double")).alias(f"above_{i}") for i, t in enumerate(limits)])
     return counts.join(marks, group, "left").join(middle, group, "left")
 

@@ -62,6 +62,60 @@ def test_percent_rank_equals_the_window(spark):
     assert ranks.percent_rank(df.limit(0), "v", "r").count() == 0
 
 
+def percentile(values, share):
+    at = (len(values) - 1) * share
+    low = values[int(at)]
+    return low if at == int(at) else low + (at - int(at)) * (values[int(at) + 1] - low)
+
+
+SHARES = {"lo": 0.0, "p1": 0.01, "q": 0.25, "median": 0.5, "p99": 0.99, "hi": 1.0}
+
+
+@pytest.mark.parametrize("most", [ranks.MOST, 50])
+def test_percentiles_are_exact(spark, most):
+    rnd = random.Random(3)
+    values = {
+        "wide": [rnd.gauss(0, 1) for _ in range(40_000)], "constant": [7.0] * 5000, "two": [rnd.choice([1.0, 2.0]) for _ in range(5001)],
+        "few": [3.0, 1.0], "one": [-2.5], None: [float(i % 10) for i in range(3000)], "infinite": [-INF, INF, 0.0] * 700, "spiked": [rnd.choice([0.0, rnd.random()]) for _ in range(20_000)],
+    }
+    rows = [(g, v) for g, vs in values.items() for v in vs] + [("empty", None), ("wide", None)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    got = {r["g"]: r for r in ranks.exact_percentiles(df, F.col("v"), SHARES, ["g"], most).collect()}
+    assert got.keys() == values.keys()
+    for g, vs in values.items():
+        vs = sorted(vs)
+        for name, share in SHARES.items():
+            want = percentile(vs, share)
+            assert got[g][name] == pytest.approx(want, rel=1e-12) or math.isnan(want) and math.isnan(got[g][name]), (g, name)
+    every = sorted(v for vs in values.values() for v in vs)
+    whole = ranks.exact_percentiles(df, F.col("v"), {"a": 0.37, "b": 0.9}, most=most).collect()
+    assert [tuple(r) for r in whole] == [(pytest.approx(percentile(every, 0.37), rel=1e-12), pytest.approx(percentile(every, 0.9), rel=1e-12))]
+    assert [tuple(r) for r in ranks.exact_percentiles(df.limit(0), F.col("v"), {"a": 0.5}, most=most).collect()] == [(None,)]
+    assert ranks.exact_percentiles(df.limit(0), F.col("v"), {"a": 0.5}, ["g"], most).count() == 0
+    nan = spark.createDataFrame([(NAN,), (1.0,), (NAN,)], "v double")
+    assert [str(x) for x in ranks.exact_percentiles(nan, F.col("v"), {"a": 0.0, "b": 0.5}, most=most).first()] == ["1.0", "nan"]
+
+
+@pytest.mark.parametrize(("low", "high"), [(10.0, 10.0), (5000.0, 5100.0), (-5.0, -1.0), (1e6, 2e6)])
+def test_percentiles_that_a_sketch_misses_are_found(spark, monkeypatch, low, high):
+    df = spark.range(6000).select(F.col("id").cast("double").alias("v"), (F.col("id") % 2).alias("g"))
+    monkeypatch.setattr(ranks, "_bracket", lambda *_: (F.lit(low), F.lit(high)))
+    assert ranks.exact_percentiles(df, F.col("v"), {"a": 0.25, "b": 0.5, "c": 1.0}, ["g"]).orderBy("g").collect() == [(0, 1499.5, 2999.0, 5998.0), (1, 1500.5, 3000.0, 5999.0)]
+
+
+def test_percent_rank_of_a_hot_value(spark):
+    df = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 5.0).when(F.col("id") % 3 == 1, (F.col("id") % 1000) / 100.0).when(F.col("id") % 2 == 0, NAN).alias("v"), F.create_map(F.lit("a"), "id").alias("m"))
+    got = ranks.percent_rank(df, "v", "r", 16)
+    want = df.selectExpr("id", "percent_rank() OVER (ORDER BY v NULLS LAST) AS w")
+    assert got.join(want, "id").filter("abs(r - w) > 1e-12 or r is null").count() == 0 and got.columns == ["id", "v", "m", "r"]
+    # rows of one value are dealt out by their hash, and no part is much larger than a sixteenth
+    sizes = got.groupBy(F.spark_partition_id()).count()
+    assert sizes.count() > 1
+    with pytest.raises(TypeError):
+        ranks.percent_rank(df.select(F.col("id").cast("string").alias("v")), "v", "r")
+
+
 def test_tension_is_null_without_an_error(spark):
     rows = [(9.0, 8.9, 9.1, 1e9, 1e8), (9.0, 8.9, 9.1, 1e9, 0.0), (9.0, 8.9, 9.1, 1e9, None), (9.0, 8.9, 9.1, 0.0, 1e8)]
     df = spark.createDataFrame(rows, "a double, lo double, hi double, b double, e double")
