@@ -1,4 +1,4 @@
-"""Multi-axis scores, isolation forests, nearest neighbours in feature space."""
+"""Multi-axis scores, isolation forests."""
 
 from __future__ import annotations
 
@@ -104,61 +104,3 @@ def isolation_scores(df: DataFrame, key: str, features: str, trees: int = 32, sa
 def _expected(n: int) -> float:
     """Mean depth at which an unsuccessful search in a random tree of n rows ends."""
     return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
-
-
-def _nearest(queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, others: np.ndarray, k: int, tile: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, other, distance) of the k nearest rows of another id for each query, ties by id.
-
-    Single precision picks, with a margin for its error; what it picks is measured in double precision.
-    """
-    out = []
-    single, norms = rows.astype(np.float32), (rows**2).sum(axis=1)
-    for lo in range(0, len(queries), tile):
-        x, own = queries[lo : lo + tile], ids[lo : lo + tile]
-        square = (x**2).sum(axis=1)
-        margin = (2e-7 * (rows.shape[1] + 8)) * (square + norms.max(initial=0.0))
-        limit = np.full(len(x), np.inf)
-        who, what, far = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-        for at in range(0, len(rows), tile):
-            d = (square[:, None] + norms[at : at + tile]).astype(np.float32) - 2 * (x.astype(np.float32) @ single[at : at + tile].T)
-            d[own[:, None] == others[at : at + tile]] = np.inf
-            here = np.partition(d, k - 1, axis=1)[:, k - 1] + 2 * margin if at == 0 and d.shape[1] >= k else limit + margin
-            i, j = np.nonzero((d <= here[:, None]) & (d < np.inf))
-            exact = np.concatenate([((x[i[c : c + 65536]] - rows[at + j[c : c + 65536]]) ** 2).sum(axis=1) for c in range(0, max(1, len(i)), 65536)])
-            who, what, far = np.r_[who, i], np.r_[what, at + j], np.r_[far, exact]
-            order = np.lexsort((others[what], far, who))
-            who, what, far = who[order], what[order], far[order]
-            first = np.searchsorted(who, who)  # place of each query's nearest
-            best = np.arange(len(who)) - first < k
-            who, what, far = who[best], what[best], far[best]
-            kth = np.flatnonzero(np.arange(len(who)) - np.searchsorted(who, who) == k - 1)
-            limit[who[kth]] = far[kth]
-        out.append((own[who], others[what], np.sqrt(far)))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (ids[:0], others[:0], np.empty(0))
-
-
-def nearest_in_features(df: DataFrame, key: str, features: str, k: int = 5, block: int = 8192) -> DataFrame:
-    """key, neighbour, distance, rank: the k nearest rows by Euclidean distance, of every row (exact; ties by key).
-
-    Blocks of rows are compared with each other, so the work grows with the
-    square of the rows.  Rows without a key or features have no neighbours and
-    are none; the keys are whole numbers, and rows of one key are no neighbours.
-    """
-    from pyspark.sql import Window
-
-    rows = cut(df.select(F.col(key).cast("long").alias("k"), F.col(features).cast("array<double>").alias("v")).filter("k is not null and v is not null"))
-    n = max(1, -(-rows.count() // block))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("k"), F.lit(n)).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = rows.withColumn("j", every).select(F.col("own").alias("i"), "j", "k", "v")
-    right = rows.withColumn("i", every).select("i", F.col("own").alias("j"), "k", "v")
-
-    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")})
-        found = _nearest(np.stack(a["v"].to_numpy()), a["k"].to_numpy(), np.stack(b["v"].to_numpy()), b["k"].to_numpy(), k)
-        return pd.DataFrame(dict(zip(("a", "b", "distance"), found, strict=True)))
-
-    found = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(best, "a long, b long, distance double")
-    rank = F.row_number().over(Window.partitionBy("a").orderBy("distance", "b"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select(F.col("a").alias(key), F.col("b").alias("neighbour"), "distance", "rank")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import finite, holds
+from ..functions.columns import every, finite, holds, some
 from .ranks import exact_percentiles
 
 
@@ -25,33 +26,154 @@ def _beside(source: DataFrame, target: DataFrame, key: str, columns: Sequence[st
     return s.join(t, key, "full_outer").withColumns({"in_s": F.col("in_s").isNotNull(), "in_t": F.col("in_t").isNotNull()})
 
 
+def _typed(source: DataFrame, columns: Sequence[str], declared: Mapping[str, str] | None) -> tuple[dict[str, Column], dict[str, Column], dict[str, T.DataType]]:
+    """(value, fault of the cast, type) of the columns of the source, cast to the declared types."""
+    values, faults, kinds = {c: F.col(c) for c in columns}, {}, {c: source.schema[c].dataType for c in columns}
+    for c, target in (declared or {}).items():
+        if c in values:
+            values[c], faults[c] = exact_cast(F.col(c), source.schema[c].dataType, target)
+    typed = source.select([v.alias(c) for c, v in values.items()]).schema if columns else T.StructType()
+    return values, faults, kinds | {f.name: f.dataType for f in typed.fields}
+
+
 def reconcile(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], declared: Mapping[str, str] | None = None) -> DataFrame:
     """key, column, index, kind of everything that differs: the ledger of a keyed comparison.
 
     Kinds: absent_in_target, absent_in_source, multiplicity (the key occurs
-    several times on a side), mismatch (of a column, with no index: also of an
-    array that is null on one side or has another length; of an element of
-    arrays of one length, with its index).  With `declared` types, the source's
-    values are first cast to them exactly; those that do not fit are of kind
-    cast, and are not compared.
+    several times on a side; nothing else of it is compared), mismatch (of a
+    column, with no index: also of an array that is null on one side or has
+    another length; of an element of arrays of one length, with its index).
+    With `declared` types, the source's values are first cast to them exactly;
+    those that do not fit are of kind cast, and are not compared.  A null key
+    is a key.
+
+    Both tables are gathered by key in one aggregation, which keeps one row of
+    either side and counts the others: a key that repeats any number of times
+    shrinks before the shuffle, and its rows never meet.
     """
-    often = source.select(key, F.lit(1).alias("__s"), F.lit(0).alias("__t")).unionByName(target.select(key, F.lit(0).alias("__s"), F.lit(1).alias("__t"))).groupBy(key).agg(F.sum("__s").alias("__in_s"), F.sum("__t").alias("__in_t"))
+    values, faults, kinds = _typed(source, columns, declared)
+    cells = [F.struct(*[v.alias(f"c{i}") for i, v in enumerate(values.values())], *[faults[c].alias(f"f{i}") for i, c in enumerate(values) if c in faults], F.lit(1).alias("one"))]
+    s = source.select(key, cells[0].alias("__s")).withColumn("__t", F.lit(None))
+    t = target.select(key, F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], F.lit(1).alias("one")).alias("__t")).withColumn("__s", F.lit(None))
+    rows = s.unionByName(t).groupBy(key).agg(F.count("__s").alias("__in_s"), F.count("__t").alias("__in_t"), F.first("__s", True).alias("__s"), F.first("__t", True).alias("__t"))
     in_s, in_t = F.col("__in_s"), F.col("__in_t")
-    whole = F.when(in_t == 0, "absent_in_target").when(in_s == 0, "absent_in_source").when((in_s > 1) | (in_t > 1), "multiplicity")
     none = F.lit(None).cast("int")
-    rows = often.withColumn("kind", whole).filter("kind is not null").select(key, F.lit(None).cast("string").alias("column"), none.alias("index"), "kind")
-    casts = {c: exact_cast(F.col(c), source.schema[c].dataType, t) for c, t in (declared or {}).items() if c in columns}
-    typed = source.withColumns({f"__fault_{c}": fault for c, (_, fault) in casts.items()}).withColumns({c: value for c, (value, _) in casts.items()}) if casts else source
-    kinds = {f.name: f.dataType for f in typed.schema.fields}
-    s = typed.select(key, *[F.col(c).alias(f"s_{c}") for c in columns], *[f"__fault_{c}" for c in casts])
-    t = target.select(key, *[F.col(c).alias(f"t_{c}") for c in columns])
-    found = [F.array(F.struct(F.lit(c).alias("column"), none.alias("index"), F.when(F.col(f"__fault_{c}"), "cast").alias("kind"))) for c in casts]
-    for c in columns:
-        hit = _cell_differences(c, F.col(f"s_{c}"), F.col(f"t_{c}"), kinds[c])
-        found.append(F.when(~F.col(f"__fault_{c}"), hit) if c in casts else hit)
-    all_found = F.flatten(F.array_compact(F.array(*found))) if found else F.array().cast("array<struct<column:string,index:int,kind:string>>")
-    cells = s.join(t, key).select(key, F.inline(all_found)).filter("kind is not null")
-    return rows.unionByName(cells.select(key, "column", "index", "kind"))
+    entry = lambda column, kind: F.array(F.struct(column.cast("string").alias("column"), none.alias("index"), kind.alias("kind")))
+    whole = F.when(in_t == 0, "absent_in_target").when(in_s == 0, "absent_in_source").otherwise("multiplicity")
+    found = [entry(F.lit(None), F.lit(None).cast("string"))]
+    for i, c in enumerate(columns):
+        fault = F.col(f"__s.f{i}") if c in faults else None
+        hit = _cell_differences(c, F.col(f"__s.c{i}"), F.col(f"__t.c{i}"), kinds[c])
+        found.append(hit if fault is None else F.when(fault, entry(F.lit(c), F.lit("cast"))).otherwise(hit))
+    ledger = F.when((in_s == 1) & (in_t == 1), F.flatten(F.array_compact(F.array(*found)))).otherwise(entry(F.lit(None), whole))
+    return rows.select(key, F.inline(ledger)).filter("kind is not null").select(key, "column", "index", "kind")
+
+
+def _marks(c: Column, kind: T.DataType) -> list[Column]:
+    """What to hash of a cell, so that cells that differ by `same` hash differently: hashes skip nulls and know no sign of zero."""
+    sign = lambda x: F.when(holds(x == 0), x.cast("string"))
+    floating = T.DoubleType | T.FloatType
+    if isinstance(kind, T.ArrayType):
+        return [c.isNull(), F.size(c), F.transform(c, lambda e: F.struct(e.isNull().alias("n"), e.alias("e"), *([sign(e).alias("s")] if isinstance(kind.elementType, floating) else [])))]
+    return [c.isNull(), c, *([sign(c)] if isinstance(kind, floating) else [])]
+
+
+def _digests(df: DataFrame, position: Column, marks: Sequence[Column], low: int, width: int) -> DataFrame:
+    """leaf, n, sum_1, sum_2: how many rows lie in each leaf of the key space, and two order-free sums of their hashes."""
+    whole_number = lambda x: x.cast("decimal(38,0)")  # noqa: E731  # differences of longs need not be longs
+    leaf = F.call_function("div", whole_number(position) - whole_number(F.lit(low)), whole_number(F.lit(width)))
+    whole = lambda seed: F.sum(F.xxhash64(F.lit(seed), *marks).cast("decimal(38,0)"))
+    return df.groupBy(leaf.alias("leaf")).agg(F.count(F.lit(1)).alias("n"), whole(1).alias("sum_1"), whole(2).alias("sum_2"))
+
+
+#: Leaves into which a level of the tree parts what is left to compare, and rows that are compared cell by cell without going down further.
+FANOUT, FEW_ROWS = 1024, 1 << 20
+#: Ranges of keys that a filter names one by one; further ones are merged with their neighbours.
+MOST_RANGES = 64
+
+
+class Differences(NamedTuple):
+    """Ranges [low, high) of the positions of keys, and rows without a key, that hold everything in which two tables differ."""
+
+    ranges: list[tuple[int, int]]
+    nulls: bool
+
+
+def differences(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], declared: Mapping[str, str] | None = None, fanout: int = FANOUT, few: int = FEW_ROWS) -> Differences | None:
+    """Where two tables differ; no range and no nulls prove them equal, as multisets of rows.
+
+    A tree over the keys, compared top down: each level parts the ranges still
+    in question into leaves, sums up hashes of the rows in each leaf of either
+    table, and keeps the leaves whose digests differ; the next level reads
+    those alone.  It ends when few rows are left, or where most of what was
+    compared differs.  Whole-number keys are their own positions, so that
+    filters on them reach the files; other keys are placed by their hash.  None
+    if columns have unlike types on the two sides, which hashes cannot compare.
+    """
+    values, faults, kinds = _typed(source, columns, declared)
+    other = {c: target.schema[c].dataType for c in columns}
+    if any(kinds[c].simpleString() != other[c].simpleString() for c in columns) or source.schema[key].dataType != target.schema[key].dataType:
+        return None
+    position = _position(source, key)
+    rest = lambda table: [F.col(key), F.col(key).isNull(), *[x for c in columns for x in _marks(table[c], kinds[c])]]
+    of_s = [*rest(values), *[F.coalesce(faults[c], F.lit(False)) for c in faults]]
+    of_t = [*rest({c: F.col(c) for c in columns}), *[F.lit(False) for _ in faults]]
+    ends = [x for df in (source, target) for x in df.agg(F.min(position), F.max(position)).first() if x is not None]
+    ranges, nulls, inside = [(min(ends, default=0), max(ends, default=0) + 1)], False, F.lit(True)
+    while True:
+        low, high = ranges[0][0], ranges[-1][1]
+        width = max(1, -(-sum(b - a for a, b in ranges) // fanout))
+        a, b = (_digests(df.filter(inside), position, marks, low, width) for df, marks in ((source, of_s), (target, of_t)))
+        named = b.withColumnsRenamed({c: f"t_{c}" for c in b.columns})
+        equal = [F.col(c).eqNullSafe(F.col(f"t_{c}")) for c in ("n", "sum_1", "sum_2")]
+        both = a.join(named, F.col("leaf").eqNullSafe(F.col("t_leaf")), "full_outer").filter(~every(equal))
+        # leaves of one level: a few times the fanout at most
+        found = both.select(F.coalesce("leaf", "t_leaf").alias("leaf"), F.coalesce(F.greatest("n", "t_n"), F.lit(0)).alias("n")).collect()
+        nulls = nulls or any(r["leaf"] is None for r in found)
+        leaves = sorted((r["leaf"], r["n"]) for r in found if r["leaf"] is not None)
+        left = _merged([(low + leaf * width, min(low + (leaf + 1) * width, high)) for leaf, _ in leaves])
+        if sum(n for _, n in leaves) <= few or width == 1 or 2 * sum(y - x for x, y in left) > sum(y - x for x, y in ranges):
+            return Differences(left, nulls)
+        ranges, inside = left, _within(position, left)
+
+
+def _position(df: DataFrame, key: str) -> Column:
+    return F.col(key).cast("long") if isinstance(df.schema[key].dataType, T.IntegralType) else F.when(F.col(key).isNotNull(), F.xxhash64(key))
+
+
+def _merged(ranges: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Adjacent ranges as one; of too many, those with the least gaps between them too."""
+    out = [list(ranges[0])] if ranges else []
+    for low, high in ranges[1:]:
+        if low <= out[-1][1]:
+            out[-1][1] = max(high, out[-1][1])
+        else:
+            out.append([low, high])
+    while len(out) > MOST_RANGES:
+        at = min(range(1, len(out)), key=lambda i: out[i][0] - out[i - 1][1])
+        out[at - 1 : at + 1] = [[out[at - 1][0], out[at][1]]]
+    return [(a, b) for a, b in out]
+
+
+def _within(position: Column, ranges: Sequence[tuple[int, int]]) -> Column:
+    return some((position >= F.lit(a)) & (position < F.lit(b)) if b < 1 << 63 else position >= F.lit(a) for a, b in ranges)
+
+
+def tree_reconcile(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str], declared: Mapping[str, str] | None = None, fanout: int = FANOUT, few: int = FEW_ROWS) -> DataFrame:
+    """The ledger of reconcile(), for tables that are equal nearly everywhere: only what a tree of digests finds to differ is compared cell by cell.
+
+    Where the digests agree the rows agree, and only a key that repeats on both
+    sides alike is left to be found: one count of the source's keys.  The tree
+    is walked when this is called (a job for each level); the ledger is lazy.
+    """
+    found = differences(source, target, key, columns, declared, fanout, few)
+    if found is None:
+        return reconcile(source, target, key, columns, declared)
+    position = _position(source, key)
+    inside = F.when(position.isNull(), F.lit(found.nulls)).otherwise(_within(position, found.ranges))
+    again = source.filter(~inside).groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = again.select(key, F.lit(None).cast("string").alias("column"), F.lit(None).cast("int").alias("index"), F.lit("multiplicity").alias("kind"))
+    return again if found == ([], False) else reconcile(source.filter(inside), target.filter(inside), key, columns, declared).unionByName(again)
 
 
 def _cell_differences(name: str, a: Column, b: Column, kind: T.DataType) -> Column:

@@ -13,6 +13,7 @@ from ..operators import outliers as O
 from ..operators import profile as P
 from ..operators import reconcile as R
 from ..operators import sky
+from ..operators.neighbours import nearest_in_features
 from .tension_queries import rounded, scored_sample, tension_sql
 from .views import Tables, with_views
 
@@ -122,8 +123,7 @@ _COMPARED = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_ord
 
 def reconcile_unique(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    out = R.reconcile(t.orders, t.orders_v2(), "o_orderkey", _COMPARED)
-    return out.select("o_orderkey", F.coalesce("column", F.lit("-")).alias("column"), F.coalesce("index", F.lit(-1)).alias("index"), "kind")
+    return _ledger(R.reconcile(t.orders, t.orders_v2(), "o_orderkey", _COMPARED), "o_orderkey")
 
 
 SQL["reconcile_unique"] = with_views("""WITH a AS (SELECT o_orderkey, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT o_orderkey, count(*) AS n FROM orders_v2 GROUP BY 1)
@@ -131,6 +131,32 @@ SQL["reconcile_unique"] = with_views("""WITH a AS (SELECT o_orderkey, count(*) A
   """ + "".join(f" UNION ALL SELECT o_orderkey, '{c}', -1::INT, 'mismatch' FROM orders x JOIN orders_v2 y USING (o_orderkey) WHERE x.{c} IS DISTINCT FROM y.{c}" for c in _COMPARED), "orders_v2")
 
 
+def _ledger(out: DataFrame, key: str) -> DataFrame:
+    return out.select(key, F.coalesce("column", F.lit("-")).alias("column"), F.coalesce("index", F.lit(-1)).alias("index"), "kind")
+
+
+def reconcile_tree(spark: SparkSession, d: str) -> DataFrame:
+    """The ledger of reconcile_unique by a tree of digests, which compares cells only where these differ."""
+    t = Tables(spark, d)
+    return _ledger(R.tree_reconcile(t.orders, t.orders_v2(), "o_orderkey", _COMPARED, few=1000), "o_orderkey")
+
+
+SQL["reconcile_tree"] = SQL["reconcile_unique"]
+
+_LINE = ["l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+
+
+def reconcile_repeated(spark: SparkSession, d: str) -> DataFrame:
+    """Lines by their order, a key that mostly repeats: only orders of one line on both sides are compared."""
+    t = Tables(spark, d)
+    return _ledger(R.reconcile(t.lineitem, t.lineitem_v2(), "l_orderkey", _LINE), "l_orderkey")
+
+
+SQL["reconcile_repeated"] = with_views("""WITH a AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1), b AS (SELECT l_orderkey, count(*) AS n FROM lineitem_v2 GROUP BY 1), k AS (SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, coalesce(a.n, 0) AS s, coalesce(b.n, 0) AS t FROM a FULL JOIN b USING (l_orderkey))
+  SELECT l_orderkey, '-' AS "column", -1::INT AS index, CASE WHEN t = 0 THEN 'absent_in_target' WHEN s = 0 THEN 'absent_in_source' ELSE 'multiplicity' END AS kind FROM k WHERE s <> 1 OR t <> 1
+  """ + "".join(f" UNION ALL SELECT l_orderkey, '{c}', -1::INT, 'mismatch' FROM k JOIN lineitem x USING (l_orderkey) JOIN lineitem_v2 y USING (l_orderkey) WHERE s = 1 AND t = 1 AND x.{c} IS DISTINCT FROM y.{c}" for c in _LINE), "lineitem_v2")
+
+
 def reconcile_multiset(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     return R.multiset_difference(t.lineitem, t.lineitem_v2(), t.lineitem.columns)
@@ -467,11 +493,12 @@ def iforest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def knn(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(O.nearest_in_features(Tables(spark, d).embeddings, "vec_id", "embedding"))
+    """The five nearest of all vectors, of each whose id is divisible by 50."""
+    return rounded(nearest_in_features(Tables(spark, d).embeddings, "vec_id", "embedding", queries=F.col("vec_id") % 50 == 0))
 
 
-SQL["knn"] = """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), x AS (SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) AS rank FROM x)
+SQL["knn"] = """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), x AS (SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) AS rank FROM x)
   SELECT vec_id, neighbour, round(distance, 6) AS distance, rank::INT AS rank FROM r WHERE rank <= 5"""
 
 
-QUERIES = {f.__name__.removesuffix("_query"): f for f in (sentinel_null, guarded_ratio_query, null_counts, candidate_sentinels, profile_numeric, profile_text, profile_array, array_shape, col_select, reconcile_unique, reconcile_multiset, table_equality, value_drift, pair_compare, id_space, agreement, schema_diff, manifest_diff, orphans, key_unique, row_counts, range_checks, expectations, environment, ordinal_check, ordinal_join, histogram, fidelity, reconcile_sampled, quality_suite, head_profile, sky_sep, nearest, content_digest, snapshot_digest, canonical_json, provenance, roadmap_scores, iforest, knn)}
+QUERIES = {f.__name__.removesuffix("_query"): f for f in (sentinel_null, guarded_ratio_query, null_counts, candidate_sentinels, profile_numeric, profile_text, profile_array, array_shape, col_select, reconcile_unique, reconcile_tree, reconcile_repeated, reconcile_multiset, table_equality, value_drift, pair_compare, id_space, agreement, schema_diff, manifest_diff, orphans, key_unique, row_counts, range_checks, expectations, environment, ordinal_check, ordinal_join, histogram, fidelity, reconcile_sampled, quality_suite, head_profile, sky_sep, nearest, content_digest, snapshot_digest, canonical_json, provenance, roadmap_scores, iforest, knn)}

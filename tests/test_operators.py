@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.functions import columns as K
-from concord.operators import center, checks, digest, measure, normalise, outliers, profile, ranks, reconcile, sky, splits, states, tension
+from concord.operators import center, checks, digest, measure, neighbours, normalise, outliers, profile, ranks, reconcile, sky, splits, states, tension
 
 NAN, INF = math.nan, math.inf
 
@@ -286,6 +286,8 @@ def test_tampering_is_found(spark, tamper, kind, column):
     a = spark.createDataFrame(BOOK_ROWS, BOOK)
     assert reconcile.reconcile(a, spark.createDataFrame(BOOK_ROWS, BOOK), "k", ["a", "b", "v"]).count() == 0
     found = reconcile.reconcile(a, spark.createDataFrame([tamper(r) for r in BOOK_ROWS], BOOK), "k", ["a", "b", "v"]).collect()
+    more = {"absent_in_target": 2, "multiplicity": 2}.get(kind, 1)  # the changed key is also absent elsewhere
+    assert len(found) == more
     assert (kind, column) in {(r["kind"], r["column"]) for r in found}
 
 
@@ -373,7 +375,7 @@ def test_nearest_equals_brute_force_everywhere(spark):
     assert got[200][0] == 500
 
 
-def test_nearest_in_features_equals_brute_force(spark):
+def test_nearest_in_features_equals_brute_force(spark, monkeypatch):
     rnd = random.Random(17)
     unit = lambda v: [x / math.sqrt(sum(y * y for y in v)) for x in v]
     vectors = [unit([rnd.gauss(0, 1) for _ in range(32)]) for _ in range(150)]
@@ -381,12 +383,84 @@ def test_nearest_in_features_equals_brute_force(spark):
     df = spark.createDataFrame([*((i * 7, v) for i, v in enumerate(vectors)), (None, vectors[1]), (9999, None)], "id long, v array<float>").repartition(3)
     held = {r["id"]: r["v"] for r in df.collect() if r["id"] is not None and r["v"] is not None}
     want = {(i, n + 1): j for i, v in held.items() for n, (_, j) in enumerate(sorted((sum((x - y) ** 2 for x, y in zip(v, w, strict=True)), j) for j, w in held.items() if j != i)[:5])}
-    for block in (8192, 60):
-        got = outliers.nearest_in_features(df, "id", "v", block=block).collect()
-        assert {(r["id"], r["rank"]): r["neighbour"] for r in got} == want
+    for pivots, unit in ((1, 16 << 20), (7, 60 * 256), (64, 16 << 20)):
+        monkeypatch.setattr(neighbours, "UNIT_BYTES", unit)
+        got = neighbours.nearest_in_features(df, "id", "v", pivots=pivots).collect()
+        assert len(got) == len(want) and {(r["id"], r["rank"]): r["neighbour"] for r in got} == want
         assert all(r["distance"] == pytest.approx(math.dist(held[r["id"]], held[r["neighbour"]]), abs=1e-9) for r in got)
 
 
+def test_cells_that_hold_nothing_nearer_are_left_out(spark, monkeypatch):
+    """Clusters far apart, one of them with most rows: queries of a cluster are compared with its cells alone."""
+    rnd = random.Random(5)
+    rows = [(i, [100.0 * (0 if i < 800 else i % 13) + rnd.random(), rnd.random(), rnd.random()]) for i in range(1400)]
+    df = spark.createDataFrame([*rows, (5000, [NAN, 0.0, 0.0]), (5001, [1.0]), (5002, [0.0, None, 0.0]), (5003, None)], "id long, v array<double>").repartition(5)
+    compared = spark.sparkContext.accumulator(0)
+    plain = neighbours._nearest
+
+    def counting(a, ids, b, others, k):
+        compared.add(len(a) * len(b))
+        return plain(a, ids, b, others, k)
+
+    monkeypatch.setattr(neighbours, "_nearest", counting)
+    got = neighbours.nearest_in_features(df, "id", "v", k=3, queries=F.col("id") % 50 == 0, pivots=40).collect()
+    for i in range(0, 1400, 50):
+        want = sorted((math.dist(rows[i][1], w), j) for j, w in rows if j != i)[:3]
+        assert [(r["neighbour"], pytest.approx(r["distance"], abs=1e-9)) for r in sorted((r for r in got if r["id"] == i), key=lambda r: r["rank"])] == [(j, d) for d, j in want]
+    assert len(got) == 28 * 3 and 0 < compared.value < 28 * 1400 / 2
+    assert neighbours.nearest_in_features(df.limit(0), "id", "v").count() == 0
+
+
+def entries(ledger):
+    return sorted((tuple(r) for r in ledger.collect()), key=str)
+
+
+def test_repeated_keys_are_one_fault_each(spark):
+    a = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, 3.0), (2, 1.0), (3, 1.0), (3, 1.0), (None, 1.0), (None, 2.0), (5, 1.0)], "k long, a double")
+    assert entries(reconcile.reconcile(a, a, "k", ["a"])) == sorted([(k, None, None, "multiplicity") for k in (1, 3, None)], key=str)
+    b = spark.createDataFrame([(1, 9.0), (2, 1.0), (2, 2.0), (3, 1.0), (5, 2.0), (6, 1.0), (6, 1.0)], "k long, a double")
+    want = [*[(k, None, None, "multiplicity") for k in (1, 2, 3)], (None, None, None, "absent_in_target"), (5, "a", None, "mismatch"), (6, None, None, "absent_in_source")]
+    assert entries(reconcile.reconcile(a, b, "k", ["a"])) == sorted(want, key=str)
+    # a key that holds most rows shrinks before the shuffle
+    hot = spark.range(50_000).select(F.lit(7).cast("long").alias("k"), F.col("id").cast("double").alias("a"))
+    assert entries(reconcile.reconcile(hot, hot, "k", ["a"])) == [(7, None, None, "multiplicity")]
+
+
+WIDE = [(i * 3 - 3000, None if i % 7 == 0 else i * 0.5, f"s{i % 11}", [float(i), None if i % 5 else -0.0]) for i in range(4000)]
+TAMPERED = {
+    "nothing": lambda rows: rows, "cell": lambda rows: [(k, 0.25 if k == 300 else a, b, v) for k, a, b, v in rows], "null": lambda rows: [(k, None if k == 303 else a, b, v) for k, a, b, v in rows],
+    "sign of zero": lambda rows: [(k, -0.0 if k == -3000 else a, b, v) for k, a, b, v in rows], "element": lambda rows: [(k, a, b, [v[1], v[0]] if k == 600 else v) for k, a, b, v in rows], "row": lambda rows: rows[:77] + rows[78:],
+    "key": lambda rows: [(10**15 if k == 0 else k, *r) for k, *r in rows], "range": lambda rows: [(k, a, "x" if 1000 <= k < 4000 else b, v) for k, a, b, v in rows], "all": lambda rows: [(k, a, b + "!", v) for k, a, b, v in rows],
+    "repeat": lambda rows: [*rows, rows[5]], "no key": lambda rows: [*rows, (None, 1.0, "n", None)], "least and most": lambda rows: [(-(2**63), 1.0, "a", None), *rows, (2**63 - 1, 1.0, "z", None)], "empty": lambda rows: [],
+}
+
+
+@pytest.mark.parametrize(("name", "place"), [*((n, "long") for n in TAMPERED), *((n, "string") for n in ("nothing", "row", "no key"))])
+def test_tree_finds_what_the_full_comparison_finds(spark, name, place):
+    columns, base = ["a", "b", "v"], [*WIDE, WIDE[40]]  # a key that repeats on both sides alike
+    frame = lambda rows: spark.createDataFrame(rows, BOOK).withColumn("k", F.col("k").cast(place)).repartition(3)
+    source, target = frame(base), frame(TAMPERED[name](base))
+    want = entries(reconcile.reconcile(source, target, "k", columns))
+    assert entries(reconcile.tree_reconcile(source, target, "k", columns, fanout=16, few=20)) == want
+    found = reconcile.differences(source, target, "k", columns, fanout=16, few=20)
+    if name == "nothing":
+        assert found == ([], False) and want == [(str(WIDE[40][0]) if place == "string" else WIDE[40][0], None, None, "multiplicity")]
+    if name in ("cell", "null", "element", "sign of zero") and place == "long":
+        assert sum(high - low for low, high in found.ranges) <= 12_000 / 16**2 + 1  # one leaf of the second level
+    if name == "no key":
+        assert found.nulls and not found.ranges
+
+
+def test_tree_with_declared_types(spark):
+    source = spark.createDataFrame([(i, i * 20) for i in range(3000)], "k int, n long")
+    target = source.select("k", F.when(F.col("n") <= 32767, F.col("n")).cast("short").alias("n"))
+    args = ("k", ["n"], {"n": "smallint"})
+    want = entries(reconcile.reconcile(source, target, *args))
+    assert len(want) == 1361 and {w[3] for w in want} == {"cast"} and entries(reconcile.tree_reconcile(source, target, *args, fanout=8, few=100)) == want
+    assert reconcile.differences(source, target, "k", ["n"]) is None  # unlike types
+    assert len(entries(reconcile.tree_reconcile(source, target, "k", ["n"]))) == 1361
+
+
 # ---- arrays, declared types, contracts ---------------------------------------
 @pytest.mark.parametrize(
     ("a", "b", "want"),
