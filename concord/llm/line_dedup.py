@@ -4,16 +4,22 @@ A line is parsed down a tree: token count, its leading tokens, then the rest of
 its tokens in a fixed number of segments.  Tokens that hold a digit are
 variable fields; and at the last level each segment has, beside its own branch,
 a branch that takes any tokens, so a line follows one path as it stands and one
-for every segment left variable.  The end of a path is a template.  Lines that
-differ in one variable stretch meet at the template that leaves it open.
-Counting documents at templates is a plain aggregation, so no group of lines
-has to be brought together.  Templates in many documents recur; of those in a
-few, only long passages do, and only in documents that are no copies.
+for every segment left variable.  The end of a path is a template, if enough of
+it is constant words: what is mostly numbers, signs or a word or two is no
+template.  Lines that differ in one variable stretch meet at the template that
+leaves it open.  Counting documents at templates is a plain aggregation, so no
+group of lines has to be brought together.  Templates of many words recur once
+they are in some documents, those of few words only if they are in a share of
+all; of what is in fewer, only long passages recur, as they stand, and only in
+documents that are no copies.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -23,91 +29,146 @@ from pyspark.sql import functions as F
 from .common import cut, fresh_key, pieces, strings, values
 
 FIELD = "<*>"
+#: Tokens whose kind a task keeps in mind.
+KNOWN_TOKENS = 200_000
+VARIABLE, WORD, SIGN = range(3)
 
 
-def has_digit(line: str) -> bool:
-    return any(c.isdigit() for c in line)
+class _Kinds(dict):
+    """token -> VARIABLE (it holds a digit), WORD (it holds a letter), SIGN."""
 
+    def __missing__(self, token: str) -> int:
+        if len(self) >= KNOWN_TOKENS:
+            self.clear()
+        kind = VARIABLE if any(c.isdigit() for c in token) else WORD if any(c.isalpha() for c in token) else SIGN
+        self[token] = kind
+        return kind
 
-def templates(line: str, leading: int, segments: int, min_tokens: int) -> tuple[int, list[int]]:
-    """(number of tokens, keys of the templates on the line's paths, as signed 64 bits).
 
-    The first key is that of the whole line; a line of fewer than `min_tokens`
-    tokens has no other, and a blank line has none.
+_KIND = _Kinds()
+
+
+class Rules(NamedTuple):
+    """What makes lines recur.
+
+    A template has `min_words` constant words or more, and they are `constant`
+    of its tokens or more.  It recurs in `min_docs` documents or more if it has
+    `sure_words` of them; else `share` of all documents must have it too.
+    Lines of `segmented` tokens or more have variable segments.  A line of
+    `long_words` tokens is a passage, which recurs as it stands in `long_docs`
+    documents or more, unless other documents' lines hold the share `copied` of
+    its document's words.
     """
+
+    min_docs: int = 10
+    share: float = 0.001
+    min_words: int = 3
+    constant: float = 0.5
+    sure_words: int = 12
+    leading: int = 3
+    segments: int = 4
+    segmented: int = 5
+    long_words: int = 50
+    long_docs: int = 2
+    copied: float = 0.25
+
+
+class Path(NamedTuple):
+    """A template of a line: key (signed 64 bits), words (tokens of the line, if this is the line as it stands; else 0), sure (does it recur in few documents?)."""
+
+    key: int
+    words: int
+    sure: bool
+
+
+def _key(text: str) -> int:
+    k = xxhash.xxh3_64_intdigest(text)
+    return k - (1 << 64) if k >= 1 << 63 else k
+
+
+def templates(line: str, rules: Rules = Rules()) -> list[Path]:
+    """The templates on the line's paths, the line as it stands first."""
     tokens = line.split()
     n = len(tokens)
-    if not n:
-        return 0, []
-    if has_digit(line):
-        tokens = [FIELD if has_digit(t) else t for t in tokens]
-    whole = " ".join(tokens)
-    keys = [xxhash.xxh3_64_intdigest(f"{n} {whole}")]
-    if n >= min_tokens:
-        lead = min(leading, n - 1)
-        size = -(-(n - lead) // segments)
+    kinds = [_KIND[t] for t in tokens]
+    words = kinds.count(WORD)
+    least = max(rules.min_words, rules.constant * n)
+    passage = n >= rules.long_words
+    if words < least and not passage:
+        return []
+    found = [Path(_key(f"{n} = {' '.join(tokens)}"), n, passage or words >= rules.sure_words)]
+    if words < least:
+        return found
+    if VARIABLE in kinds:
+        tokens = [FIELD if k == VARIABLE else t for t, k in zip(tokens, kinds, strict=True)]
+        found.append(Path(_key(f"{n} * {' '.join(tokens)}"), 0, words >= rules.sure_words))
+    if n >= rules.segmented:
+        lead = min(rules.leading, n - 1)
+        size = -(-(n - lead) // rules.segments)
+        before = [0, *accumulate(k == WORD for k in kinds)]
         for start in range(lead, n, size):
-            rest = [*tokens[:start], FIELD, *tokens[start + size :]]
-            keys.append(xxhash.xxh3_64_intdigest(f"{n} {start} {' '.join(rest)}"))
-    return n, [k - (1 << 64) if k >= 1 << 63 else k for k in keys]
+            left = words - before[min(start + size, n)] + before[start]
+            if left >= least:
+                rest = [*tokens[:start], FIELD, *tokens[start + size :]]
+                found.append(Path(_key(f"{n} {start} {' '.join(rest)}"), 0, left >= rules.sure_words))
+    return found
 
 
-def line_templates(docs: DataFrame, leading: int, segments: int, min_tokens: int) -> DataFrame:
+def line_templates(docs: DataFrame, rules: Rules) -> DataFrame:
     """A row for every template of every line of every text: doc_id, line (number from 0), template, first (of the
-    text's lines at this template), words (of the line, if the template is the whole line; else 0), total (words of the text)."""
+    text's lines at this template), words, sure (of the Path), total (words of the text's lines that have a template)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            ids, lines, keys, first, words, total = [], [], [], [], [], []
+            ids, lines, keys, first, words, sure, total = [], [], [], [], [], [], []
             for doc, text in zip(values(piece, "doc_id").to_pylist(), strings(piece), strict=True):
                 seen: set[int] = set()
                 begun = len(keys)
                 for no, line in enumerate(text.split("\n")):
-                    n, found = templates(line, leading, segments, min_tokens)
-                    lines += [no] * len(found)
-                    keys += found
-                    first += [k not in seen for k in found]
-                    words += [n, *[0] * (len(found) - 1)] if n else []
-                    seen.update(found)
+                    for path in templates(line, rules):
+                        lines.append(no)
+                        keys.append(path.key)
+                        words.append(path.words)
+                        sure.append(path.sure)
+                        first.append(path.key not in seen)
+                        seen.add(path.key)
                 ids += [doc] * (len(keys) - begun)
                 total += [sum(words[begun:])] * (len(keys) - begun)
-            cols = [pa.array(ids, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64()), pa.array(first, pa.bool_()), pa.array(words, pa.int32()), pa.array(total, pa.int32())]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "line", "template", "first", "words", "total"])
+            cols = [pa.array(ids, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64()), pa.array(first, pa.bool_()), pa.array(words, pa.int32()), pa.array(sure, pa.bool_()), pa.array(total, pa.int32())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "line", "template", "first", "words", "sure", "total"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line int, template long, first boolean, words int, total int")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line int, template long, first boolean, words int, sure boolean, total int")
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = 10, leading: int = 3, segments: int = 4, min_tokens: int = 5, keep_first: bool = True, long_words: int = 50, long_docs: int = 2, copied: float = 0.25) -> DataFrame:
+def recurring_lines(docs: DataFrame, rules: Rules = Rules(), keep_first: bool = True) -> DataFrame:
     """doc_id, lines (sorted array of line numbers) of the recurring lines.
 
-    A line recurs if one of its templates occurs in `min_docs` documents or
-    more.  A passage, a line of `long_words` words or more, recurs if its whole
-    line does so in `long_docs` documents or more, unless the document is a
-    copy: if whole lines that other documents have, but fewer than `min_docs`,
-    hold the share `copied` of its words, it is left to the comparison of
-    documents.  With `keep_first` a line stays in the document of the least id
-    among those of its template.
+    With `keep_first` a line stays in the document of the least id among those
+    of its template.
     """
-    rows = cut(line_templates(docs, leading, segments, min_tokens))
+    few = rules.min_docs
+    rows = cut(line_templates(docs, rules))
+    many = max(few, math.ceil(rules.share * docs.count()))
     # a text's lines come from one task, which knows the first of them at a template: documents are counted without a distinct
-    counted = rows.groupBy("template").agg(F.count_if("first").alias("n"), F.min("doc_id").alias("least"), F.max("words").alias("whole"))
-    counted = counted.filter((F.col("n") >= min_docs) | ((F.col("n") >= long_docs) & (F.col("whole") > 0))).select(fresh_key("template"), "n", "least")
+    counted = rows.groupBy("template").agg(F.count_if("first").alias("n"), F.min("doc_id").alias("least"), F.max("words").alias("whole"), F.bool_or("sure").alias("often"))
+    counted = counted.withColumn("often", (F.col("n") >= many) | (F.col("often") & (F.col("n") >= few)))
+    counted = counted.filter(F.col("often") | ((F.col("n") >= rules.long_docs) & (F.col("n") < few) & (F.col("whole") > 0))).select(fresh_key("template"), "often", "least")
     hit = rows.join(counted, "template")
     if keep_first:
         hit = hit.filter("doc_id != least")
-    often, shared = F.col("n") >= min_docs, (F.col("n") < min_docs) & (F.col("words") > 0)
+    shared = ~F.col("often") & (F.col("words") > 0)
     found = hit.groupBy("doc_id").agg(
-        F.collect_set(F.when(often, F.col("line"))).alias("often"),
-        F.collect_set(F.when(shared & (F.col("words") >= long_words), F.col("line"))).alias("passages"),
-        (F.sum(F.when(shared, F.col("words"))) < F.lit(copied) * F.max("total")).alias("own"),
+        F.collect_set(F.when(F.col("often"), F.col("line"))).alias("often"),
+        F.collect_set(F.when(shared & (F.col("words") >= rules.long_words), F.col("line"))).alias("passages"),
+        (F.sum(F.when(shared, F.col("words"))) < F.lit(rules.copied) * F.max("total")).alias("own"),
     )
     lines = F.array_union("often", F.when(F.col("own"), F.col("passages")).otherwise(F.array().cast("array<int>")))
     return found.select("doc_id", F.sort_array(lines).alias("lines")).filter(F.size("lines") > 0)
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", into: str = "text", **rules) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", into: str = "text", rules: Rules = Rules(), keep_first: bool = True) -> DataFrame:
     """The table with recurring lines dropped from its texts, and columns n_lines, n_dropped before what was there
-    (columns of these names are replaced).  `rules`: those of recurring_lines.
+    (columns of these names are replaced).
 
     A null text stays null and has no lines; an empty text is one empty line.
     Rows that share an id count as a document each; what recurs in one of them
@@ -119,7 +180,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", int
     docs = docs.drop("n_lines", "n_dropped")
     key = docs[doc_id].cast("long")
     plain = docs.select(key.alias("doc_id"), docs[text].alias("text")).filter("doc_id is not null")
-    drop = recurring_lines(plain, **rules).withColumnRenamed("doc_id", "__doc").withColumnRenamed("lines", "__drop")
+    drop = recurring_lines(plain, rules, keep_first).withColumnRenamed("doc_id", "__doc").withColumnRenamed("lines", "__drop")
     # null ids are dealt out by their texts; they match nothing
     rows = docs.join(drop, (F.coalesce(key, F.xxhash64(docs[text])) == F.col("__doc")) & key.isNotNull(), "left")
     all_lines = F.split(F.col(text), "\n", -1)
@@ -136,20 +197,25 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", int
     return rows.select(*counts, *rest, *([] if into in docs.columns else [kept.alias(into)]))
 
 
-#: The same in DuckDB for the default parameters, with templates as text in place of hashes.  White space and digits are taken as ASCII.
+#: The same in DuckDB for the default rules, with templates as text in place of hashes.  White space and digits are taken as ASCII.
 LINES_SQL = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
-t AS (SELECT doc_id, line, list_transform(list_filter(string_split_regex(x, '\s+'), lambda w: w <> ''), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS w FROM l),
-u AS (SELECT *, len(w) AS n, least(3, len(w) - 1) AS lead, ceil((len(w) - least(3, len(w) - 1)) / 4.0)::BIGINT AS size FROM t WHERE len(w) > 0),
-v AS (SELECT *, unnest(range(lead, n, size)) AS s FROM u WHERE n >= 5),
-p AS (SELECT doc_id, line, n AS words, n || ' ' || array_to_string(w, ' ') AS k FROM u
-  UNION ALL SELECT doc_id, line, 0, n || ' ' || s || ' ' || array_to_string(list_concat(w[1:s], ['<*>'], w[s + size + 1:]), ' ') FROM v),
-c AS (SELECT k, min(doc_id) AS first, count(DISTINCT doc_id) AS docs FROM p GROUP BY k),
-h AS (SELECT doc_id, line, words, docs FROM p JOIN c USING (k) WHERE doc_id <> first AND (docs >= 10 OR docs >= 2 AND words > 0)),
-y AS (SELECT doc_id, sum(n) AS total FROM u GROUP BY doc_id),
-z AS (SELECT doc_id, sum(words) AS held FROM h WHERE docs < 10 GROUP BY doc_id),
-g AS (SELECT doc_id, line FROM h WHERE docs >= 10
-  UNION SELECT doc_id, line FROM h JOIN y USING (doc_id) JOIN z USING (doc_id) WHERE docs < 10 AND words >= 50 AND held < 0.25 * total),
-r AS (SELECT l.doc_id, count(*) AS n_lines, count(g.line) AS n_dropped, string_agg(x, chr(10) ORDER BY l.line) FILTER (g.line IS NULL) AS kept FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.line = l.line GROUP BY l.doc_id)
-SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(kept, '')) AS text_sha256 FROM documents d LEFT JOIN r USING (doc_id)
+t AS (SELECT doc_id, line, list_filter(string_split_regex(x, '\s+'), lambda w: w <> '') AS w FROM l),
+k AS (SELECT *, len(w) AS n, list_transform(w, lambda y: CASE WHEN regexp_matches(y, '[0-9]') THEN '<*>' ELSE y END) AS g,
+  list_transform(w, lambda y: (regexp_matches(y, '\p{L}') AND NOT regexp_matches(y, '[0-9]'))::INT) AS c FROM t WHERE len(w) > 0),
+u AS (SELECT *, coalesce(list_sum(c), 0) AS words, greatest(3, n / 2.0) AS least, least(3, n - 1) AS lead, ceil((n - least(3, n - 1)) / 4.0)::BIGINT AS size FROM k),
+v AS (SELECT *, unnest(range(lead, n, size)) AS s FROM u WHERE n >= 5 AND words >= least),
+z AS (SELECT *, words - coalesce(list_sum(c[s + 1:s + size]), 0) AS kept FROM v),
+p AS (SELECT doc_id, line, n AS whole, '=' || n || ' ' || array_to_string(w, ' ') AS key, words >= 12 OR n >= 50 AS sure FROM u WHERE words >= least OR n >= 50
+  UNION ALL SELECT doc_id, line, 0, '*' || n || ' ' || array_to_string(g, ' '), words >= 12 FROM u WHERE words >= least AND list_contains(g, '<*>')
+  UNION ALL SELECT doc_id, line, 0, s || '/' || n || ' ' || array_to_string(list_concat(g[1:s], ['<*>'], g[s + size + 1:]), ' '), kept >= 12 FROM z WHERE kept >= least),
+m AS (SELECT greatest(10, ceil(0.001 * count(*))) AS many FROM documents),
+c AS (SELECT key, min(doc_id) AS first, count(DISTINCT doc_id) AS docs, max(whole) AS whole, bool_or(sure) AS sure FROM p GROUP BY key),
+r AS (SELECT key, first, docs >= many OR docs >= 10 AND sure AS often FROM c, m WHERE docs >= many OR docs >= 10 AND sure OR docs BETWEEN 2 AND 9 AND whole > 0),
+h AS (SELECT doc_id, line, p.whole AS words, often FROM p JOIN r USING (key) WHERE doc_id <> first),
+y AS (SELECT doc_id, sum(whole) AS total FROM p GROUP BY doc_id),
+q AS (SELECT doc_id, sum(words) AS held FROM h WHERE NOT often GROUP BY doc_id),
+d AS (SELECT doc_id, line FROM h WHERE often UNION SELECT doc_id, line FROM h JOIN y USING (doc_id) JOIN q USING (doc_id) WHERE NOT often AND words >= 50 AND held < 0.25 * total),
+e AS (SELECT l.doc_id, count(*) AS n_lines, count(d.line) AS n_dropped, string_agg(x, chr(10) ORDER BY l.line) FILTER (d.line IS NULL) AS kept FROM l LEFT JOIN d ON d.doc_id = l.doc_id AND d.line = l.line GROUP BY l.doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(kept, '')) AS text_sha256 FROM documents LEFT JOIN e USING (doc_id)
 """

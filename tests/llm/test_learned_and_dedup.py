@@ -158,32 +158,51 @@ def test_word_hashes_follow_white_space():
     assert h[:3].tolist() == h[-3:].tolist()
 
 
-def plain_lines(texts, min_docs, leading=3, segments=4, min_tokens=5, long_words=50, long_docs=2, copied=0.25):
-    """Templates as text: which lines go, by document."""
+def plain_lines(texts, min_docs, share=0.001, long_words=50, copied=0.25):
+    """Templates as tuples: which lines go, by document.
+
+    A template is a line with some tokens open: all that hold a digit, and at most one of four segments
+    behind the first three tokens.  Three of its tokens, and half of them, must be words (letters, no digit).
+    """
+    digit, word = lambda t: any(c.isdigit() for c in t), lambda t: any(c.isalpha() for c in t) and not any(c.isdigit() for c in t)
+
     def paths(line):
-        t = ["<*>" if any(c.isdigit() for c in x) else x for x in line.split()]
-        if not t:
-            return []
-        lead = min(leading, len(t) - 1)
-        size = math.ceil((len(t) - lead) / segments)
-        out = [(len(t), tuple(t))]
-        if len(t) >= min_tokens:
-            out += [(len(t), s, tuple([*t[:s], "<*>", *t[s + size :]])) for s in range(lead, len(t), size)]
+        raw = line.split()
+        n = len(raw)
+        out = {}
+        fits = lambda tokens: sum(t is not None and word(t) for t in tokens) >= max(3, n / 2)
+        sure = lambda tokens: sum(t is not None and word(t) for t in tokens) >= 12
+        if fits(raw) or n >= long_words:
+            out["as it stands", *raw] = sure(raw) or n >= long_words
+        open_ = [None if digit(t) else t for t in raw]
+        if not fits(open_):
+            return out
+        if None in open_:
+            out["open", *open_] = sure(open_)
+        if n >= 5:
+            step = math.ceil((n - 3) / 4)
+            for start in range(3, n, step):
+                tokens = [*open_[:start], None, *open_[start + step :]]
+                if fits(tokens):
+                    out["segment", n, start, *tokens] = sure(tokens)
         return out
 
-    seen = {}
-    for i, text in texts.items():
-        for line in (text or "").split("\n"):
-            for p in paths(line):
-                seen.setdefault(p, set()).add(i)
+    lines = {i: [paths(x) for x in (t or "").split("\n")] for i, t in texts.items()}
+    where, certain = {}, {}
+    for i, found in lines.items():
+        for p in found:
+            for path, sure in p.items():
+                where.setdefault(path, set()).add(i)
+                certain[path] = certain.get(path, False) or sure
+    many = max(min_docs, math.ceil(share * len(texts)))
+    recurs = {p for p, docs in where.items() if len(docs) >= (min_docs if certain[p] else many)}
     out = {}
-    for i, text in texts.items():
-        lines = (text or "").split("\n")
-        found = {k: [seen[p] if min(seen[p]) != i else set() for p in paths(line)] for k, line in enumerate(lines)}
-        often = {k for k, docs in found.items() if any(len(d) >= min_docs for d in docs)}
-        shared = {k for k, docs in found.items() if docs and long_docs <= len(docs[0]) < min_docs}
-        held, total = sum(len(lines[k].split()) for k in shared), sum(len(x.split()) for x in lines)
-        out[i] = often | ({k for k in shared if len(lines[k].split()) >= long_words} if held < copied * total else set())
+    for i, found in lines.items():
+        elsewhere = [{p for p in ps if min(where[p]) != i} for ps in found]
+        size = [next((len(p) - 1 for p in ps if p[0] == "as it stands"), 0) for ps in found]
+        shared = {k for k, ps in enumerate(elsewhere) for p in ps if p[0] == "as it stands" and p not in recurs and 2 <= len(where[p]) < min_docs}
+        few = {k for k in shared if size[k] >= long_words} if sum(size[k] for k in shared) < copied * sum(size) else set()
+        out[i] = {k for k, ps in enumerate(elsewhere) if ps & recurs} | few
     return out
 
 
@@ -199,7 +218,7 @@ def test_lines_equal_a_plain_restatement(spark):
         if i % 4 == 0:
             lines.append(f"hello dear reader your name is {rnd.choice(WORDS)} and here is what we wrote")
         if i % 5 == 0:
-            lines += ["see below", " ".join(words(rnd, 260))]
+            lines += ["see below", "All rights reserved.", " ".join(words(rnd, 260))]
         if i in (7, 19, 31, 45, 60, 61):  # a passage in few documents: it goes where it is a small part, as in 45 and 60
             lines += [passage, *([" ".join(words(rnd, 300))] if i > 40 else [])]
         texts[i] = "\n".join(lines)
@@ -207,31 +226,58 @@ def test_lines_equal_a_plain_restatement(spark):
     docs = spark.createDataFrame([(i, t, "x", 3) for i, t in texts.items()], "doc_id long, text string, lines string, n_lines int")
     drop = plain_lines(texts, 6)
     assert sum(map(len, drop.values())) > 40
-    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs, min_docs=6).collect()}
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs, rules=line_dedup.Rules(min_docs=6)).collect()}
     assert len(got) == len(texts)
     for i, t in texts.items():
         kept = None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in drop[i])
         assert (got[i]["text"], got[i]["n_dropped"]) == (kept, len(drop[i])), i
         assert got[i]["n_lines"] == (0 if t is None else t.count("\n") + 1)
-    # a line stays in the first document that has it, short ones too
+    # a line stays in the first document that has it; two words are no template
     assert sum(boiler[2] in (r["text"] or "") for r in got.values()) == 1
-    assert sum("see below" in (r["text"] or "").split("\n") for r in got.values()) == 1
+    assert sum("All rights reserved." in (r["text"] or "").split("\n") for r in got.values()) == 1
+    assert sum("see below" in (r["text"] or "").split("\n") for r in got.values()) == sum("see below" in (t or "").split("\n") for t in texts.values())
     assert passage not in got[45]["text"] and passage not in got[60]["text"] and passage in got[7]["text"]
     # copies of documents are left to the comparison of documents
     assert got[101]["text"].count("\n") == texts[101].count("\n") - got[101]["n_dropped"] and len(got[101]["text"]) > 0.8 * len(texts[101])
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+LICENSE = ["Licensed under the terms of the common license, version 2.0", "All rights reserved.", "You may not use this file except in compliance with the license, a copy of which is at example.org"]
+CLEAN = ["if (a) {", "x = 3", "}", "return 0;", "21 40 9", "1.5 2.25 3 4 5 6", "And.", "To be.", "| 12 | 7 | ok |", "", "---", "total 5", "for (;;)"]
+
+
+@pytest.mark.parametrize(("n", "licensed"), [(10, 10), (10_000, 40)])
+def test_clean_lines_stay(spark, n, licensed):
+    """Code, tables of numbers and one-word lines stay in every document; license lines go from all but the first."""
+    def text(i):
+        row = " ".join(str(i * 60 + k) for k in range(60))  # a long row of numbers, unlike in every document
+        return "\n".join([*(LICENSE if i < licensed else []), *CLEAN, f"{chr(97 + i % 26) * 3} {i} {i * 17 % 1009} {i * 31 % 2003}", row, " ".join(words(random.Random(i), 30))])
+
+    docs = spark.createDataFrame([(i, text(i)) for i in range(n)], "doc_id long, text string").repartition(4)
+    for r in line_dedup.dedup_lines(docs).collect():
+        want = text(r["doc_id"]) if r["doc_id"] == 0 else text(r["doc_id"]).removeprefix("\n".join(LICENSE) + "\n")
+        assert r["text"] == want, r["doc_id"]
+
+
+def test_lines_of_few_words_need_a_share_of_all_documents(spark):
+    phrase, sentence = "Thank you very much", "Please send all your questions to the office in the main building of the school"
+    texts = [f"{phrase}\n{sentence}" if i < 20 else " ".join(words(random.Random(i), 9)) for i in range(2500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for share, kept in ((0.01, 20), (0.005, 1)):
+        out = line_dedup.dedup_lines(docs, rules=line_dedup.Rules(share=share)).filter("doc_id < 20")
+        assert out.filter(F.col("text").contains(phrase)).count() == kept and out.filter(F.col("text").contains(sentence)).count() == 1
+
+
 def test_lines_of_null_and_repeated_ids(spark):
     rows = [(None, "a b c\nx"), (None, "a b c\ny"), (3, "a b c\nz"), (3, "a b c\nq"), (4, "a b c\nr"), (5, "t\na b c")]
     docs = spark.createDataFrame([(*r, 0, [1]) for r in rows], "doc_id long, text string, n_dropped int, __x array<int>").repartition(3)
-    got = Counter((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs, min_docs=3).collect())
+    got = Counter((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs, rules=line_dedup.Rules(min_docs=3)).collect())
     assert got == Counter([*rows[:4], (4, "r"), (5, "t")])
 
 
 def test_texts_of_many_lines_take_time_in_proportion(spark):
     def seconds(n):
-        each = lambda k: "\n".join(f"{chr(97 + i % 23)}{chr(97 + i % 19)}{chr(97 + i % 17)}" if i % 2 else f"own {'o' * k} line {chr(97 + i % 26) * (i % 50)} {chr(97 + i % 25) * (i // 50 % 60)}" for i in range(n))
+        each = lambda k: "\n".join(f"{chr(97 + i % 23)} {chr(97 + i % 19)} {chr(97 + i % 17)}" if i % 2 else f"own {'o' * k} line {chr(97 + i % 26) * (i % 50)} {chr(97 + i % 25) * (i // 50 % 60)}" for i in range(n))
         docs = spark.createDataFrame([(k, each(k)) for k in range(11)], "doc_id long, text string").repartition(4)
         began = time.perf_counter()
         out = line_dedup.dedup_lines(docs).agg(F.sum("n_dropped"), F.sum(F.length("text"))).first()
