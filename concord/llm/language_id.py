@@ -15,10 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, pieces, values
+from .common import pieces, values
 
 UNKNOWN = "und"
-FEW_LANGUAGES = 10_000
+#: The network has an output for each language, and the sample a part: a column with more values is no column of languages.
+MOST_LANGUAGES = 1000
 
 
 @dataclass
@@ -225,14 +226,18 @@ def fit_language_model(docs: DataFrame, text: str = "text", lang: str = "lang",
     and of each text `per_text` windows of `width` bytes.
 
     Only rows with a language and some text that are not held out are used, and
-    rows that are repeated count once.  None if there are no such rows.
+    rows that are repeated count once, as texts and among them (by a sketch with
+    an error of some percent).  None if there are no such rows; more than
+    MOST_LANGUAGES languages raise, as the sample would have no bound.
     """
     rows = docs.select(docs[doc_id].alias("id"), docs[lang].cast("string").alias("lang"), docs[text].alias("text")).filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    # a row for each language, of which the network has an output each; only if they are few, all tasks get them
-    count = cut(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
-    count = F.broadcast(count) if count.count() <= FEW_LANGUAGES else count
-    rank = F.pmod(F.xxhash64(F.col("id").cast("string"), "text"), F.lit(1 << 30))
-    drawn = rows.join(count, "lang").filter(rank < F.lit(float(per_language << 30)) / F.col("n")).select("lang", "text")
+    hashed = rows.withColumn("h", F.xxhash64(F.col("id").cast("string"), "text"))
+    # a row for each language
+    count = hashed.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(count) > MOST_LANGUAGES:
+        raise ValueError(f"{lang} has more than {MOST_LANGUAGES} values, which are no languages")
+    named = F.broadcast(docs.sparkSession.createDataFrame([tuple(r) for r in count], "lang string, n long"))
+    drawn = hashed.join(named, "lang").filter(F.pmod("h", F.lit(1 << 30)) < F.lit(float(per_language << 30)) / F.col("n")).select("lang", "text")
     sample = _cut_windows(drawn, per_text, width).distinct().orderBy("lang", "window").toArrow()
     if not sample.num_rows:
         return None

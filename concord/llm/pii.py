@@ -76,7 +76,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 # ---- candidates --------------------------------------------------------------
 # Runs of any length are taken whole, and each is tried at its beginning only.
 _NUMBER = re.compile(r"[(+]?[0-9](?:[0-9]|[ ./()-]{1,2}(?=[0-9(])){6,}+")
-_GROUP_GAP = re.compile(r"[^0-9]{2,}")
+_GROUP = re.compile(r"[0-9]+")
 _NAME, _HOST, _TOP = r"(?<![A-Za-z0-9._%+-])[._%+-]*+(?P<name>[A-Za-z0-9][A-Za-z0-9._%+-]*+", r"[A-Za-z0-9-]++", r"[A-Za-z0-9-]{2,}+"
 _IN_AT, _IN_DOT = r" ?[\[({] ?(?:at|AT) ?[\])}] ?", r" ?[\[({] ?(?:dot|DOT) ?[\])}] ?"
 _SPELLED = re.compile(
@@ -86,24 +86,25 @@ _SPELLED = re.compile(
 )
 _SPELLED_HINT = re.compile(rf"@|{_IN_AT}| (?:at|AT) {_HOST} (?:dot|DOT) ")
 _COLONS = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:{1,2}){2,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
-#: Fixed value: no kind of number has more digits.
-MOST_DIGITS = 19
+#: No kind of number has more digits, or is written in more groups of them.
+MOST_DIGITS, MOST_GROUPS = 19, 6
 
 
 def number_parts(text: str, a: int, z: int) -> list[tuple[int, int, int]]:
-    """(start, stop, digits) of a run of numbers and of what its gaps cut off at either end, up to MOST_DIGITS digits."""
-    inner = text[a:z]
-    n = len(only_digits(inner))
-    found = {(a, z, n)}
-    if text[a] in "(+":
-        found.add((a + 1, z, n))
-    before, at = 0, a
-    for gap in _GROUP_GAP.finditer(text, a, z):
-        before += len(only_digits(text[at : gap.start()]))
-        at = gap.end()
-        found.add((a, gap.start(), before))
-        found.add((gap.end(), z, n - before))
-    return sorted(x for x in found if x[2] <= MOST_DIGITS)
+    """(start, stop, digits) of every stretch of a run of numbers from the beginning of a group of digits to the end of one,
+    up to MOST_GROUPS groups and MOST_DIGITS digits; also with the sign or bracket before it."""
+    groups = [m.span() for m in _GROUP.finditer(text, a, z)]
+    found = []
+    for i, (start, _) in enumerate(groups):
+        digits = 0
+        for begin, stop in groups[i : i + MOST_GROUPS]:
+            digits += stop - begin
+            if digits > MOST_DIGITS:
+                break
+            found.append((start, stop, digits))
+            if start > a and text[start - 1] in "(+":
+                found.append((start - 1, stop, digits))
+    return sorted(found)
 
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
@@ -133,25 +134,37 @@ CUES = (
     ("order", "invoice", "version", "isbn", "id", "no", "ref", "page", "serial", "build", "sku", "date", "on", "ticket"),
 )
 _WORD = re.compile(r"[a-z-]+")
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+#: Does a run of numbers go on beside the span?
+_DIGIT_BEFORE, _DIGIT_AFTER = re.compile(r"[0-9][ ./()-]{1,2}$"), re.compile(r"[ ./()-]{1,2}[0-9]")
 
 
-def features(text: str, span: tuple[int, int, int]) -> list[float]:
+def _code(c: str) -> float:
+    return 0.0 if not c or c.isspace() else 1.0 if c.isdigit() else 2.0 if c.isalpha() else 3.0
+
+
+def before(text: str, a: int) -> tuple[float, ...]:
+    """Features of what stands before a span."""
+    words = set(_WORD.findall(text[max(0, a - 32) : a].lower()))
+    last = text[a - 1 : a]
+    return (_code(last), float(last == "+"), float(bool(_DIGIT_BEFORE.search(text[max(0, a - 3) : a]))), *[float(not words.isdisjoint(c)) for c in CUES])
+
+
+def features(text: str, a: int, z: int, context: tuple[float, ...] | None = None) -> list[float]:
     """Format of the span and context around it."""
-    a, z, kind = span
     s = text[a:z]
-    digits = only_digits(s)
-    groups = [len(g) for g in re.findall(r"[0-9]+", s)]
-    words = set(_WORD.findall(text[max(0, a - 32) : a].lower()))
-    before, after = text[a - 1 : a], text[z : z + 1]
-    code = lambda c: 0.0 if not c or c.isspace() else 1.0 if c.isdigit() else 2.0 if c.isalpha() else 3.0
-    parts = [int(p) for p in re.findall(r"[0-9]{1,9}", s)] if len(digits) < 40 else []
-    tail = re.split(r"[^A-Za-z]+", s)[-1]
+    groups = _GROUP.findall(s)
+    digits = "".join(groups)
+    sizes = [*map(len, groups)]
+    count = s.count
+    opened, closed = count("("), count(")")
+    tail = s if s.isalpha() else s[len(s.rstrip(_LETTERS)) :]
     return [
-        float(len(s)), float(len(digits)), float(sum(c.isalpha() for c in s)), float(s.count(".")), float(s.count("-")), float(s.count(" ")), float(s.count("/")),
-        float(s.count("(") + s.count(")")), float(s.count(":")), float(s.startswith("+") or before == "+"), float("(" in s and ")" in s), float(s.count("(") != s.count(")")),
-        float(bool(digits) and luhn(digits)), float(len(groups)), float(max(groups, default=0)), float(groups[0] if groups else 0), float(groups[-1] if groups else 0),
-        float(len(set(groups))), float(max(parts, default=0) <= 255), float(int(digits[:4] or 0)), float(len(set(digits))), float(len(tail)),
-        float("@" in s), float("::" in s), code(before), code(after), *(float(bool(words.intersection(c))) for c in CUES),
+        float(z - a), float(len(digits)), float(sum(map(str.isalpha, s))), float(count(".")), float(count("-")), float(count(" ")), float(count("/")),
+        float(opened + closed), float(count(":")), float(s[:1] == "+"), float(opened and closed), float(opened != closed),
+        float(len(digits) >= 12 and luhn(digits)), float(len(groups)), float(max(sizes, default=0)), float(sizes[0] if sizes else 0), float(sizes[-1] if sizes else 0),
+        float(len(set(sizes))), float(max([int(g[:9]) for g in groups], default=0) <= 255), float(int(digits[:4] or 0)), float(len(set(digits))), float(len(tail)),
+        float("@" in s), float("::" in s), _code(text[z : z + 1]), float(bool(_DIGIT_AFTER.match(text[z : z + 3]))), *(context or before(text, a)),
     ]
 
 
@@ -219,7 +232,7 @@ def _with_check_digit(digits: str) -> str:
 
 
 def examples(n: int, seed: int):
-    """`n` generated (text, kind or None, start, stop): personal data and look-alikes in sentences, with and without cues."""
+    """`n` generated (text, its spans): personal data and look-alikes in sentences, with and without cues, and numbers side by side."""
     rng = np.random.default_rng(seed)
     pick = lambda seq: seq[int(rng.integers(len(seq)))]
     num = lambda k: "".join(map(str, rng.integers(0, 10, k)))
@@ -265,7 +278,12 @@ def examples(n: int, seed: int):
         s = makers[kind]() if kind is not None else other()
         cue = CUES[kind] if kind is not None and rng.random() < 0.7 else CUES[4] if kind is None and rng.random() < 0.5 else ("",)
         lead = f"{name(int(rng.integers(2, 7)))} {name(int(rng.integers(2, 7)))} {pick(cue)}{pick([' ', ': ', ' ', ' = '])}"
-        yield f"{lead}{s}{pick([' ', '. ', ', ', chr(10), ''])}{name(5)} {name(4)}.", kind, len(lead), len(lead) + len(s)
+        spans = [(len(lead), len(lead) + len(s), kind)] if kind is not None else []
+        if kind in (2, 3) and rng.random() < 0.3:  # two numbers side by side
+            gap, second = pick([" ", ", ", " / ", "  ", "; "]), makers[kind]()
+            spans.append((len(lead) + len(s) + len(gap), len(lead) + len(s) + len(gap) + len(second), kind))
+            s = f"{s}{gap}{second}"
+        yield f"{lead}{s}{pick([' ', '. ', ', ', chr(10), ''])}{name(5)} {name(4)}.", spans
 
 
 @dataclass(frozen=True)
@@ -280,9 +298,9 @@ class Judge:
 def fit(n: int = 6000, precision: float = 0.995, seed: int = 11) -> Judge:
     """Train on `n` generated examples; thresholds reach `precision` on a third that training never sees."""
     rows: list[list[tuple[list[float], bool, bool]]] = [[] for _ in KINDS]
-    for no, (text, kind, a, z) in enumerate(examples(n, seed)):
+    for no, (text, spans) in enumerate(examples(n, seed)):
         for s in candidates(text):
-            rows[s[2]].append((features(text, s), kind == s[2] and (s[0], s[1]) == (a, z), no % 3 == 0))
+            rows[s[2]].append((features(text, s[0], s[1]), s in spans, no % 3 == 0))
     trees, least = [], []
     for found in rows:
         x, y, test = np.array([r[0] for r in found]), np.array([float(r[1]) for r in found]), np.array([r[2] for r in found])
@@ -328,10 +346,16 @@ def judged(texts: list[str], judge: Judge) -> list[list[tuple[int, int, int, boo
         base = base_spans(text)
         out.append([(a, z, k, True, 1.0) for a, z, k in base])
         kept = Covered((a, z) for a, z, _ in base)
-        for s in candidates(text):
-            if not kept.meets(s[0], s[1]):
-                rows[s[2]].append(features(text, s))
-                where[s[2]].append((i, s))
+        at, context, stop, found = -1, None, -1, None
+        for s in candidates(text):  # those of one stretch, and of one beginning, come one after another
+            if kept.meets(s[0], s[1]):
+                continue
+            if s[0] != at:
+                at, context, stop = s[0], before(text, s[0]), -1
+            if s[1] != stop:
+                stop, found = s[1], features(text, s[0], s[1], context)
+            rows[s[2]].append(found)
+            where[s[2]].append((i, s))
     chosen: dict[int, list[tuple[float, tuple[int, int, int]]]] = {}
     for k in range(len(KINDS)):
         if rows[k]:

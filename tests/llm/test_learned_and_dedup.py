@@ -3,6 +3,7 @@
 import math
 import random
 import time
+import zlib
 from collections import Counter
 from itertools import combinations
 
@@ -158,6 +159,18 @@ def test_word_hashes_follow_white_space():
     assert h[:3].tolist() == h[-3:].tolist()
 
 
+def test_a_language_of_few_repeated_texts_is_learned(spark):
+    kept = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rnd = random.Random(2)
+    many = [(kept[k], "aa", " ".join(rnd.choice(["the", "and", "house", "of"]) for _ in range(12))) for k in range(400)]
+    few = [(kept[500 + k], "bb", text) for k, text in enumerate(["quelle heure est il donc", "nous ne savons pas ou aller", "une maison verte et bleue"]) for _ in range(4000)]
+    docs = spark.createDataFrame(many + few, "doc_id long, lang string, text string").repartition(4)
+    net = language_id.fit_language_model(docs, steps=2)
+    assert list(net.labels) == ["aa", "bb"]
+    with pytest.raises(ValueError, match="languages"):
+        language_id.fit_language_model(docs.withColumn("lang", F.uuid()), steps=2)
+
+
 def plain_lines(texts, min_docs, share=0.001, long_words=50, copied=0.25):
     """Templates as tuples: which lines go, by document.
 
