@@ -15,7 +15,7 @@ from ..operators import normalise as N
 from ..operators.checkpoints import shared_folder
 from ..sources import runs, tables, text
 from .quality_queries import digest_sql
-from .views import Tables
+from .views import Tables, with_views
 
 SQL: dict[str, str] = {}
 
@@ -99,6 +99,23 @@ def installed_runs(spark: SparkSession, d: str) -> DataFrame:
 SQL["installed_runs"] = "SELECT 'orders' AS \"table\", 'r2' AS run_id, (SELECT count(*) FROM orders WHERE o_orderkey % 100 <> 1) + (SELECT count(*) FROM orders WHERE o_orderkey < 5) AS n, 'installed verified installed 2' AS said UNION ALL SELECT 'nation', 'r2', count(*), 'installed verified installed 2' FROM nation"
 
 
+def checked_load(spark: SparkSession, d: str) -> DataFrame:
+    """What a load says of its tables: rows, and nulls of each column, counted by the job that writes them under rules; and the digest of one."""
+    t = Tables(spark, d)
+    folder = _new(spark, "checked")
+    o = t.orders.select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 9 != 0, F.col("o_orderstatus")).alias("o_orderstatus"))
+    loads = {"orders": o, "dirty": t.dirty().select("id", "code", "x")}
+    runs.install(spark, folder, "r1", loads, {"orders": {"key": F.col("o_orderkey") >= 0, "status": F.col("o_orderstatus").isNull() | F.col("o_orderstatus").isin("F", "O", "P")}})
+    told = runs.manifest(spark, folder, "r1")["tables"]
+    rows = [(n, f["rows"], c, k) for n, f in told.items() for c, k in f["nulls"].items()]
+    digests = runs.provenance(spark, folder).select("table", F.when(F.col("table") == "orders", F.col("sha256")).alias("sha256"))
+    return spark.createDataFrame(rows, "table string, n_rows long, column string, n_null long").join(digests, "table")
+
+
+_CHECKED_JSON = """'{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderstatus":' || CASE WHEN o_orderkey % 9 <> 0 THEN '"' || o_orderstatus || '"' ELSE 'null' END || '}'"""
+SQL["checked_load"] = with_views("SELECT 'orders' AS \"table\", n_rows, c AS \"column\", n AS n_null, (SELECT sha256 FROM (" + digest_sql(f"SELECT {_CHECKED_JSON} AS j FROM orders") + ")) AS sha256 FROM (SELECT count(*) AS n_rows, unnest(['o_orderkey', 'o_custkey', 'o_orderstatus']) AS c, unnest([0, 0, count(*) FILTER (o_orderkey % 9 = 0)]) AS n FROM orders) UNION ALL SELECT 'dirty', n_rows, c, n, NULL FROM (SELECT count(*) AS n_rows, unnest(['id', 'code', 'x']) AS c, unnest([count(*) FILTER (id IS NULL), count(*) FILTER (code IS NULL), count(*) FILTER (x IS NULL)]) AS n FROM dirty)", "dirty")
+
+
 def loaded_table(spark: SparkSession, d: str) -> DataFrame:
     """Parts loaded under a target schema of another order and other types, beside a provenance that two loads append to, and read as a table of the catalogue."""
     p = Tables(spark, d).part
@@ -135,4 +152,4 @@ def run_identity(spark: SparkSession, d: str) -> DataFrame:
 _CUSTOMERS = digest_sql("""SELECT '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}' AS j FROM customer""")
 SQL["run_identity"] = f"""SELECT sha256('{{"customer":"' || sha256 || '","policy":"p-1"}}') AS run_id FROM ({_CUSTOMERS})"""
 
-QUERIES = {f.__name__: f for f in (sanitised_names, inferred_types, coded_types, snapshot_round_trip, json_round_trip, whitespace_round_trip, installed_runs, loaded_table, resolved_keys, run_identity)}
+QUERIES = {f.__name__: f for f in (sanitised_names, inferred_types, coded_types, snapshot_round_trip, json_round_trip, whitespace_round_trip, installed_runs, checked_load, loaded_table, resolved_keys, run_identity)}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.operators.checks import Violation
-from concord.sources import files, runs, tables, text
+from concord.sources import files, once, runs, tables, text
 from concord.sources.binary_table import BinaryTable
 
 SCHEMA = T.StructType().add("id", "long").add("x", "double").add("name", "string")
@@ -82,12 +82,116 @@ def test_runs_install_verify_and_go(spark, tmp_path):
         runs.install(spark, folder, "r1", {**t, "b": spark.range(6)})
     assert runs.install(spark, folder, "r2", {**t, "b": spark.range(6)}) == "installed"
     assert runs.read_run(spark, folder, "b").count() == 11
-    # rows changed behind the log's back are found
-    spark.range(4).write.mode("overwrite").parquet(f"{folder}/b/run_id=r1")
+    # rows changed behind the manifest's back are found
+    attempt = runs.manifest(spark, folder, "r1")["attempt"]
+    spark.range(4).write.mode("overwrite").parquet(f"{folder}/b/attempt={attempt}")
     with pytest.raises(runs.RunConflict, match="has changed"):
         runs.install(spark, folder, "r1", t)
-    assert runs.remove(spark, folder, "r1") == 2
+    assert runs.remove(spark, folder, "r1") == 2 and runs.remove(spark, folder, "r1") == 0
     assert runs.installed(spark, folder, "r1") == {} and runs.read_run(spark, folder, "b").count() == 6
+    with pytest.raises(FileNotFoundError):
+        runs.read_run(spark, folder, "b", "r1")
+    assert [(r["table"], r["run_id"], r["n_rows"]) for r in runs.provenance(spark, folder).orderBy("table").collect()] == [("a", "r2", 2), ("b", "r2", 6)]
+
+
+def attempts(folder):
+    import os
+
+    return sorted(f"{t}/{a}" for t in os.listdir(folder) if t != "_manifests" for a in os.listdir(f"{folder}/{t}")) if os.path.isdir(folder) else []
+
+
+STEPS = ["stage a", "stage b", "digest", "before the commit", "after the commit", "clean up"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_run_that_dies_is_there_whole_or_not_at_all(spark, tmp_path, monkeypatch, step):
+    """An installer that is killed (no clean-up runs) after any of its writes."""
+    folder, t = str(tmp_path / "p"), {"a": spark.range(3), "b": spark.range(5)}
+
+    class Killed(BaseException):
+        pass
+
+    def kill(*_, **__):
+        raise Killed
+
+    with monkeypatch.context() as m:
+        m.setattr(runs, "_discard", lambda *_: None)
+        real_staged, real_once = runs._staged, once.create_once
+        if step.startswith("stage"):
+            m.setattr(runs, "_staged", lambda df, path, rules, name: (real_staged(df, path, rules, name), kill())[0] if name == step[-1] else real_staged(df, path, rules, name))
+        elif step == "digest":
+            m.setattr(runs, "_digest", kill)
+        elif step == "before the commit":
+            m.setattr(once, "create_once", kill)
+        elif step == "after the commit":
+            m.setattr(once, "create_once", lambda *x: (real_once(*x), kill())[0])
+        else:
+            m.setattr(once, "create_once", lambda *x: (real_once(*x), real_once(*x))[1])  # the answer is lost: it looks as if another had won
+        if step == "clean up":
+            assert runs.install(spark, folder, "r1", t) == "verified"
+        else:
+            with pytest.raises(Killed):
+                runs.install(spark, folder, "r1", t)
+    if step in ("after the commit", "clean up"):
+        assert [runs.read_run(spark, folder, n).count() for n in t] == [3, 5] and runs.install(spark, folder, "r1", t) == "verified"
+    else:
+        assert runs.installed(spark, folder, "r1") == {}
+        for n in t:
+            with pytest.raises(FileNotFoundError):
+                runs.read_run(spark, folder, n)
+        assert runs.install(spark, folder, "r1", t) == "installed"
+        assert [runs.read_run(spark, folder, n, "r1").count() for n in t] == [3, 5]
+    assert runs.sweep(spark, folder) == 0
+    left = len(attempts(folder)) - 2
+    assert runs.sweep(spark, folder, -1.0) == left and len(attempts(folder)) == 2 and runs.read_run(spark, folder, "b").count() == 5
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_two_installers_at_once(spark, tmp_path, monkeypatch, same):
+    import threading
+    from concurrent.futures import ThreadPoolExecutor
+
+    folder, gate, real = str(tmp_path / "p"), threading.Barrier(2), once.create_once
+
+    def together(*x):
+        gate.wait(60)
+        return real(*x)
+
+    monkeypatch.setattr(once, "create_once", together)
+
+    def one(n):
+        try:
+            return runs.install(spark, folder, "r1", {"a": spark.range(3), "b": spark.range(n)})
+        except runs.RunConflict:
+            return "conflict"
+
+    with ThreadPoolExecutor(2) as pool:
+        said = sorted(pool.map(one, [5, 5 if same else 6]))
+    assert said == (["installed", "verified"] if same else ["conflict", "installed"])
+    assert runs.read_run(spark, folder, "b").count() == runs.installed(spark, folder, "r1")["b"][0] and len(attempts(folder)) == 2
+
+
+def test_rules_are_checked_by_the_job_that_writes(spark, tmp_path):
+    folder = str(tmp_path / "p")
+    df = spark.createDataFrame([(1, 0.5, None), (2, 2.0, "x"), (None, None, "y")], "id long, vx double, s string")
+    rules = {"t": {"id": F.col("id") > 0, "range": F.col("vx").between(0, 1) | F.col("vx").isNull()}}
+    with pytest.raises(runs.LoadRefused, match="'id': 1, 'range': 1"):
+        runs.install(spark, folder, "r1", {"first": spark.range(2), "t": df}, rules)
+    assert runs.manifest(spark, folder, "r1") is None and attempts(folder) == []
+    assert runs.install(spark, folder, "r1", {"t": df.filter("id = 1")}, rules) == "installed"
+    told = runs.manifest(spark, folder, "r1")["tables"]["t"]
+    assert (told["rows"], told["nulls"]) == (1, {"id": 0, "vx": 0, "s": 1})
+    assert runs.install(spark, folder, "r2", {"t": df}, source="file", version="7") == "installed"
+    assert runs.manifest(spark, folder, "r2")["tables"]["t"]["nulls"] == {c: df.filter(F.col(c).isNull()).count() for c in df.columns}
+    assert {tuple(r) for r in runs.provenance(spark, folder).select("run_id", "source", "version").collect()} == {("r1", "", ""), ("r2", "file", "7")}
+    assert runs.install(spark, folder, "empty", {"t": df.limit(0)}, rules) == "installed" and runs.read_run(spark, folder, "t", "empty").count() == 0
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    for path in (f"{tmp_path}/a b/x.json", f"file://{tmp_path}/c/x.json"):
+        assert once.create_once(spark, path, "one é") and not once.create_once(spark, path, "two")
+        assert once.text(spark, path) == "one é" and once.texts(spark, path.rsplit("/", 1)[0], ".json") == {"x.json": "one é"}
+    assert once.text(spark, f"{tmp_path}/none") is None and once.texts(spark, f"{tmp_path}/none", ".json") == {}
 
 
 def test_large_files_are_streamed(spark, tmp_path):
