@@ -17,10 +17,12 @@ documents that are no copies.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from itertools import accumulate
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -29,23 +31,9 @@ from pyspark.sql import functions as F
 from .common import cut, fresh_key, pieces, strings, values
 
 FIELD = "<*>"
-#: Tokens whose kind a task keeps in mind.
-KNOWN_TOKENS = 200_000
-VARIABLE, WORD, SIGN = range(3)
-
-
-class _Kinds(dict):
-    """token -> VARIABLE (it holds a digit), WORD (it holds a letter), SIGN."""
-
-    def __missing__(self, token: str) -> int:
-        if len(self) >= KNOWN_TOKENS:
-            self.clear()
-        kind = VARIABLE if any(c.isdigit() for c in token) else WORD if any(c.isalpha() for c in token) else SIGN
-        self[token] = kind
-        return kind
-
-
-_KIND = _Kinds()
+#: A token with a digit is variable, one with a letter and no digit is a word; what has neither is a sign.
+DIGIT, LETTER = re.compile(r"\d"), re.compile(r"[^\W\d_]")
+SIGNS = re.compile(r"(?<!\S)(?:[^\w\s]|_)+(?!\S)")
 
 
 class Rules(NamedTuple):
@@ -73,50 +61,45 @@ class Rules(NamedTuple):
     copied: float = 0.25
 
 
-class Path(NamedTuple):
-    """A template of a line: key (signed 64 bits), words (tokens of the line, if this is the line as it stands; else 0), sure (does it recur in few documents?)."""
-
-    key: int
-    words: int
-    sure: bool
-
-
-def _key(text: str) -> int:
-    k = xxhash.xxh3_64_intdigest(text)
-    return k - (1 << 64) if k >= 1 << 63 else k
-
-
-def templates(line: str, rules: Rules = Rules()) -> list[Path]:
-    """The templates on the line's paths, the line as it stands first."""
+def templates(line: str, rules: Rules = Rules()) -> list[tuple[int, int, bool]]:
+    """The templates on the line's paths, the line as it stands first: (key, tokens of the line if this is the line as it stands and else 0, does it recur in few documents?)."""
     tokens = line.split()
     n = len(tokens)
-    kinds = [_KIND[t] for t in tokens]
-    words = kinds.count(WORD)
+    if n < rules.min_words:
+        return []
+    digits = DIGIT.search(line) is not None
+    # most lines hold words alone: then no token is looked at
+    word = [LETTER.search(t) is not None and DIGIT.search(t) is None for t in tokens] if digits or SIGNS.search(line) else None
+    words = n if word is None else sum(word)
     least = max(rules.min_words, rules.constant * n)
     passage = n >= rules.long_words
     if words < least and not passage:
         return []
-    found = [Path(_key(f"{n} = {' '.join(tokens)}"), n, passage or words >= rules.sure_words)]
+    key = xxhash.xxh3_64_intdigest
+    whole = " ".join(tokens)
+    found = [(key(f"{n} = {whole}"), n, passage or words >= rules.sure_words)]
     if words < least:
         return found
-    if VARIABLE in kinds:
-        tokens = [FIELD if k == VARIABLE else t for t, k in zip(tokens, kinds, strict=True)]
-        found.append(Path(_key(f"{n} * {' '.join(tokens)}"), 0, words >= rules.sure_words))
+    if digits:
+        tokens = [FIELD if DIGIT.search(t) else t for t in tokens]
+        whole = " ".join(tokens)
+        found.append((key(f"{n} * {whole}"), 0, words >= rules.sure_words))
     if n >= rules.segmented:
         lead = min(rules.leading, n - 1)
         size = -(-(n - lead) // rules.segments)
-        before = [0, *accumulate(k == WORD for k in kinds)]
+        at = [0, *accumulate([len(t) + 1 for t in tokens])]
+        before = range(n + 1) if word is None else [0, *accumulate(word)]
         for start in range(lead, n, size):
-            left = words - before[min(start + size, n)] + before[start]
+            stop = min(start + size, n)
+            left = words - before[stop] + before[start]
             if left >= least:
-                rest = [*tokens[:start], FIELD, *tokens[start + size :]]
-                found.append(Path(_key(f"{n} {start} {' '.join(rest)}"), 0, left >= rules.sure_words))
+                found.append((key(f"{n} {start} {whole[: at[start]]}{FIELD} {whole[at[stop] :]}"), 0, left >= rules.sure_words))
     return found
 
 
 def line_templates(docs: DataFrame, rules: Rules) -> DataFrame:
     """A row for every template of every line of every text: doc_id, line (number from 0), template, first (of the
-    text's lines at this template), words, sure (of the Path), total (words of the text's lines that have a template)."""
+    text's lines at this template), words, sure (see templates), total (words of the text's lines that have a template)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
@@ -125,16 +108,16 @@ def line_templates(docs: DataFrame, rules: Rules) -> DataFrame:
                 seen: set[int] = set()
                 begun = len(keys)
                 for no, line in enumerate(text.split("\n")):
-                    for path in templates(line, rules):
+                    for key, size, often in templates(line, rules):
                         lines.append(no)
-                        keys.append(path.key)
-                        words.append(path.words)
-                        sure.append(path.sure)
-                        first.append(path.key not in seen)
-                        seen.add(path.key)
+                        keys.append(key)
+                        words.append(size)
+                        sure.append(often)
+                        first.append(key not in seen)
+                        seen.add(key)
                 ids += [doc] * (len(keys) - begun)
                 total += [sum(words[begun:])] * (len(keys) - begun)
-            cols = [pa.array(ids, pa.int64()), pa.array(lines, pa.int32()), pa.array(keys, pa.int64()), pa.array(first, pa.bool_()), pa.array(words, pa.int32()), pa.array(sure, pa.bool_()), pa.array(total, pa.int32())]
+            cols = [pa.array(ids, pa.int64()), pa.array(lines, pa.int32()), pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(first, pa.bool_()), pa.array(words, pa.int32()), pa.array(sure, pa.bool_()), pa.array(total, pa.int32())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "line", "template", "first", "words", "sure", "total"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line int, template long, first boolean, words int, sure boolean, total int")
