@@ -132,21 +132,45 @@ def conflicts(meas: DataFrame, p: Policy = POLICY, threshold: float | None = Non
     return meas.groupBy("ent").agg(*_extremes(p)).select("ent", "n_valid", "n_secure", *_conflict_flags(t))
 
 
-def witnesses(meas: DataFrame, p: Policy = POLICY, both_secure: bool | None = None) -> DataFrame:
-    """The pairs of one entity that differ by more than the threshold; only entities in conflict are joined with themselves.
+#: Rows of a unit of work on either side, when the pairs of one entity are formed.
+UNIT_ROWS = 1000
+
+
+def witnesses(meas: DataFrame, p: Policy = POLICY, both_secure: bool | None = None, unit: int = UNIT_ROWS) -> DataFrame:
+    """The pairs of one entity that differ by more than the threshold; only entities in conflict are looked into.
 
     `both_secure`: True keeps pairs secure on both sides, False the others, None all.
+
+    An entity of up to `unit` rows is a unit of work.  The values of a larger one
+    are cut into buckets a little narrower than the threshold, so that no two
+    values of a bucket conflict, and buckets into units: only units of different
+    buckets meet, each two of them as a key of their own, so the pairs of one
+    entity, however many rows it has, are formed by many tasks.
     """
-    found = conflicts(meas, p)
+    if p.conflict <= 0:
+        raise ValueError("the threshold of a conflict must be positive")
     hit = {None: F.col("any_conflict"), True: F.col("secure_conflict"), False: F.col("other_conflict")}[both_secure]
-    rows = meas.filter(valid_z()).withColumn("sec", secure(p)).join(found.filter(hit).select("ent"), "ent", "left_semi")
-    left, right = (rows.select("ent", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "z", "flag", "conf", "sec")]) for side in ("left", "right"))
-    difference = F.abs(F.col("left_z") - F.col("right_z"))
-    out = left.join(right, "ent").filter((F.col("left_id") < F.col("right_id")) & (difference > p.conflict)).withColumn("difference", difference)
-    pair_secure = F.col("left_sec") & F.col("right_sec")
-    if both_secure is not None:
-        out = out.filter(pair_secure == F.lit(both_secure))
-    return out.withColumn("both_secure", pair_secure).drop("left_sec", "right_sec")
+    found = conflicts(meas, p).filter(hit).select("ent", (F.col("n_valid") > unit).alias("big"))
+    at = F.col("z") / F.lit(p.conflict * (1 - 1e-9))
+    # from 2^53 buckets on any two values conflict: each is its own
+    bucket = F.when(~F.col("big"), F.lit(0.0)).when(at < float(1 << 53), at - at % 1).otherwise(-F.col("z"))
+    rows = meas.filter(valid_z()).select("ent", "id", "z", "flag", "conf", secure(p).alias("sec")).join(found, "ent").withColumn("bucket", bucket)
+    sizes = rows.groupBy("ent", "bucket", "big").agg(F.when(F.col("big"), F.ceil(F.count(F.lit(1)) / unit)).otherwise(F.lit(1)).cast("int").alias("parts"))
+    rows = rows.drop("big").join(sizes.drop("big"), ["ent", "bucket"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    units = sizes.select("ent", "big", "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    one, two = (units.select("ent", *(["big"] if n == 1 else []), F.col("bucket").alias(f"b{n}"), F.col("part").alias(f"p{n}")) for n in (1, 2))
+    pairs = one.join(two, "ent").filter((F.col("b1") < F.col("b2")) | ~F.col("big"))
+    sides = []
+    for n in (1, 2):
+        cells = rows.select("ent", F.col("bucket").alias(f"b{n}"), F.col("part").alias(f"p{n}"), F.struct("id", "z", "flag", "conf", "sec").alias(f"r{n}"))
+        sides.append(cells.join(pairs.select("ent", "b1", "p1", "b2", "p2", *(["big"] if n == 1 else [])), ["ent", f"b{n}", f"p{n}"]))
+    met = sides[0].join(sides[1], ["ent", "b1", "p1", "b2", "p2"]).filter((F.col("r1.id") < F.col("r2.id")) | (F.col("big") & (F.col("r1.id") > F.col("r2.id"))))
+    in_order = F.col("r1.id") < F.col("r2.id")
+    met = met.select("ent", F.when(in_order, F.col("r1")).otherwise(F.col("r2")).alias("l"), F.when(in_order, F.col("r2")).otherwise(F.col("r1")).alias("r"))
+    difference = F.abs(F.col("l.z") - F.col("r.z"))
+    out = met.select("ent", *[F.col(f"{s}.{c}").alias(f"{side}_{c}") for s, side in (("l", "left"), ("r", "right")) for c in ("id", "z", "flag", "conf")], difference.alias("difference"), (F.col("l.sec") & F.col("r.sec")).alias("both_secure"))
+    out = out.filter(F.col("difference") > p.conflict)
+    return out if both_secure is None else out.filter(F.col("both_secure") == F.lit(both_secure))
 
 
 def class_label(c: Column, p: Policy = POLICY) -> Column:

@@ -3,6 +3,9 @@
 import math
 import random
 
+import numpy as np
+import pandas as pd
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -254,6 +257,20 @@ def test_every_entity_has_a_summary(spark):
     assert out[3]["exclusion"] == ["no_association", "no_broad_line_or_photometric_qso_evidence", "photometric_type_unknown_or_missing"] and out[3]["n_all"] == 0
 
 
+def test_witnesses_of_a_large_entity_are_formed_in_units(spark):
+    rnd = random.Random(12)
+    rows = [(i, 1, rnd.choice([0.5, 0.504, 0.5049999, 0.505, 0.51, 1e-9, 1e30, 1.0000000000000002e30, round(rnd.uniform(0.4, 0.6), 4)]), rnd.choice([3, 2]), rnd.choice([97, 50])) for i in range(700)]
+    rows += [(1000 + i, 2, 0.5 + 0.01 * i, 3, 97) for i in range(5)] + [(2000, 3, 0.5, 3, 97), (2001, 3, NAN, 3, 97), (2002, 1, -1.0, 3, 97), (2003, None, 0.1, 3, 97), (2004, None, 0.9, 3, 97)]
+    df = spark.createDataFrame(rows, "id long, ent long, z double, flag int, conf int").repartition(5)
+    valid = [r for r in rows if r[2] == r[2] and r[2] > 0]
+    want = {(a[0], b[0]) for e in (1, 2) for a in valid if a[1] == e for b in valid if b[1] == e and a[0] < b[0] and abs(a[2] - b[2]) > 0.005}
+    for unit in (50, 10_000):
+        got = measure.witnesses(df.filter("ent is not null"), unit=unit)
+        pairs = [(r["left_id"], r["right_id"]) for r in got.collect()]
+        assert len(pairs) == len(want) and set(pairs) == want, unit
+        assert all(r["difference"] == abs(r["left_z"] - r["right_z"]) and r["left_id"] < r["right_id"] for r in got.limit(200).collect())
+
+
 # ---- splits ------------------------------------------------------------------
 def test_splits_do_not_depend_on_order(spark):
     tiles = [f"T{i}" for i in range(20)]
@@ -359,7 +376,7 @@ def test_nearest_equals_brute_force_everywhere(spark):
     spot = lambda: (rnd.choice([rnd.uniform(0, 360), 0.001, 359.999]), rnd.choice([rnd.uniform(-90, 90), 89.9, -89.99, 90.0]))
     targets = [(i, *spot()) for i in range(120)] + [(500, 10.0, 10.0), (501, 10.0, 10.0), (900, NAN, 0.0), (901, -999.0, -999.0)]
     entries = [(i, *spot()) for i in range(60)] + [(200, 10.0, 10.0), (201, None, 1.0)]
-    got = {r["e_id"]: (r["t_id"], r["sep"]) for r in sky.nearest(spark.createDataFrame(entries, "e_id long, e_ra double, e_dec double"), spark.createDataFrame(targets, "t_id long, t_ra double, t_dec double"), step=0.5).collect()}
+    got = {r["e_id"]: (r["t_id"], r["sep"]) for r in sky.nearest(spark.createDataFrame(entries, "e_id long, e_ra double, e_dec double"), spark.createDataFrame(targets, "t_id long, t_ra double, t_dec double"), leaf=4).collect()}
 
     def sep(a, b):
         r1, d1, r2, d2 = map(math.radians, (*a, *b))
@@ -375,6 +392,25 @@ def test_nearest_equals_brute_force_everywhere(spark):
     assert got[200][0] == 500
 
 
+def test_a_dense_field_and_far_entries(spark, leaf=64):
+    """100,000 targets within an arcminute at a pole, none elsewhere; entries among them, beside them and on the other side of the sky."""
+    rng = np.random.default_rng(8)
+    ra, dec = rng.uniform(0, 360, 100_000), 90 - rng.uniform(0, 1 / 60, 100_000) ** 1.0
+    entries = [(i, float(a), float(d)) for i, (a, d) in enumerate([*zip(rng.uniform(0, 360, 150), 90 - rng.uniform(0, 0.02, 150), strict=True), (0.0, 90.0), (180.0, -90.0), (359.9999, 0.0), (0.0, 0.0), (77.0, 89.0)])]
+    t = spark.createDataFrame(pd.DataFrame({"t_id": np.arange(100_000), "t_ra": ra, "t_dec": dec})).repartition(4)
+    got = {r["e_id"]: (r["t_id"], r["sep"]) for r in sky.nearest(spark.createDataFrame(entries, "e_id long, e_ra double, e_dec double"), t, leaf).collect()}
+    assert len(got) == len(entries)
+    for i, a, d in entries:
+        h = np.sin(np.radians(dec - d) / 2) ** 2 + np.cos(np.radians(d)) * np.cos(np.radians(dec)) * np.sin(np.radians(ra - a) / 2) ** 2
+        all_ = np.degrees(2 * np.arcsin(np.minimum(1, np.sqrt(h)))) * 3600
+        assert got[i][1] == pytest.approx(all_.min(), abs=1e-5) and all_[got[i][0]] == pytest.approx(all_.min(), abs=1e-5)
+    plan = sky.nearest(spark.createDataFrame(entries[:5], "e_id long, e_ra double, e_dec double"), t, leaf)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    same = spark.createDataFrame([(i, 10.0, 20.0) for i in range(2000)], "t_id long, t_ra double, t_dec double")  # no cut parts them
+    assert sky.nearest(spark.createDataFrame([(1, 10.0, 20.0), (1, 10.0, 21.0)], "e_id long, e_ra double, e_dec double"), same, 2).select("t_id").collect() == [(0,), (0,)]
+    assert sky.nearest(spark.createDataFrame([(1, 10.0, 20.0)], "e_id long, e_ra double, e_dec double"), same.limit(0)).collect() == [(1, None, None)]
+
+
 def test_nearest_in_features_equals_brute_force(spark, monkeypatch):
     rnd = random.Random(17)
     unit = lambda v: [x / math.sqrt(sum(y * y for y in v)) for x in v]
