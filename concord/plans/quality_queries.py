@@ -492,6 +492,9 @@ def iforest(spark: SparkSession, d: str) -> DataFrame:
     return rounded(O.isolation_scores(Tables(spark, d).embeddings, "vec_id", "embedding"))
 
 
+SQL["iforest"] = O.forest_sql("embeddings", "vec_id", "embedding")
+
+
 def knn(spark: SparkSession, d: str) -> DataFrame:
     """The five nearest of all vectors, of each whose id is divisible by 50."""
     return rounded(nearest_in_features(Tables(spark, d).embeddings, "vec_id", "embedding", queries=F.col("vec_id") % 50 == 0))

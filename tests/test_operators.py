@@ -583,6 +583,19 @@ def test_digest_levels_restated(spark):
     assert (r["n_rows"], r["sha256"]) == (300, level[0][1])
 
 
+def test_isolation_forest_of_odd_rows(spark):
+    rows = [(i, [float(i % 7), float(i % 5), 1.0]) for i in range(40)] + [(100, None), (101, [1.0, None, 2.0]), (102, [NAN, 1.0, 1.0]), (103, [1.0]), (104, []), (105, [50.0, 50.0, 1.0]), (105, [50.0, 50.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, v array<float>")
+    got = sorted(map(tuple, outliers.isolation_scores(df, "id", "v", trees=20).collect()))
+    assert [i for i, _ in got] == sorted(i for i, _ in rows)
+    assert {i for i, s in got if s is None} == {100, 101, 102, 103, 104} and got[-1][1] == got[-2][1] == max(s for _, s in got if s is not None)
+    assert "Python" not in outliers.isolation_scores(df, "id", "v", trees=3)._jdf.queryExecution().toString()
+    nothing = df.filter("id between 100 and 102")
+    assert [r["score"] for r in outliers.isolation_scores(nothing, "id", "v").collect()] == [None] * 3 and outliers.isolation_scores(df.limit(0), "id", "v").count() == 0
+    same = spark.createDataFrame([(i, [2.0, 2.0]) for i in range(9)], "id long, v array<double>")
+    assert len({r["score"] for r in outliers.isolation_scores(same, "id", "v", trees=2).collect()}) == 1
+
+
 def test_isolation_forest_sets_outliers_apart(spark):
     rnd = random.Random(23)
     rows = [(i, [rnd.gauss(0, 1) for _ in range(4)]) for i in range(600)] + [(9000 + i, [8.0 + i, -9.0, 7.0, 10.0 * (-1) ** i]) for i in range(6)]
