@@ -13,7 +13,7 @@ from ..operators import checks as C
 from ..operators import digest as D
 from ..operators import normalise as N
 from ..operators.checkpoints import shared_folder
-from ..sources import runs, tables, text
+from ..sources import binary_table, runs, tables, text
 from .quality_queries import digest_sql
 from .views import Tables, with_views
 
@@ -86,6 +86,20 @@ def whitespace_round_trip(spark: SparkSession, d: str) -> DataFrame:
 SQL["whitespace_round_trip"] = "SELECT l_orderkey AS key, l_linenumber AS line, CASE WHEN l_orderkey % 10 <> 0 THEN l_quantity END AS quantity, l_returnflag AS flag FROM lineitem"
 
 
+def binary_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as a big-endian binary table in key order, read back from the third row on; the filter on the row reaches the files."""
+    binary_table.register(spark)
+    o = Tables(spark, d).orders
+    layout, at = "o_orderkey K, o_totalprice D, o_orderstatus 1A, large L, pair 2D", _new(spark, "binary")
+    rows = o.select("o_orderkey", "o_totalprice", "o_orderstatus", (F.col("o_totalprice") > 1e5).alias("large"), F.array(F.col("o_custkey").cast("double"), F.lit(0.5)).alias("pair"))
+    rows.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").write.format("binary_table").option("layout", layout).mode("append").save(at)
+    back = spark.read.format("binary_table").option("layout", layout).load(at).filter("source_row >= 2")
+    return back.select("source_row", "o_orderkey", "o_totalprice", "o_orderstatus", "large", F.get("pair", F.lit(0)).cast("long").alias("o_custkey"))
+
+
+SQL["binary_round_trip"] = "SELECT * FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS source_row, o_orderkey, o_totalprice, o_orderstatus, o_totalprice > 1e5 AS large, o_custkey FROM orders) WHERE source_row >= 2"
+
+
 def installed_runs(spark: SparkSession, d: str) -> DataFrame:
     """Two runs of a product, the first installed twice and then removed; what is left, with what each step said."""
     t = Tables(spark, d)
@@ -152,4 +166,4 @@ def run_identity(spark: SparkSession, d: str) -> DataFrame:
 _CUSTOMERS = digest_sql("""SELECT '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}' AS j FROM customer""")
 SQL["run_identity"] = f"""SELECT sha256('{{"customer":"' || sha256 || '","policy":"p-1"}}') AS run_id FROM ({_CUSTOMERS})"""
 
-QUERIES = {f.__name__: f for f in (sanitised_names, inferred_types, coded_types, snapshot_round_trip, json_round_trip, whitespace_round_trip, installed_runs, checked_load, loaded_table, resolved_keys, run_identity)}
+QUERIES = {f.__name__: f for f in (sanitised_names, inferred_types, coded_types, snapshot_round_trip, json_round_trip, whitespace_round_trip, binary_round_trip, installed_runs, checked_load, loaded_table, resolved_keys, run_identity)}

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from concord.operators.checks import Violation
 from concord.sources import files, once, runs, tables, text
-from concord.sources.binary_table import BinaryTable
+from concord.sources.binary_table import BinaryReader, BinaryTable, register
 
 SCHEMA = T.StructType().add("id", "long").add("x", "double").add("name", "string")
 
@@ -57,7 +57,7 @@ def test_binary_tables(spark, tmp_path):
     rows["v"] = np.arange(3000).reshape(1000, 3)
     path = tmp_path / "t.bin"
     path.write_bytes(b"HEADER..." + rows.tobytes())
-    spark.dataSource.register(BinaryTable)
+    register(spark)
     read = spark.read.format("binary_table").option("layout", "id K, mag E, ok L, name 6A, v 3D").option("offset", 9).option("rowsPerTask", 128)
     df = read.load(str(path))
     assert df.rdd.getNumPartitions() == 8
@@ -206,11 +206,52 @@ def test_large_files_are_streamed(spark, tmp_path):
 
 def test_binary_tables_by_uri(spark, tmp_path):
     (tmp_path / "t.bin").write_bytes(np.arange(10, dtype=">i8").tobytes())
-    spark.dataSource.register(BinaryTable)
+    register(spark)
     df = spark.read.format("binary_table").option("layout", "id K").load(f"file://{tmp_path}/t.bin")
     assert [r["id"] for r in df.orderBy("source_row").collect()] == list(range(10))
 
 
+def test_filters_on_the_row_reach_the_file(spark, tmp_path):
+    (tmp_path / "t.bin").write_bytes(np.arange(100_000, dtype=">i8").tobytes())
+    register(spark)
+    df = spark.read.format("binary_table").option("layout", "id K").option("rowsPerTask", 1000).load(str(tmp_path / "t.bin"))
+    for where, want in (("source_row >= 500 and source_row < 1700", range(500, 1700)), ("source_row = 77777", [77777]), ("source_row in (3, 4, 5, 99999, 200000)", [3, 4, 5, 99999]), ("source_row > 99997 and id > 99998", [99999]), ("source_row < 0", []), ("source_row between 10 and 12 and source_row <> 11", [10, 12])):
+        got = df.filter(where)
+        assert sorted(r["id"] for r in got.collect()) == list(want)
+        assert got.rdd.getNumPartitions() <= 2
+    from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, In, LessThan
+
+    def ranges(*filters):
+        reader = BinaryReader({"path": str(tmp_path / "t.bin"), "layout": "id K", "rowspertask": "1000"}, df.schema)
+        left = list(reader.pushFilters(list(filters)))
+        return left, [(p.start, p.stop) for p in reader.partitions()]
+
+    other = EqualTo(("id",), 5)
+    assert ranges(GreaterThanOrEqual(("source_row",), 98_500), LessThan(("source_row",), 99_600), other) == ([other], [(98_500, 99_500), (99_500, 99_600)])
+    assert ranges(In(("source_row",), (7, 8, 50_000))) == ([], [(7, 9), (50_000, 50_001)])
+
+
+def test_binary_tables_are_written_and_read(spark, tmp_path):
+    register(spark)
+    at, layout = str(tmp_path / "out"), "id K, x D, ok L, name 4A, v 2E"
+    df = spark.range(1000).select("id", (F.col("id") / 7).alias("x"), (F.col("id") % 2 == 0).alias("ok"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"), F.array(F.col("id").cast("float"), F.lit(0.5).cast("float")).alias("v"))
+    ordered = df.repartitionByRange(5, "id").sortWithinPartitions("id")
+    ordered.write.format("binary_table").option("layout", layout).mode("append").save(at)
+    back = spark.read.format("binary_table").option("layout", layout).load(at)
+    assert [tuple(r) for r in back.orderBy("source_row").collect()] == [(i, *r) for i, r in enumerate(map(tuple, df.orderBy("id").collect()))]
+    assert [tuple(r) for r in back.filter("source_row between 399 and 401").select("id", "name").orderBy("id").collect()] == [(i, f"n{i}") for i in (399, 400, 401)]
+    with pytest.raises((PySparkException, Py4JJavaError), match="Writing job failed"):
+        ordered.write.format("binary_table").option("layout", layout).mode("append").save(at)
+    df.limit(3).write.format("binary_table").option("layout", "id K").mode("overwrite").save(at)
+    assert spark.read.format("binary_table").option("layout", "id K").load(at).count() == 3
+    for bad, where in ((df.withColumn("x", F.lit(None).cast("double")), "nulls"), (df.withColumn("name", F.lit("too long")), "longer"), (df.withColumn("v", F.array(F.lit(1.0).cast("float"))), "length")):
+        with pytest.raises((PySparkException, Py4JJavaError), match=where):
+            bad.write.format("binary_table").option("layout", layout).mode("overwrite").save(at)
+    assert spark.read.format("binary_table").option("layout", "id K").load(at).count() == 3
+    df.limit(0).write.format("binary_table").option("layout", layout).mode("overwrite").save(str(tmp_path / "none"))
+    assert spark.read.format("binary_table").option("layout", layout).load(str(tmp_path / "none")).count() == 0
+
+
 def test_exported_snapshots(spark, tmp_path):
     df = spark.createDataFrame([(3, None, "c"), (1, 0.5, "a"), (2, 1.5, "b")], SCHEMA)
     r = text.export_snapshot(df, str(tmp_path / "s"), ["id"], ["id", "x"], "v1|").first()
