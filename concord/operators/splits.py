@@ -31,10 +31,39 @@ def split_digest(splits: DataFrame, key: str) -> DataFrame:
     return splits.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("split_digest"))
 
 
-def ranked_sample(df: DataFrame, ordinal: str, n: int, seed: str) -> DataFrame:
-    """The n rows of the least SHA-256 of seed and ordinal, with their rank; the same on every run.  Memory is bounded by n."""
+#: Samples up to this size are gathered in order; larger ones are taken by a threshold.
+FEW = 10_000
+
+
+def ranked_sample(df: DataFrame, ordinal: str, n: int, seed: str, few: int = FEW) -> DataFrame:
+    """The n rows of the least SHA-256 (sample_hash) of seed and ordinal, ties by the ordinal; the same on every run.
+
+    A large sample is never sorted: counts of the hashes' first four hex digits
+    show in which of 65,536 bins the n-th hash lies, counts of the next four
+    digits in that bin narrow it down further, and a filter takes all rows
+    before it.  Of the rows in the last bin, a few unless ordinals repeat, those
+    that are missing are taken in order.  Null ordinals are never sampled.
+    """
     h = F.sha2(F.concat(F.lit(seed), F.lit("|"), F.col(ordinal).cast("string")), 256)
-    return df.withColumn("sample_hash", h).orderBy("sample_hash", ordinal).limit(n)
+    rows = df.withColumn("sample_hash", h)
+    if n <= few:
+        return rows.filter(F.col("sample_hash").isNotNull()).orderBy("sample_hash", ordinal).limit(n)
+    prefix, missing = "", n
+    while missing > few or not prefix:
+        bins = rows.filter(F.col("sample_hash").startswith(prefix)).groupBy(F.substring("sample_hash", len(prefix) + 1, 4).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        counts = sorted(map(tuple, bins.filter("bin is not null").collect()))  # 65,536 at most
+        before = 0
+        for at, size in counts:
+            if before + size >= missing:
+                break
+            before += size
+        else:  # there are no more rows than that
+            return rows.filter(F.col("sample_hash").isNotNull())
+        prefix, missing = prefix + at, missing - before
+        if size <= few or len(prefix) == 64:
+            break
+    edge = rows.filter(F.col("sample_hash").startswith(prefix)).orderBy("sample_hash", ordinal).limit(missing)
+    return rows.filter(F.col("sample_hash") < prefix).unionByName(edge)
 
 
 def sample_digest(sample: DataFrame, ordinal: str) -> DataFrame:

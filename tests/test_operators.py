@@ -283,6 +283,14 @@ def test_splits_do_not_depend_on_order(spark):
     assert len({s["sample_hash"] for s in splits.ranked_sample(spark.range(1000), "id", 50, "x").collect()}) == 50
 
 
+def test_large_samples_are_taken_by_a_threshold(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") < 29_000, F.col("id")).otherwise(7).alias("id"), F.col("id").alias("x")).unionByName(spark.createDataFrame([(None, 1)], "id long, x long"))
+    for n in (0, 1, 5000, 29_500, 50_000):
+        want = sorted(r["id"] for r in splits.ranked_sample(df, "id", n, "s").collect())
+        for few in (3, 40):
+            assert sorted(r["id"] for r in splits.ranked_sample(df, "id", n, "s", few).collect()) == want and len(want) == min(n, 30_000)
+
+
 # ---- reconciliation ----------------------------------------------------------
 BOOK = "k long, a double, b string, v array<double>"
 BOOK_ROWS = [(1, 0.0, "x", [1.0, 2.0]), (2, NAN, None, [NAN, 1.0]), (3, None, "z", None), (4, 1.5, "w", [0.0])]
