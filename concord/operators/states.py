@@ -86,10 +86,14 @@ def _scale_rules(low: str, high: str, b: str, err: str, own_error: bool) -> tupl
     )
 
 
-def point_machine(name: str, a: str, b: str, err: str | None = None) -> Machine:
+#: Fixed value: the reason of a logarithm outside the range that its estimator gives.
+OUT_OF_DOMAIN = "lephare_value_out_of_domain"
+
+
+def point_machine(name: str, a: str, b: str, err: str | None = None, out_of_domain: str = OUT_OF_DOMAIN) -> Machine:
     """Can log A and linear B be compared?  With `err`, B must also exceed its error."""
     rules = [
-        ("missing", "missing_input", f"is_null({a}) OR is_null({b})"), ("invalid_or_unsupported", "lephare_value_out_of_domain", f"{a} < -20.0 OR {a} > 15.0"),
+        ("missing", "missing_input", f"is_null({a}) OR is_null({b})"), ("invalid_or_unsupported", out_of_domain, f"{a} < -20.0 OR {a} > 15.0"),
         ("nonpositive_log_undefined", "exact_zero_native_value", f"{b} == 0"), ("nonpositive_log_undefined", "negative_native_value", f"{b} < 0"),
     ]
     if err:
@@ -105,9 +109,9 @@ def scale_machine(name: str, parent: str, permitted: str, low: str, high: str, b
     return Machine(name, _scale_rules(low, high, b, err, own_error), f"{parent}_state == '{permitted}'")
 
 
-def ratio_machine(name: str, parents: str, c: str) -> Machine:
+def ratio_machine(name: str, parents: str, c: str, out_of_domain: str = OUT_OF_DOMAIN) -> Machine:
     """A derived logarithmic ratio: defined where both parts are."""
-    return Machine(name, (("missing", "missing_input", f"is_null({c})"), ("invalid_or_unsupported", "lephare_value_out_of_domain", f"{c} < -20.0 OR {c} > 0.0"), ("point_valid", "none", "true")), parents)
+    return Machine(name, (("missing", "missing_input", f"is_null({c})"), ("invalid_or_unsupported", out_of_domain, f"{c} < -20.0 OR {c} > 0.0"), ("point_valid", "none", "true")), parents)
 
 
 def scored(df: DataFrame, name: str, a: str, low: str, high: str, b: str, err: str, expected: Column, floor: float, permitted: str, scale_gates: bool = True) -> DataFrame:
