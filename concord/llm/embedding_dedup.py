@@ -27,6 +27,8 @@ from .minhash import _forest
 #: Most pivots, and fewest: as many as the root of the number of distinct vectors, within these bounds.  Beyond a
 #: thousand million vectors, lists grow with the table; the pivots sent to each task stay below 17 MB in 64 dimensions.
 MOST_PIVOTS, FEWEST_PIVOTS = 32768, 64
+#: Bytes of pivots that go out with the tasks; the sample in the driver holds four times as many numbers.
+PIVOT_BYTES = 16 << 20
 _BATCH = 2048
 #: Pivots up to which each takes a column.
 DENSE = 4096
@@ -122,15 +124,15 @@ def linked(m: np.ndarray, mine: np.ndarray, threshold: float) -> np.ndarray:
     return link
 
 
-def fit_pivots(vectors: DataFrame, n: int, pivots: int | None, apart: float = 0.6) -> np.ndarray:
-    """The pivots: as many as the root of `n` says (MOST_PIVOTS at most), no two with a cosine of `apart` or more.
+def fit_pivots(vectors: DataFrame, n: int, longest: int, pivots: int | None, apart: float = 0.6) -> np.ndarray:
+    """The pivots: as many as the root of `n` says (MOST_PIVOTS and, of `longest` components, PIVOT_BYTES at most), no two with a cosine of `apart` or more.
 
     Taken in turn from a sample of four times as many, those of the least hash
     of their id.  Without this distance a dense group would hold many pivots,
     whose order says nothing.  If the sample has too few, directions drawn from
     a fixed seed fill up.
     """
-    want = pivots or min(MOST_PIVOTS, max(FEWEST_PIVOTS, isqrt(n)))
+    want = min(pivots or min(MOST_PIVOTS, max(FEWEST_PIVOTS, isqrt(n))), max(FEWEST_PIVOTS, PIVOT_BYTES // (8 * max(1, longest))))
     rows = vectors.orderBy(F.xxhash64("id"), "id").limit(4 * want).select("v").toArrow()
     if not rows.num_rows:
         return np.zeros((0, 1))
@@ -166,7 +168,8 @@ def embedding_classes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str
     rows = cut(usable(rows).withColumn("k1", F.xxhash64("v")).withColumn("k2", F.md5(F.to_json(F.struct("label", "v")))))
     alike = rows.filter("ok").groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min_by("v", "id").alias("v"), F.min("label").alias("label"))
     reps = cut(alike)
-    chosen = fit_pivots(reps.select(F.col("rep").alias("id"), "v"), reps.count(), pivots)
+    facts = reps.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("v")), F.lit(0)).alias("longest")).first()
+    chosen = fit_pivots(reps.select(F.col("rep").alias("id"), "v"), facts["n"], facts["longest"], pivots)
     n = shuffle_partitions(spark)
     near = cut(permutations(reps.select("rep", "copies", "label", "v"), chosen, k))
     # lists are dealt out without the vectors, which are fetched last
