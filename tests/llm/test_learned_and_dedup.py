@@ -414,6 +414,21 @@ def test_windows_cover_every_position():
     assert language_id.label_texts(net, [text, b"", b"xy"], window=100, halo=30)[0] == pytest.approx(whole, abs=5e-3)
 
 
+def test_production_windows_say_what_whole_texts_say():
+    """A trained network, windows of 240 bytes that see 8 more on either side, against the same network over whole texts."""
+    import pyarrow.parquet as pq
+
+    rows = [r for r in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text", "lang"]).to_pylist() if r["lang"] and r["text"] and len(r["text"]) > 300]
+    labels = sorted({r["lang"] for r in rows})
+    train, held = rows[::2], rows[1::2][:60]
+    windows = np.stack([np.frombuffer(r["text"].encode()[:64], np.uint8) for r in train])
+    net = language_id.train(windows, np.array([labels.index(r["lang"]) for r in train]), labels, steps=150)
+    texts = [r["text"].encode()[:6000] for r in held]
+    whole = np.stack([language_id.probabilities(language_id.forward(net, np.frombuffer(t, np.uint8)[:, None])[0]).mean(axis=(0, 1)) for t in texts])
+    cut = language_id.label_texts(net, texts)
+    assert (whole.argmax(axis=1) == cut.argmax(axis=1)).mean() >= 0.98 and np.abs(whole - cut).mean() < 0.01
+
+
 def test_predictions_do_not_depend_on_neighbours():
     net = language_id.new_network(["a", "b"], 4, 3)
     rnd = random.Random(2)
