@@ -22,6 +22,8 @@ SKETCH, GRID = 4096, 1024
 SLACK = 3 * 2.296 / SKETCH**0.9021
 #: Values near the wanted ranks that one group may bring to a task.
 MOST = 1 << 20
+#: Groups whose bounds all go out with the tasks.
+GROUPS = 10_000
 BELOW, ABOVE = float("-inf"), float("nan")  # NaN is the largest number
 
 
@@ -43,23 +45,33 @@ def _bracket(grid: Column, rank: Column, slack: float, low: Column, high: Column
     return F.when(first < 0, low).otherwise(F.get(grid, first)), F.when((last > GRID) | (above == float("inf")), high).otherwise(above)
 
 
-def _beside(rows: DataFrame, bounds: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The rows with their group's bounds; null groups are groups."""
+def _beside(rows: DataFrame, bounds: DataFrame, by: Sequence[str], few: bool = True) -> DataFrame:
+    """The rows with their group's bounds; null groups are groups.
+
+    Bounds go out with the tasks, so that rows stay where they are and a large
+    group stays spread.  Where groups are not `few`, only bounds of those with
+    more rows than one task should sort do, and the other rows are shuffled.
+    """
     if not by:
         return rows.withColumn("__k", F.lit(1)).join(F.broadcast(bounds.withColumn("__k", F.lit(1))), "__k").drop("__k")  # one row
     named = bounds.withColumnsRenamed({b: f"__by_{b}" for b in by})
-    same = [F.col(b).eqNullSafe(F.col(f"__by_{b}")) for b in by]
-    return rows.join(named, every(same)).drop(*[f"__by_{b}" for b in by])
+    same = every([F.col(b).eqNullSafe(F.col(f"__by_{b}")) for b in by])
+    if few:
+        out = rows.join(F.broadcast(named), same)
+    else:
+        large = F.broadcast(named.filter(F.col("__n") > MOST))
+        out = rows.join(large, same).unionByName(rows.join(large, same, "left_anti").join(named.filter(F.col("__n") <= MOST), same))
+    return out.drop(*[f"__by_{b}" for b in by])
 
 
-def _narrowed(rows: DataFrame, bounds: DataFrame, shares: Sequence[float], by: Sequence[str], slack: float) -> DataFrame:
+def _narrowed(rows: DataFrame, bounds: DataFrame, shares: Sequence[float], by: Sequence[str], slack: float, few: bool = True) -> DataFrame:
     """Bounds from sketches of the values inside the old ones, whose rank is then known from a count of those below."""
     v, aggs = F.col("__v"), []
     for i in range(len(shares)):
         low, high = F.get("__low", F.lit(i)), F.get("__high", F.lit(i))
         inside = F.when((v >= low) & (v <= high), v)
         aggs += [F.count_if(v < low).alias(f"b{i}"), F.count(inside).alias(f"n{i}"), _sketched(inside).alias(f"g{i}")]
-    found = _beside(rows, bounds, by).groupBy(*by, "__n", "__low", "__high").agg(*aggs)
+    found = _beside(rows, bounds, by, few).groupBy(*by, "__n", "__low", "__high").agg(*aggs)
     lows, highs = [], []
     for i, p in enumerate(shares):
         low, high, inner = F.get("__low", F.lit(i)), F.get("__high", F.lit(i)), (F.col("__n") - 1) * F.lit(p) - F.col(f"b{i}")
@@ -70,7 +82,7 @@ def _narrowed(rows: DataFrame, bounds: DataFrame, shares: Sequence[float], by: S
     return found.select(*by, "__n", F.array(*lows).alias("__low"), F.array(*highs).alias("__high"))
 
 
-def _selected(rows: DataFrame, bounds: DataFrame, shares: Mapping[str, float], by: Sequence[str]) -> DataFrame:
+def _selected(rows: DataFrame, bounds: DataFrame, shares: Mapping[str, float], by: Sequence[str], few: bool = True) -> DataFrame:
     """by, __bounds, a column per share, __missed: of every share, the number of bounds below the gap in which its rank lies, if it lies outside the bounds.
 
     Values inside some bounds are counted one by one; the others only by the
@@ -79,7 +91,7 @@ def _selected(rows: DataFrame, bounds: DataFrame, shares: Mapping[str, float], b
     v, n = F.col("__v"), len(shares)
     inside = F.exists(F.arrays_zip(F.col("__low").alias("l"), F.col("__high").alias("h")), lambda e: (v >= e["l"]) & (v <= e["h"]))
     gap = F.size(F.filter("__high", lambda h: h < v))
-    counts = _beside(rows, bounds, by).groupBy(*by, "__n", "__low", "__high", gap.alias("__g"), F.when(inside, v).alias("__x")).agg(F.count(F.lit(1)).alias("__c"))
+    counts = _beside(rows, bounds, by, few).groupBy(*by, "__n", "__low", "__high", gap.alias("__g"), F.when(inside, v).alias("__x")).agg(F.count(F.lit(1)).alias("__c"))
     before = Window.partitionBy(*by).orderBy("__g", F.col("__x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     placed = counts.withColumn("__lo", F.coalesce(F.sum("__c").over(before), F.lit(0)))
     covers = lambda k: (F.col("__lo") <= k) & (k < F.col("__lo") + F.col("__c"))
@@ -124,16 +136,17 @@ def exact_percentiles(df: DataFrame, value: Column, shares: Mapping[str, float],
     below, above = F.lit(BELOW), F.lit(ABOVE)
     first = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), _sketched(F.col("__v")).alias("__grid"))
     found = [_bracket(F.col("__grid"), F.lit(float(p)), slack, below, above) for p in parts]
-    few = F.col("__n") <= 4 / slack if slack else F.lit(False)  # a position is then more than the slack
-    bounds = cut(first.select(*by, "__n", F.array(*[F.when(few, below).otherwise(low) for low, _ in found]).alias("__low"), F.array(*[F.when(few, above).otherwise(high) for _, high in found]).alias("__high")))
-    largest, width, rounds = bounds.agg(F.max("__n")).first()[0] or 0, 2 * (slack + 1 / GRID), 0
+    small = F.col("__n") <= 4 / slack if slack else F.lit(False)  # a position is then more than the slack
+    bounds = cut(first.select(*by, "__n", F.array(*[F.when(small, below).otherwise(low) for low, _ in found]).alias("__low"), F.array(*[F.when(small, above).otherwise(high) for _, high in found]).alias("__high")))
+    largest, groups = bounds.agg(F.max("__n"), F.count(F.lit(1))).first()
+    largest, few, width, rounds = largest or 0, groups <= GROUPS, 2 * (slack + 1 / GRID), 0
     while len(parts) * largest * width ** (rounds + 1) > most and rounds < 8:
         rounds += 1
     done = None
     while True:
         for _ in range(rounds):
-            bounds = cut(_narrowed(rows, bounds, parts, by, slack))
-        picked = cut(_selected(rows, bounds, shares, by))
+            bounds = cut(_narrowed(rows, bounds, parts, by, slack, few))
+        picked = cut(_selected(rows, bounds, shares, by, few))
         missed = picked.filter(F.size(F.array_compact("__missed")) > 0)
         fine = picked.filter(F.size(F.array_compact("__missed")) == 0).select(*by, *shares)
         done = fine if done is None else done.unionByName(fine)

@@ -107,6 +107,24 @@ def test_percentiles_that_a_sketch_misses_are_found(spark, monkeypatch, low, hig
     assert ranks.exact_percentiles(df, F.col("v"), {"a": 0.25, "b": 0.5, "c": 1.0}, ["g"]).orderBy("g").collect() == [(0, 1499.5, 2999.0, 5998.0), (1, 1500.5, 3000.0, 5999.0)]
 
 
+def test_rows_of_a_large_group_stay_where_they_are(spark, monkeypatch):
+    """All rows of a group went to one task, to be sorted beside its bounds; now none moves, or of many groups only those of small ones."""
+    df = spark.range(0, 8000, 1, 4).select(F.when(F.col("id") % 8 > 0, "large").when(F.col("id") % 16 > 0, F.concat(F.lit("g"), F.col("id") % 5)).alias("g"), F.col("id").cast("double").alias("__v"))
+    bounds = ranks.cut(df.groupBy("g").agg(F.count("__v").alias("__n")))
+    monkeypatch.setattr(ranks, "MOST", 1000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for few in ((), (False,)):
+            out = ranks._beside(df, bounds, ["g"], *few)
+            assert out.exceptAll(df.join(bounds.withColumnRenamed("g", "h"), F.col("g").eqNullSafe(F.col("h"))).drop("h")).isEmpty() and out.count() == 8000
+            assert out.filter("g = 'large'").groupBy(F.spark_partition_id()).count().count() == 4
+        monkeypatch.setattr(ranks, "GROUPS", 2)
+        got = {r["g"]: r["a"] for r in ranks.exact_percentiles(df, F.col("__v"), {"a": 0.5}, ["g"]).collect()}
+        assert got == {r["g"]: r["a"] for r in df.groupBy("g").agg(F.percentile("__v", 0.5).alias("a")).collect()} and len(got) == 7
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_percent_rank_of_a_hot_value(spark):
     df = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 5.0).when(F.col("id") % 3 == 1, (F.col("id") % 1000) / 100.0).when(F.col("id") % 2 == 0, NAN).alias("v"), F.create_map(F.lit("a"), "id").alias("m"))
     got = ranks.percent_rank(df, "v", "r", 16)
