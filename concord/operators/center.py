@@ -77,27 +77,69 @@ def apply_center(df: DataFrame, fit: DataFrame, x: str, y: str, edges: Edges, su
 
 def spread_by_floor(df: DataFrame, residual: str, sigma_a: str, sigma_b: str, candidates: Sequence[float]) -> DataFrame:
     """floor, spread: 1.4826 MAD of residual / sqrt(sigmas^2 + floor^2) for every candidate floor, all in one pass of rows."""
+    return _spreads(_pulls(df, residual, sigma_a, sigma_b), candidates)
+
+
+def _pulls(df: DataFrame, residual: str, sigma_a: str, sigma_b: str) -> DataFrame:
+    """d, s: the residual and the sum of the squared sigmas of all rows that have them, written once for all candidates."""
     rows = df.filter(F.col(residual).isNotNull() & F.col(sigma_a).isNotNull() & F.col(sigma_b).isNotNull())
-    rows = cut(rows.select(residual, sigma_a, sigma_b))
-    rows = rows.select(residual, sigma_a, sigma_b, F.explode(F.array(*map(F.lit, candidates))).alias("floor"))
-    rows = rows.select("floor", F.try_divide(F.col(residual), F.sqrt(F.col(sigma_a) ** 2 + F.col(sigma_b) ** 2 + F.col("floor") ** 2)).alias("v"))
+    return cut(rows.select(F.col(residual).alias("d"), (F.col(sigma_a) ** 2 + F.col(sigma_b) ** 2).alias("s")))
+
+
+def _scaled(pulls: DataFrame, candidates: Sequence[float]) -> DataFrame:
+    """floor, v: the residuals in units of their error with every candidate floor."""
+    rows = pulls.select("d", "s", F.explode(F.array(*map(F.lit, candidates))).alias("floor"))
+    return rows.select("floor", F.try_divide(F.col("d"), F.sqrt(F.col("s") + F.col("floor") ** 2)).alias("v"))
+
+
+def _spreads(pulls: DataFrame, candidates: Sequence[float]) -> DataFrame:
+    rows = _scaled(pulls, candidates)
     middle = exact_percentiles(rows, F.col("v"), {"m": 0.5}, ["floor"])
     away = exact_percentiles(rows.join(F.broadcast(middle), "floor"), F.abs(F.col("v") - F.col("m")), {"mad": 0.5}, ["floor"])
     return away.select("floor", (F.col("mad") * MAD_TO_SIGMA).alias("spread"))
 
 
+def _above_one(pulls: DataFrame, candidates: Sequence[float]) -> set[float]:
+    """The candidates at which the spread is above 1.
+
+    A count of the deviations on either side of 1 tells on which side their
+    median lies; where the two in its middle lie on different sides, they are
+    the largest below and the smallest above.
+    """
+    rows = _scaled(pulls, candidates)
+    middle = exact_percentiles(rows, F.col("v"), {"m": 0.5}, ["floor"])
+    away = rows.join(F.broadcast(middle), "floor").select("floor", F.abs(F.col("v") - F.col("m")).alias("w")).filter("w is not null")
+    over = F.col("w") * MAD_TO_SIGMA > 1
+    sides = away.groupBy("floor").agg(F.count(F.lit(1)).alias("n"), F.count_if(~over).alias("below"), F.max(F.when(~over, F.col("w"))).alias("last"), F.min(F.when(over, F.col("w"))).alias("next"))
+    pos = (F.col("n") - 1) * F.lit(0.5)
+    k = F.floor(pos)
+    low, high = (F.when(F.col("below") > at, F.col("last")).otherwise(F.col("next")) for at in (k, k + 1))
+    mad = F.when(pos > k, low + (pos - k) * (high - low)).otherwise(low)
+    return {r["floor"] for r in sides.filter(mad * MAD_TO_SIGMA > 1).select("floor").collect()}  # a row for each candidate at most
+
+
 def fit_floor(df: DataFrame, residual: str, sigma_a: str, sigma_b: str, low: float = 0.0, high: float = 2.0, steps: int = 16, rounds: int = 5) -> float:
     """The systematic floor at which the spread is 1: a bracket on a grid, refined `rounds` times.
 
     The spread falls as the floor rises.  If it is below 1 already at `low`, that is the answer.
+    All rounds read the same residuals and sigmas, which are computed once, and
+    three floors of the grid at a time are looked at until two neighbours are left.
     """
+    pulls = _pulls(df, residual, sigma_a, sigma_b)
+    above = _above_one(pulls, [low, high])
+    if not above:
+        return low
+    if high in above:
+        return high
     for _ in range(rounds):
         grid = [low + (high - low) * i / steps for i in range(steps + 1)]
-        found = sorted(map(tuple, spread_by_floor(df, residual, sigma_a, sigma_b, grid).collect()))  # steps + 1 rows
-        above = [f for f, s in found if s is not None and s > 1]
-        if not above:
-            return low
-        low, high = max(above), min((f for f, _ in found if f > max(above)), default=high)
+        first, last = 0, steps  # above 1, and not
+        while last - first > 1:
+            between = sorted({first + (last - first) * i // 4 for i in (1, 2, 3)} - {first})
+            above = _above_one(pulls, [grid[i] for i in between])
+            first = max([first, *(i for i in between if grid[i] in above)])
+            last = min([last, *(i for i in between if i > first)])
+        low, high = grid[first], grid[last]
     return (low + high) / 2
 
 

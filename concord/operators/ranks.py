@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import every
+from ..functions.columns import every, some
 from .checkpoints import cut
 
 #: Items of a sketch (some 70 kB at most), and the ranks at which it is read.
@@ -89,9 +89,11 @@ def _selected(rows: DataFrame, bounds: DataFrame, shares: Mapping[str, float], b
     gap between bounds in which they lie, which few rows a task leave.
     """
     v, n = F.col("__v"), len(shares)
-    inside = F.exists(F.arrays_zip(F.col("__low").alias("l"), F.col("__high").alias("h")), lambda e: (v >= e["l"]) & (v <= e["h"]))
-    gap = F.size(F.filter("__high", lambda h: h < v))
-    counts = _beside(rows, bounds, by, few).groupBy(*by, "__n", "__low", "__high", gap.alias("__g"), F.when(inside, v).alias("__x")).agg(F.count(F.lit(1)).alias("__c"))
+    low, high = ([F.get(c, F.lit(i)) for i in range(n)] for c in ("__low", "__high"))
+    inside = some([(v >= a) & (v <= b) for a, b in zip(low, high, strict=True)])
+    gap = sum([F.when(b < v, 1).otherwise(0) for b in high], F.lit(0))
+    counts = _beside(rows, bounds, by, few).groupBy(*by, gap.alias("__g"), F.when(inside, v).alias("__x")).agg(F.count(F.lit(1)).alias("__c"))
+    counts = _beside(counts, bounds, by, few)
     before = Window.partitionBy(*by).orderBy("__g", F.col("__x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     placed = counts.withColumn("__lo", F.coalesce(F.sum("__c").over(before), F.lit(0)))
     covers = lambda k: (F.col("__lo") <= k) & (k < F.col("__lo") + F.col("__c"))

@@ -11,6 +11,7 @@ from ..operators import checks as C
 from ..operators import outliers as O
 from ..operators import reconcile as R
 from ..operators import splits as S
+from ..operators.checkpoints import cut
 from .tension_queries import _development, rounded, tension_sql
 from .views import Tables, with_views
 
@@ -105,6 +106,7 @@ SQL["modulus_sample"] = "SELECT event_type, count(*) AS n, min(event_id) AS firs
 def sigma_fit(spark: SparkSession, d: str) -> DataFrame:
     """The fitted systematic floor on development rows, and the spreads just below and above it: they must lie around 1, or all below."""
     dev = _development(Tables(spark, d)).filter(center.is_development(F.col("split")))
+    dev = cut(dev.select("delta_b", "sigma_a_b", "sigma_b_b"))  # fitted on, and looked at again
     floor = center.fit_floor(dev, "delta_b", "sigma_a_b", "sigma_b_b", 0.0, 2.0)
     near = center.spread_by_floor(dev, "delta_b", "sigma_a_b", "sigma_b_b", [max(0.0, floor - 1e-5), floor + 1e-5]).orderBy("floor")
     spread = near.agg(F.max("spread").alias("above"), F.min("spread").alias("below"))

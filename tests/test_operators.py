@@ -219,6 +219,25 @@ def test_fitted_floor_makes_the_spread_one(spark):
     assert spread == pytest.approx(1, abs=1e-3) and floor == pytest.approx(math.sqrt(0.09 - 0.02), abs=0.03)
 
 
+def test_floor_is_fitted_by_counts_on_rows_computed_once(spark, monkeypatch):
+    """Every round computed the rows again, and the spread at every floor of its grid in full."""
+    rnd = random.Random(5)
+    for n in (1, 2, 7, 400):
+        df = spark.createDataFrame([(rnd.gauss(0, 2), rnd.choice([0.0, 0.1]), 0.2) for _ in range(n)] + [(None, 0.1, 0.1)], "r double, a double, b double")
+        grid = [0.0, 0.5, 1.0, 1.5, 2.0]
+        want = {r["floor"] for r in center.spread_by_floor(df, "r", "a", "b", grid).collect() if r["spread"] > 1}
+        assert center._above_one(center._pulls(df, "r", "a", "b"), grid) == want
+    written, looked = [], []
+    pulls, above = center._pulls, center._above_one
+    monkeypatch.setattr(center, "_pulls", lambda *a: written.append(a) or pulls(*a))
+    monkeypatch.setattr(center, "_above_one", lambda p, c: looked.extend(c) or above(p, c))
+    floor = center.fit_floor(df, "r", "a", "b", rounds=2)
+    assert len(written) == 1 and len(looked) <= 2 + 2 * 6
+    around = sorted(map(tuple, center.spread_by_floor(df, "r", "a", "b", [floor - 1 / 256, floor + 1 / 256]).collect()))
+    assert around[0][1] > 1 >= around[1][1]
+    assert center.fit_floor(df.filter("abs(r) < 0.05"), "r", "a", "b") == 0.0 and center.fit_floor(df.withColumn("r", F.col("r") * 1e3), "r", "a", "b") == 2.0
+
+
 def test_forbidden_fits_are_named(spark):
     train = spark.createDataFrame([(1, 1), (1, 2), (2, 5), (3, 6), (3, 6), (4, 7)], "request int, id int")
     split = spark.createDataFrame([(1, 1, "development"), (1, 2, "holdout"), (2, 5, "development"), (2, 5, "other"), (3, 6, "development"), (4, 7, "development")], "request int, id int, split string")
