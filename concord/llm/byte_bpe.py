@@ -5,7 +5,8 @@ tokens; two neighbours merge if their joined bytes are one, the lowest rank
 first, the leftmost among equals.  The library knows merges of pairs of
 character strings instead, so each byte is written as a printable character of
 its own, and a token's every cut into two other tokens becomes a merge with
-the token's rank.  The ids that come back are ranks; reversing the character
+the token's rank.  The library merges the words of a batch that a task has not
+met before; the others' ids are looked up.  The ids that come back are ranks; reversing the character
 table gives bytes, and counting the bytes that begin a character turns byte
 positions into character positions, also where a token ends inside one.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,8 @@ from .common import map_text, pieces, strings, values
 PART_CHARS = 1 << 17
 #: No word of the pattern goes on from what is no white space to white space, or from a letter to an ASCII sign or digit.
 SEAM = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=[!-@])")
-#: Distinct words that the library keeps merged.
-CACHE_WORDS = 20_000
+#: Characters of words, and distinct words, whose ids a task keeps before it starts afresh.
+KEPT_CHARS, KEPT_WORDS = 1 << 23, 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -64,9 +66,13 @@ class RankedBPE:
         written = lambda token: "".join([symbols[b] for b in token])
         merges = [(written(token[:i]), written(token[i:])) for token in sorted(ranks, key=ranks.__getitem__) for i in halves(token, ranks)]
         # a word that is a token as a whole is not merged, as in the library of the ranks
-        model = models.BPE({written(token): rank for token, rank in ranks.items()}, merges, cache_capacity=CACHE_WORDS, ignore_merges=True)
+        model = models.BPE({written(token): rank for token, rank in ranks.items()}, merges, cache_capacity=0, ignore_merges=True)
         self.library = Tokenizer(model)
         self.library.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.words = Tokenizer(model)  # takes words as they are written
+        self.split = regex.compile(pattern).findall
+        self.symbols = dict(enumerate(symbols))
+        self.forget()
         byte_of = {c: b for b, c in enumerate(symbols)}
         size = max(ranks.values()) + 1
         self.bytes = [b""] * size
@@ -75,16 +81,61 @@ class RankedBPE:
         self.length = np.array([len(b) for b in self.bytes], dtype=np.int32)
         self.names = [str(i) for i in range(size)]
 
+    def forget(self) -> None:
+        """Words that are known: their numbers, their ids one after another, and where each one's begin (and the last one's end)."""
+        self.number: dict[str, int] = {}
+        self.known, self.at, self.chars = np.empty(0, np.int32), np.zeros(1, np.int64), 0
+
+    def learn(self, words: list[str]) -> None:
+        """Let the library merge words that are not known; their ends are where as many bytes are covered."""
+        written = [w.encode().decode("latin-1").translate(self.symbols) for w in words]
+        ids = np.array(self.words.encode_batch_fast([written], is_pretokenized=True, add_special_tokens=False)[0].ids, np.int32)
+        covered, wanted = np.cumsum(self.length[ids], dtype=np.int64), np.cumsum([len(w) for w in written], dtype=np.int64)
+        stop = np.searchsorted(covered, wanted)
+        if not np.array_equal(covered[np.minimum(stop, len(ids) - 1)], wanted):
+            raise ValueError("the tokens do not cover the words")
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
+        self.known, self.at = np.r_[self.known, ids], np.r_[self.at, self.at[-1] + stop + 1]
+        self.chars += sum(map(len, words))
+
+    def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts one after another, and how many each has."""
+        found = [self.split(part) for part in parts]
+        words = [*chain.from_iterable(found)]
+        if sum(map(len, words)) != sum(map(len, parts)):
+            raise ValueError("the words do not cover the text")
+        if len(self.number) > KEPT_WORDS or self.chars > KEPT_CHARS:
+            self.forget()
+        new = [*set(words).difference(self.number)]
+        if new:
+            self.learn(new)
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        size = self.at[numbers + 1] - self.at[numbers]
+        ends = np.r_[0, np.cumsum(size)]
+        ids = self.known[np.arange(ends[-1]) + np.repeat(self.at[numbers] - ends[:-1], size)]
+        return ids, np.diff(ends[np.r_[0, np.cumsum([len(x) for x in found], dtype=np.int64)]])
+
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and where each text's begin (and the last one's end)."""
-        parts, owner = [], []
+        out, size, parts, owner, chars = [], np.zeros(len(texts), np.int64), [], [], 0
+
+        def encode() -> None:
+            ids, each = self.encode_parts(parts)
+            out.append(ids)
+            np.add.at(size, owner, each)
+            parts.clear(), owner.clear()
+
         for i, text in enumerate(texts):
             for part in parted(text):
                 parts.append(part)
                 owner.append(i)
-        ids = [e.ids for e in self.library.encode_batch_fast(parts, add_special_tokens=False)]
-        size = np.bincount(np.array(owner, np.int64), [len(x) for x in ids], minlength=len(texts)).astype(np.int64) if parts else np.zeros(len(texts), np.int64)
-        return np.fromiter((i for x in ids for i in x), np.int32, int(size.sum())), np.r_[0, np.cumsum(size)]
+                chars += len(part)
+                if chars > 8 * PART_CHARS:
+                    encode()
+                    chars = 0
+        if parts:
+            encode()
+        return np.concatenate(out) if out else np.empty(0, np.int32), np.r_[0, np.cumsum(size)]
 
     def offsets(self, texts: list[str], ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first character, character after the last, does it cut a character?) of every token; a cut character belongs to all its tokens."""

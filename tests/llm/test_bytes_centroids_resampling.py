@@ -51,6 +51,21 @@ def test_ids_are_those_of_the_library_of_ranks(spark, library, tmp_path):
     assert byte_bpe.ranked_digests(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_known_words_are_looked_up(library, monkeypatch):
+    """The library merged every word of every text; now each new one once, also when a task has forgotten some."""
+    own = byte_bpe.RankedBPE(RANKS, public_tokenizers.PATTERN)
+    texts, met = [t or "" for t in TEXTS], []
+    learn = own.learn
+    monkeypatch.setattr(own, "learn", lambda words: met.extend(words) or learn(words))
+    for limit in (byte_bpe.KEPT_WORDS, 3):
+        monkeypatch.setattr(byte_bpe, "KEPT_WORDS", limit)
+        for _ in range(2):
+            ids, ends = own.encode_all(texts)
+            assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [library.encode_ordinary(t) for t in texts]
+        if limit > 3:
+            assert len(met) == len(set(met))
+
+
 def test_overlapping_merges_come_from_the_left(library, bpe):
     """Every token of which two overlapping copies can be merged at different cuts, in all surroundings that could show it; runs; random strings of tokens."""
     ranks, rnd = byte_bpe.read_ranks(RANKS), random.Random(4)
