@@ -496,11 +496,11 @@ SQL["iforest"] = O.forest_sql("embeddings", "vec_id", "embedding")
 
 
 def knn(spark: SparkSession, d: str) -> DataFrame:
-    """The five nearest of all vectors, of each whose id is divisible by 50."""
-    return rounded(nearest_in_features(Tables(spark, d).embeddings, "vec_id", "embedding", queries=F.col("vec_id") % 50 == 0))
+    """The five nearest of all vectors, of every vector: the k-NN graph."""
+    return rounded(nearest_in_features(Tables(spark, d).embeddings, "vec_id", "embedding"))
 
 
-SQL["knn"] = """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), x AS (SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) AS rank FROM x)
+SQL["knn"] = """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), x AS (SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.v, b.v) AS distance FROM e a JOIN e b ON a.vec_id <> b.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) AS rank FROM x)
   SELECT vec_id, neighbour, round(distance, 6) AS distance, rank::INT AS rank FROM r WHERE rank <= 5"""
 
 

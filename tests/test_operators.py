@@ -492,6 +492,55 @@ def test_cells_that_hold_nothing_nearer_are_left_out(spark, monkeypatch):
     assert neighbours.nearest_in_features(df.limit(0), "id", "v").count() == 0
 
 
+def brute_force(ids, x, k):
+    """(id, rank): (neighbour, distance), over rows of other ids, equal ones once; of an id that repeats, the least row asks."""
+    out = {}
+    for i in dict.fromkeys(ids):
+        own = min(tuple(v) for j, v in zip(ids, x, strict=True) if j == i)
+        near = sorted({(math.sqrt(((np.array(own) - v) ** 2).sum()), int(j)) for j, v in zip(ids, x, strict=True) if j != i})
+        out |= {(int(i), n + 1): (j, d) for n, (d, j) in enumerate(near[:k])}
+    return out
+
+
+def test_every_row_asks_among_copies_and_near_copies(spark, monkeypatch):
+    """No cell falls away; copies, copies but for the sign of zero, rows that single precision can't tell apart, a key with three vectors, large numbers."""
+    monkeypatch.setattr(neighbours, "LEAST", 40)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 24))
+    x[100:180] = x[0]
+    x[180:240] = x[1] + rng.normal(size=(60, 24)) * 1e-7
+    x[240:250], x[245:250] = 0.0, -0.0
+    for scale in (1.0, 1e25):
+        ids = np.r_[rng.permutation(398) * 3, 0, 0]
+        df = spark.createDataFrame(list(zip(ids.tolist(), (x * scale).tolist(), strict=True)), "id long, v array<double>").repartition(3)
+        got = {(r["id"], r["rank"]): (r["neighbour"], r["distance"]) for r in neighbours.nearest_in_features(df, "id", "v").collect()}
+        want = brute_force(ids, x * scale, 5)
+        assert got.keys() == want.keys() and {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+        assert all(got[k][1] == pytest.approx(want[k][1], rel=1e-9) for k in want)
+    assert not neighbours.nearest_in_features(df, "id", "v", queries=F.col("id") < 0).count()
+
+
+def test_few_copies_stand_for_all():
+    rows, ids = np.array([[1.0, 0.0]] * 5 + [[1.0, -0.0]] * 3 + [[2.0, 0.0]]), np.array([9, 8, 7, 7, 1, 2, 9, 3, 4])
+    few = neighbours._few_copies(rows, ids, 2)
+    assert sorted(ids[few]) == [1, 2, 3, 4]
+
+
+def test_a_round_that_leaves_most_pairs_is_followed_by_the_last(spark, monkeypatch):
+    """Without structure two rounds do; a query's vector goes to a bundle of cells once, not to each cell."""
+    monkeypatch.setattr(neighbours, "LEAST", 40)
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame(list(enumerate(rng.normal(size=(320, 48)).tolist())), "id long, v array<double>")
+    steps, plain = [], neighbours.cut
+    monkeypatch.setattr(neighbours, "cut", lambda frame: steps.append(frame.columns) or plain(frame))
+    assert neighbours.nearest_in_features(df, "id", "v", k=2).count() == 640 and len(steps) == 3  # cells and two rounds
+    points = rng.normal(size=(9, 3))
+    bundles = neighbours._bundles(points, np.array([0, 2, 3, 5, 8]), np.array([5, 5, 5, 30, 5]), 10)
+    assert [bundles[c] for c in (1, 4, 6, 7)] == [-1] * 4 and sorted(bundles[c] for c in (0, 2, 3, 5, 8))[-1] <= 4
+    rows = dict(zip((0, 2, 3, 5, 8), (5, 5, 5, 30, 5), strict=True))
+    assert all(sum(n for c, n in rows.items() if bundles[c] == b) <= 10 or sum(bundles[c] == b for c in rows) == 1 for b in set(bundles) - {-1})
+
+
 def entries(ledger):
     return sorted((tuple(r) for r in ledger.collect()), key=str)
 

@@ -6,6 +6,7 @@ import os
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from concord.plans import registry
 
@@ -46,6 +47,12 @@ def test_query_without_sql_is_stable(spark, name):
     assert rows(frames[0]) == rows(frames[1])
 
 
+def test_knn_answers_for_every_vector(spark):
+    got = registry.queries()["knn"](spark, FOLDER).groupBy("vec_id").agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
+    ids = spark.read.parquet(f"{FOLDER}/embeddings.parquet").select("vec_id")
+    assert got.join(ids, "vec_id").filter("ranks = array(1, 2, 3, 4, 5)").count() == ids.count() > 0
+
+
 def test_entry(spark):
     import __spark_entry__
 
